@@ -104,15 +104,17 @@ def rebuild_text(index: Column | str) -> Column:
         )
     )
     run = F.array_sort(pairs)
-    words = F.transform(
-        run,
-        lambda x, k: F.when(
-            F.coalesce(F.get(run, k + 1)["p"] == x["p"], F.lit(False)), F.lit(None).cast("string")
-        ).otherwise(
-            F.concat(
-                F.repeat(F.lit(" "), (x["p"] - F.coalesce(F.get(run, k - 1)["p"], F.lit(0))).cast("int")),
-                x["w"],
-            )
+    # The last entry at each position, then each word with the gap to the word before it.
+    kept = F.filter(
+        F.zip_with(run, F.slice(run, 2, F.greatest(F.size(run), F.lit(1))), lambda x, nxt: F.when(~x["p"].eqNullSafe(nxt["p"]), x)),
+        lambda x: x.isNotNull(),
+    )
+    before = F.concat(F.array(F.lit(None).cast("int")), F.transform(kept, lambda x: x["p"].cast("int")))
+    words = F.zip_with(
+        kept,
+        before,
+        lambda x, prev: F.concat(
+            F.when(prev.isNull(), F.lit("")).otherwise(F.repeat(F.lit(" "), x["p"].cast("int") - prev)), x["w"]
         ),
     )
-    return F.coalesce(F.trim(F.array_join(words, "")), F.lit(""))
+    return F.coalesce(strip_space(F.array_join(words, "")), F.lit(""))

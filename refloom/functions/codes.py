@@ -76,7 +76,7 @@ def dotted_parent(c: Column | str) -> Column:
     code = col(c)
     stem, tail = F.split_part(code, F.lit("."), F.lit(1)), F.split_part(code, F.lit("."), F.lit(2))
     dotted = (F.length(code) > 3) & F.contains(code, F.lit("."))
-    shorter = F.concat(stem, F.lit("."), F.expr("substring('', 1, 0)"), F.left(tail, F.length(tail) - 1))
+    shorter = F.concat(stem, F.lit("."), F.left(tail, F.length(tail) - 1))
     return F.when(dotted & (F.length(tail) == 1), stem).when(dotted & (F.length(tail) > 1), shorter)
 
 
@@ -87,7 +87,7 @@ def code_range(c: Column | str) -> Column:
 
 def split_axes(c: Column | str, sep: str = ":") -> list[Column]:
     """Six named axes of a fully specified name; missing axes are ``''``."""
-    parts = F.split(F.trim(F.regexp_replace(col(c), "​", "")), sep)
+    parts = F.split(F.trim(F.regexp_replace(col(c), r"\u200b", "")), sep)
     return [
         F.coalesce(F.trim(F.get(parts, F.lit(i))), F.lit("")).alias(name)
         for i, name in enumerate(NAME_AXES)

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Every character that counts as white space in Unicode, as a Java regex class body.
-SPACE = r"\s\x1c-\x1f\u0085   -     　"
+SPACE = r"\s\x1c-\x1f\x85\xa0  -     　"
 
 
 def col(c: Column | str) -> Column:
