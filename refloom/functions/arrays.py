@@ -118,3 +118,11 @@ def rebuild_text(index: Column | str) -> Column:
         ),
     )
     return F.coalesce(strip_space(F.array_join(words, "")), F.lit(""))
+
+
+def text_list(c: Column | str) -> Column:
+    """List out of a field that holds a JSON list or one plain text; items trimmed, empty ones dropped."""
+    raw = col(c)
+    parsed = F.when(raw.startswith("["), F.from_json(raw, "array<string>"))
+    items = F.coalesce(parsed, F.array(raw))
+    return F.filter(F.transform(items, lambda x: strip_space(x)), lambda x: x.isNotNull() & (x != ""))
