@@ -17,8 +17,8 @@ from refloom.functions.text import clean_text
 from refloom.functions.urls import resolve_url, url_kind, url_language
 from refloom.operators.aggregate import ordered_text
 from refloom.operators.dedup import dedup_first
-from refloom.operators.scans import scan
 from refloom.operators.select import filter_in
+from refloom.operators.skew import GROUP_LIMIT
 
 ELEMENTS = "page_id long, seq int, parent int, tag string, attrs map<string,string>, text string, spaced string"
 
@@ -201,10 +201,7 @@ def grid_fields(cells: DataFrame) -> DataFrame:
     rows = rows.join(revision.select("page_id", "table_no"), ["page_id", "table_no"], "left_anti")
     width = F.size("cells")
     opener = (width == 2) & (c[0] == SECTION_OPENER)
-    rows = scan(
-        rows.withColumn("_opens", opener), ["page_id", "table_no"], "_block", ["row_no"],
-        lasts={"_section": F.when(F.col("_opens"), F.lit(SECTION_NAME))},
-    ) if "_block" in rows.columns else _carry(rows.withColumn("_opens", opener))
+    rows = _carry(rows.withColumn("_opens", opener))
     prefixed = F.col("_section").isNotNull() & c[0].isin(*SECTION_LABELS)
     tail = F.trim(F.array_join(F.slice("cells", 4, F.greatest(width, F.lit(1))), " "))
     label = (
@@ -347,7 +344,18 @@ def rubric_lists(pages: DataFrame) -> DataFrame:
     return ordered_text(rubrics(pages), ["page_id", "kind"], F.col("text"), ";", [F.col("pos")], "texts")
 
 
-def article_text(pages: DataFrame, tag: str = "p", skip: Sequence[str] = ("xref",)) -> DataFrame:
-    """Narrative text per page: paragraphs normalised, empty ones dropped, joined by a blank line."""
-    parts = elements(pages, [tag], skip).select("page_id", "seq", clean_text("text").alias("text"))
-    return ordered_text(parts.filter("text <> ''"), ["page_id"], F.col("text"), "\n\n", [F.col("seq")], "body")
+def article_text(pages: DataFrame, skip: Sequence[str] = ("xref",), limit: int = GROUP_LIMIT) -> DataFrame:
+    """Narrative text per page: (page_id, part, body).
+
+    Paragraphs of the body without citations, normalised, empty ones dropped, joined by a blank
+    line. A document without a body gives its non-blank lines, without reference lists.
+    """
+    has_body = F.col("html").rlike(r"(?i)<body[\s>]")
+    parts = elements(pages.filter(has_body), ["p"], skip)
+    parts = parts.select("page_id", "seq", clean_text("text").alias("text"))
+    whole = pages.filter(~has_body).select("page_id", F.concat(F.lit("<doc>"), "html", F.lit("</doc>")).alias("html"))
+    lines = elements(whole, ["doc"], ["ref-list", "back"])
+    lines = lines.select("page_id", F.posexplode(F.split("text", r"\n")).alias("seq", "text"))
+    lines = lines.select("page_id", "seq", F.trim("text").alias("text"))
+    texts = parts.unionByName(lines).filter("text <> ''")
+    return ordered_text(texts, ["page_id"], F.col("text"), "\n\n", [F.col("seq")], "body", limit)

@@ -80,7 +80,7 @@ def lines_to_fields(lines: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
     text = scan(text, ["file"], "block", ["seq"], before={"_mark": marker})
     closes = (line == RECORD_START) & (F.coalesce("_mark", F.lit("")) == "number")
     text = scan(
-        text.drop("_mark").withColumn("_closes", closes), ["file"], "block", ["seq"],
+        text.withColumn("_closes", closes).drop("_mark"), ["file"], "block", ["seq"],
         sums={"record": F.col("_closes").cast("long"), "field": labelled.cast("long")},
     ).filter(~silent)
 

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from refloom.operators.scans import scan
 from refloom.operators.setops import union_tagged
+from refloom.sources.documents import decode_fallback
 from refloom.schemas import text_schema
 
 
 def read_positional(
-    spark: SparkSession, folders: dict[str, str], key: str, schemas: dict[str, Sequence[str]], tag: str | None = None
+    spark: SparkSession, folders: dict[str, str], key: str, schemas: dict[str, Sequence[str]],
+    tag: str | None = None, encoding: str = "UTF-8",
 ) -> DataFrame:
     """Header-less quoted CSV with the layout of a file key, from one folder per status.
 
@@ -24,10 +26,16 @@ def read_positional(
     rows skipped. With ``tag`` the status of the folder is added.
     """
     reader = spark.read.schema(text_schema(list(schemas[key]))).options(
-        mode="PERMISSIVE", quote='"', escape='"', encoding="UTF-8", pathGlobFilter=f"{key}{{,_*}}.txt"
+        mode="PERMISSIVE", quote='"', escape='"', encoding=encoding
     )
-    parts = {status: reader.csv(path) for status, path in folders.items()}
-    return union_tagged(parts, tag or "_status") if tag else union_tagged(parts, "_status").drop("_status")
+    parts = {status: reader.csv(f"{path}/{key}{{,_*}}.txt") for status, path in folders.items()}
+    tagged = union_tagged(parts, tag or "_status")
+    return tagged if tag else tagged.drop("_status")
+
+
+def text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines as ``value``, each one UTF-8 when valid and Latin-1 otherwise."""
+    return spark.read.text(path).select(decode_fallback(F.col("value").cast("binary")).alias("value"))
 
 
 def read_lines(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
@@ -41,7 +49,7 @@ def read_lines(spark: SparkSession, path: str | list[str], glob: str | None = No
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
-        F.col("value").alias("line"),
+        decode_fallback(F.col("value").cast("binary")).alias("line"),
     )
 
 
@@ -58,7 +66,7 @@ def fields(parts: str, names: Sequence[str], pad: str | None = "") -> list[Colum
 
 def header_line(spark: SparkSession, path: str | list[str]) -> str:
     """First non-empty line."""
-    row = spark.read.text(path).filter("trim(value) <> ''").head()
+    row = text_lines(spark, path).filter("trim(value) <> ''").head()
     return row[0] if row else ""
 
 
@@ -71,7 +79,7 @@ def read_delimited(
     """
     header = header_line(spark, path)
     names = list(names or [h.strip() for h in header.split(sep)])
-    lines = spark.read.text(path).filter((F.trim("value") != "") & (F.col("value") != header))
+    lines = text_lines(spark, path).filter((F.trim("value") != "") & (F.col("value") != header))
     return lines.select(split_line("value", sep).alias("p")).select(*fields("p", names, pad))
 
 
@@ -86,7 +94,7 @@ def read_folded(
     synonyms: str = "synonyms",
 ) -> DataFrame:
     """Tab separated concepts without a header; surplus fields go to the last column, first synonym is the name."""
-    lines = spark.read.text(path).filter("value <> ''")
+    lines = text_lines(spark, path).filter("value <> ''")
     rows = lines.select(F.split("value", f"\\Q{sep}\\E").alias("p"))
     rows = rows.select(F.transform(fold_fields("p", len(names), fold), lambda x: F.trim(x)).alias("p"))
     return rows.select(*fields("p", names)).withColumn("preferred_name", first_part(synonyms, fold))
@@ -100,7 +108,7 @@ def first_part(packed: str | Column, sep: str = "|") -> Column:
 
 def read_mapping(spark: SparkSession, path: str | list[str], sep: str, names: Sequence[str]) -> DataFrame:
     """Two-column map: blank and ``#`` lines skipped, empty parts dropped, rows with fewer parts left out."""
-    lines = spark.read.text(path).filter((F.trim("value") != "") & ~F.trim("value").startswith("#"))
+    lines = text_lines(spark, path).filter((F.trim("value") != "") & ~F.trim("value").startswith("#"))
     parts = F.filter(split_line("value", sep), lambda x: x != "")
     rows = lines.select(parts.alias("p")).filter(F.size("p") >= len(names))
     return rows.select(*fields("p", names))
@@ -114,7 +122,7 @@ def read_bulk_mapping(spark: SparkSession, path: str) -> DataFrame:
     """``id <tab> value`` lines; the value column is named after the file. Lines with one field are dropped."""
     name = next((c for word, c in BULK_COLUMNS.items() if word in path.rsplit("/", 1)[-1]), "Value")
     parts = split_line("value", "\t")
-    return spark.read.text(path).select(parts.alias("p")).filter(F.size("p") >= 2).select(*fields("p", ["CID", name]))
+    return text_lines(spark, path).select(parts.alias("p")).filter(F.size("p") >= 2).select(*fields("p", ["CID", name]))
 
 
 # Words that mark a first cell as a header.
@@ -127,7 +135,7 @@ def read_maybe_header(spark: SparkSession, path: str | list[str], sep: str = "\t
     A first cell with a header word makes a header. Else columns are ``column_i``, with
     ``ncit_code`` and ``preferred_name`` for the first two.
     """
-    lines = spark.read.text(path).filter("value <> ''")
+    lines = text_lines(spark, path).filter("value <> ''")
     width = lines.select(F.max(F.size(F.split("value", f"\\Q{sep}\\E")))).head()[0] or 0
     header = header_line(spark, path)
     cells = [h.strip() for h in header.split(sep)]
@@ -148,7 +156,12 @@ def read_sections(spark: SparkSession, path: str | list[str], is_header: Column)
     A section starts at each header line and is numbered from 1; lines before the first header and
     lines with only commas are dropped.
     """
-    lines = read_lines(spark, path).withColumn("is_header", is_header)
+    return number_sections(read_lines(spark, path), is_header)
+
+
+def number_sections(lines: DataFrame, is_header: Column) -> DataFrame:
+    """The same for lines that already carry their place."""
+    lines = lines.withColumn("is_header", is_header)
     lines = scan(lines, ["file"], "block", ["seq"], sums={"section": F.col("is_header").cast("long")})
     return lines.filter((F.col("section") > 0) & (F.trim(F.regexp_replace("line", ",", "")) != ""))
 

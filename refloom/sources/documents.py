@@ -63,7 +63,12 @@ def read_zip_members(spark: SparkSession, path: str | list[str], suffix: str, ra
 
     One task per archive; lines leave in batches, so a member is never held whole.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return zip_members(spark.read.format("binaryFile").load(path), suffix, raw)
+
+
+def zip_members(files: DataFrame, suffix: str, raw: bool = False) -> DataFrame:
+    """The same for archives held as rows of ``path`` and ``content``."""
+    files = files.select("path", "content")
     if raw:
         return files.mapInPandas(_whole_members(suffix), "archive string, member string, content binary")
     lines = files.mapInPandas(_member_lines(suffix), "archive string, member string, pos long, raw binary")
