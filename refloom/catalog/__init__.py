@@ -18,7 +18,7 @@ class Query:
 
 
 REGISTRY: dict[str, Query] = {}
-MODULES = ("groups",)
+MODULES = ("sources", "groups")
 
 
 def query(name: str, sql: str | None = None):
