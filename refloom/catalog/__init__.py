@@ -18,7 +18,7 @@ class Query:
 
 
 REGISTRY: dict[str, Query] = {}
-MODULES = ("sources", "groups")
+MODULES = ("sources", "columns", "relations", "groups")
 
 
 def query(name: str, sql: str | None = None):
