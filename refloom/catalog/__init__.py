@@ -18,7 +18,7 @@ class Query:
 
 
 REGISTRY: dict[str, Query] = {}
-MODULES = ("sources", "columns", "relations", "groups")
+MODULES = ("sources", "columns", "relations", "groups", "increments")
 
 
 def query(name: str, sql: str | None = None):

@@ -281,7 +281,6 @@ def similarity_threshold(t):
     """One query vector per label (its first), searched in the whole table."""
     from refloom.operators.dedup import dedup_first
 
-    # The labels are a fixed handful; the search takes its query vectors as arguments.
-    chosen = dedup_first(t.embeddings, ["label"], ["vec_id"]).select("vec_id", "embedding").limit(1_000).collect()
-    hits = similar(t.embeddings, [(r.vec_id, r.embedding) for r in chosen], "embedding", 0.05, ["vec_id"])
+    chosen = dedup_first(t.embeddings, ["label"], ["vec_id"]).select("vec_id", "embedding")
+    hits = similar(t.embeddings, chosen.toLocalIterator(), "embedding", 0.05, ["vec_id"])
     return hits.select("vec_id", "query_id", F.round("score", 6).alias("score"))

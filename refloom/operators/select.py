@@ -53,7 +53,7 @@ def contains_any(term: str, cols: Iterable[str | Column]) -> Column:
     """Case-insensitive literal substring in any of the columns; NULL columns do not match."""
     needle = F.lower(F.lit(term))
     tests = [F.coalesce(F.contains(F.lower(col(c)), needle), F.lit(False)) for c in cols]
-    return reduce(lambda a, b: a | b, tests)
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
 def search_any(df: DataFrame, term: str, cols: Sequence[str]) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
+from itertools import batched
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-QUERIES_PER_PASS = 256
+QUERIES_PER_PASS = 1_000
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -18,39 +21,37 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def similar(
-    df: DataFrame, queries: Sequence[tuple[object, Sequence[float]]], vec: str, cutoff: float,
-    keep: Sequence[str],
+    df: DataFrame, queries: Iterable[tuple[int, Sequence[float]]], vec: str, cutoff: float, keep: Sequence[str]
 ) -> DataFrame:
-    """Rows whose Tanimoto similarity to a query vector is at least ``cutoff``.
+    """Rows whose Tanimoto similarity to a query vector is at least ``cutoff``: (keep, query_id, score).
 
     Score = a.b / (|a|^2 + |b|^2 - a.b). Query vectors are arguments of the search; they travel as
-    literals, a bounded number per pass over the table. The score bounds the ratio of the two
-    lengths, so vectors outside that band are dropped before any product is formed.
+    one literal, a bounded number per pass over the table. The score bounds the ratio of the two
+    lengths, so pairs outside that band are dropped before any product is formed, and only hits
+    leave the row.
     """
+    low, high = _length_band(cutoff)
     passes = []
-    for i in range(0, len(queries), QUERIES_PER_PASS):
-        chunk = queries[i : i + QUERIES_PER_PASS]
+    for chunk in batched(queries, QUERIES_PER_PASS):
+        packed = [
+            {"id": key, "v": list(map(float, v)), "n2": math.fsum(float(x) * float(x) for x in v)} for key, v in chunk
+        ]
+        literal = F.from_json(F.lit(json.dumps(packed)), "array<struct<id: long, v: array<double>, n2: double>>")
         sized = df.withColumn("_n2", dot(F.col(vec), F.col(vec)))
-        scores = []
-        for key, q in chunk:
-            literal = F.array(*[F.lit(float(x)) for x in q])
-            q2 = math.fsum(float(x) * float(x) for x in q)
-            shared = dot(F.col(vec), literal)
-            low, high = _length_band(cutoff)
-            near = F.col("_n2").between(low * low * q2 * (1 - 1e-9), high * high * q2 * (1 + 1e-9))
-            score = F.when(near, shared / (F.col("_n2") + F.lit(q2) - shared))
-            scores.append(F.struct(F.lit(key).alias("query_id"), score.alias("score")))
-        hits = sized.select(*keep, F.explode(F.array(*scores)).alias("_hit"))
-        passes.append(hits.select(*keep, "_hit.query_id", "_hit.score").filter(F.col("score") >= cutoff))
-    result = passes[0]
-    for more in passes[1:]:
-        result = result.unionByName(more)
-    return result
+
+        def score(q: Column) -> Column:
+            near = F.col("_n2").between(q["n2"] * (low * low * (1 - 1e-9)), q["n2"] * (high * high * (1 + 1e-9)))
+            shared = dot(F.col(vec), q["v"])
+            return F.when(near, shared / (F.col("_n2") + q["n2"] - shared))
+
+        scored = F.transform(literal, lambda q: F.struct(q["id"].alias("query_id"), score(q).alias("score")))
+        passes.append(sized.select(*keep, F.inline(F.filter(scored, lambda s: s["score"] >= cutoff))))
+    return reduce(DataFrame.unionByName, passes)
 
 
 def _length_band(cutoff: float) -> tuple[float, float]:
     """Ratio |a|/|q| that can still reach the cutoff: roots of c r^2 - (1 + c) r + c = 0."""
     if cutoff <= 0:
-        return 0.0, math.inf
+        return 0.0, 1e150
     root = math.sqrt(max((1 + cutoff) ** 2 - 4 * cutoff * cutoff, 0.0))
     return ((1 + cutoff) - root) / (2 * cutoff), ((1 + cutoff) + root) / (2 * cutoff)
