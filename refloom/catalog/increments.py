@@ -17,7 +17,7 @@ def stream_dedup(t):
     early = F.col("event_type").isin("click", "view")
     for arrived in (rows.filter(early), rows):
         arrived.write.mode("append").parquet(source)
-        inc.stream_once(t.spark, source, rows.schema, ["user_id", "event_type"], target, state)
+        inc.stream_once(t.spark, source, rows.schema, ["user_id", "event_type"], ["user_id"], target, state)
     return t.spark.read.parquet(target).select("user_id", "event_type")
 
 

@@ -72,23 +72,28 @@ def write_partitions(df: DataFrame, path: str, part: Column, out: str = "partiti
 
 
 def stream_once(
-    spark: SparkSession, source: str, schema, keys: Sequence[str], target: str, checkpoint: str,
-    glob: str | None = None, fmt: str = "parquet",
+    spark: SparkSession, source: str, schema, keys: Sequence[str], order: Sequence[str | Column], target: str,
+    checkpoint: str, glob: str | None = None, fmt: str = "parquet",
 ) -> None:
     """Take in all files that arrived since the last run; each id is kept once, over all runs.
 
-    Ids seen so far are the state of ``dropDuplicates``; it has no time limit, because an id may
-    come again in any later file. A batch overwrites its own folder, so a repeated batch adds nothing.
+    Per batch, ids are reduced to one row each (combined before the shuffle, so a hot id costs one
+    row per task) and matched against the ids already in ``target``. The table is the state: it has
+    no time limit, because an id may come again in any later file. A batch overwrites its own
+    folder and looks only at earlier ones, so a batch that runs again gives the same rows.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    stream = reader.load(source).dropDuplicates(list(keys))
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        fresh = dedup_first(batch, keys, order)
+        if batch_id > 0:
+            seen = batch.sparkSession.read.parquet(target).filter(F.col("batch") < batch_id)
+            fresh = join_keys(fresh, seen.select(*keys), keys, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(
+    reader.load(source).writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(
         availableNow=True
     ).start().awaitTermination()
 
