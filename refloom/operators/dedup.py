@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -70,20 +70,21 @@ def _present(name: str) -> Column:
     return F.col(name).isNotNull() & (F.col(name) != "")
 
 
-def _accept_in_order(group: Sequence[str], k1: str, k2: str, order: Sequence[str]):
-    """Accept rows of one small group one after the other."""
+def _accept_in_order(group: Sequence[str], k1: str, k2: str):
+    """Accept rows one after the other; a partition holds whole groups in order."""
 
-    def accept(rows: pd.DataFrame) -> pd.DataFrame:
-        seen1, seen2, keep = set(), set(), []
-        rows = rows.sort_values(list(order))
-        for a, b in zip(rows[k1], rows[k2]):
-            a, b = (x if pd.notna(x) and x != "" else None for x in (a, b))
-            ok = (a is None or a not in seen1) and (b is None or b not in seen2)
-            if ok:
-                seen1.update(() if a is None else (a,))
-                seen2.update(() if b is None else (b,))
-            keep.append(ok)
-        return rows[keep]
+    def accept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen1, seen2 = set(), set()
+        for rows in batches:
+            keep = []
+            for a, b, *g in rows[[k1, k2, *group]].itertuples(index=False, name=None):
+                a, b = (None if x is None or x != x else (x, *g) for x in (a, b))
+                ok = (a is None or a not in seen1) and (b is None or b not in seen2)
+                if ok:
+                    seen1.update(() if a is None else (a,))
+                    seen2.update(() if b is None else (b,))
+                keep.append(ok)
+            yield rows[keep]
 
     return accept
 
@@ -96,7 +97,7 @@ def dedup_either(
     Missing or empty keys never match. Order decides, so the accepted rows are found in rounds:
     a row that is first for both of its keys is accepted, and every row that shares a key with it
     falls away. Groups are never gathered while more than ``small`` rows are open; the last few
-    open rows are finished group by group. ``order`` must be unique within a group.
+    open rows are finished one after the other. ``order`` must be unique within a group.
     """
     p1, p2 = _present(k1), _present(k2)
     free = df.filter(~(F.coalesce(p1, F.lit(False)) | F.coalesce(p2, F.lit(False))))
@@ -123,7 +124,8 @@ def dedup_either(
             open_rows = join_keys(open_rows, taken, [*group, name], "left_anti")
         open_rows = materialize(open_rows, "open")
     if left:
-        rest = open_rows.groupBy(*group) if group else open_rows.groupBy(F.lit(0))
-        accepted.append(rest.applyInPandas(_accept_in_order(group, "_a", "_b", order), open_rows.schema))
+        whole = open_rows.repartition(*group) if group else open_rows.coalesce(1)
+        rest = whole.sortWithinPartitions(*order)
+        accepted.append(rest.mapInPandas(_accept_in_order(group, "_a", "_b"), open_rows.schema))
     parts = [free, *[a.drop("_a", "_b") for a in accepted]]
     return reduce(DataFrame.unionByName, parts)
