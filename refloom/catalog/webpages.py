@@ -8,7 +8,7 @@ from refloom.catalog import query
 from refloom.operators import aggregate as agg
 from refloom.operators import pages
 from refloom.plans import approvals, classes, concepts, trials
-from refloom.session import materialize
+from refloom.session import materialize, spread
 
 LINE_ORDER = [
     "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -26,7 +26,8 @@ def order_pages(t, row, head="", tail=""):
     lines = t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey")
     rows = agg.nested_master(t.orders, ["o_orderkey"], [agg.Child("rows", lines, row, LINE_ORDER)])
     html = F.concat(F.lit(head) if isinstance(head, str) else head, F.array_join("rows", "\n"), F.lit(tail))
-    return materialize(rows.select(F.col("o_orderkey").alias("page_id"), F.lit("https://h.example/list").alias("url"), html.alias("html")), "pages")
+    built = rows.select(F.col("o_orderkey").alias("page_id"), F.lit("https://h.example/list").alias("url"), html.alias("html"))
+    return spread(materialize(built, "pages"))
 
 
 @query(
@@ -39,7 +40,7 @@ def order_pages(t, row, head="", tail=""):
     """,
 )
 def page_links(t):
-    return pages.page_links(t.pages).select("page_id", "href", "text", "absolute_url")
+    return pages.page_links(spread(t.pages)).select("page_id", "href", "text", "absolute_url")
 
 
 @query(
@@ -48,12 +49,12 @@ def page_links(t):
     WITH b AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)^.*?<body', ''), '(?s)<script.*?</script>', '', 'g') AS b FROM pages),
     p AS (SELECT page_id, unnest(string_split(b, '<p>')[2:]) AS p, generate_subscripts(string_split(b, '<p>')[2:], 1) AS i FROM b),
     x AS (SELECT page_id, i, regexp_replace(regexp_replace(p, '(?s)(</p>|</article>|</div>).*$', ''), '<[^>]*>', '', 'g') AS x FROM p),
-    c AS (SELECT page_id, i, trim(regexp_replace(replace(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')) AS x FROM x)
+    c AS (SELECT page_id, i, trim(regexp_replace(replace(replace(replace(replace(replace(replace(x, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')) AS x FROM x)
     SELECT page_id, CAST(0 AS BIGINT) AS part, count(*) AS n_paragraphs, md5(string_agg(x, chr(10) || chr(10) ORDER BY i)) AS digest FROM c WHERE x <> '' GROUP BY page_id
     """,
 )
 def article_text(t):
-    texts = pages.article_text(t.pages)
+    texts = pages.article_text(spread(t.pages))
     return texts.select(
         "page_id", "part", F.size(F.split("body", "\n\n")).cast("long").alias("n_paragraphs"), F.md5("body").alias("digest")
     )
@@ -96,7 +97,7 @@ def table_cells(t):
     ).join(counts, "l_orderkey").join(first, "l_orderkey")
     top = F.format_string('<td rowspan="%s">all of %s</td>', text("n"), text("n"))
     html = F.concat(F.lit("<table><tr>"), top, F.array_join("rows", "</tr>\n<tr>"), F.lit("</tr></table>"))
-    found = pages.table_cells(rows.select(F.col("l_orderkey").alias("page_id"), html.alias("html")))
+    found = pages.table_cells(spread(materialize(rows.select(F.col("l_orderkey").alias("page_id"), html.alias("html")))))
     return found.select("page_id", "row_no", "col_no", "text")
 
 

@@ -19,6 +19,7 @@ from refloom.operators.aggregate import ordered_text
 from refloom.operators.dedup import dedup_first
 from refloom.operators.select import filter_in
 from refloom.operators.skew import GROUP_LIMIT
+from refloom.session import materialize
 
 ELEMENTS = "page_id long, seq int, parent int, tag string, attrs map<string,string>, text string, spaced string"
 
@@ -101,6 +102,11 @@ def elements(pages: DataFrame, tags: Sequence[str], skip: Sequence[str] = (), ht
     return pages.select("page_id", F.col(html).alias("html")).mapInPandas(parse, ELEMENTS)
 
 
+def parsed(pages: DataFrame, tags: Sequence[str], skip: Sequence[str] = ()) -> DataFrame:
+    """Elements written once, for jobs that look at them several times: parsing is the costly step."""
+    return materialize(elements(pages, tags, skip), "elements")
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """(page_id, pos, url, href, text, absolute_url) of all links with a target."""
     links = elements(pages, ["a"]).filter(F.coalesce(F.col("attrs")["href"], F.lit("")) != "")
@@ -155,13 +161,14 @@ def table_cells(pages: DataFrame, html: str = "html") -> DataFrame:
                 parser = _Elements(wanted, SILENT)
                 parser.feed(markup or "")
                 parser.close()
-                tables, rows, cells = {}, {}, {}
+                tables, rows, cells, heights = {}, {}, {}, {}
                 for seq, (parent, tag, attrs, bits) in enumerate(parser.found):
                     if tag == "table":
                         tables[seq] = len(tables)
-                        cells[seq] = []
+                        cells[seq], heights[seq] = [], 0
                     elif tag == "tr" and parent in tables:
-                        rows[seq] = (parent, sum(t == parent for t, _ in rows.values()))
+                        rows[seq] = (parent, heights[parent])
+                        heights[parent] += 1
                     elif tag in ("td", "th") and parent in rows:
                         table, row = rows[parent]
                         text = " ".join(b for b in (x.strip() for x in bits) if b)
@@ -278,9 +285,11 @@ def key_value_rows(cells: DataFrame) -> DataFrame:
     )
 
 
-def definition_lists(pages: DataFrame) -> DataFrame:
-    """Terms and definitions of ``dl`` lists, paired in order: (page_id, section, pos, term, definition)."""
-    found = elements(pages, ["section", "dl", "dt", "dd"])
+def definition_lists(found: DataFrame) -> DataFrame:
+    """Terms and definitions of ``dl`` lists, paired in order: (page_id, section, pos, term, definition).
+
+    ``found``: elements with at least section, dl, dt and dd.
+    """
     sections = found.filter("tag = 'section'").select(
         "page_id", F.col("seq").alias("_sec"), F.col("attrs")["id"].alias("section")
     )
@@ -329,7 +338,7 @@ RUBRIC_KINDS = {
 
 def rubrics(pages: DataFrame) -> DataFrame:
     """Inclusion, exclusion and note texts per page: (page_id, kind, pos, text)."""
-    found = elements(pages, ["dl", "dd"])
+    found = parsed(pages, ["dl", "dd"])
     kind = None
     for word, name in RUBRIC_KINDS.items():
         hit = F.contains(F.coalesce(F.col("attrs")["class"], F.lit("")), F.lit(word))
@@ -341,7 +350,7 @@ def rubrics(pages: DataFrame) -> DataFrame:
 
 def rubric_lists(pages: DataFrame) -> DataFrame:
     """One row per page and kind with its texts joined by ``;``."""
-    return ordered_text(rubrics(pages), ["page_id", "kind"], F.col("text"), ";", [F.col("pos")], "texts")
+    return ordered_text(materialize(rubrics(pages), "rubrics"), ["page_id", "kind"], F.col("text"), ";", [F.col("pos")], "texts")
 
 
 def article_text(pages: DataFrame, skip: Sequence[str] = ("xref",), limit: int = GROUP_LIMIT) -> DataFrame:
@@ -357,5 +366,5 @@ def article_text(pages: DataFrame, skip: Sequence[str] = ("xref",), limit: int =
     lines = elements(whole, ["doc"], ["ref-list", "back"])
     lines = lines.select("page_id", F.posexplode(F.split("text", r"\n")).alias("seq", "text"))
     lines = lines.select("page_id", "seq", F.trim("text").alias("text"))
-    texts = parts.unionByName(lines).filter("text <> ''")
+    texts = materialize(parts.unionByName(lines).filter("text <> ''"), "paragraphs")
     return ordered_text(texts, ["page_id"], F.col("text"), "\n\n", [F.col("seq")], "body", limit)

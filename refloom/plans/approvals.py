@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from refloom.functions.codes import month_year
 from refloom.functions.urls import resolve_url
 from refloom.operators import pages
+from refloom.session import materialize
 
 # Words in a header cell and the column they stand for; the first that fits counts.
 HEADER_WORDS = {
@@ -36,9 +37,9 @@ def approvals(list_pages: DataFrame) -> DataFrame:
     left out. Superscript remarks tell partial changes from first approvals and are cut from the name.
     """
     # The text of a cell without its superscripts, the superscripts, and the links in it.
-    parts = pages.elements(list_pages, ["table", "tr", "th", "td"], ["sup"])
-    whole = pages.elements(list_pages, ["table", "tr", "th", "td", "sup", "a"])
-    cells = _numbered(parts)
+    parts = pages.parsed(list_pages, ["table", "tr", "th", "td"], ["sup"])
+    whole = pages.parsed(list_pages, ["table", "tr", "th", "td", "sup", "a"])
+    cells = materialize(_numbered(parts), "cells")
     sups = _numbered(whole, "sup").groupBy("page_id", "table_no", "row_no", "col_no").agg(F.min_by("inner_text", "inner_seq").alias("sup"))
     links = _numbered(whole, "a").filter(F.lower("href").endswith(".pdf"))
     links = links.join(list_pages.select("page_id", "url"), "page_id").withColumn("link", resolve_url("url", "href"))

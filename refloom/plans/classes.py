@@ -13,6 +13,7 @@ from refloom.operators.aggregate import build_tree, longest_wins, ordered_text
 from refloom.operators.dedup import dedup_last
 from refloom.operators.joins import leaf_flag
 from refloom.operators.setops import union_levels
+from refloom.session import materialize
 from refloom.sources.delimited import fields, split_line
 
 # Drug classes.
@@ -133,14 +134,14 @@ IDS = {"loinc-id": "loinc_num", "lcn": "long_common_name", "loinc-status": "stat
 
 def observations(code_pages: DataFrame) -> DataFrame:
     """Observation code pages: names, axes, attributes, related names and units."""
-    spans = pages.elements(code_pages, ["span"]).withColumn("id", F.col("attrs")["id"])
+    found = pages.parsed(code_pages, ["section", "span", "dl", "dt", "dd", "li", "tr", "td", "p"])
+    spans = found.filter("tag = 'span'").withColumn("id", F.col("attrs")["id"])
     head = spans.groupBy("page_id").agg(*[
         F.min_by(F.trim("text"), F.when(F.col("id") == i, F.col("seq"))).alias(name) for i, name in IDS.items()
     ])
-    pairs = pages.definition_lists(code_pages)
+    pairs = materialize(pages.definition_lists(found), "pairs")
     names = pages.labelled_columns(pairs.filter("section = 'additional-names'"), ["page_id"], NAME_RULES, "term", "definition", "pos")
     basic = pages.labelled_columns(pairs.filter("section = 'basic'"), ["page_id"], BASIC_RULES, "term", "definition", "pos")
-    found = pages.elements(code_pages, ["section", "li", "tr", "td", "p"])
     sections = found.filter("tag = 'section'").select("page_id", F.col("seq").alias("parent"), F.col("attrs")["id"].alias("section"))
     inside = found.join(sections, ["page_id", "parent"])
     related = inside.filter("tag = 'li' and section = 'related-names' and trim(text) <> ''")

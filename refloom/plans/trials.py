@@ -16,6 +16,7 @@ from refloom.operators.select import LIST_SENTINELS
 from refloom.schemas import (
     REGISTRY_TRIAL_COLUMNS, TRIAL_CONTACT_FIELDS, TRIAL_CRITERIA_FIELDS, TRIAL_ETHICS_FIELDS, TRIAL_MAIN_FIELDS,
 )
+from refloom.session import materialize
 
 
 def _struct(fields: list[str]) -> str:
@@ -83,7 +84,8 @@ def grid_records(trial_pages: DataFrame) -> DataFrame:
 
     Plain labels that come again with another value get a number; of section labels the last counts.
     """
-    fields = pages.grid_fields(pages.table_cells(trial_pages))
+    cells = materialize(pages.table_cells(trial_pages), "cells")
+    fields = materialize(pages.grid_fields(cells), "fields")
     place = ["table_no", "row_no"]
     plain = suffix_duplicates(fields.filter("plain"), ["page_id"], "label", "value", place)
     fixed = dedup_last(fields.filter("not plain"), ["page_id", "label"], place)
@@ -125,7 +127,7 @@ def page_rows(trial_pages: DataFrame) -> DataFrame:
     Pages whose content is ``INVALID`` give none.
     """
     valid = trial_pages.filter(F.trim(F.coalesce("html", F.lit(""))).isin("", "INVALID") == F.lit(False))
-    found = pages.elements(valid, ["table", "tr", "td"])
+    found = pages.parsed(valid, ["table", "tr", "td"])
     tables = found.filter("tag = 'table'").select(
         "page_id", "seq", "parent", (F.row_number().over(Window.partitionBy("page_id").orderBy("seq")) - 1).alias("table_no")
     )
@@ -151,8 +153,8 @@ def page_records(trial_pages: DataFrame) -> DataFrame:
 
     Contact-like tables give an object, tables with a header a list of objects, lists a list of texts.
     """
-    rows = page_rows(trial_pages)
-    cells = pages.table_cells(trial_pages)
+    rows = materialize(page_rows(trial_pages), "rows")
+    cells = materialize(pages.table_cells(trial_pages), "cells")
     at = ["page_id", "table_no"]
     nested = rows.filter("table_no is not null").select(*at, "label")
     listed = F.col("label").isin(*LIST_LABELS)
@@ -163,7 +165,8 @@ def page_records(trial_pages: DataFrame) -> DataFrame:
     objects = ordered_list(pairs, at, F.struct(F.col("label").alias("key"), "value"), ["row_no"], "kv")
     objects = objects.select(*at, "part", F.to_json(F.map_from_entries("kv")).alias("value"))
     records = pages.table_records(cells.join(nested.filter(headed).select(*at), at, "left_semi"))
-    records = ordered_list(records, at, F.col("fields"), ["row_no"], "f").select(*at, "part", F.to_json("f").alias("value"))
+    records = ordered_list(records, at, F.to_json("fields"), ["row_no"], "f")
+    records = records.select(*at, "part", F.concat(F.lit("["), F.array_join("f", ","), F.lit("]")).alias("value"))
     items = pages.simple_list(cells.join(nested.filter(listed).select(*at), at, "left_semi"), LIST_SENTINELS)
     items = ordered_list(items, at, F.col("text"), ["row_no", "col_no"], "l").select(*at, "part", F.to_json("l").alias("value"))
 
@@ -234,7 +237,7 @@ def flatten_record(record: Column) -> list[Column]:
 
 def flat_pages(trial_pages: DataFrame) -> DataFrame:
     """Trial pages to flat rows."""
-    found = dedup_last(page_records(trial_pages), ["page_id", "label", "part"], ["value"])
+    found = dedup_last(materialize(page_records(trial_pages), "records"), ["page_id", "label", "part"], ["value"])
     number = F.when(F.col("_p") > 0, F.concat(F.lit(" #"), F.col("_p").cast("string"))).otherwise("")
     entry = F.struct(F.concat("label", number).alias("key"), "value")
     maps = ordered_list(found.withColumnRenamed("part", "_p"), ["page_id"], entry, ["label", "_p"], "kv")

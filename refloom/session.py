@@ -65,6 +65,15 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table just read over all cores when it arrives in fewer partitions (a small or unsplittable file).
+
+    A large table has more input partitions than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 class Tables:
     """Lazy access to the parquet tables of one folder: ``Tables(spark, dir).orders``."""
 
