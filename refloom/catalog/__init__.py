@@ -18,7 +18,7 @@ class Query:
 
 
 REGISTRY: dict[str, Query] = {}
-MODULES = ("sources", "columns", "relations", "groups", "nesting", "webpages", "increments")
+MODULES = ("sources", "columns", "relations", "groups", "nesting", "webpages", "increments", "datasets")
 
 
 def query(name: str, sql: str | None = None):
