@@ -8,6 +8,7 @@ from refloom.catalog import query
 from refloom.functions import arrays, codes, text, urls
 from refloom.operators import select
 from refloom.operators.aggregate import ordered_list
+from refloom.session import spread
 
 LINE_ORDER = [
     "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -151,7 +152,7 @@ def filter_year(t):
 def quality_gate(t):
     head = F.when(F.col("lang") == "de", F.lit("<html>")).otherwise("%PDF-1.7")
     body = F.when((F.col("lang") == "es") & (F.col("n_chars") < 500), F.lit(" \n")).otherwise(F.col("text"))
-    return t.documents.select("doc_id", select.quality_status(head, body).alias("status"))
+    return spread(t.documents).select("doc_id", select.quality_status(head, body).alias("status"))
 
 
 @query(
@@ -183,7 +184,7 @@ def filter_files(t):
 )
 def clean_text(t):
     noisy = F.concat(F.lit("  "), F.replace("text", F.lit(" "), F.lit(" \r\n\t ")), F.lit("\n"))
-    return t.documents.select("doc_id", F.md5(text.clean_text(noisy)).alias("digest"))
+    return spread(t.documents).select("doc_id", F.md5(text.clean_text(noisy)).alias("digest"))
 
 
 @query(
@@ -285,7 +286,7 @@ def iso_date(t):
 )
 def month_year(t):
     date = F.col("o_orderdate")
-    return t.orders.select(
+    return spread(t.orders).select(
         "o_orderkey",
         codes.month_year(F.concat(F.date_format(date, "MMMM yyyy"), F.lit(" (Conditional approval)"))).alias("long_name"),
         codes.month_year(F.concat(F.date_format(date, "MMM"), F.lit(". 12, "), F.date_format(date, "yyyy"), F.lit(";"))).alias("short_name"),
@@ -413,7 +414,7 @@ def pack_list(t):
 def synonyms(t):
     """Words of a text as names, the first word as the preferred one."""
     words = F.split(F.regexp_replace("text", r"[\t\n\f\r ]+", " "), " ")
-    rows = t.documents.select("doc_id", words.alias("w"))
+    rows = spread(t.documents).select("doc_id", words.alias("w"))
     rows = rows.select("doc_id", arrays.synonyms("w", F.get("w", F.lit(0))).alias("s"))
     return rows.select("doc_id", F.size("s").cast("long").alias("n"), F.md5(arrays.pack("s", ";")).alias("digest"))
 
@@ -497,7 +498,7 @@ def extract_ids(t):
         .otherwise("not stated")
     )
     number = F.concat(F.lit("CTRI/2020/01/"), F.col("doc_id").cast("string"), F.lit(" [Registered on: 01/01/2020]"))
-    return t.documents.select(
+    return spread(t.documents).select(
         "doc_id", F.array_join(codes.all_matches("text", "[A-Z][a-z]{8,}"), ",").alias("ids"),
         codes.registration_type(note).alias("kind"), F.get(codes.all_matches(number, r"CTRI/\d{4}/\d{2}/\d+"), F.lit(0)).alias("trial"),
     )
@@ -544,7 +545,7 @@ def truncate_text(t):
         .when(F.col("lang") == "de", "procedural-steps").otherwise("overview")
     )
     pages = text.page_budget(kind, F.split("text", r"\."))
-    return t.documents.select("doc_id", F.md5(text.truncate("text", 200)).alias("digest"), F.size(pages).cast("long").alias("pages"))
+    return spread(t.documents).select("doc_id", F.md5(text.truncate("text", 200)).alias("digest"), F.size(pages).cast("long").alias("pages"))
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from refloom.catalog import query
+from refloom.functions.text import fill
 from refloom.operators import aggregate as agg
 from refloom.plans import classes, concepts, descriptors, drug_products, drug_records, labels, patents, trials
 from refloom.schemas import CONCEPT_COLUMNS, DRUG_PRODUCT_FILES
@@ -262,17 +263,17 @@ def label_statistics(t):
 def heading_descriptors(t):
     """XML descriptor records; those of status P lack their name and are skipped."""
     preferred = F.when(F.col("l_returnflag") == "A", "Y").otherwise("N")
-    concept = F.format_string(
+    concept = fill(
         '<Concept PreferredConceptYN="%s"><RegistryNumberList><RegistryNumber>R%s</RegistryNumber></RegistryNumberList><TermList><Term><String>part %s</String></Term></TermList></Concept>',
         preferred, text("l_suppkey"), text("l_partkey"),
     )
-    action = F.format_string(
+    action = fill(
         "<PharmacologicalAction><DescriptorReferredTo><DescriptorUI>D1</DescriptorUI><DescriptorName><String>act %s</String></DescriptorName></DescriptorReferredTo></PharmacologicalAction>",
         text("l_suppkey"),
     )
-    rows = line_lists(t, concepts=concept, actions=action, trees=F.format_string("<TreeNumber>C0%s</TreeNumber>", text("l_linenumber")))
-    name = F.when(F.col("o_orderstatus") != "P", F.format_string("<DescriptorName><String>PART %s</String></DescriptorName>", text("o_custkey"))).otherwise("")
-    record = F.format_string(
+    rows = line_lists(t, concepts=concept, actions=action, trees=fill("<TreeNumber>C0%s</TreeNumber>", text("l_linenumber")))
+    name = F.when(F.col("o_orderstatus") != "P", fill("<DescriptorName><String>PART %s</String></DescriptorName>", text("o_custkey"))).otherwise("")
+    record = fill(
         "<DescriptorRecord><DescriptorUI>D%s</DescriptorUI>%s<ConceptList>%s</ConceptList><TreeNumberList>%s</TreeNumberList><PharmacologicalActionList>%s</PharmacologicalActionList></DescriptorRecord>",
         text("o_orderkey"), name, F.col("concepts"), F.col("trees"), F.col("actions"),
     )
@@ -289,11 +290,11 @@ def heading_descriptors(t):
 )
 def heading_actions(t):
     kind = F.when(F.col("l_linestatus") == "F", "D").otherwise("C")
-    substance = F.format_string(
+    substance = fill(
         "<Substance><RecordUI>%s%s</RecordUI><RecordName><String> part %s</String></RecordName></Substance>", kind, text("l_partkey"), text("l_partkey")
     )
     rows = line_lists(t, substances=substance)
-    record = F.format_string(
+    record = fill(
         "<PharmacologicalAction><DescriptorReferredTo><DescriptorUI>D%s</DescriptorUI><DescriptorName><String>action %s</String></DescriptorName></DescriptorReferredTo><PharmacologicalActionSubstanceList>%s</PharmacologicalActionSubstanceList></PharmacologicalAction>",
         text("o_orderkey"), text("o_orderkey"), F.col("substances"),
     )
@@ -310,12 +311,12 @@ def heading_actions(t):
     """,
 )
 def heading_supplements(t):
-    mapped = F.format_string(
+    mapped = fill(
         "<HeadingMappedTo><DescriptorReferredTo><DescriptorUI>D%s</DescriptorUI><DescriptorName><String>part %s</String></DescriptorName></DescriptorReferredTo></HeadingMappedTo>",
         text("l_partkey"), text("l_partkey"),
     )
     rows = line_lists(t, mapped=mapped)
-    record = F.format_string(
+    record = fill(
         '<SupplementalRecord><SupplementalRecordUI>C%s</SupplementalRecordUI><SupplementalRecordName><String>%s</String></SupplementalRecordName><HeadingMappedToList>%s</HeadingMappedToList><ConceptList><Concept PreferredConceptYN="Y"><RegistryNumberList><RegistryNumber>R%s</RegistryNumber></RegistryNumberList><TermList><Term><String>%s</String></Term><Term><String>other</String></Term></TermList></Concept></ConceptList></SupplementalRecord>',
         text("o_orderkey"), F.col("o_orderpriority"), F.col("mapped"), text("o_custkey"), F.lower("o_orderpriority"),
     )
@@ -331,8 +332,8 @@ def heading_supplements(t):
     """,
 )
 def heading_qualifiers(t):
-    short = F.when(F.col("c_nationkey") >= 10, F.format_string("<Abbreviation>%s</Abbreviation>", F.col("c_mktsegment"))).otherwise("")
-    record = F.format_string(
+    short = F.when(F.col("c_nationkey") >= 10, fill("<Abbreviation>%s</Abbreviation>", F.col("c_mktsegment"))).otherwise("")
+    record = fill(
         '<QualifierRecord><QualifierUI>Q%s</QualifierUI><QualifierName><String>%s</String></QualifierName><ConceptList><Concept PreferredConceptYN="Y"><ScopeNote>\n note %s </ScopeNote><TermList><Term>%s<String>x</String></Term></TermList></Concept></ConceptList><TreeNumberList><TreeNumber>E%s</TreeNumber><TreeNumber>Y1</TreeNumber></TreeNumberList></QualifierRecord>',
         text("c_custkey"), F.col("c_name"), text("c_nationkey"), short, text("c_nationkey"),
     )
@@ -344,14 +345,14 @@ def heading_qualifiers(t):
 
 
 def _drug_xml(t):
-    target = F.format_string(
+    target = fill(
         '<target><id>T%s</id><name>part %s</name><actions><action>%s</action><action>%s</action></actions><polypeptide><gene-name>G%s</gene-name><external-identifiers><external-identifier><resource>Other</resource><identifier>x</identifier></external-identifier><external-identifier><resource>UniProtKB</resource><identifier>U%s</identifier></external-identifier></external-identifiers></polypeptide></target>',
         text("l_partkey"), text("l_partkey"), F.col("l_returnflag"), F.col("l_linestatus"), text("l_suppkey"), text("l_suppkey"),
     )
-    synonym = F.format_string('<synonym language="en" coder="%s">s%s</synonym>', F.col("l_returnflag"), text("l_partkey"))
+    synonym = fill('<synonym language="en" coder="%s">s%s</synonym>', F.col("l_returnflag"), text("l_partkey"))
     rows = line_lists(t, targets=target, synonyms=synonym)
-    known = F.when(F.col("o_orderstatus") == "F", F.format_string("<calculated-properties><property><kind>SMILES</kind><value>C%s</value></property></calculated-properties>", text("o_custkey"))).otherwise("")
-    record = F.format_string(
+    known = F.when(F.col("o_orderstatus") == "F", fill("<calculated-properties><property><kind>SMILES</kind><value>C%s</value></property></calculated-properties>", text("o_custkey"))).otherwise("")
+    record = fill(
         '<drug type="biotech"><drugbank-id>old</drugbank-id><drugbank-id primary="true">DB%s</drugbank-id><name>%s</name><description> about </description>%s<experimental-properties><property><kind>SMILES</kind><value>E%s</value></property><property><kind>Molecular Formula</kind><value>H2O</value></property></experimental-properties><synonyms>%s</synonyms><pathways><pathway><drugs><drug><drugbank-id>DB0</drugbank-id><name>inner</name></drug></drugs></pathway></pathways><targets>%s</targets></drug>',
         text("o_orderkey"), F.col("o_orderpriority"), known, text("o_custkey"), F.col("synonyms"), F.col("targets"),
     )
@@ -403,10 +404,10 @@ def drug_targets(t):
 def national_trials(t):
     kind = F.when(F.col("l_returnflag") == "A", "Scientific Contact").when(F.col("l_returnflag") == "R", "PUBLIC").otherwise("other")
     rows = line_lists(
-        t, contacts=F.format_string("<contact><type>%s</type><lastname>L%s</lastname></contact>", kind, text("l_partkey")),
-        words=F.format_string("<hc_keyword> kw%s </hc_keyword>", text("l_suppkey")),
+        t, contacts=fill("<contact><type>%s</type><lastname>L%s</lastname></contact>", kind, text("l_partkey")),
+        words=fill("<hc_keyword> kw%s </hc_keyword>", text("l_suppkey")),
     )
-    record = F.format_string(
+    record = fill(
         "﻿<trial><main><trial_id> ChiCTR%s </trial_id><public_title>%s</public_title></main><contacts>%s</contacts><countries><country2>China</country2><country2>%s</country2></countries><criteria><agemin>%s</agemin></criteria><health_condition_keyword>%s</health_condition_keyword><ethics_reviews><ethics_review><status>Approved</status></ethics_review><ethics_review><status>Second</status></ethics_review></ethics_reviews></trial>",
         text("o_orderkey"), F.col("o_orderpriority"), F.col("contacts"), F.col("o_orderstatus"), text("o_custkey"), F.col("words"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from refloom.catalog import query
+from refloom.catalog import REGISTRY, query
 from refloom.functions.arrays import distinct_ordered, rebuild_text
 from refloom.functions.arrays import first_of_first as first_institution
 from refloom.functions.text import exclusivity_detail, patent_detail
@@ -12,6 +12,7 @@ from refloom.operators import aggregate as agg
 from refloom.operators import dedup, joins
 from refloom.operators.records import lines_to_fields
 from refloom.operators.skew import number_rows
+from refloom.session import spread
 
 # All columns of a line item: (l_orderkey, l_linenumber) is not unique.
 LINE_ORDER = [
@@ -344,7 +345,7 @@ def upsert_latest(t):
 )
 def array_distinct(t):
     words = distinct_ordered(F.split("text", " "))
-    rows = t.documents.select("doc_id", words.alias("words"))
+    rows = spread(t.documents).select("doc_id", words.alias("words"))
     return rows.select("doc_id", F.size("words").cast("long").alias("n_words"), F.md5(F.array_join("words", " ")).alias("digest"))
 
 
@@ -414,7 +415,7 @@ def first_of_first(t):
 @query("rebuild_text", "SELECT doc_id, md5(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS digest FROM documents")
 def rebuild(t):
     """Texts inverted to word positions, then put together again."""
-    words = t.documents.select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
+    words = spread(t.documents).select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
     entries = words.groupBy("doc_id", "word").agg(F.collect_list("pos").alias("positions"))
     index = entries.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "positions"))).alias("index"))
     return index.select("doc_id", F.md5(rebuild_text("index")).alias("digest"))
@@ -472,3 +473,9 @@ def _trial_lines(t):
 )
 def lines_to_records(t):
     return lines_to_fields(_trial_lines(t))
+
+
+@query("lines_to_records_blocks", REGISTRY["lines_to_records"].sql)
+def lines_to_records_blocks(t):
+    """The same with every file taken for a large one: state is carried from block to block."""
+    return lines_to_fields(_trial_lines(t), line_limit=0)

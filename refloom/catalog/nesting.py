@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from refloom.catalog import query
+from refloom.functions.text import fill
 from refloom.operators import aggregate as agg
 from refloom.operators.nested import dimension, explode_children, explode_json, explode_self
 from refloom.plans import adverse_events, applications, articles, medicines, substances, works
@@ -40,20 +41,20 @@ def parse(df, doc, schema, *keep):
 
 
 def _reports(t):
-    brand = F.when(F.col("l_returnflag") == "A", F.format_string('["B%s"," ","C%s"]', text("l_partkey"), text("l_suppkey"))).otherwise(
-        F.format_string('"B%s"', text("l_partkey"))
+    brand = F.when(F.col("l_returnflag") == "A", fill('["B%s"," ","C%s"]', text("l_partkey"), text("l_suppkey"))).otherwise(
+        fill('"B%s"', text("l_partkey"))
     )
-    drug = F.format_string(
+    drug = fill(
         '{"drugcharacterization":"%s","medicinalproduct":" part %s ","openfda":{"brand_name":%s}}',
         F.col("l_returnflag"), text("l_partkey"), brand,
     )
-    reaction = F.format_string('{"reactionmeddrapt":"%s"}', F.when(F.col("l_linestatus") == "F", F.lit(" ")).otherwise(F.concat(F.lit("pain "), text("l_linenumber"))))
+    reaction = fill('{"reactionmeddrapt":"%s"}', F.when(F.col("l_linestatus") == "F", F.lit(" ")).otherwise(F.concat(F.lit("pain "), text("l_linenumber"))))
     rows = json_lists(t, drugs=drug, reactions=reaction)
-    patient = F.when(F.col("drugs") == "[]", F.lit("null")).otherwise(F.format_string(
+    patient = F.when(F.col("drugs") == "[]", F.lit("null")).otherwise(fill(
         '{"patientsex":"%s","patientdeath":%s,"drug":%s,"reaction":%s}', F.col("o_orderpriority"),
         F.when(F.col("o_orderstatus") == "F", F.lit('{"patientdeathdate":"20200101"}')).otherwise("null"), F.col("drugs"), F.col("reactions"),
     ))
-    doc = F.format_string(
+    doc = fill(
         '{"safetyreportid":"%s","serious":%s,"receivedate":"%s","companynumb":"CO-%s","patient":%s}',
         text("o_orderkey"), F.when(F.col("o_orderstatus") == "P", F.lit("null")).otherwise(F.lit('"1"')),
         F.date_format("o_orderdate", "yyyyMMdd"), text("o_custkey"), patient,
@@ -136,18 +137,18 @@ def report_versions(t):
 
 
 def _applications(t):
-    product = F.format_string(
+    product = fill(
         '{"product_number":"%s","brand_name":"Brand %s","active_ingredients":[{"name":"part %s"%s},{"name":"water"}]}',
         text("l_linenumber"), text("l_suppkey"), text("l_partkey"),
-        F.when(F.col("l_returnflag") == "N", F.lit("")).otherwise(F.format_string(',"strength":"%s mg"', F.col("l_quantity").cast("long").cast("string"))),
+        F.when(F.col("l_returnflag") == "N", F.lit("")).otherwise(fill(',"strength":"%s mg"', F.col("l_quantity").cast("long").cast("string"))),
     )
-    submission = F.format_string(
+    submission = fill(
         '{"submission_type":"%s","submission_number":"%s","submission_status":"AP","submission_status_date":"%s","application_docs":[{"type":"Label","url":"%s","date":"2020"}]}',
         F.col("l_linestatus"), text("l_linenumber"), F.date_format("l_shipdate", "yyyyMMdd"),
         F.when(F.col("l_returnflag") == "R", F.concat(F.lit("http://h/"), text("l_suppkey"))).otherwise(""),
     )
     rows = json_lists(t, products=product, submissions=submission)
-    doc = F.format_string(
+    doc = fill(
         '{"application_number":"NDA%s","sponsor_name":"%s","openfda":{"generic_name":["%s"," x "]},"products":%s,"submissions":%s}',
         text("o_orderkey"), F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("products"), F.col("submissions"),
     )
@@ -201,13 +202,13 @@ def children_rows(t):
 
 
 def _works(t):
-    author = F.format_string(
+    author = fill(
         '{"author_position":"a%s","author":{"id":%s,"display_name":"Author %s"},"institutions":[{"id":"I%s","display_name":"Inst %s","country_code":"%s"}]}',
-        text("l_linenumber"), F.when(F.col("l_returnflag") == "N", F.lit("null")).otherwise(F.format_string('"A%s"', text("l_partkey"))),
+        text("l_linenumber"), F.when(F.col("l_returnflag") == "N", F.lit("null")).otherwise(fill('"A%s"', text("l_partkey"))),
         text("l_partkey"), text("l_suppkey"), text("l_suppkey"), F.col("l_linestatus"),
     )
     rows = json_lists(t, authorships=author)
-    doc = F.format_string(
+    doc = fill(
         '{"id":"%s","title":"Order %s","publication_year":%s,"primary_location":{"source":{"id":"S%s","display_name":"J %s","issn":["1-%s"]}},"open_access":{"is_oa":%s},"authorships":%s,"funders":[{"display_name":"%s"},{"display_name":"%s"}],"abstract_inverted_index":{"status":[0,3],"is":[1],"%s":[2]}}',
         F.lpad(text("o_orderkey"), 9, "0"), text("o_orderkey"), F.date_format("o_orderdate", "yyyy"), F.date_format("o_orderdate", "yyyyMM"),
         F.date_format("o_orderdate", "yyyyMM"), F.date_format("o_orderdate", "MM"), (F.col("o_orderstatus") == "F").cast("string"), F.col("authorships"),
@@ -274,20 +275,20 @@ def dimension_first(t):
 
 
 def _articles(t):
-    author = F.format_string(
+    author = fill(
         '{"fullName":%s,"lastName":"L%s","authorId":{"type":"%s","value":"0-%s"},"authorAffiliationDetailsList":{"authorAffiliation":[{"affiliation":" Inst %s "}]}}',
-        F.when(F.col("l_linestatus") == "F", F.lit("null")).otherwise(F.format_string('"Full %s"', text("l_partkey"))), text("l_partkey"),
+        F.when(F.col("l_linestatus") == "F", F.lit("null")).otherwise(fill('"Full %s"', text("l_partkey"))), text("l_partkey"),
         F.when(F.col("l_returnflag") == "A", F.lit("ORCID")).otherwise("OTHER"), text("l_partkey"), text("l_suppkey"),
     )
-    grant = F.format_string('{"agency":"Ag %s","grantId":"%s"}', F.col("l_returnflag"), text("l_linenumber"))
-    chemical = F.format_string('{"name":"part %s","registryNumber":"%s"}', text("l_partkey"), F.when(F.col("l_returnflag") == "R", text("l_suppkey")).otherwise("0"))
+    grant = fill('{"agency":"Ag %s","grantId":"%s"}', F.col("l_returnflag"), text("l_linenumber"))
+    chemical = fill('{"name":"part %s","registryNumber":"%s"}', text("l_partkey"), F.when(F.col("l_returnflag") == "R", text("l_suppkey")).otherwise("0"))
     rows = json_lists(t, authors=author, grants=grant, chemicals=chemical)
     kinds = F.when(F.col("o_orderstatus") == "F", F.lit('"review"')).when(F.col("o_orderstatus") == "O", F.lit('["review","trial"]')).otherwise(
         F.lit('[{"pubType":"review"},{"pubType":"case"}]')
     )
-    doc = F.format_string(
+    doc = fill(
         '{"id":"%s","pmcid":%s,"isOpenAccess":"%s","authorString":"Many","authorList":{"author":%s},"grantsList":{"grant":%s},"chemicalList":{"chemical":%s},"journalTitle":"J","pubTypeList":{"pubType":%s},"fullTextUrlList":{"fullTextUrl":[{"url":"http://h/%s","site":"S"},{"site":"none"}]}}',
-        text("o_orderkey"), F.when(F.col("o_orderstatus") == "P", F.lit("null")).otherwise(F.format_string('"PMC%s"', text("o_orderkey"))),
+        text("o_orderkey"), F.when(F.col("o_orderstatus") == "P", F.lit("null")).otherwise(fill('"PMC%s"', text("o_orderkey"))),
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Y")).otherwise("N"), F.col("authors"), F.col("grants"), F.col("chemicals"), kinds, text("o_orderkey"),
     )
     return parse(rows, doc, ARTICLE)
@@ -342,9 +343,9 @@ def extraction_queue(t):
 )
 def substance_rows(t):
     """Line numbers as names, suppliers as registry codes; the preferred name differs only in case from one of them."""
-    code = F.format_string('{"codeSystem":"%s","code":" S%s"}', F.when(F.col("l_returnflag") == "A", "CAS").otherwise("X"), text("l_suppkey"))
-    rows = json_lists(t, codes=code, names=F.format_string('{"name":"L%s"}', text("l_linenumber")))
-    doc = F.format_string(
+    code = fill('{"codeSystem":"%s","code":" S%s"}', F.when(F.col("l_returnflag") == "A", "CAS").otherwise("X"), text("l_suppkey"))
+    rows = json_lists(t, codes=code, names=fill('{"name":"L%s"}', text("l_linenumber")))
+    doc = fill(
         '{"uuid":"%s","_name":" l3 "%s,"codes":%s,"names":%s}', text("o_orderkey"),
         F.when(F.col("o_orderstatus") == "F", F.lit(',"deprecated":true')).otherwise(""), F.col("codes"), F.col("names"),
     )
@@ -362,14 +363,14 @@ def substance_rows(t):
 )
 def compound_rows(t):
     """Molecules with synonyms and targets with accessions out of the same lines."""
-    syn = F.format_string('{"molecule_synonym":"P%s"}', text("l_partkey"))
-    acc = F.format_string('{"accession":"P%s"}', text("l_partkey"))
+    syn = fill('{"molecule_synonym":"P%s"}', text("l_partkey"))
+    acc = fill('{"accession":"P%s"}', text("l_partkey"))
     rows = json_lists(t, syn=syn, acc=acc)
     properties = F.when(F.col("o_orderstatus") == "P", F.lit("null")).otherwise(F.lit('{"mw_freebase":"12.5"}'))
-    molecule = F.format_string(
+    molecule = fill(
         '{"chembl_id":"M%s","molecule_properties":%s,"molecule_synonyms":%s}', text("o_orderkey"), properties, F.col("syn")
     )
-    target = F.format_string('{"target_chembl_id":"T%s","organism":"Homo sapiens","target_components":%s}', text("o_orderkey"), F.col("acc"))
+    target = fill('{"target_chembl_id":"T%s","organism":"Homo sapiens","target_components":%s}', text("o_orderkey"), F.col("acc"))
     left = substances.molecules(parse(rows, molecule, MOLECULE)).select(
         F.col("chembl_id").alias("id"), F.lit("molecule").alias("side"), F.col("mw_freebase").alias("detail"), F.col("synonyms").alias("names")
     )
@@ -448,7 +449,7 @@ def dossier_trials(t):
 
 def _extractions(t):
     month = F.month("o_orderdate")
-    trials = F.format_string(
+    trials = fill(
         '[{"nct_id":"NCT%s","brief_title":"T%s","phase":"%s"}]', F.year("o_orderdate").cast("string"), month.cast("string"), F.col("o_orderstatus")
     )
     rows = t.orders.select(

@@ -9,9 +9,10 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from refloom.catalog import query
+from refloom.functions.text import fill
 from refloom.functions.arrays import lookup
 from refloom.schemas import DRUG_PRODUCT_FILES
-from refloom.session import scratch_path
+from refloom.session import scratch_path, spread
 from refloom.sources import delimited, documents, sinks
 
 
@@ -35,10 +36,10 @@ def read_positional(t):
     """Header-less files in one folder per status: short rows for F, exact rows for O, long rows for P."""
     folders = {}
     for code, status, suffix in (("F", "cancelled", "_ia"), ("O", "marketed", ""), ("P", "approved", "_ap")):
-        quoted = F.format_string(
+        quoted = fill(
             '"%s","%s, listed"', F.col("o_orderkey").cast("string"), F.col("o_orderpriority")
         )
-        french = F.format_string(',"cl %s"', F.col("o_custkey").cast("string"))
+        french = fill(',"cl %s"', F.col("o_custkey").cast("string"))
         line = {"F": quoted, "O": F.concat(quoted, french), "P": F.concat(quoted, french, F.lit(',"x","y"'))}[code]
         folders[status] = scratch_path(t.spark, status)
         rows = t.orders.filter(F.col("o_orderstatus") == code).select(line.alias("value"))
@@ -76,7 +77,7 @@ def scan_split(t):
     """,
 )
 def fold_columns(t):
-    rows = t.documents.select("doc_id", F.split("text", " ").alias("w"))
+    rows = spread(t.documents).select("doc_id", F.split("text", " ").alias("w"))
     rows = rows.select("doc_id", delimited.fold_fields("w", 9).alias("p"))
     cells = delimited.fields("p", [f"c{i}" for i in range(9)])
     flat = rows.select("doc_id", *cells)
@@ -241,7 +242,7 @@ def _zip_texts(batches):
 )
 def zip_members(t):
     """Each document packed into an archive next to a read-me, then read line by line."""
-    files = t.documents.select("doc_id", "text").mapInPandas(_zip_texts, "path string, content binary")
+    files = spread(t.documents.select("doc_id", "text")).mapInPandas(_zip_texts, "path string, content binary")
     lines = documents.zip_members(files, ".txt")
     return lines.select(F.col("archive").cast("long").alias("doc_id"), "pos", F.md5("line").alias("digest"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from refloom.catalog import query
+from refloom.functions.text import fill
 from refloom.operators import aggregate as agg
 from refloom.operators import pages
 from refloom.plans import approvals, classes, concepts, trials
@@ -70,9 +71,9 @@ def article_text(t):
 def document_links(t):
     """Order pages with document links in two languages and other links; English ones, each once."""
     link = (
-        F.when(F.col("l_returnflag") == "A", F.format_string('<a href="/en/documents/leaflet/p%s.pdf">Leaflet</a>', text("l_partkey")))
-        .when(F.col("l_returnflag") == "R", F.format_string('<a href="/fr/documents/leaflet/p%s.pdf">Notice</a>', text("l_partkey")))
-        .otherwise(F.format_string('<a href="/en/p%s.html">Page</a>', text("l_partkey")))
+        F.when(F.col("l_returnflag") == "A", fill('<a href="/en/documents/leaflet/p%s.pdf">Leaflet</a>', text("l_partkey")))
+        .when(F.col("l_returnflag") == "R", fill('<a href="/fr/documents/leaflet/p%s.pdf">Notice</a>', text("l_partkey")))
+        .otherwise(fill('<a href="/en/p%s.html">Page</a>', text("l_partkey")))
     )
     return pages.document_links(order_pages(t, link), "EN").select("absolute_url", "lang", "kind")
 
@@ -92,10 +93,10 @@ def table_cells(t):
     first = t.lineitem.groupBy("l_orderkey").agg(F.min(F.struct(*LINE_ORDER)).alias("first"))
     rows = agg.ordered_list(
         t.lineitem, ["l_orderkey"],
-        F.format_string('<td colspan="2"> part %s </td><td><b>%s</b> &amp; %s</td>', text("l_partkey"), F.col("l_returnflag"), F.col("l_linestatus")),
+        fill('<td colspan="2"> part %s </td><td><b>%s</b> &amp; %s</td>', text("l_partkey"), F.col("l_returnflag"), F.col("l_linestatus")),
         LINE_ORDER, "rows",
     ).join(counts, "l_orderkey").join(first, "l_orderkey")
-    top = F.format_string('<td rowspan="%s">all of %s</td>', text("n"), text("n"))
+    top = fill('<td rowspan="%s">all of %s</td>', text("n"), text("n"))
     html = F.concat(F.lit("<table><tr>"), top, F.array_join("rows", "</tr>\n<tr>"), F.lit("</tr></table>"))
     found = pages.table_cells(spread(materialize(rows.select(F.col("l_orderkey").alias("page_id"), html.alias("html")))))
     return found.select("page_id", "row_no", "col_no", "text")
@@ -103,15 +104,15 @@ def table_cells(t):
 
 def _grid_pages(t):
     row = F.concat(
-        F.format_string("<tr><td>Status %s</td><td>%s</td></tr>", F.col("l_linestatus"), F.col("l_returnflag")),
-        F.format_string("<tr><td>Part</td><td>Part</td><td>%s</td></tr>", text("l_partkey")),
-        F.format_string("<tr><td>Supplier</td><td>Key</td><td>%s</td></tr>", text("l_linenumber")),
-        F.format_string("<tr><td>A</td><td>B</td><td>C%s</td><td>x</td><td>%s</td></tr>", text("l_linenumber"), F.col("l_returnflag")),
+        fill("<tr><td>Status %s</td><td>%s</td></tr>", F.col("l_linestatus"), F.col("l_returnflag")),
+        fill("<tr><td>Part</td><td>Part</td><td>%s</td></tr>", text("l_partkey")),
+        fill("<tr><td>Supplier</td><td>Key</td><td>%s</td></tr>", text("l_linenumber")),
+        fill("<tr><td>A</td><td>B</td><td>C%s</td><td>x</td><td>%s</td></tr>", text("l_linenumber"), F.col("l_returnflag")),
     )
     head = F.concat(
         F.lit("<table><tr><td>No</td><td>Publication date</td></tr><tr><td>1</td><td>2020</td></tr></table><table>"),
-        F.format_string("<tr><td>Name of Certified Review Board</td><td>Board %s</td></tr>", F.col("o_orderstatus")),
-        F.format_string("<tr><td>Address</td><td>%s</td></tr>", F.col("o_orderpriority")),
+        fill("<tr><td>Name of Certified Review Board</td><td>Board %s</td></tr>", F.col("o_orderstatus")),
+        fill("<tr><td>Address</td><td>%s</td></tr>", F.col("o_orderpriority")),
     )
     return order_pages(t, row, head, "</table>")
 
@@ -154,8 +155,8 @@ def table_records(t):
     """A title row above the header, dividers of one cell, and rows that are too long."""
     row = (
         F.when(F.col("l_returnflag") == "N", F.lit("<tr><td>divider</td></tr>"))
-        .when(F.col("l_returnflag") == "R", F.format_string("<tr><td>part %s</td><td>%s</td><td>extra</td></tr>", text("l_partkey"), text("l_suppkey")))
-        .otherwise(F.format_string("<tr><td> part\n%s</td><td>%s</td></tr>", text("l_partkey"), text("l_suppkey")))
+        .when(F.col("l_returnflag") == "R", fill("<tr><td>part %s</td><td>%s</td><td>extra</td></tr>", text("l_partkey"), text("l_suppkey")))
+        .otherwise(fill("<tr><td> part\n%s</td><td>%s</td></tr>", text("l_partkey"), text("l_suppkey")))
     )
     head = "<table><tr><td>No of Sites = 9</td></tr><tr><th>Site (Name)</th><th>No. of Sites</th></tr>"
     found = pages.table_records(pages.table_cells(order_pages(t, row, head, "</table>")))
@@ -163,16 +164,16 @@ def table_records(t):
 
 
 def _code_pages(t):
-    axes = F.format_string("%s​: %s:%s", F.col("o_orderpriority"), F.col("o_orderstatus"), text("o_custkey"))
+    axes = fill("%s​: %s:%s", F.col("o_orderpriority"), F.col("o_orderstatus"), text("o_custkey"))
     head = F.concat(
-        F.format_string('<h2><span id="loinc-id"> %s </span><span id="lcn">Order %s</span></h2>', text("o_orderkey"), text("o_orderkey")),
+        fill('<h2><span id="loinc-id"> %s </span><span id="lcn">Order %s</span></h2>', text("o_orderkey"), text("o_orderkey")),
         F.lit('<section id="term-description"><p itemprop="description"> About it </p></section>'),
         F.lit('<section id="additional-names"><dl><dt>Fully-Specified Name</dt><dd>'), axes,
         F.lit("</dd><dt>Short Name</dt><dd>"), F.col("o_orderstatus"), F.lit("</dd><dt>Other</dt></dl></section>"),
         F.lit('<section id="basic"><dl><dt>Class / Type</dt><dd>'), F.col("o_orderpriority"),
         F.lit("</dd><dt>Order vs. Observation</dt><dd>Both</dd></dl></section><section id='related-names'><ul>"),
     )
-    row = F.format_string("<li>part %s</li>", text("l_partkey"))
+    row = fill("<li>part %s</li>", text("l_partkey"))
     return order_pages(t, row, head, "</ul></section>")
 
 
@@ -207,7 +208,7 @@ def rubrics(t):
         F.when(F.col("l_returnflag") == "A", "Rubric-inclusion-l1").when(F.col("l_returnflag") == "R", "Rubric-exclusion")
         .when(F.col("l_linestatus") == "F", "Rubric-note").otherwise("x Rubric-coding-hint")
     )
-    row = F.format_string('<dl class="%s"><dt>x</dt><dd>part\n <a>%s</a></dd></dl>', kind, text("l_partkey"))
+    row = fill('<dl class="%s"><dt>x</dt><dd>part\n <a>%s</a></dd></dl>', kind, text("l_partkey"))
     return pages.rubric_lists(order_pages(t, row, '<div id="classicont"><dl><dd>other</dd></dl>', "</div>"))
 
 
@@ -221,12 +222,12 @@ def _class_pages(t):
     """A page per part: links to its class and its three parents, and a substance table."""
     code = F.concat(F.char(F.lit(65) + F.col("p_size") % 26), F.lpad(text("p_size"), 2, "0"), F.substring("p_type", 1, 2))
     links = [
-        F.format_string('<b>%s&nbsp;<a href="./?code=%s&amp;showdescription=no">%s</a></b>', c, c, n)
+        fill('<b>%s&nbsp;<a href="./?code=%s&amp;showdescription=no">%s</a></b>', c, c, n)
         for c, n in (
             (F.substring(code, 1, 1), F.lit("Group")), (F.substring(code, 1, 3), F.lit("Size")), (F.substring(code, 1, 4), F.lit("Kind")), (code, F.col("p_type")),
         )
     ]
-    table = F.format_string(
+    table = fill(
         "<table><tr><td>ATC code</td><td>Name</td></tr><tr><td>%s%s</td><td><a>%s</a></td><td>1&nbsp;</td><td>g</td></tr></table>",
         code, F.lpad((F.col("p_partkey") % 100).cast("string"), 2, "0"), F.col("p_name"),
     )
@@ -289,8 +290,8 @@ def class_substances(t):
 def approval_tables(t):
     """Approval tables with superscript remarks, short rows and report links."""
     mark = F.when(F.col("l_returnflag") == "R", F.lit("<sup>partial change</sup>")).otherwise("")
-    link = F.when(F.col("l_linestatus") == "F", F.format_string('<a href="/r/%s.pdf">PDF</a><a href="/x.html">more</a>', text("l_partkey"))).otherwise("")
-    row = F.when(F.col("l_returnflag") == "N", F.lit("<tr><td>note</td></tr>")).otherwise(F.format_string(
+    link = F.when(F.col("l_linestatus") == "F", fill('<a href="/r/%s.pdf">PDF</a><a href="/x.html">more</a>', text("l_partkey"))).otherwise("")
+    row = F.when(F.col("l_returnflag") == "N", F.lit("<tr><td>note</td></tr>")).otherwise(fill(
         "<tr><td>Brand %s%s</td><td>supplier %s</td><td>%s</td><td>%s</td></tr>", text("l_partkey"), mark, text("l_suppkey"),
         F.date_format("l_shipdate", "MMMM yyyy"), link,
     ))
@@ -312,7 +313,7 @@ def approval_tables(t):
 )
 def trial_pages(t):
     """Trial pages with plain rows, an object, a list and a table of sites; pages of status P are invalid."""
-    site = F.format_string("<tr><td>S%s</td><td>%s</td></tr>", text("l_suppkey"), F.col("l_linestatus"))
+    site = fill("<tr><td>S%s</td><td>%s</td></tr>", text("l_suppkey"), F.col("l_linestatus"))
     kind = F.when(F.col("o_orderstatus") == "F", "Trial Registered Prospectively").otherwise("Trial Registered Retrospectively")
     head = F.concat(
         F.lit("<table border='1'><tr><td>CTRI Number</td><td>CTRI/2020/01/"), text("o_orderkey"), F.lit(" [Registered on: "),
@@ -341,7 +342,7 @@ def trial_pages(t):
 )
 def substance_index(t):
     host = F.when(F.col("p_type") == "PROMO", F.lit("https://h.example/")).otherwise("https://dap.ema.europa.eu/")
-    link = F.format_string('<a href="%ssaw.dll?P3=1+%s&amp;x=1">part %s</a>', host, text("p_size"), text("p_partkey"))
+    link = fill('<a href="%ssaw.dll?P3=1+%s&amp;x=1">part %s</a>', host, text("p_size"), text("p_partkey"))
     link = F.when(F.col("p_type") == "PROMO", F.replace(link, F.lit("saw.dll"), F.lit("other"))).otherwise(F.concat(link, link))
     listed = t.part.select(F.col("p_partkey").alias("page_id"), F.lit("https://h.example/").alias("url"), link.alias("html"))
     return concepts.index_substances(pages.page_links(listed))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from refloom.functions.text import col
+from refloom.functions.text import col, let
 
 # Shape of a classification code at each of its five levels.
 LEVEL_PATTERNS = {
@@ -44,13 +44,18 @@ def iso_date(c: Column | str) -> Column:
 def month_year(c: Column | str) -> Column:
     """``YYYY-MM`` from free text; month ``00`` when no name is found, ``unknown`` without a year."""
     text = F.lower(F.trim(col(c)))
-    digits = F.transform(F.split(text, r"\s+"), lambda w: F.regexp_replace(w, r"\D", ""))
-    year = F.get(F.filter(digits, lambda d: F.length(d) == 4), F.lit(0))
-    month = None
-    for name, number in MONTHS.items():
-        found = F.contains(text, F.lit(name))
-        month = F.when(found, number) if month is None else month.when(found, number)
-    return F.when(year.isNotNull(), F.concat(year, F.lit("-"), month.otherwise("00"))).otherwise("unknown")
+    # The first word with exactly four digits in it.
+    word = F.regexp_extract(text, r"(?:^|\s)((?:[^\d\s]*\d){4}[^\d\s]*)(?=\s|$)", 1)
+    year = F.regexp_replace(word, r"\D", "")
+
+    def month(t: Column) -> Column:
+        expr = None
+        for name, number in MONTHS.items():
+            found = F.contains(t, F.lit(name))
+            expr = F.when(found, number) if expr is None else expr.when(found, number)
+        return expr.otherwise("00")
+
+    return F.when(year != "", F.concat(year, F.lit("-"), let(text, month))).otherwise("unknown")
 
 
 def code_level(c: Column | str) -> Column:

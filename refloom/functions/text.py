@@ -3,26 +3,50 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every character that counts as white space in Unicode, as a Java regex class body.
-SPACE = r"\s\x1c-\x1f\x85\xa0  -     　"
+# Every character that counts as white space in Unicode, as the inside of a Java regex class and as plain text.
+SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE_CHARS = "".join(
+    chr(c) for a, b in (
+        (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+        (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+    ) for c in range(a, b + 1)
+)
 
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def fill(template: str, *values: Column) -> Column:
+    """Text with each ``%s`` replaced by a column; NULL if any of them is. (``format_string`` is far slower.)"""
+    pieces = template.split("%s")
+    parts = [F.lit(pieces[0])]
+    for value, piece in zip(values, pieces[1:], strict=True):
+        parts += [value, F.lit(piece)] if piece else [value]
+    return F.concat(*parts)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it many times in ``body``."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def clean_text(c: Column | str) -> Column:
-    """Any run of white space (non-breaking space and line ends too) becomes one space; ends trimmed."""
-    return F.trim(F.regexp_replace(col(c), f"[{SPACE}]+", " "))
+    """Any run of white space (non-breaking space and line ends too) becomes one space; ends trimmed.
+
+    The pattern passes over single plain spaces, which are most of them.
+    """
+    return F.trim(F.regexp_replace(col(c), f"[{SPACE}&&[^ ]][{SPACE}]*| [{SPACE}]+", " "))
 
 
 def strip_space(c: Column | str) -> Column:
     """Trim all Unicode white space at both ends."""
-    return F.regexp_replace(col(c), f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.trim(col(c), F.lit(SPACE_CHARS))
 
 
 def blank_to_null(c: Column | str) -> Column:
@@ -70,14 +94,14 @@ def with_detail(name: Column, detail: Column, left: str = " (", right: str = ")"
 
 
 def patent_detail(number: Column, expires: Column, use_code: Column, use_text: Column) -> Column:
-    head = F.format_string("Patent %s (Exp: %s)", safe_text(number), safe_text(expires))
-    use = F.format_string(" [Use: %s - %s]", safe_text(use_code), safe_text(use_text))
+    head = fill("Patent %s (Exp: %s)", safe_text(number), safe_text(expires))
+    use = fill(" [Use: %s - %s]", safe_text(use_code), safe_text(use_text))
     return F.concat(head, F.when(safe_text(use_code) != "", use).otherwise(""))
 
 
 def exclusivity_detail(code: Column, expires: Column, text: Column) -> Column:
-    head = F.format_string("Exclusivity %s (Exp: %s)", safe_text(code), safe_text(expires))
-    return F.concat(head, F.when(safe_text(text) != "", F.format_string(" [%s]", safe_text(text))).otherwise(""))
+    head = fill("Exclusivity %s (Exp: %s)", safe_text(code), safe_text(expires))
+    return F.concat(head, F.when(safe_text(text) != "", fill(" [%s]", safe_text(text))).otherwise(""))
 
 
 def grant_detail(agency: Column, grant_id: Column, acronym: Column) -> Column:

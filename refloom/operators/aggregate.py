@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refloom.operators.skew import GROUP_LIMIT, join_keys, split_groups
+from refloom.operators.skew import GROUP_LIMIT, hot_groups, join_keys, slice_hot
 
 MAX_COLUMNS = 5_000
 
@@ -25,7 +25,7 @@ class Child:
 
 
 def ordered_text(
-    df: DataFrame, keys: Sequence[str], value: Column, sep: str = "; ", order: Sequence[Column] = (),
+    df: DataFrame, keys: Sequence[str], value: Column, sep: str = "; ", order: Sequence[str | Column] = (),
     out: str = "text", limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Ordered string aggregation per key: (keys, part, text). NULL values are skipped; none left gives no row.
@@ -33,23 +33,57 @@ def ordered_text(
     Sorted by the text itself unless ``order`` is given. A key with more than ``limit`` values gets
     several rows, numbered by ``part``, whose texts follow each other.
     """
-    by = [f"_o{i}" for i in range(len(order))] or ["_text"]
-    rows = df.select(*keys, value.alias("_text"), *[c.alias(n) for n, c in zip(by, order)])
-    rows = split_groups(rows.filter(F.col("_text").isNotNull()), keys, by, limit=limit)
-    items = F.sort_array(F.collect_list(F.struct(*by, F.col("_text").alias("_t"))))
-    return rows.groupBy(*keys, "part").agg(F.array_join(F.transform(items, lambda x: x["_t"]), sep).alias(out))
+    (found,) = _gather([Child(out, df, value, order)], keys, limit)
+    return found.filter(F.col(out).isNotNull()).withColumn(out, F.array_join(out, sep))
 
 
 def ordered_list(
-    df: DataFrame, keys: Sequence[str], value: Column, order: Sequence[str], out: str = "items",
+    df: DataFrame, keys: Sequence[str], value: Column, order: Sequence[str | Column], out: str = "items",
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Ordered array of values per key: (keys, part, items), at most ``limit`` values in an array."""
-    by = [f"_o{i}" for i in range(len(order))]
-    rows = df.select(*keys, value.alias("_value"), *[F.col(c).alias(n) for n, c in zip(by, order)])
-    rows = split_groups(rows, keys, by, limit=limit)
-    items = F.sort_array(F.collect_list(F.struct(*by, "_value")))
-    return rows.groupBy(*keys, "part").agg(F.transform(items, lambda x: x["_value"]).alias(out))
+    (found,) = _gather([Child(out, df, value, order)], keys, limit)
+    return found.filter(F.col(out).isNotNull())
+
+
+def _gather(children: Sequence[Child], keys: Sequence[str], limit: int) -> list[DataFrame]:
+    """Arrays of child values per key and part, in order, NULL where a key has none.
+
+    Children that share one table are gathered in one grouping. Only when that table has oversized
+    keys is each child sliced on its own, by its own order.
+    """
+    out = []
+    for rows, group in _by_table(children):
+        hot = hot_groups(rows, keys, limit)
+        for part in [group] if hot is None else [[c] for c in group]:
+            out.append(_collect(rows, part, keys, hot, limit))
+    return out
+
+
+def _by_table(children: Sequence[Child]) -> list[tuple[DataFrame, list[Child]]]:
+    tables: dict[int, tuple[DataFrame, list[Child]]] = {}
+    for c in children:
+        tables.setdefault(id(c.rows), (c.rows, []))[1].append(c)
+    return list(tables.values())
+
+
+def _collect(rows: DataFrame, group: Sequence[Child], keys: Sequence[str], hot: DataFrame | None, limit: int) -> DataFrame:
+    items = {}
+    for i, c in enumerate(group):
+        by = [F.col(o) if isinstance(o, str) else o for o in c.order] or [c.value]
+        entry = F.struct(*[o.alias(f"o{n}") for n, o in enumerate(by)], c.value.alias("v"))
+        items[f"_e{i}"] = F.when(c.value.isNotNull(), entry)
+    found = rows.select(*keys, *[e.alias(n) for n, e in items.items()])
+    if hot is not None:
+        # One child at a time here: the struct sorts by its order columns first.
+        found = slice_hot(found.filter("_e0 is not null"), keys, ["_e0"], hot, limit=limit)
+    else:
+        found = found.withColumn("part", F.lit(0).cast("long"))
+    grouped = found.groupBy(*keys, "part").agg(*[F.sort_array(F.collect_list(n)).alias(n) for n in items])
+    return grouped.select(
+        *keys, "part",
+        *[F.when(F.size(n) > 0, F.transform(n, lambda x: x["v"])).alias(c.name) for n, c in zip(items, group)],
+    )
 
 
 def attach_parts(parent: DataFrame, keys: Sequence[str], lists: Sequence[DataFrame]) -> DataFrame:
@@ -66,17 +100,18 @@ def text_master(
     parent: DataFrame, keys: Sequence[str], children: Sequence[Child], sep: str = "; ", limit: int = GROUP_LIMIT
 ) -> DataFrame:
     """Parent with one ordered text column per child table; no child gives NULL."""
-    lists = [ordered_text(c.rows, keys, c.value, sep, c.order, c.name, limit) for c in children]
-    return attach_parts(parent, keys, lists)
+    joined = attach_parts(parent, keys, _gather(children, keys, limit))
+    return joined.select(*parent.columns, "part", *[F.array_join(c.name, sep).alias(c.name) for c in children])
 
 
 def nested_master(
     parent: DataFrame, keys: Sequence[str], children: Sequence[Child], limit: int = GROUP_LIMIT
 ) -> DataFrame:
     """Parent with one array of child structs per child table; no child gives an empty array."""
-    lists = [ordered_list(c.rows, keys, c.value, c.order, c.name, limit) for c in children]
-    joined = attach_parts(parent, keys, lists)
-    return joined.withColumns({c.name: F.coalesce(F.col(c.name), F.array()) for c in children})
+    joined = attach_parts(parent, keys, _gather(children, keys, limit))
+    return joined.select(
+        *parent.columns, "part", *[F.coalesce(F.col(c.name), F.array()).alias(c.name) for c in children]
+    )
 
 
 def first_non_null(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Sequence[str]) -> DataFrame:

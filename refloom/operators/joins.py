@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from refloom.functions.codes import dotted_parent
 from refloom.functions.text import safe_text, strip_zeros
-from refloom.operators.aggregate import attach_parts, ordered_text
+from refloom.operators.aggregate import Child, nested_master, text_master
 from refloom.operators.dedup import dedup_first
 from refloom.operators.select import INVALID_NAMES, contains_any
 from refloom.operators.skew import GROUP_LIMIT, join_keys
@@ -50,8 +50,7 @@ def cogroup_details(
     sep: str = " | ", limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Parent with ``<name>_count`` and ``<name>_list`` per child table; children are grouped first."""
-    lists = [ordered_text(rows, keys, detail, sep, out=f"{name}_list", limit=limit) for name, rows, detail in children]
-    joined = attach_parts(parent, keys, lists)
+    joined = text_master(parent, keys, [Child(f"{name}_list", rows, detail) for name, rows, detail in children], sep, limit)
     for name, rows, _ in children:
         counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{name}_count"))
         joined = join_keys(joined, counts, keys, "left")
@@ -82,11 +81,13 @@ def resolve_reference(
     grouped = patents.select(
         strip_zeros("number").alias("_lookup"), "patent_number", "expires"
     ).filter("_lookup <> ''")
-    at = [F.col("patent_number"), F.col("expires")]
-    numbers = ordered_text(grouped, ["_lookup"], safe_text("patent_number"), "; ", at, "patent_numbers", limit)
-    dates = ordered_text(grouped, ["_lookup"], safe_text("expires"), "; ", at, "patent_expirations", limit)
+    at = ["patent_number", "expires"]
+    details = [
+        Child("patent_numbers", grouped, safe_text("patent_number"), at),
+        Child("patent_expirations", grouped, safe_text("expires"), at),
+    ]
     counts = grouped.groupBy("_lookup").agg(F.count(F.lit(1)).alias("associated_patents_count"))
-    joined = attach_parts(rows, ["_lookup"], [numbers, dates])
+    joined = text_master(rows, ["_lookup"], details, "; ", limit)
     joined = join_keys(joined, counts, ["_lookup"], "left")
     return joined.select(
         *products.columns,
@@ -129,8 +130,6 @@ def case_bundle(
 
     The limit is the feature (a result page); ids are cut by ``order`` on the key, children are whole.
     """
-    from refloom.operators.aggregate import Child, nested_master
-
     ids = reduce(DataFrame.union, [m.select(key) for m in matches]).distinct()
     top = ids.orderBy(key).limit(k)
     cases = reports.join(top, key, "left_semi")

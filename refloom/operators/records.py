@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from refloom.functions.text import strip_space
 from refloom.operators.aggregate import ordered_list, ordered_text
-from refloom.operators.scans import scan
+from refloom.operators.scans import LINE_LIMIT, by_size, scan
 from refloom.operators.skew import GROUP_LIMIT, join_keys
+from refloom.session import materialize
 
 # The line formats of the source.
 RECORD_START = "Summary"
@@ -56,7 +57,7 @@ def _section_event(line: Column) -> Column:
     return event
 
 
-def lines_to_fields(lines: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
+def lines_to_fields(lines: DataFrame, limit: int = GROUP_LIMIT, line_limit: int = LINE_LIMIT) -> DataFrame:
     """(file, block, seq, line) to (file, record, label, part, value).
 
     A ``Summary`` line ends a record only when the record number was seen since the last one; lines
@@ -66,35 +67,40 @@ def lines_to_fields(lines: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
     place = ["block", "seq"]
     text = lines.select("file", *place, strip_space("line").alias("line"))
     text = text.filter((F.col("line") != "") & ~F.col("line").rlike(SKIPPED_LINE))
-    line = F.col("line")
-    text = scan(text, ["file"], "block", ["seq"], lasts={"section": _section_event(line)})
-
-    prefix = F.when(F.coalesce("section", F.lit("")) != "", F.concat("section", F.lit(" - "))).otherwise("")
-    label = F.concat(prefix, F.trim(F.regexp_extract(line, LABELLED, 1)))
-    silent = (line == RECORD_START) | line.rlike(SPONSOR)
-    text = text.withColumn("label", F.when(line.rlike(LABELLED) & ~silent, label))
-    text = text.withColumn("label", F.when(is_standard_field(F.col("label")), F.col("label")))
-    labelled = F.col("label").isNotNull()
-
-    marker = F.when(line == RECORD_START, "start").when(F.col("label") == RECORD_ID, "number")
-    text = scan(text, ["file"], "block", ["seq"], before={"_mark": marker})
-    closes = (line == RECORD_START) & (F.coalesce("_mark", F.lit("")) == "number")
-    text = scan(
-        text.withColumn("_closes", closes).drop("_mark"), ["file"], "block", ["seq"],
-        sums={"record": F.col("_closes").cast("long"), "field": labelled.cast("long")},
-    ).filter(~silent)
+    # The fields are read for the labels and for the values: lines are worked through once.
+    text = materialize(by_size(text, ["file"], _number_fields, line_limit), "fields")
 
     # The field a line belongs to: its own label, or the last label of the same record.
     at = ["file", "record", "field"]
+    labelled = F.col("label").isNotNull()
     heads = text.filter(labelled).select(*at, "label")
     numbered = heads.filter(F.col("label") == RECORD_ID).select("file", "record").distinct()
     latest = heads.groupBy("file", "record", "label").agg(F.max("field").alias("field"))
     latest = join_keys(latest, numbered, ["file", "record"], "left_semi")
+    line = F.col("line")
     value = F.when(labelled, F.trim(F.regexp_extract(line, LABELLED, 2))).otherwise(line)
-    values = ordered_text(text, at, value, " ", [F.col(c) for c in place], "value", limit)
+    values = ordered_text(text, at, value, " ", place, "value", limit)
     return join_keys(values, latest, at).select("file", "record", "label", "part", "value")
 
 
+def _number_fields(text: DataFrame, blocks: bool) -> DataFrame:
+    """Record and field number of every line, and the label of the lines that have one."""
+    line = F.col("line")
+    where = dict(keys=["file"], block="block", order=["seq"], blocks=blocks)
+    text = scan(text, **where, lasts={"section": _section_event(line)})
+    prefix = F.when(F.coalesce("section", F.lit("")) != "", F.concat("section", F.lit(" - "))).otherwise("")
+    label = F.concat(prefix, F.trim(F.regexp_extract(line, LABELLED, 1)))
+    silent = (line == RECORD_START) | line.rlike(SPONSOR)
+    text = text.withColumn("label", F.when(line.rlike(LABELLED) & ~silent, label))
+    text = text.withColumn("label", F.when(is_standard_field(F.col("label")), F.col("label")))
+    marker = F.when(line == RECORD_START, "start").when(F.col("label") == RECORD_ID, "number")
+    text = scan(text, **where, before={"_mark": marker})
+    closes = (line == RECORD_START) & (F.coalesce("_mark", F.lit("")) == "number")
+    sums = {"record": closes.cast("long"), "field": F.col("label").isNotNull().cast("long")}
+    text = scan(text, **where, sums=sums).filter(~silent)
+    return text.select("file", "block", "seq", "line", "label", "record", "field")
+
+
 def fields_to_records(fields: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
     """One row per record with a label to value map; a record with more than ``limit`` fields has several parts."""
     rows = fields.withColumnRenamed("part", "value_part")

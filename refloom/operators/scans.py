@@ -1,18 +1,34 @@
-"""Running values along ordered lines, in two levels.
+"""Running values along ordered lines.
 
 Lines carry ``keys`` (the file or text), ``block`` (a slice of bounded size, such as a file split)
-and an order inside the block. Windows run per block only; one summary row per block carries the
-state across blocks. No window ever holds a whole file.
+and an order inside the block. A file of ordinary size is one window. For larger ones, windows run
+per block and one summary row per block carries the state across blocks, so that no window ever
+holds a whole large file.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refloom.operators.skew import join_keys
+from refloom.operators.skew import hot_groups, join_keys, split_hot
+from refloom.session import materialize
+
+LINE_LIMIT = 1_000_000
+
+
+def by_size(df: DataFrame, keys: Sequence[str], job: Callable[[DataFrame, bool], DataFrame], limit: int = LINE_LIMIT) -> DataFrame:
+    """Run a job on the ordinary keys as they are and on the oversized ones block by block.
+
+    ``job`` gets the rows and whether they are to be scanned in blocks.
+    """
+    hot = hot_groups(df, keys, limit)
+    if hot is None:
+        return job(df, False)
+    cold, warm = split_hot(df, keys, hot)
+    return job(cold, False).unionByName(job(materialize(warm, "lines"), True))
 
 
 def scan(
@@ -23,21 +39,27 @@ def scan(
     sums: dict[str, Column] | None = None,
     lasts: dict[str, Column] | None = None,
     before: dict[str, Column] | None = None,
+    blocks: bool = True,
 ) -> DataFrame:
-    """Add running values per key: ``sums`` so far, ``lasts`` non-NULL so far, ``before`` = last non-NULL strictly earlier."""
+    """Add running values per key: ``sums`` so far, ``lasts`` non-NULL so far, ``before`` = last non-NULL strictly earlier.
+
+    ``blocks`` scans in two levels; the result is written once, because it is read for the lines
+    and for the summaries.
+    """
     sums, lasts, before = sums or {}, lasts or {}, before or {}
-    here = Window.partitionBy(*keys, block).orderBy(*order)
-    upto, prior = here.rowsBetween(Window.unboundedPreceding, 0), here.rowsBetween(Window.unboundedPreceding, -1)
     values = {f"_v_{n}": e for n, e in {**sums, **lasts, **before}.items()}
-    local = df.withColumns(values)
-    local = local.withColumns(
+    here = Window.partitionBy(*keys, block).orderBy(*order) if blocks else Window.partitionBy(*keys).orderBy(block, *order)
+    upto, prior = here.rowsBetween(Window.unboundedPreceding, 0), here.rowsBetween(Window.unboundedPreceding, -1)
+    local = df.withColumns(values).withColumns(
         {f"_l_{n}": F.sum(f"_v_{n}").over(upto) for n in sums}
         | {f"_l_{n}": F.last(f"_v_{n}", ignorenulls=True).over(upto) for n in lasts}
         | {f"_l_{n}": F.last(f"_v_{n}", ignorenulls=True).over(prior) for n in before}
     )
-    # One row per block: its total, and its last non-NULL value by position.
+    if not blocks:
+        return local.select(*df.columns, *[F.col(f"_l_{n}").alias(n) for n in {**sums, **lasts, **before}])
+    local = materialize(local, "scan")
     at = F.struct(*order)
-    blocks = df.withColumns(values).groupBy(*keys, block).agg(
+    totals = local.groupBy(*keys, block).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums],
         *[
@@ -46,7 +68,7 @@ def scan(
         ],
     )
     earlier = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    carried = blocks.select(
+    carried = totals.select(
         *keys,
         block,
         *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_c_{n}") for n in sums],

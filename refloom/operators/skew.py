@@ -30,10 +30,15 @@ def _order(order: Sequence[str | Column]) -> list[Column]:
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
-    """Keys with more than ``limit`` rows, or None when there are none (checked)."""
+    """Keys with more than ``limit`` rows, or None when there are none.
+
+    Checked by running one count per key, combined before the shuffle. At most rows / ``limit`` keys come back.
+    """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = materialize(counts.filter(F.col("_n") > limit).select(*keys), "hot")
-    return None if hot.isEmpty() else hot
+    largest = counts.agg(F.max("_n")).head()[0]
+    if largest is None or largest <= limit:
+        return None
+    return materialize(counts.filter(F.col("_n") > limit).select(*keys), "hot")
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -80,7 +85,14 @@ def split_groups(
 
     Grouping by the keys and ``out`` then collects at most ``limit`` rows anywhere.
     """
-    hot = hot_groups(df, keys, limit)
+    return slice_hot(df, keys, order, hot_groups(df, keys, limit), out, limit)
+
+
+def slice_hot(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], hot: DataFrame | None,
+    out: str = "part", limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """The same with the hot keys known. Keys listed there that are not large after all are fine."""
     if hot is None:
         return df.withColumn(out, F.lit(0).cast("long"))
     cold, warm = split_hot(df, keys, hot)

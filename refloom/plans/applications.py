@@ -7,28 +7,24 @@ from pyspark.sql import functions as F
 
 from refloom.functions.arrays import text_list
 from refloom.functions.codes import iso_date
-from refloom.functions.text import safe_text, with_detail
+from refloom.functions.text import fill, safe_text, with_detail
 from refloom.operators.select import search_nested
 from refloom.schemas import APPLICATION_LISTS, APPLICATION_PRODUCT
 
 
-def _some(array):
-    return F.coalesce(array, F.array())
-
-
 def flatten(raw: DataFrame) -> DataFrame:
     """Product rows with packed submissions, documents, ingredients and 13 identifier lists.
 
     An application without products keeps one row with empty product columns.
     """
     def submission(s):
-        return F.format_string(
+        return fill(
             "%s(%s) - %s (%s)", safe_text(s["submission_type"]), safe_text(s["submission_number"]),
             safe_text(s["submission_status"]), iso_date(safe_text(s["submission_status_date"])),
         )
 
     def document(d):
-        return F.format_string("%s (%s): %s", safe_text(d["type"]), iso_date(safe_text(d["date"])), safe_text(d["url"]))
+        return fill("%s (%s): %s", safe_text(d["type"]), iso_date(safe_text(d["date"])), safe_text(d["url"]))
 
     documents = F.flatten(F.transform("submissions", lambda s: F.coalesce(
         F.transform(F.filter(s["application_docs"], lambda d: safe_text(d["url"]) != ""), document),
@@ -40,8 +36,10 @@ def flatten(raw: DataFrame) -> DataFrame:
         *[F.coalesce(F.array_join(text_list(f"openfda.{src}"), " | "), F.lit("")).alias(out) for out, src in APPLICATION_LISTS.items()],
         F.coalesce(F.array_join(F.transform("submissions", submission), " | "), F.lit("")).alias("submissions"),
         F.coalesce(F.array_join(documents, " | "), F.lit("")).alias("application_docs"),
-        F.explode_outer("products").alias("_p"),
+        "products",
     )
+    # Packed once per application, before the rows multiply.
+    shared = shared.select("*", F.explode_outer("products").alias("_p")).drop("products")
     ingredients = F.transform(
         "_p.active_ingredients", lambda i: with_detail(safe_text(i["name"]), safe_text(i["strength"]))
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refloom.functions.arrays import names, pack
-from refloom.functions.text import grant_detail, safe_text
+from refloom.functions.text import fill, grant_detail, safe_text
 from refloom.operators.select import eligible
 
 
@@ -32,11 +32,11 @@ def metadata(articles: DataFrame, extended: bool = False) -> DataFrame:
     ))
     links = F.transform(
         F.filter("fullTextUrlList.fullTextUrl", lambda u: safe_text(u["url"]) != ""),
-        lambda u: F.format_string("[%s %s] %s", F.coalesce(u["site"], F.lit("External")), F.coalesce(u["documentStyle"], F.lit("link")), u["url"]),
+        lambda u: fill("[%s %s] %s", F.coalesce(u["site"], F.lit("External")), F.coalesce(u["documentStyle"], F.lit("link")), u["url"]),
     )
     headings = F.col("meshHeadingList.meshHeading")
     chemicals = F.filter("chemicalList.chemical", lambda c: F.coalesce(c["registryNumber"], F.lit("0")).isin("", "0") == F.lit(False))
-    numbered = F.transform(chemicals, lambda c: F.format_string("%s (%s)", F.coalesce(c["name"], F.lit("None")), c["registryNumber"]))
+    numbered = F.transform(chemicals, lambda c: fill("%s (%s)", F.coalesce(c["name"], F.lit("None")), c["registryNumber"]))
     grants = F.transform("grantsList.grant", lambda g: grant_detail(g["agency"], g["grantId"], g["acronym"]))
     more = [
         pack(names(headings, "descriptorName"), "; ").alias("mesh_descriptors"),

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refloom.operators.scans import scan
+from refloom.operators.scans import LINE_LIMIT, by_size, scan
 from refloom.operators.setops import union_tagged
 from refloom.sources.documents import decode_fallback
 from refloom.schemas import text_schema
@@ -159,11 +159,15 @@ def read_sections(spark: SparkSession, path: str | list[str], is_header: Column)
     return number_sections(read_lines(spark, path), is_header)
 
 
-def number_sections(lines: DataFrame, is_header: Column) -> DataFrame:
+def number_sections(lines: DataFrame, is_header: Column, line_limit: int = LINE_LIMIT) -> DataFrame:
     """The same for lines that already carry their place."""
     lines = lines.withColumn("is_header", is_header)
-    lines = scan(lines, ["file"], "block", ["seq"], sums={"section": F.col("is_header").cast("long")})
-    return lines.filter((F.col("section") > 0) & (F.trim(F.regexp_replace("line", ",", "")) != ""))
+
+    def number(rows: DataFrame, blocks: bool) -> DataFrame:
+        return scan(rows, ["file"], "block", ["seq"], sums={"section": F.col("is_header").cast("long")}, blocks=blocks)
+
+    numbered = by_size(lines, ["file"], number, line_limit)
+    return numbered.filter((F.col("section") > 0) & (F.trim(F.regexp_replace("line", ",", "")) != ""))
 
 
 def section_table(sections: DataFrame, number: int) -> DataFrame:
