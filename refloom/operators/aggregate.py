@@ -8,8 +8,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from refloom.operators.skew import GROUP_LIMIT, hot_groups, join_keys, slice_hot
+from refloom.operators.skew import BYTE_LIMIT, GROUP_LIMIT, hot_groups, join_keys, slice_hot
+from refloom.session import materialize
 
 MAX_COLUMNS = 5_000
 
@@ -50,16 +52,28 @@ def _gather(children: Sequence[Child], keys: Sequence[str], limit: int) -> list[
     """Arrays of child values per key and part, in order, NULL where a key has none.
 
     Children that share one table are gathered in one grouping. Only when that table has oversized
-    keys is each child sliced on its own, by its own order.
+    keys, by rows or by bytes of text, is each child sliced on its own, by its own order.
     """
     out = []
     for rows, group in _by_table(children):
-        hot = hot_groups(rows, keys, limit)
-        for part in [group] if hot is None else [[c] for c in group]:
-            out.append(_collect(rows, part, keys, hot, limit))
+        sizes = [_size(rows, c.value) for c in group]
+        hot = hot_groups(rows, keys, limit, reduce(lambda a, b: a + b, sizes))
+        if hot is None:
+            out.append(_collect(rows, group, keys, None, limit))
+            continue
+        # A slice of this many values stays below the byte limit, however long each is.
+        longest = [rows.agg(F.max(size)).head()[0] or 0 for size in sizes]
+        for c, most in zip(group, longest):
+            out.append(_collect(rows, [c], keys, hot, max(1, min(limit, BYTE_LIMIT // max(most, 1)))))
     return out
 
 
+def _size(rows: DataFrame, value: Column) -> Column:
+    """Bytes of a text value; other values count as nothing."""
+    kind = rows.select(value.alias("v")).schema["v"].dataType
+    return F.coalesce(F.octet_length(value), F.lit(0)) if isinstance(kind, T.StringType) else F.lit(0)
+
+
 def _by_table(children: Sequence[Child]) -> list[tuple[DataFrame, list[Child]]]:
     tables: dict[int, tuple[DataFrame, list[Child]]] = {}
     for c in children:
@@ -181,7 +195,8 @@ def build_tree(
     """Nest levels of nodes into their parents, bottom up. Each level has ``code`` and ``parent_code``.
 
     Returns root nodes with a JSON ``children`` text; a node whose parent is missing becomes a root.
-    Children are ordered by code. A node with more than ``limit`` children appears once per part.
+    Children are ordered by code. A node with more than ``limit`` children, or more than the byte
+    limit below it, appears once per part.
     """
     roots: list[DataFrame] = []
     below: DataFrame | None = None
@@ -191,7 +206,8 @@ def build_tree(
             nodes = _adopt(level, below, code, parent, limit)
             orphans = join_keys(below, level.select(F.col(code).alias(parent)), [parent], "left_anti")
             roots.append(orphans)
-        below = nodes
+        # Written once per level: the next level reads it for its children and for its orphans.
+        below = materialize(nodes, "level")
     roots.append(below)
     shaped = [r.select(code, "part", _node(r, parent).alias("node")) for r in roots]
     return reduce(DataFrame.unionByName, shaped)

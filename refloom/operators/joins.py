@@ -32,8 +32,8 @@ def chain(*steps: DataFrame | Sequence[str]) -> DataFrame:
 
 
 def pending(rows: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in the finished set."""
-    return rows.join(done.select(*keys), list(keys), "left_anti")
+    """Rows whose key is not in the finished set. That set is made distinct first: a key may be in it very often."""
+    return rows.join(done.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def enrich_codes(

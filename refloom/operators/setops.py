@@ -22,7 +22,7 @@ def union_levels(*levels: DataFrame, default: str | None = "") -> DataFrame:
 def id_difference(left: DataFrame, right: DataFrame, left_id: str, right_id: str) -> DataFrame:
     """Ids of the left table that the right one lacks."""
     ids = left.select(F.col(left_id).alias("id")).distinct()
-    return ids.join(right.select(F.col(right_id).alias("id")), "id", "left_anti")
+    return ids.join(right.select(F.col(right_id).alias("id")).distinct(), "id", "left_anti")
 
 
 def id_union(*ids: DataFrame) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from refloom.session import materialize
 
 GROUP_LIMIT = 100_000
+# Text gathered into one cell or document.
+BYTE_LIMIT = 64 * 1024 * 1024
 
 
 def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -29,16 +31,20 @@ def _order(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
-    """Keys with more than ``limit`` rows, or None when there are none.
+def hot_groups(df: DataFrame, keys: Sequence[str], limit: int, size: Column | None = None) -> DataFrame | None:
+    """Keys with more than ``limit`` rows, or too many bytes by ``size``; None when there are none.
 
-    Checked by running one count per key, combined before the shuffle. At most rows / ``limit`` keys come back.
+    Checked by running one count per key, combined before the shuffle. Few keys come back: at most
+    one per ``limit`` rows or byte limit.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest = counts.agg(F.max("_n")).head()[0]
-    if largest is None or largest <= limit:
+    size = F.lit(0) if size is None else size
+    counts = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum(size.cast("long")), F.lit(0)).alias("_bytes")
+    )
+    over = (F.col("_n") > limit) | (F.col("_bytes") > BYTE_LIMIT)
+    if not counts.agg(F.max(over)).head()[0]:
         return None
-    return materialize(counts.filter(F.col("_n") > limit).select(*keys), "hot")
+    return materialize(counts.filter(over).select(*keys), "hot")
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -52,7 +58,9 @@ def number_ranges(df: DataFrame, order: Sequence[str | Column], keys: Sequence[s
     The sorted ranges are written once: the numbers and the range sizes must come from the same
     ranges, also when a lost executor makes Spark run a part again.
     """
-    sort = [F.col(k) for k in keys] + _order(order)
+    # Rows with equal keys and order can still fall into different ranges by their content.
+    content = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    sort = [F.col(k) for k in keys] + _order(order) + [F.xxhash64(*content)]
     ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
     ranged = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()), "ranges")
     ranged = ranged.withColumn("_range", F.shiftright("_at", 33))

@@ -33,7 +33,9 @@ def unify(products: DataFrame, patents: DataFrame, exclusivities: DataFrame) ->
         F.col("Patent_No"), F.col("Patent_Expire_Date_Text"), F.col("Patent_Use_Code"), F.col("Patent_Use_Definition")
     )
     exclusive = exclusivity_detail(F.col("Exclusivity_Code"), F.col("Exclusivity_Date"), F.col("Exclusivity_Definition"))
-    return cogroup_details(base, KEYS, [("Active_Patents", patents, patent), ("Active_Exclusivities", exclusivities, exclusive)])
+    unified = cogroup_details(base, KEYS, [("Active_Patents", patents, patent), ("Active_Exclusivities", exclusivities, exclusive)])
+    names = [f"{n}_{part}" for n in ("Active_Patents", "Active_Exclusivities") for part in ("Count", "List")]
+    return unified.select(*PRODUCT_COLUMNS, "part", *[F.col(n.lower()).alias(n) for n in names])
 
 
 def search(unified: DataFrame, term: str, field: str = "Ingredient", k: int = 20) -> DataFrame:

@@ -76,3 +76,12 @@ def test_scan_in_blocks_equals_one_window(spark):
     one = scan(df, ["file"], "block", ["seq"], blocks=False, **values)
     two = scan(df, ["file"], "block", ["seq"], blocks=True, **values)
     assert rows(one) == rows(two)
+
+
+def test_byte_limit_slices_long_texts(spark, monkeypatch):
+    monkeypatch.setattr("refloom.operators.skew.BYTE_LIMIT", 1000)
+    monkeypatch.setattr("refloom.operators.aggregate.BYTE_LIMIT", 1000)
+    df = spark.createDataFrame([("a", i, "x" * 90) for i in range(50)] + [("b", 1, "y")], "k string, i int, t string")
+    got = agg.ordered_text(df, ["k"], F.col("t"), "", ["i"]).collect()
+    assert max(len(r.text) for r in got) <= 1000
+    assert sum(len(r.text) for r in got if r.k == "a") == 4500 and [r.part for r in got if r.k == "b"] == [0]
