@@ -26,7 +26,7 @@ def text(name):
 def line_lists(t, **entries):
     """Orders with one text per entry: the pieces of their line items in order, put together."""
     lines = t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey")
-    rows = agg.nested_master(t.orders, ["o_orderkey"], [agg.Child(n, lines, v, LINE_ORDER) for n, v in entries.items()])
+    rows = agg.nested_master(spread(t.orders), ["o_orderkey"], [agg.Child(n, lines, v, LINE_ORDER) for n, v in entries.items()])
     return rows.withColumns({n: F.array_join(n, "") for n in entries})
 
 

@@ -12,7 +12,7 @@ from refloom.operators import aggregate as agg
 from refloom.operators import dedup, joins
 from refloom.operators.records import lines_to_fields
 from refloom.operators.skew import number_rows
-from refloom.session import spread
+from refloom.session import materialize, spread
 
 # All columns of a line item: (l_orderkey, l_linenumber) is not unique.
 LINE_ORDER = [
@@ -418,7 +418,7 @@ def rebuild(t):
     words = spread(t.documents).select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
     entries = words.groupBy("doc_id", "word").agg(F.collect_list("pos").alias("positions"))
     index = entries.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "positions"))).alias("index"))
-    return index.select("doc_id", F.md5(rebuild_text("index")).alias("digest"))
+    return spread(materialize(index, "index")).select("doc_id", F.md5(rebuild_text("index")).alias("digest"))
 
 
 def _trial_lines(t):

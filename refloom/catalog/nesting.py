@@ -10,7 +10,7 @@ from refloom.operators import aggregate as agg
 from refloom.operators.nested import dimension, explode_children, explode_json, explode_self
 from refloom.plans import adverse_events, applications, articles, medicines, substances, works
 from refloom.schemas import APPLICATION, ARTICLE, MOLECULE, SAFETY_REPORT, SUBSTANCE, TARGET, WORK
-from refloom.session import materialize
+from refloom.session import materialize, spread
 
 LINE_ORDER = [
     "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -27,7 +27,7 @@ def json_lists(t, **entries):
     """Orders with one JSON list text per entry, made of their line items in order."""
     lines = t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey")
     children = [agg.Child(name, lines, value, LINE_ORDER) for name, value in entries.items()]
-    rows = agg.nested_master(t.orders, ["o_orderkey"], children)
+    rows = agg.nested_master(spread(t.orders), ["o_orderkey"], children)
     joined = {n: F.concat(F.lit("["), F.array_join(n, ","), F.lit("]")) for n in entries}
     return rows.withColumns(joined)
 
@@ -60,7 +60,7 @@ def _reports(t):
         F.date_format("o_orderdate", "yyyyMMdd"), text("o_custkey"), patient,
     )
     # Nested records are written once; each table then reads only the fields it needs.
-    return materialize(parse(rows, doc, SAFETY_REPORT), "reports")
+    return spread(materialize(parse(rows, doc, SAFETY_REPORT), "reports"))
 
 
 @query(
@@ -152,7 +152,7 @@ def _applications(t):
         '{"application_number":"NDA%s","sponsor_name":"%s","openfda":{"generic_name":["%s"," x "]},"products":%s,"submissions":%s}',
         text("o_orderkey"), F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("products"), F.col("submissions"),
     )
-    return materialize(parse(rows, doc, APPLICATION), "applications")
+    return spread(materialize(parse(rows, doc, APPLICATION), "applications"))
 
 
 @query(
@@ -214,7 +214,7 @@ def _works(t):
         F.date_format("o_orderdate", "yyyyMM"), F.date_format("o_orderdate", "MM"), (F.col("o_orderstatus") == "F").cast("string"), F.col("authorships"),
         F.col("o_orderpriority"), F.col("o_orderpriority"), F.col("o_orderstatus"),
     )
-    return materialize(parse(rows, doc, WORK), "works")
+    return spread(materialize(parse(rows, doc, WORK), "works"))
 
 
 @query(

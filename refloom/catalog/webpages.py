@@ -25,7 +25,7 @@ def text(name):
 def order_pages(t, row, head="", tail=""):
     """A page per order: ``row`` for each line item between ``head`` and ``tail``."""
     lines = t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey")
-    rows = agg.nested_master(t.orders, ["o_orderkey"], [agg.Child("rows", lines, row, LINE_ORDER)])
+    rows = agg.nested_master(spread(t.orders), ["o_orderkey"], [agg.Child("rows", lines, row, LINE_ORDER)])
     html = F.concat(F.lit(head) if isinstance(head, str) else head, F.array_join("rows", "\n"), F.lit(tail))
     built = rows.select(F.col("o_orderkey").alias("page_id"), F.lit("https://h.example/list").alias("url"), html.alias("html"))
     return spread(materialize(built, "pages"))

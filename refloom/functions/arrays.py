@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from refloom.functions.text import col, strip_space
+from refloom.functions.text import col, let, strip_space
 
 
 def unpack(c: Column | str, sep: str) -> Column:
@@ -103,21 +103,26 @@ def rebuild_text(index: Column | str) -> Column:
             ),
         )
     )
-    run = F.array_sort(pairs)
-    # The last entry at each position, then each word with the gap to the word before it.
-    kept = F.filter(
-        F.zip_with(run, F.slice(run, 2, F.greatest(F.size(run), F.lit(1))), lambda x, nxt: F.when(~x["p"].eqNullSafe(nxt["p"]), x)),
-        lambda x: x.isNotNull(),
-    )
-    before = F.concat(F.array(F.lit(None).cast("int")), F.transform(kept, lambda x: x["p"].cast("int")))
-    words = F.zip_with(
-        kept,
-        before,
-        lambda x, prev: F.concat(
-            F.when(prev.isNull(), F.lit("")).otherwise(F.repeat(F.lit(" "), x["p"].cast("int") - prev)), x["w"]
-        ),
-    )
-    return F.coalesce(strip_space(F.array_join(words, "")), F.lit(""))
+    def place(run: Column) -> Column:
+        """The last entry at each position."""
+        after = F.slice(run, 2, F.greatest(F.size(run), F.lit(1)))
+        last = F.zip_with(run, after, lambda x, nxt: F.when(~x["p"].eqNullSafe(nxt["p"]), x))
+        return F.filter(last, lambda x: x.isNotNull())
+
+    def spell(kept: Column) -> Column:
+        """Each word behind the gap to the word before it."""
+        before = F.concat(F.array(F.lit(None).cast("int")), F.transform(kept, lambda x: x["p"].cast("int")))
+        words = F.zip_with(
+            kept,
+            before,
+            lambda x, prev: F.concat(
+                F.when(prev.isNull(), F.lit("")).otherwise(F.repeat(F.lit(" "), x["p"].cast("int") - prev)), x["w"]
+            ),
+        )
+        return F.array_join(words, "")
+
+    text = let(F.sort_array(pairs), lambda run: let(place(run), spell))
+    return F.coalesce(strip_space(text), F.lit(""))
 
 
 def text_list(c: Column | str) -> Column:
@@ -125,4 +130,5 @@ def text_list(c: Column | str) -> Column:
     raw = col(c)
     parsed = F.when(raw.startswith("["), F.from_json(raw, "array<string>"))
     items = F.coalesce(parsed, F.array(raw))
-    return F.filter(F.transform(items, lambda x: strip_space(x)), lambda x: x.isNotNull() & (x != ""))
+    kept = F.filter(F.transform(items, lambda x: strip_space(x)), lambda x: x.isNotNull() & (x != ""))
+    return F.when(raw.isNotNull(), kept)

@@ -35,8 +35,8 @@ def ordered_text(
     Sorted by the text itself unless ``order`` is given. A key with more than ``limit`` values gets
     several rows, numbered by ``part``, whose texts follow each other.
     """
-    (found,) = _gather([Child(out, df, value, order)], keys, limit)
-    return found.filter(F.col(out).isNotNull()).withColumn(out, F.array_join(out, sep))
+    (found,) = _gather([Child(out, df, value, order)], keys, limit, sep)
+    return found.filter(F.col(out).isNotNull())
 
 
 def ordered_list(
@@ -48,8 +48,10 @@ def ordered_list(
     return found.filter(F.col(out).isNotNull())
 
 
-def _gather(children: Sequence[Child], keys: Sequence[str], limit: int) -> list[DataFrame]:
-    """Arrays of child values per key and part, in order, NULL where a key has none.
+def _gather(
+    children: Sequence[Child], keys: Sequence[str], limit: int, sep: str | None = None
+) -> list[DataFrame]:
+    """Arrays of child values per key and part, in order, NULL where a key has none; texts if ``sep`` is given.
 
     Children that share one table are gathered in one grouping. Only when that table has oversized
     keys, by rows or by bytes of text, is each child sliced on its own, by its own order.
@@ -59,12 +61,12 @@ def _gather(children: Sequence[Child], keys: Sequence[str], limit: int) -> list[
         sizes = [_size(rows, c.value) for c in group]
         hot = hot_groups(rows, keys, limit, reduce(lambda a, b: a + b, sizes))
         if hot is None:
-            out.append(_collect(rows, group, keys, None, limit))
+            out.append(_collect(rows, group, keys, None, limit, sep))
             continue
         # A slice of this many values stays below the byte limit, however long each is.
         longest = [rows.agg(F.max(size)).head()[0] or 0 for size in sizes]
         for c, most in zip(group, longest):
-            out.append(_collect(rows, [c], keys, hot, max(1, min(limit, BYTE_LIMIT // max(most, 1)))))
+            out.append(_collect(rows, [c], keys, hot, max(1, min(limit, BYTE_LIMIT // max(most, 1))), sep))
     return out
 
 
@@ -81,23 +83,27 @@ def _by_table(children: Sequence[Child]) -> list[tuple[DataFrame, list[Child]]]:
     return list(tables.values())
 
 
-def _collect(rows: DataFrame, group: Sequence[Child], keys: Sequence[str], hot: DataFrame | None, limit: int) -> DataFrame:
+def _collect(
+    rows: DataFrame, group: Sequence[Child], keys: Sequence[str], hot: DataFrame | None, limit: int, sep: str | None
+) -> DataFrame:
+    # A value that is its own order is gathered bare, any other one behind its order columns.
     items = {}
     for i, c in enumerate(group):
-        by = [F.col(o) if isinstance(o, str) else o for o in c.order] or [c.value]
+        by = [F.col(o) if isinstance(o, str) else o for o in c.order]
         entry = F.struct(*[o.alias(f"o{n}") for n, o in enumerate(by)], c.value.alias("v"))
-        items[f"_e{i}"] = F.when(c.value.isNotNull(), entry)
+        items[f"_e{i}"] = F.when(c.value.isNotNull(), entry) if by else c.value
     found = rows.select(*keys, *[e.alias(n) for n, e in items.items()])
     if hot is not None:
-        # One child at a time here: the struct sorts by its order columns first.
+        # One child at a time here, in its own order.
         found = slice_hot(found.filter("_e0 is not null"), keys, ["_e0"], hot, limit=limit)
     else:
         found = found.withColumn("part", F.lit(0).cast("long"))
     grouped = found.groupBy(*keys, "part").agg(*[F.sort_array(F.collect_list(n)).alias(n) for n in items])
-    return grouped.select(
-        *keys, "part",
-        *[F.when(F.size(n) > 0, F.transform(n, lambda x: x["v"])).alias(c.name) for n, c in zip(items, group)],
-    )
+    def finish(name: str, child: Child) -> Column:
+        values = F.transform(name, lambda x: x["v"]) if child.order else F.col(name)
+        return F.when(F.size(name) > 0, values if sep is None else F.array_join(values, sep)).alias(child.name)
+
+    return grouped.select(*keys, "part", *[finish(n, c) for n, c in zip(items, group)])
 
 
 def attach_parts(parent: DataFrame, keys: Sequence[str], lists: Sequence[DataFrame]) -> DataFrame:
@@ -114,8 +120,8 @@ def text_master(
     parent: DataFrame, keys: Sequence[str], children: Sequence[Child], sep: str = "; ", limit: int = GROUP_LIMIT
 ) -> DataFrame:
     """Parent with one ordered text column per child table; no child gives NULL."""
-    joined = attach_parts(parent, keys, _gather(children, keys, limit))
-    return joined.select(*parent.columns, "part", *[F.array_join(c.name, sep).alias(c.name) for c in children])
+    joined = attach_parts(parent, keys, _gather(children, keys, limit, sep))
+    return joined.select(*parent.columns, "part", *[c.name for c in children])
 
 
 def nested_master(

@@ -18,6 +18,8 @@ from refloom.session import materialize
 GROUP_LIMIT = 100_000
 # Text gathered into one cell or document.
 BYTE_LIMIT = 64 * 1024 * 1024
+# Groups of so few rows are gathered whatever their text: each of the rows was one row before.
+SMALL_GROUP = 1_000
 
 
 def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -34,17 +36,19 @@ def _order(order: Sequence[str | Column]) -> list[Column]:
 def hot_groups(df: DataFrame, keys: Sequence[str], limit: int, size: Column | None = None) -> DataFrame | None:
     """Keys with more than ``limit`` rows, or too many bytes by ``size``; None when there are none.
 
-    Checked by running one count per key, combined before the shuffle. Few keys come back: at most
-    one per ``limit`` rows or byte limit.
+    Checked by running one count per key, which reads the keys only and is combined before the
+    shuffle. Few keys come back: at most one per ``limit`` rows or byte limit.
     """
-    size = F.lit(0) if size is None else size
-    counts = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum(size.cast("long")), F.lit(0)).alias("_bytes")
-    )
-    over = (F.col("_n") > limit) | (F.col("_bytes") > BYTE_LIMIT)
-    if not counts.agg(F.max(over)).head()[0]:
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    largest = counts.agg(F.max("_n")).head()[0] or 0
+    if largest <= min(limit, SMALL_GROUP) or (size is None and largest <= limit):
         return None
-    return materialize(counts.filter(over).select(*keys), "hot")
+    over = F.col("_n") > limit
+    if size is not None:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(size.cast("long")).alias("_bytes"))
+        over = over | (F.coalesce("_bytes", F.lit(0)) > BYTE_LIMIT)
+    hot = materialize(counts.filter(over).select(*keys), "hot")
+    return None if hot.isEmpty() else hot
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -21,6 +21,8 @@ def get_session(app: str = "refloom", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # Lists of many small groups stay in hash tables longer before they are sorted instead.
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "10000",
         "spark.sql.session.timeZone": "UTC",
         **conf,
     }

@@ -80,6 +80,7 @@ def test_scan_in_blocks_equals_one_window(spark):
 
 def test_byte_limit_slices_long_texts(spark, monkeypatch):
     monkeypatch.setattr("refloom.operators.skew.BYTE_LIMIT", 1000)
+    monkeypatch.setattr("refloom.operators.skew.SMALL_GROUP", 10)
     monkeypatch.setattr("refloom.operators.aggregate.BYTE_LIMIT", 1000)
     df = spark.createDataFrame([("a", i, "x" * 90) for i in range(50)] + [("b", 1, "y")], "k string, i int, t string")
     got = agg.ordered_text(df, ["k"], F.col("t"), "", ["i"]).collect()
