@@ -54,9 +54,9 @@ def _drug_tables(t):
                       company_name=F.concat(F.lit("CO "), text("l_suppkey")), company_type=F.lit("DIN OWNER")),
         "route": table("route", lines.select("l_partkey", "l_linestatus").distinct(), drug_code=code, route_of_administration_en=F.col("l_linestatus")),
         "form": table("form", lines.filter("l_returnflag = 'R'").select("l_partkey", "l_linenumber").distinct(), drug_code=code, pharmaceutical_form_en=F.col("l_linenumber")),
-        "schedule": table("schedule", lines.limit(0), drug_code=code),
+        "schedule": table("schedule", lines.filter(F.lit(False)), drug_code=code),
         "vet": table("vet", lines.filter("l_quantity = 50").select("l_partkey").distinct(), drug_code=code, veterinary_species_en=F.lit("Cats")),
-        "pharm": table("pharm", lines.limit(0), drug_code=code),
+        "pharm": table("pharm", lines.filter(F.lit(False)), drug_code=code),
         "package": table("package", lines.filter("l_returnflag = 'A' and l_linenumber = 1").select("l_partkey", "l_suppkey").distinct(), drug_code=code, upc=F.col("l_suppkey")),
     }
 
@@ -143,7 +143,7 @@ def patent_unify(t):
     codes = t.lineitem.filter("l_linenumber < 4").select(
         F.concat(F.lit("U-"), text("l_linenumber")).alias("code"), F.concat(F.lit("use "), text("l_linenumber")).alias("definition")
     ).distinct()
-    states = codes.limit(0)
+    states = codes.filter(F.lit(False))
     products = t.part.select(
         F.col("p_name").alias("Trade_Name"), F.lit("N").alias("Appl_Type"), F.lpad(text("p_partkey"), 6, "0").alias("Appl_No"),
         F.lit("001").alias("Product_No"), F.col("p_type").alias("DF;Route"),
