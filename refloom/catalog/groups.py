@@ -423,7 +423,7 @@ def rebuild(t):
 
 def _trial_lines(t):
     """Order pages as label lines: a file per order day, a block per 50 orders, so files span blocks."""
-    orders = t.orders.select(
+    orders = spread(t.orders).select(
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("file"),
         F.floor(F.col("o_orderkey") / 50).alias("block"),
         F.col("o_orderkey").alias("id"),

@@ -23,6 +23,8 @@ def get_session(app: str = "refloom", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         # Lists of many small groups stay in hash tables longer before they are sorted instead.
         "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "10000",
+        # Pages and archives go to Python in batches of rows; rows may be large.
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
         "spark.sql.session.timeZone": "UTC",
         **conf,
     }

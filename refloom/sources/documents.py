@@ -61,7 +61,8 @@ def decode_fallback(raw: str | Column) -> Column:
 def read_zip_members(spark: SparkSession, path: str | list[str], suffix: str, raw: bool = False) -> DataFrame:
     """Members of zip archives by suffix, line by line: (archive, member, pos, line), or (archive, member, content).
 
-    One task per archive; lines leave in batches, so a member is never held whole.
+    Archives are spread over tasks; lines leave in batches, so a member is never held whole. For large
+    archives set ``spark.sql.execution.arrow.maxRecordsPerBatch`` to 1: a batch holds that many archives.
     """
     return zip_members(spark.read.format("binaryFile").load(path), suffix, raw)
 
