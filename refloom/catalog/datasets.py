@@ -164,7 +164,7 @@ def patent_unify(t):
     x AS (SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1)
     SELECT lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS bla_number, p_brand AS proprietary_name, 'Licensed' AS licensure, 'Rx' AS marketing_status,
       CASE p_type WHEN 'PROMO' THEN '351(a)' ELSE '351(k) Biosimilar' END AS license_type,
-      CASE WHEN p_type = 'SMALL' THEN CAST(o.number AS VARCHAR) ELSE 'N/A' END AS resolved_reference_bla,
+      CASE WHEN p_type = 'SMALL' THEN coalesce(CAST(o.number AS VARCHAR), 'N/A') ELSE 'N/A' END AS resolved_reference_bla,
       CASE WHEN p_type = 'PROMO' THEN coalesce(a.n, 0) WHEN p_type = 'SMALL' THEN coalesce(b.n, 0) ELSE 0 END AS associated_patents_count,
       'https://www.accessdata.fda.gov/scripts/cder/daf/index.cfm?event=overview.process&ApplNo=' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS product_label_url
     FROM part LEFT JOIN o ON lower(p_brand) = brand LEFT JOIN x a ON a.l_partkey = nullif(p_partkey, 0) LEFT JOIN x b ON b.l_partkey = o.number
