@@ -355,7 +355,7 @@ def parent_code(t):
 )
 def split_axes(t):
     date = F.date_format("o_orderdate", "yyyy:MM")
-    name = F.concat("o_orderpriority", F.lit("​: "), date, F.when(F.col("o_orderstatus") == "F", "").otherwise(F.concat(F.lit(": "), "o_orderstatus")))
+    name = F.concat("o_orderpriority", F.lit("\u200b: "), date, F.when(F.col("o_orderstatus") == "F", "").otherwise(F.concat(F.lit(": "), "o_orderstatus")))
     return t.orders.select("o_orderkey", *codes.split_axes(name))
 
 

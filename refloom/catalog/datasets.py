@@ -408,7 +408,7 @@ def national_trials(t):
         words=fill("<hc_keyword> kw%s </hc_keyword>", text("l_suppkey")),
     )
     record = fill(
-        "﻿<trial><main><trial_id> ChiCTR%s </trial_id><public_title>%s</public_title></main><contacts>%s</contacts><countries><country2>China</country2><country2>%s</country2></countries><criteria><agemin>%s</agemin></criteria><health_condition_keyword>%s</health_condition_keyword><ethics_reviews><ethics_review><status>Approved</status></ethics_review><ethics_review><status>Second</status></ethics_review></ethics_reviews></trial>",
+        "\ufeff<trial><main><trial_id> ChiCTR%s </trial_id><public_title>%s</public_title></main><contacts>%s</contacts><countries><country2>China</country2><country2>%s</country2></countries><criteria><agemin>%s</agemin></criteria><health_condition_keyword>%s</health_condition_keyword><ethics_reviews><ethics_review><status>Approved</status></ethics_review><ethics_review><status>Second</status></ethics_review></ethics_reviews></trial>",
         text("o_orderkey"), F.col("o_orderpriority"), F.col("contacts"), F.col("o_orderstatus"), text("o_custkey"), F.col("words"),
     )
     raw = spread(materialize(rows.select(record.alias("x")))).select(parse_xml("x", trials.NATIONAL_TRIAL).alias("r")).select("r.*")

@@ -164,7 +164,7 @@ def table_records(t):
 
 
 def _code_pages(t):
-    axes = fill("%s​: %s:%s", F.col("o_orderpriority"), F.col("o_orderstatus"), text("o_custkey"))
+    axes = fill("%s\u200b: %s:%s", F.col("o_orderpriority"), F.col("o_orderstatus"), text("o_custkey"))
     head = F.concat(
         fill('<h2><span id="loinc-id"> %s </span><span id="lcn">Order %s</span></h2>', text("o_orderkey"), text("o_orderkey")),
         F.lit('<section id="term-description"><p itemprop="description"> About it </p></section>'),

@@ -156,7 +156,7 @@ def observations(code_pages: DataFrame) -> DataFrame:
     joined = head
     for table in (names, basic, related, about, units):
         joined = joined.join(table, "page_id", "left")
-    full = F.trim(F.regexp_replace(F.coalesce("fully_specified_name", F.lit("")), r"​", ""))
+    full = F.trim(F.regexp_replace(F.coalesce("fully_specified_name", F.lit("")), r"\u200b", ""))
     rest = ["short_name", "display_name", *BASIC_RULES, "related_names", "example_units"]
     return joined.select(
         "page_id", *[safe_text(c).alias(c) for c in [*IDS.values(), "description"]], full.alias("fully_specified_name"),

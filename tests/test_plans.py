@@ -157,7 +157,7 @@ def test_headings(spark):
 
 
 def test_trial_documents(spark):
-    xml = """﻿<trial><main><trial_id> T1 </trial_id></main><contacts><contact><type>Public</type><lastname>A</lastname></contact>
+    xml = """\ufeff<trial><main><trial_id> T1 </trial_id></main><contacts><contact><type>Public</type><lastname>A</lastname></contact>
       <contact><type>public</type><lastname>B</lastname></contact><contact><type>Scientific/Public</type><lastname>C</lastname></contact></contacts>
       <countries><country2>X</country2><country2> Y</country2></countries></trial>"""
     raw = spark.createDataFrame([(xml,)], "x string").select(parse_xml("x", trials.NATIONAL_TRIAL).alias("r")).select("r.*")

@@ -125,7 +125,7 @@ def test_articles(spark):
 
 def test_observation_page(spark):
     html = """<span id="loinc-id">1-8</span><span id="lcn">Long</span><section id="additional-names"><dl><dt>Fully-Specified Name</dt>
-      <dd>Comp​:Prop:Pt:Ser</dd><dt>Short Name</dt><dd>Sh</dd></dl></section><section id="basic"><dl><dt>Class</dt><dd>CHEM</dd>
+      <dd>Comp\u200b:Prop:Pt:Ser</dd><dt>Short Name</dt><dd>Sh</dd></dl></section><section id="basic"><dl><dt>Class</dt><dd>CHEM</dd>
       <dt>Order vs. Observation</dt><dd>Both</dd></dl></section><section id="related-names"><ul><li>r1</li><li> </li><li>r2</li></ul></section>
       <section id="example-units"><table><tbody><tr><td>mg</td><td>x</td></tr><tr><td>mg</td></tr><tr><td>g</td></tr></tbody></table></section>"""
     (r,) = classes.observations(page(spark, html)).collect()
