@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import io
+import os
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +15,8 @@ TABLES = (
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
     "conversations",
 )
+_SCRATCH: list[str] = []
+_SHIPPED: set[str] = set()
 
 
 def get_session(app: str = "refloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -39,26 +44,61 @@ def get_session(app: str = "refloom", master: str | None = None, **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    Where that is unset, a folder in the warehouse takes its place, which a cluster shares as well.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if named:
-        if current is None:
-            sc.setCheckpointDir(named)
-        return named.rstrip("/")
-    if current:
-        return current.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="refloom-"))
-    return sc.getCheckpointDir().rstrip("/")
+    named = named or sc.getCheckpointDir() or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/refloom_checkpoints"
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(named)
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/refloom/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; ``clear_scratch`` removes all of them."""
+    if not _SCRATCH:
+        atexit.register(clear_scratch)
+    path = f"{shared_dir(spark)}/refloom/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table or file of the shared folder, by Spark's own file system access."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def clear_scratch() -> None:
+    """Delete what finished queries wrote; called at the end of the driver, or earlier when no result is read any more."""
+    spark = SparkSession.getActiveSession()
+    while _SCRATCH:
+        path = _SCRATCH.pop()
+        if spark is not None and spark.sparkContext._jsc is not None:
+            remove(spark, path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that Python steps find it wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(os.path.join(root, __package__)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    z.write(full := os.path.join(folder, name), os.path.relpath(full, root))
+    path = scratch_path(spark, "code") + ".zip"
+    _SCRATCH[-1] = path
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(sc._jsc.hadoopConfiguration()).create(at)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
 
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
