@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from refloom.llm import packing
+from refloom.llm import extraction, fingerprints, packing, secrets
 from refloom.session import Tables
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -15,7 +15,22 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(Tables(spark, sf_dir).documents, VOCABULARY)
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(Tables(spark, sf_dir).documents)
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(Tables(spark, sf_dir).pages)
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(Tables(spark, sf_dir).documents)
+
+
 QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op6_secret_scans": op6_secret_scans,
+    "op9_html_extraction": op9_html_extraction,
+    "op10_fingerprints": op10_fingerprints,
 }
 ORACLE: dict[str, str] = {}
