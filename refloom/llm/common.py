@@ -78,13 +78,28 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     rows = len(words) - n + 1
     out = np.full(rows, n, np.uint64)
     for k in range(n):
-        out = mix((out ^ words[k : k + rows]) * _M1 + np.uint64(k + 1))
-    return out
+        out = out * _M1 + words[k : k + rows]
+    return mix(out)
+
+
+def unique(values: np.ndarray) -> np.ndarray:
+    """Distinct values, ascending, by sorting."""
+    if len(values) < 2:
+        return values
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]]]
+
+
+def contained(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each value is among ``known``, which is ascending."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
     """Distinct shingle hashes of a whole text, ascending."""
-    return np.unique(shingle_hashes(word_hashes(text), size))
+    return unique(shingle_hashes(word_hashes(text), size))
 
 
 def tree_reduce(
@@ -108,5 +123,6 @@ def tree_reduce(
 
 
 __all__ = [
-    "BLOCK", "SPACE", "blocks", "materialize", "mix", "remainder", "shingle_hashes", "shingle_set", "tree_reduce", "word_hashes",
+    "BLOCK", "SPACE", "blocks", "contained", "materialize", "mix", "remainder", "shingle_hashes", "shingle_set", "tree_reduce",
+    "unique", "word_hashes",
 ]

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refloom.llm.common import materialize, mix, shingle_set
+from refloom.llm.common import materialize, mix, shingle_set, unique
 
 BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
@@ -170,7 +170,8 @@ def confirm(
         for x in same[1:]:
             forest.join(int(same[0]), int(x))
     size = np.array([len(s) for s in sets])
-    flat, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    flat = unique(np.concatenate(sets))
+    ids = np.searchsorted(flat, np.concatenate(sets))
     starts = np.r_[0, np.cumsum(size)[:-1]]
     mark = np.zeros(len(flat), bool)
     bits = odd.view(np.uint64).reshape(len(sets), -1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from refloom.llm import extraction, fingerprints, neardup, packing, secrets
+from refloom.llm import decontaminate, extraction, fingerprints, neardup, packing, secrets
 from refloom.session import Tables
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -19,6 +19,11 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(Tables(spark, sf_dir).documents)
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return decontaminate.leaks(t.documents, t.benchmark)
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = neardup.near_duplicates(Tables(spark, sf_dir).documents, words=3, percent=85)
     return out.select("doc_id", "n_shingles", "component_id", "kept")
@@ -35,6 +40,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_secret_scans": op6_secret_scans,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_fingerprints": op10_fingerprints,
