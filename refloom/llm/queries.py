@@ -5,12 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from refloom.llm import decontaminate, extraction, fingerprints, neardup, packing, secrets
+from refloom.llm import decontaminate, extraction, fingerprints, langid, neardup, packing, secrets
 from refloom.session import Tables
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(Tables(spark, sf_dir).documents)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(Tables(spark, sf_dir).documents, VOCABULARY)
 
@@ -38,6 +42,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_secret_scans": op6_secret_scans,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
