@@ -16,11 +16,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refloom.llm.common import materialize, shingle_hashes, word_hashes
+from refloom.llm.common import contained, shingle_hashes, unique, word_hashes
 
 WORDS = 5
 KEPT = 64
@@ -35,18 +34,18 @@ def sketch(text: str | None, words: int = WORDS, kept: int = KEPT) -> np.ndarray
     # Copies of a shingle may crowd the smallest values, so the cut widens until enough distinct ones are below it.
     width = 4 * kept
     while len(hashes) > width:
-        low = np.unique(np.partition(hashes, width)[:width])
+        low = unique(np.partition(hashes, width)[:width])
         if len(low) >= kept:
             return low[:kept]
         width *= 4
-    return np.unique(hashes)[:kept]
+    return unique(hashes)[:kept]
 
 
 def merge(sketches: Iterable[np.ndarray], kept: int = KEPT) -> np.ndarray:
     """Sketch of the union of what the sketches describe."""
     out = _EMPTY
     for s in sketches:
-        out = np.union1d(out, s)[:kept]
+        out = unique(np.concatenate([out, s]))[:kept]
     return out
 
 
@@ -67,8 +66,8 @@ def resemblance(a: np.ndarray, b: np.ndarray, kept: int = KEPT) -> float:
     """Estimated share of common shingles among all of both."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    union = np.union1d(a, b)[:kept]
-    return float(np.isin(union, np.intersect1d(a, b, True), True).sum()) / len(union)
+    union = unique(np.concatenate([a, b]))[:kept]
+    return float((contained(union, a) & contained(union, b)).sum()) / len(union)
 
 
 def containment(a: np.ndarray, b: np.ndarray, kept: int = KEPT) -> float:
@@ -122,55 +121,75 @@ def _row(doc_id, text: str, own: np.ndarray, following: str, after: np.ndarray)
     return doc_id, len(text), sha, to_text(own), to_text(s), resemblance(own, s), resemblance(own, after)
 
 
+def _places(docs: DataFrame, parts: int) -> DataFrame:
+    """Deal documents out to places in ascending order of (id, text hash), with each place's successor row added to it.
+
+    Places are bounded by quantiles of the id; an id that fills several is spread over them by its texts' hashes. Only the bounds and
+    the first row (two numbers) of each place reach the driver.
+    """
+    spark = docs.sparkSession
+    shares = [k / parts for k in range(1, parts)]
+    bounds = docs.agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0] if shares else []
+    bounds = np.array(bounds or [], np.int64)
+
+    def place(ids: pd.Series, hashes: pd.Series) -> np.ndarray:
+        missing = ids.isna().to_numpy()
+        keys = ids.fillna(0).to_numpy(np.int64)
+        share = (hashes.to_numpy(np.int64).astype(float) + 2.0**63) / 2.0**64 * 0.999999
+        left, right = np.searchsorted(bounds, keys, "left"), np.searchsorted(bounds, keys, "right")
+        out = left + np.floor(share * np.maximum(1, right - left)).astype(np.int64)
+        return np.where(missing, np.floor(share * parts).astype(np.int64) - parts, out)
+
+    @F.pandas_udf("long")
+    def own(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series(place(ids, hashes))
+
+    at = own("doc_id", "hash")
+    firsts = docs.select(at.alias("place"), "doc_id", "hash").groupBy("place").agg(
+        F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "hash")).alias("first")
+    )
+    rows = sorted((r["place"], r["first"]["doc_id"], r["first"]["hash"]) for r in firsts.collect())
+    before = {(i, h): rows[k - 1][0] for k, (_, i, h) in enumerate(rows)}
+    shared = spark.sparkContext.broadcast(before)
+
+    @F.pandas_udf("array<long>")
+    def targets(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        known, out = shared.value, []
+        for i, h, p in zip(ids.astype("Int64"), hashes.tolist(), place(ids, hashes).tolist(), strict=True):
+            q = known.get((None if i is pd.NA else int(i), h))
+            out.append([2 * p] if q is None else [2 * p, 2 * q + 1])
+        return pd.Series(out)
+
+    placed = docs.withColumn("target", F.explode(targets("doc_id", "hash")))
+    return placed.withColumn("place", F.floor(F.col("target") / 2))
+
+
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document's fingerprint, that of its text edited with the next document's, and how alike these are.
 
-    Documents are dealt out by ranges of the id and sorted in their partition, where each row meets the one after it. What a partition cannot know is its
-    last row's successor: first and last rows of partitions are written too and joined afterwards.
+    Documents are dealt out once, in ascending order, and every place also gets the row that follows its last one, so that each row meets the
+    next while the place is read; the last document's next is the first.
     """
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    schema = f"{_OUT}, part long, edge string, text string"
 
     def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part = TaskContext.get().partitionId()
         held = None
         for pdf in frames:
             out = []
-            for doc_id, text in zip(pdf["doc_id"].astype("Int64"), pdf["text"].tolist(), strict=True):
+            for doc_id, text, target in zip(pdf["doc_id"].astype("Int64"), pdf["text"].tolist(), pdf["target"].tolist(), strict=True):
+                if held is None and target % 2:
+                    continue  # a copy of the successor: the place has ended already
                 text = text if isinstance(text, str) else ""
                 s = sketch(text)
-                if held is None:
-                    out.append((doc_id, *[None] * 6, part, "first", text))
-                else:
-                    out.append((*_row(*held, text, s), part, None, None))
-                held = doc_id, text, s
-            yield frame(out)
-        if held is not None:
-            yield frame([(held[0], *[None] * 6, part, "last", held[1])])
-
-    def frame(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=[*names, "part", "edge", "text"])
-        return out.astype({"doc_id": "Int64", "n_chars": "Int64", "near_edited": "float64", "near_next": "float64"})
-
-    def join_edges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            rows = [
-                _row(i, t, sketch(t), f, sketch(f))
-                for i, t, f in zip(pdf["doc_id"].astype("Int64"), pdf["text"], pdf["following"], strict=True)
-            ]
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    dealt = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    step = materialize(dealt.mapInPandas(walk, schema), "fingerprints")
-    first = step.filter("edge = 'first'").select("part", F.col("text").alias("following"))
-    last = step.filter("edge = 'last'").select("part", "doc_id", "text")
-    # One row per partition: its number and that of the next one that has rows; the last is followed by the first.
-    parts = first.select("part")
-    order = Window.orderBy("part")
-    after = parts.select(F.col("part"), F.lead("part").over(order).alias("next_part"))
-    head = parts.agg(F.min("part")).first()[0]
-    after = after.withColumn("next_part", F.coalesce("next_part", F.lit(head)))
-    pairs = last.join(after, "part").join(first.withColumnRenamed("part", "next_part"), "next_part")
-    edges = pairs.select("doc_id", "text", "following").mapInPandas(join_edges, _OUT)
-    return step.filter(F.col("edge").isNull()).select(*names).unionByName(edges)
+                if held is not None:
+                    out.append(_row(*held, text, s))
+                held = None if target % 2 else (doc_id, text, s)
+            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64", "n_chars": "int64"})
+
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+        F.xxhash64(F.col(text_col).cast("string")).alias("hash"),
+    )
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
+    dealt = _places(rows, parts).repartitionByRange(parts, "place").sortWithinPartitions("place", "target", "doc_id", "hash")
+    return dealt.select("doc_id", "text", "target").mapInPandas(walk, _OUT)
