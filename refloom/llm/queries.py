@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from refloom.llm import decontaminate, extraction, fingerprints, langid, neardup, packing, secrets
+from refloom.llm import decontaminate, extraction, fingerprints, langid, neardup, packing, secrets, toxicity
 from refloom.session import Tables
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -19,6 +19,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(Tables(spark, sf_dir).documents, VOCABULARY)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return toxicity.toxicity(t.documents, t.labels)
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(Tables(spark, sf_dir).documents)
 
@@ -44,6 +49,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_toxicity": op4_toxicity,
     "op6_secret_scans": op6_secret_scans,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
