@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from refloom.llm import decontaminate, extraction, fingerprints, langid, neardup, packing, secrets, toxicity
+from refloom.llm import decontaminate, extraction, fingerprints, langid, language_model, neardup, packing, secrets, toxicity
 from refloom.session import Tables
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -24,6 +24,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(t.documents, t.labels)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(Tables(spark, sf_dir).documents)
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(Tables(spark, sf_dir).documents)
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_toxicity": op4_toxicity,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_secret_scans": op6_secret_scans,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
