@@ -288,3 +288,16 @@ def near_duplicates(
     return out.select(
         "doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "root"
     )
+
+
+def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns, one of each group of near copies (the one with the smallest id); texts without words all stay."""
+    near = near_duplicates(docs, words, percent, id_col, text_col).filter("n_shingles > 0")
+    best = near.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_key")).alias("b"))
+    chosen = best.select(F.col("b.doc_id").alias("__id"), F.col("b.text_key").alias("__key"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    has_words = text.rlike(r"[^\x20\x09-\x0D]")
+    rows = docs.filter(has_words).withColumn("__text_key", text_key(F.col(text_col)))
+    same = rows[id_col].cast("long").eqNullSafe(chosen["__id"]) & (rows["__text_key"] == chosen["__key"])
+    kept = rows.join(chosen, same, "left_semi").dropDuplicates(["__text_key", id_col]).drop("__text_key")
+    return kept.unionByName(docs.filter(~has_words))

@@ -4,17 +4,35 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from refloom.llm import decontaminate, extraction, fingerprints, langid, language_model, neardup, packing, secrets, toxicity
+from refloom.llm import decontaminate, extraction, fingerprints, langid, language_model, neardup, packing, secrets, token_counts, toxicity
 from refloom.session import Tables
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(Tables(spark, sf_dir).documents)
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three edits of each document: a replacement in the middle, an insertion in the first half, a deletion at the end."""
+    docs = Tables(spark, sf_dir).documents
+    n = F.coalesce(F.length("text"), F.lit(0))
+
+    def change(start, delete, insert):
+        return F.struct(start.cast("int").alias("start"), F.lit(delete).alias("delete"), insert.alias("insert"))
+
+    edits = F.array(
+        change(F.floor(n / 2), 7, F.lit(" Edited passage; it's new.")),
+        change(F.floor(n / 4), 0, F.upper(F.substring("text", 1, 12))),
+        change(n, 3, F.lit("")),
+    )
+    return token_counts.edited_counts(docs, edits, RANKS, public_tokenizers.PATTERN)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(Tables(spark, sf_dir).documents, VOCABULARY)
 
@@ -52,6 +70,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_token_counts": op2_token_counts,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_toxicity": op4_toxicity,
     "op5_lm_scoring": op5_lm_scoring,

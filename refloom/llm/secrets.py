@@ -35,6 +35,7 @@ _WORDS = ("passw", "secret", "token", "api")
 #: Other candidates: runs of this form with capitals, small letters and digits, and so many bits of entropy per character.
 _OTHER = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 LEAST_BITS = 3.5
+MASK = "[SECRET]"
 #: A value that so many owners have is a copied example.
 EXAMPLE_OWNERS = 2
 
@@ -74,7 +75,7 @@ _FOUND = "array<struct<start:int,kind:int,end:int,value:long>>"
 
 def scan(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col: str) -> DataFrame:
     """One row per document, without its text: ``found`` has all candidates with the hash of their value. Written once."""
-    names = ["doc_id", "owner", "repo", "found"]
+    names = ["doc_id", "text_key", "owner", "repo", "found"]
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -92,8 +93,9 @@ def scan(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col:
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(owner_col).cast("string").alias("owner"),
         F.col(repo_col).cast("string").alias("repo"), F.col(text_col).cast("string").alias("text"),
+        F.xxhash64(F.col(text_col).cast("string")).alias("text_key"),
     )
-    found = rows.mapInPandas(find, f"doc_id long, owner string, repo string, found {_FOUND}")
+    found = rows.mapInPandas(find, f"doc_id long, text_key long, owner string, repo string, found {_FOUND}")
     return materialize(found.withColumn("row", F.monotonically_increasing_id()), "secrets")
 
 
@@ -141,3 +143,51 @@ def secrets(
         F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(every).alias("spans"),
         F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_example", zero).alias("n_example"),
     )
+
+
+def mask(text: str, spans: list[tuple[int, int]], sign: str = MASK) -> str:
+    """``text`` with every stretch that the spans cover replaced by one sign."""
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if end <= at:
+            continue
+        if start >= at:
+            out += [text[at:start], sign]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def redacted(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id",
+    example_owners: int = EXAMPLE_OWNERS, length_col: str = "n_chars",
+) -> DataFrame:
+    """The documents, all columns, with base spans and live values masked in the text; other texts stay as they are.
+
+    A column ``length_col``, if there is one, follows the texts that change.
+    """
+    found = scan(docs, id_col, text_col, owner_col, repo_col)
+    others = found.select("doc_id", "text_key", F.explode("found").alias("s")).select("doc_id", "text_key", "s.*").filter("kind = 3")
+    live = others.join(ownership(found).filter(F.col("owners") < example_owners), "value", "left_semi")
+    by_text = live.groupBy(F.col("text_key").alias("__text_key")).agg(
+        F.collect_set(F.struct("start", "end")).alias("__live")
+    )
+
+    @F.pandas_udf("string")
+    def masked(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        out = []
+        for text, more in zip(texts.tolist(), spans.tolist(), strict=True):
+            if isinstance(text, str) and text:
+                places = [(a, b) for a, _, b, _ in base_spans(text)]
+                if more is not None:
+                    places += [(x["start"], x["end"]) for x in more]
+                text = mask(text, places) if places else text
+            out.append(text)
+        return pd.Series(out, dtype=object)
+
+    text = F.col(text_col).cast("string")
+    joined = docs.withColumn("__text_key", F.xxhash64(text)).join(by_text, "__text_key", "left")
+    out = joined.withColumn("__masked", masked(text, F.col("__live")))
+    if length_col in docs.columns:
+        length = F.length("__masked").cast(docs.schema[length_col].dataType)
+        out = out.withColumn(length_col, F.when(F.col("__masked") != text, length).otherwise(F.col(length_col)))
+    return out.withColumn(text_col, F.col("__masked")).select(*docs.columns)

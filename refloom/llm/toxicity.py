@@ -413,3 +413,9 @@ def toxicity(
     net = train(docs, labels, rest(F.col("doc_id")), id_col, text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), rest(F.col(id_col)).alias("held_out"), scorer(net, docs, text_col).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, all columns, that are not toxic; learns from all labels."""
+    net = train(docs, labels, None, id_col, text_col)
+    return docs.filter(scorer(net, docs, text_col) < threshold)
