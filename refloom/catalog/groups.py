@@ -244,7 +244,8 @@ def flat_profile(t):
     suppliers = agg.union_lists(packed, ["o_orderkey"], "suppliers")
     returned = lines.filter("l_returnflag = 'R'").select("o_orderkey", "l_partkey").distinct()
     base = t.orders.select("o_orderkey", "o_orderstatus").join(facts, "o_orderkey", "left")
-    return agg.attach_parts(base, ["o_orderkey"], [suppliers]).join(returned, "o_orderkey", "left")
+    returned = returned.withColumn("part", F.lit(0).cast("long"))
+    return agg.attach_parts(base, ["o_orderkey"], [suppliers]).join(returned, ["o_orderkey", "part"], "left")
 
 
 @query(

@@ -229,10 +229,10 @@ def limit_per_partition(t):
     return order.limit_per_partition(t.orders.select("o_orderpriority", "o_orderkey"), "o_orderpriority", 1000, 5, ["o_orderkey"])
 
 
-@query("union_tagged", "SELECT event_id, user_id, event_type AS variant FROM events WHERE event_type IN ('click', 'view', 'error')")
+@query("union_tagged", "SELECT event_id, user_id, event_type AS variant FROM events")
 def union_tagged(t):
     rows = t.events.select("event_id", "user_id", "event_type")
-    kinds = ("click", "view", "error")
+    kinds = [r[0] for r in rows.select("event_type").distinct().collect()]
     return setops.union_tagged({k: rows.filter(F.col("event_type") == k).drop("event_type") for k in kinds}, "variant")
 
 

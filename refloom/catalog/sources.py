@@ -304,21 +304,23 @@ def json_flat(t):
 @query(
     "property_lookup",
     """
-    SELECT l_orderkey,
-      coalesce(max(l_partkey) FILTER (WHERE l_returnflag = 'A'), max(l_suppkey) FILTER (WHERE l_returnflag = 'A')) AS found
-    FROM lineitem GROUP BY l_orderkey HAVING found IS NOT NULL
+    SELECT l_orderkey, coalesce(max(l_partkey) FILTER (WHERE l_returnflag = 'A' AND l_linestatus = 'F' AND l_linenumber > 2),
+      min(l_suppkey) FILTER (WHERE l_returnflag = 'A' AND l_suppkey % 3 <> 0)) AS found
+    FROM lineitem GROUP BY l_orderkey
     """,
 )
 def property_lookup(t):
-    """Kind to value lists: the last calculated value, else the last experimental one."""
+    """Kind to value lists: the last calculated value, else the first experimental one that is not empty; NULL without any."""
     from refloom.operators.aggregate import ordered_list
 
-    def listed(value, out):
-        entry = F.struct(F.col("l_returnflag").alias("kind"), F.col(value).cast("string").alias("value"))
-        return ordered_list(t.lineitem, ["l_orderkey"], entry, [value], out)
+    def listed(value, kind, known, out):
+        shown = F.when(known, F.col(value).cast("string")).otherwise("")
+        return ordered_list(t.lineitem, ["l_orderkey"], F.struct(kind.alias("kind"), shown.alias("value")), [value], out)
 
-    rows = listed("l_partkey", "calculated").join(listed("l_suppkey", "experimental"), ["l_orderkey", "part"])
+    late = (F.col("l_linestatus") == "F") & (F.col("l_linenumber") > 2)
+    kind = F.when(late, F.col("l_returnflag")).otherwise("other")
+    calculated = listed("l_partkey", kind, F.lit(True), "calculated")
+    measured = listed("l_suppkey", F.col("l_returnflag"), F.col("l_suppkey") % 3 != 0, "experimental")
     found = lookup([F.col("calculated"), F.col("experimental")], "A")
-    return rows.select("l_orderkey", found.cast("string").alias("t")).filter("t <> ''").select(
-        "l_orderkey", F.col("t").cast("long").alias("found")
-    )
+    rows = calculated.join(measured, ["l_orderkey", "part"])
+    return rows.select("l_orderkey", F.nullif(found, F.lit("")).cast("long").alias("found"))

@@ -60,8 +60,9 @@ def last_where(arr: Column | str, test: Callable[[Column], Column], field: str)
 
 
 def lookup(arrays: list[Column], kind: str, key: str = "kind", value: str = "value") -> Column:
-    """Value stored under a kind: the last entry of the first list that has a non-empty one."""
-    found = [F.nullif(last_where(a, lambda x: x[key] == kind, value), F.lit("")) for a in arrays]
+    """Value stored under a kind: the last entry of the first list, else the first non-empty one of the others, in their order."""
+    found = [F.nullif(last_where(arrays[0], lambda x: x[key] == kind, value), F.lit(""))]
+    found += [first_where(a, lambda x: (x[key] == kind) & (x[value] != ""), value) for a in arrays[1:]]
     return F.coalesce(*found, F.lit(""))
 
 

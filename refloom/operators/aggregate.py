@@ -8,13 +8,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from refloom.operators.skew import BYTE_LIMIT, GROUP_LIMIT, hot_groups, join_keys, slice_hot
+from refloom.operators.skew import GROUP_LIMIT, hot_groups, join_keys, slice_hot
 from refloom.session import materialize
 
-MAX_COLUMNS = 5_000
-
 
 @dataclass
 class Child:
@@ -53,29 +50,19 @@ def _gather(
 ) -> list[DataFrame]:
     """Arrays of child values per key and part, in order, NULL where a key has none; texts if ``sep`` is given.
 
-    Children that share one table are gathered in one grouping. Only when that table has oversized
-    keys, by rows or by bytes of text, is each child sliced on its own, by its own order.
+    Children that share one table are gathered in one grouping; where that table has keys of more than ``limit`` rows, each child
+    is sliced on its own, by its own order. Values with the same position in every key's order make the same part either way.
     """
     out = []
     for rows, group in _by_table(children):
-        sizes = [_size(rows, c.value) for c in group]
-        hot = hot_groups(rows, keys, limit, reduce(lambda a, b: a + b, sizes))
+        hot = hot_groups(rows, keys, limit)
         if hot is None:
             out.append(_collect(rows, group, keys, None, limit, sep))
-            continue
-        # A slice of this many values stays below the byte limit, however long each is.
-        longest = [rows.agg(F.max(size)).head()[0] or 0 for size in sizes]
-        for c, most in zip(group, longest):
-            out.append(_collect(rows, [c], keys, hot, max(1, min(limit, BYTE_LIMIT // max(most, 1))), sep))
+        else:
+            out += [_collect(rows, [c], keys, hot, limit, sep) for c in group]
     return out
 
 
-def _size(rows: DataFrame, value: Column) -> Column:
-    """Bytes of a text value; other values count as nothing."""
-    kind = rows.select(value.alias("v")).schema["v"].dataType
-    return F.coalesce(F.octet_length(value), F.lit(0)) if isinstance(kind, T.StringType) else F.lit(0)
-
-
 def _by_table(children: Sequence[Child]) -> list[tuple[DataFrame, list[Child]]]:
     tables: dict[int, tuple[DataFrame, list[Child]]] = {}
     for c in children:
@@ -176,11 +163,8 @@ def longest_wins(df: DataFrame, keys: Sequence[str], text: str, name: str, order
 
 
 def map_columns(df: DataFrame, record: str, first: Sequence[str] = ()) -> list[str]:
-    """All keys of a map column: the pinned ones first, the rest sorted. Checked against a width limit."""
-    keys = df.select(F.explode(F.map_keys(record)).alias("k")).distinct()
-    found = [r.k for r in keys.limit(MAX_COLUMNS + 1).collect()]
-    if len(found) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} distinct keys: keep this data as key/value rows")
+    """All keys of a map column: the pinned ones first, the rest sorted. They become the columns of one schema."""
+    found = [r.k for r in df.select(F.explode(F.map_keys(record)).alias("k")).distinct().collect()]
     return [c for c in first if c in found] + sorted(set(found) - set(first))
 
 
@@ -201,8 +185,7 @@ def build_tree(
     """Nest levels of nodes into their parents, bottom up. Each level has ``code`` and ``parent_code``.
 
     Returns root nodes with a JSON ``children`` text; a node whose parent is missing becomes a root.
-    Children are ordered by code. A node with more than ``limit`` children, or more than the byte
-    limit below it, appears once per part.
+    Children are ordered by code. A node with more than ``limit`` children appears once per part.
     """
     roots: list[DataFrame] = []
     below: DataFrame | None = None

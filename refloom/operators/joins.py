@@ -15,8 +15,6 @@ from refloom.operators.dedup import dedup_first
 from refloom.operators.select import INVALID_NAMES, contains_any
 from refloom.operators.skew import GROUP_LIMIT, join_keys
 
-BROADCAST_ROWS = 200_000
-
 
 def left_attach(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left equi join, one row per match, unmatched left rows kept."""
@@ -39,9 +37,7 @@ def pending(rows: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
 def enrich_codes(
     df: DataFrame, codes: DataFrame, on: Sequence[str], text: str, default: str = ""
 ) -> DataFrame:
-    """Add the text of a code. The code map is broadcast when its size, counted here, is small."""
-    if codes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        codes = F.broadcast(codes)
+    """Add the text of a code. Whether the code map is broadcast is left to its size at run time."""
     return df.join(codes, list(on), "left").withColumn(text, F.coalesce(F.col(text), F.lit(default)))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refloom.operators.skew import GROUP_LIMIT, number_ranges, number_rows
+from refloom.operators.skew import GROUP_LIMIT, number_ranges, number_rows, tie
 
 # Window group limit in Spark works up to this many rows per group.
 WINDOW_LIMIT = 1_000
@@ -24,10 +24,13 @@ def limit_ordered(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
 
 
 def page(df: DataFrame, number: int, size: int, order: Sequence[str | Column]) -> DataFrame:
-    """Page ``number`` (from 1). Deep pages are found by position in sorted ranges, not by skipping rows."""
+    """Page ``number`` (from 1). Deep pages are found by position in sorted ranges, not by skipping rows.
+
+    Both ways use the same order, in which ties follow their content, so pages never overlap.
+    """
     start = (number - 1) * size
     if start + size <= GROUP_LIMIT:
-        return df.orderBy(*order).offset(start).limit(size)
+        return df.orderBy(*order, tie(df)).offset(start).limit(size)
     rows = number_ranges(df, order, out="_rn")
     return rows.filter(F.col("_rn").between(start + 1, start + size)).drop("_rn")
 
@@ -44,7 +47,7 @@ def limit_per_partition(
     """Split a global limit evenly over partitions: the first ``total // parts`` rows of each."""
     share = total // parts
     if share <= WINDOW_LIMIT:
-        rows = df.withColumn("_rn", F.row_number().over(Window.partitionBy(part).orderBy(*order)))
+        rows = df.withColumn("_rn", F.row_number().over(Window.partitionBy(part).orderBy(*order, tie(df))))
     else:
         rows = number_rows(df, [part], order, "_rn", limit)
     return rows.filter(F.col("_rn") <= share).drop("_rn")

@@ -15,11 +15,9 @@ from pyspark.sql import functions as F
 
 from refloom.session import materialize
 
+# Rows of a key that make one part of its list or text. A fixed rule for every key, whatever else is in the table: rows 1 to
+# GROUP_LIMIT in the order of the list are part 0, the next ones part 1, and so on.
 GROUP_LIMIT = 100_000
-# Text gathered into one cell or document.
-BYTE_LIMIT = 64 * 1024 * 1024
-# Groups of so few rows are gathered whatever their text: each of the rows was one row before.
-SMALL_GROUP = 1_000
 
 
 def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -33,22 +31,16 @@ def _order(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], limit: int, size: Column | None = None) -> DataFrame | None:
-    """Keys with more than ``limit`` rows, or too many bytes by ``size``; None when there are none.
+def hot_groups(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
+    """Keys with more than ``limit`` rows; None when there are none. This only chooses how positions are found, never what they are.
 
     Checked by running one count per key, which reads the keys only and is combined before the
-    shuffle. Few keys come back: at most one per ``limit`` rows or byte limit.
+    shuffle. Few keys come back: at most one per ``limit`` rows.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest = counts.agg(F.max("_n")).head()[0] or 0
-    if largest <= min(limit, SMALL_GROUP) or (size is None and largest <= limit):
+    if (counts.agg(F.max("_n")).head()[0] or 0) <= limit:
         return None
-    over = F.col("_n") > limit
-    if size is not None:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(size.cast("long")).alias("_bytes"))
-        over = over | (F.coalesce("_bytes", F.lit(0)) > BYTE_LIMIT)
-    hot = materialize(counts.filter(over).select(*keys), "hot")
-    return None if hot.isEmpty() else hot
+    return materialize(counts.filter(F.col("_n") > limit).select(*keys), "hot")
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -56,15 +48,18 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataF
     return join_keys(df, hot, keys, "left_anti"), join_keys(df, hot, keys, "left_semi")
 
 
+def tie(df: DataFrame) -> Column:
+    """Last order column of every numbering: rows that are equal in the given order follow a hash of their content."""
+    return F.xxhash64(*[f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+
+
 def number_ranges(df: DataFrame, order: Sequence[str | Column], keys: Sequence[str] = (), out: str = "rn") -> DataFrame:
     """1-based row number per key in ``order``, computed over sorted ranges.
 
     The sorted ranges are written once: the numbers and the range sizes must come from the same
     ranges, also when a lost executor makes Spark run a part again.
     """
-    # Rows with equal keys and order can still fall into different ranges by their content.
-    content = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    sort = [F.col(k) for k in keys] + _order(order) + [F.xxhash64(*content)]
+    sort = [F.col(k) for k in keys] + [*_order(order), tie(df)]
     ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
     ranged = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()), "ranges")
     ranged = ranged.withColumn("_range", F.shiftright("_at", 33))
@@ -83,7 +78,7 @@ def number_rows(
 ) -> DataFrame:
     """1-based row number per key: a window for ordinary keys, sorted ranges for hot ones."""
     hot = hot_groups(df, keys, limit)
-    window = F.row_number().over(Window.partitionBy(*keys).orderBy(*_order(order))).cast("long")
+    window = F.row_number().over(Window.partitionBy(*keys).orderBy(*_order(order), tie(df))).cast("long")
     if hot is None:
         return df.withColumn(out, window)
     cold, warm = split_hot(df, keys, hot)

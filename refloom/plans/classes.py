@@ -9,7 +9,7 @@ from refloom.functions.arrays import pack
 from refloom.functions.codes import class_parent, code_level, code_range, split_axes
 from refloom.functions.text import clean_text, link_target, safe_text, strip_title
 from refloom.operators import pages
-from refloom.operators.aggregate import build_tree, longest_wins, ordered_text
+from refloom.operators.aggregate import attach_parts, build_tree, longest_wins, ordered_text
 from refloom.operators.dedup import dedup_last
 from refloom.operators.joins import leaf_flag
 from refloom.operators.setops import union_levels
@@ -88,14 +88,14 @@ def disease_blocks(blocks: DataFrame) -> DataFrame:
 
 
 def chapters(chapter_pages: DataFrame) -> DataFrame:
-    """Chapter pages: title, code range and packed rubrics."""
+    """Chapter pages: title, code range and packed rubrics; a page with an oversized rubric goes on in further parts."""
     heads = pages.elements(chapter_pages, ["h1"])
     heads = heads.groupBy("page_id").agg(F.min_by("spaced", "seq").alias("title"))
-    kinds = pages.rubric_lists(chapter_pages).filter("part = 0").groupBy("page_id").agg(
+    kinds = pages.rubric_lists(chapter_pages).groupBy("page_id", "part").agg(
         *[F.max(F.when(F.col("kind") == k, F.col("texts"))).alias(k) for k in ("inclusions", "exclusions", "notes")]
     )
-    return heads.join(kinds, "page_id", "left").select(
-        "page_id", "title", code_range("title").alias("code_range"),
+    return attach_parts(heads, ["page_id"], [kinds]).select(
+        "page_id", "part", "title", code_range("title").alias("code_range"),
         *[F.coalesce(k, F.lit("")).alias(k) for k in ("inclusions", "exclusions", "notes")],
     )
 
@@ -133,7 +133,7 @@ IDS = {"loinc-id": "loinc_num", "lcn": "long_common_name", "loinc-status": "stat
 
 
 def observations(code_pages: DataFrame) -> DataFrame:
-    """Observation code pages: names, axes, attributes, related names and units."""
+    """Observation code pages: names, axes, attributes, related names and units, by part."""
     found = pages.parsed(code_pages, ["section", "span", "dl", "dt", "dd", "li", "tr", "td", "p"])
     spans = found.filter("tag = 'span'").withColumn("id", F.col("attrs")["id"])
     head = spans.groupBy("page_id").agg(*[
@@ -145,20 +145,21 @@ def observations(code_pages: DataFrame) -> DataFrame:
     sections = found.filter("tag = 'section'").select("page_id", F.col("seq").alias("parent"), F.col("attrs")["id"].alias("section"))
     inside = found.join(sections, ["page_id", "parent"])
     related = inside.filter("tag = 'li' and section = 'related-names' and trim(text) <> ''")
-    related = ordered_text(related, ["page_id"], F.trim("text"), "; ", [F.col("seq")], "related_names").filter("part = 0").drop("part")
+    related = ordered_text(related, ["page_id"], F.trim("text"), "; ", [F.col("seq")], "related_names")
     about = inside.filter((F.col("tag") == "p") & (F.col("attrs")["itemprop"] == "description") & (F.col("section") == "term-description"))
     about = about.groupBy("page_id").agg(F.min_by(F.trim("text"), "seq").alias("description"))
     unit_rows = inside.filter("tag = 'tr' and section = 'example-units'").select("page_id", F.col("seq").alias("parent"))
     units = found.filter("tag = 'td'").join(unit_rows, ["page_id", "parent"])
     units = units.groupBy("page_id", "parent").agg(F.min_by(F.trim("text"), "seq").alias("unit")).filter("unit <> ''")
     units = units.groupBy("page_id", "unit").agg(F.min("parent").alias("at"))
-    units = ordered_text(units, ["page_id"], F.col("unit"), "; ", [F.col("at")], "example_units").filter("part = 0").drop("part")
+    units = ordered_text(units, ["page_id"], F.col("unit"), "; ", [F.col("at")], "example_units")
     joined = head
-    for table in (names, basic, related, about, units):
+    for table in (names, basic, about):
         joined = joined.join(table, "page_id", "left")
+    joined = attach_parts(joined, ["page_id"], [related, units])
     full = F.trim(F.regexp_replace(F.coalesce("fully_specified_name", F.lit("")), r"\u200b", ""))
     rest = ["short_name", "display_name", *BASIC_RULES, "related_names", "example_units"]
     return joined.select(
-        "page_id", *[safe_text(c).alias(c) for c in [*IDS.values(), "description"]], full.alias("fully_specified_name"),
+        "page_id", "part", *[safe_text(c).alias(c) for c in [*IDS.values(), "description"]], full.alias("fully_specified_name"),
         *split_axes(full), *[F.coalesce(c, F.lit("")).alias(c) for c in rest],
     )

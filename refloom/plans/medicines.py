@@ -43,7 +43,11 @@ def trials(base: DataFrame, order: str = "document_url") -> DataFrame:
 
 
 def dossier(base: DataFrame, order: str = "document_url") -> DataFrame:
-    """Medicine profiles by trials: trials that share number or title count once, medicines without any stay."""
+    """Medicine profiles by trials: trials that share number or title count once, medicines without any stay.
+
+    Facts and trials are joined to the first part of a medicine; further parts only go on with its list of trial numbers.
+    """
     named = trials(base, order)
     once = dedup_either(named, KEYS, "nct_id", "brief_title", [order, "item_pos"])
-    return join_keys(profiles(base, order), once.select(*KEYS, *DOSSIER_TRIAL_COLUMNS), KEYS, "left")
+    named = once.select(*KEYS, *DOSSIER_TRIAL_COLUMNS).withColumn("part", F.lit(0).cast("long"))
+    return join_keys(profiles(base, order), named, [*KEYS, "part"], "left")

@@ -236,9 +236,8 @@ def flatten_record(record: Column) -> list[Column]:
 
 
 def flat_pages(trial_pages: DataFrame) -> DataFrame:
-    """Trial pages to flat rows."""
+    """Trial pages to flat rows, by part: part 0 has everything, further parts go on with oversized lists."""
     found = dedup_last(materialize(page_records(trial_pages), "records"), ["page_id", "label", "part"], ["value"])
-    number = F.when(F.col("_p") > 0, F.concat(F.lit(" #"), F.col("_p").cast("string"))).otherwise("")
-    entry = F.struct(F.concat("label", number).alias("key"), "value")
-    maps = ordered_list(found.withColumnRenamed("part", "_p"), ["page_id"], entry, ["label", "_p"], "kv")
-    return maps.select("page_id", *flatten_record(F.map_from_entries("kv")))
+    entries = F.sort_array(F.collect_list(F.struct(F.col("label").alias("key"), "value")))
+    maps = found.groupBy("page_id", "part").agg(entries.alias("kv"))
+    return maps.select("page_id", "part", *flatten_record(F.map_from_entries("kv")))

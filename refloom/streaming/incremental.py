@@ -96,8 +96,3 @@ def stream_once(
     reader.load(source).writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(
         availableNow=True
     ).start().awaitTermination()
-
-
-def batch_once(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The same in batch, with a fixed choice of the row kept."""
-    return dedup_first(df, keys, order)

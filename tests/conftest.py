@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark():
     session = get_session("tests", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
-        "spark.ui.showConsoleProgress": "false",
+        "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="refloom-tests-"),
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -43,13 +43,9 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<o_orderstatus:string>" in text
 
 
-def test_code_map_is_broadcast_only_when_small(spark, monkeypatch):
-    import refloom.operators.joins as joins
-
+def test_code_map_join_is_left_to_run_time(spark):
     t = Tables(spark, SF_DIR)
     codes = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("d"))
-    assert "strategy=broadcast" in enrich_codes(t.customer, codes, ["c_nationkey"], "d")._jdf.queryExecution().logical().toString()
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
     assert "strategy=broadcast" not in enrich_codes(t.customer, codes, ["c_nationkey"], "d")._jdf.queryExecution().logical().toString()
 
 

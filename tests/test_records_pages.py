@@ -114,7 +114,7 @@ def test_trial_page(spark):
     assert (got.contact_scientific_name, got.contact_scientific_email, got.exclusion_details) == ("Ann", "a@b", "none")
     assert got.health_conditions == '[{"type":"P","condition":"Flu"}]' and got.source_of_monetary_support == '["Fund"]'
     assert got.sites_of_study == "[]" and got.pi_name == ""
-    assert len(got) == 55
+    assert len(got) == 56 and got.part == 0
 
 
 def test_articles(spark):

@@ -1,5 +1,6 @@
 """Numbering, slicing and scans give the same result for ordinary and oversized keys."""
 
+import json
 import random
 
 from conftest import rows
@@ -78,11 +79,60 @@ def test_scan_in_blocks_equals_one_window(spark):
     assert rows(one) == rows(two)
 
 
-def test_byte_limit_slices_long_texts(spark, monkeypatch):
-    monkeypatch.setattr("refloom.operators.skew.BYTE_LIMIT", 1000)
-    monkeypatch.setattr("refloom.operators.skew.SMALL_GROUP", 10)
-    monkeypatch.setattr("refloom.operators.aggregate.BYTE_LIMIT", 1000)
-    df = spark.createDataFrame([("a", i, "x" * 90) for i in range(50)] + [("b", 1, "y")], "k string, i int, t string")
-    got = agg.ordered_text(df, ["k"], F.col("t"), "", ["i"]).collect()
-    assert max(len(r.text) for r in got) <= 1000
-    assert sum(len(r.text) for r in got if r.k == "a") == 4500 and [r.part for r in got if r.k == "b"] == [0]
+def test_parts_follow_one_rule(spark):
+    """A key's parts depend on its own rows only, not on other keys or the length of values."""
+    small = [("a", i, "x" * 90) for i in range(50)]
+    alone = spark.createDataFrame(small, "k string, i int, t string")
+    beside = spark.createDataFrame(small + [("b", i, "y") for i in range(500)], "k string, i int, t string")
+    got = [rows(agg.ordered_text(df, ["k"], F.col("t"), "", ["i"], limit=20).filter("k = 'a'")) for df in (alone, beside)]
+    assert got[0] == got[1] and sorted(r[1] for r in got[0]) == [0, 1, 2]
+    assert rows(agg.ordered_text(beside, ["k"], F.col("t"), "", ["i"]).filter("k = 'a'")) == [("a", 0, "x" * 4500)]
+
+
+def test_pages_over_ties_are_disjoint(spark, monkeypatch):
+    import refloom.operators.order as order
+
+    df = spark.createDataFrame([(i, i % 3) for i in range(1000)], "id int, v int").repartition(7)
+    monkeypatch.setattr(order, "GROUP_LIMIT", 300)
+    shown = [r.id for n in range(1, 11) for r in order.page(df, n, 100, ["v"]).collect()]
+    assert sorted(shown) == list(range(1000))
+    numbered = {r.id: r.page for r in order.page_slices(df, 100, ["v"]).collect()}
+    assert all(numbered[i] == n // 100 + 1 for n, i in enumerate(shown))
+    monkeypatch.setattr(order, "WINDOW_LIMIT", 5)
+    ways = [rows(order.limit_per_partition(df.withColumn("p", F.lit(1)), "p", 50, 1, ["v"], limit=n)) for n in (10, 100_000)]
+    monkeypatch.setattr(order, "WINDOW_LIMIT", 1000)
+    assert ways[0] == ways[1] == rows(order.limit_per_partition(df.withColumn("p", F.lit(1)), "p", 50, 1, ["v"]))
+
+
+# Every consumer of parts, over the limit: the content of all parts together is that of the whole.
+
+
+def test_consumers_of_parts_keep_everything(spark, monkeypatch):
+    from refloom.plans import classes, medicines, trials
+
+    for f in (agg.ordered_text, agg.ordered_list, agg.text_master, agg.nested_master, agg.union_lists):
+        monkeypatch.setattr(f, "__defaults__", tuple(7 if d == agg.GROUP_LIMIT else d for d in f.__defaults__))
+    names = "".join(f"<li>n{i:02d}</li>" for i in range(30))
+    html = f"<span id='loinc-id'>1-8</span><section id='related-names'><ul>{names}</ul></section>"
+    page = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    parts = sorted((r.part, r.related_names, r.loinc_num) for r in classes.observations(page).collect())
+    assert "; ".join(p[1] for p in parts).split("; ") == [f"n{i:02d}" for i in range(30)] and {p[2] for p in parts} == {"1-8"}
+    sites = "".join(f"<tr><td>S{i}</td><td>c</td></tr>" for i in range(30))
+    html = (
+        "<table border='1'><tr><td>CTRI Number</td><td>CTRI/2021/05/033 [Registered on: 03/05/2021] Trial Registered Prospectively</td></tr><tr><td>Phase</td><td>3</td></tr><tr><td>Sites of Study</td><td><table>"
+        f"<tr><td>No of Sites = 30</td></tr><tr><th>Name of Site</th><th>City</th></tr>{sites}</table></td></tr></table>"
+    )
+    page = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    got = sorted(trials.flat_pages(page).collect(), key=lambda r: r.part)
+    found = [x["name_of_site"] for r in got for x in json.loads(r.sites_of_study)]
+    assert found == [f"S{i}" for i in range(30)] and [r.ctri_id for r in got] == ["CTRI/2021/05/033"] + [""] * (len(got) - 1)
+    base = spark.createDataFrame(
+        [("m", "7", f"d{i:02d}", f"N{i:02d}", json.dumps([{"nct_id": f"T{i}", "brief_title": f"B{i}"}])) for i in range(30)],
+        "medicine_name string, ema_product_number string, document_url string, nct_numbers string, clinical_trials_json string",
+    )
+    missing = [c for c in [*medicines.DOSSIER_MASTER_COLUMNS, *medicines.DOSSIER_TEXT_COLUMNS, "document_type"] if c not in base.columns]
+    base = base.select("*", *[F.lit("x").alias(c) for c in missing])
+    got = medicines.dossier(base).collect()
+    assert sorted(r.nct_id for r in got if r.nct_id) == sorted(f"T{i}" for i in range(30))
+    numbers = {r.part: r.nct_numbers for r in got}
+    assert ",".join(numbers[p] for p in sorted(numbers)).split(",") == [f"N{i:02d}" for i in range(30)]
