@@ -113,7 +113,7 @@ def read_mapping(t):
     """,
 )
 def read_maybe_header(t):
-    """No header in these files, and rows of two and three cells."""
+    """Rows of two and three cells, without a header."""
     code = F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))
     line = F.when(F.col("s_nationkey") < 10, F.concat_ws("\t", code, "s_name")).otherwise(
         F.concat_ws("\t", code, "s_name", "s_nationkey")
@@ -153,15 +153,15 @@ def read_sections(t):
 @query(
     "sink_roundtrip",
     """
-    SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, coalesce(nullif(p_brand, 'Brand#1'), '') AS p_brand,
-      p_type || '; ' || p_name AS tags, '' AS missing
+    SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name || chr(10) || '"' || p_size || '",' || chr(10) AS p_name,
+      coalesce(nullif(p_brand, 'Brand#1'), '') AS p_brand, p_type || '; ' || p_name AS tags, '' AS missing
     FROM part
     """,
 )
 def sink_roundtrip(t):
-    """CSV and back: NULL becomes empty, a list its packed text, an undeclared column is dropped."""
+    """CSV and back: line breaks and quotes stay, NULL becomes empty, a list its packed text, an undeclared column is dropped."""
     rows = t.part.select(
-        "p_partkey", "p_name", F.nullif("p_brand", F.lit("Brand#1")).alias("p_brand"),
+        "p_partkey", F.concat("p_name", F.lit('\n"'), F.col("p_size").cast("string"), F.lit('",\n')).alias("p_name"), F.nullif("p_brand", F.lit("Brand#1")).alias("p_brand"),
         F.array("p_type", "p_name").alias("tags"), "p_size",
     )
     columns = ["p_partkey", "p_name", "p_brand", "tags", "missing"]
@@ -170,6 +170,73 @@ def sink_roundtrip(t):
     return sinks.read_written(t.spark, path, columns)
 
 
+@query(
+    "scan_two_headers",
+    """
+    SELECT CAST(p_partkey AS VARCHAR) AS key, p_name AS name, CASE WHEN p_size < 25 THEN p_brand ELSE '' END AS brand,
+      CASE WHEN p_size < 25 THEN '' ELSE p_type END AS kind FROM part
+    UNION ALL SELECT 'key', 'name', 'brand', '' FROM region
+    """,
+)
+def scan_two_headers(t):
+    """Files with other columns in another order, and rows below the first line that look like a header."""
+    path = scratch_path(t.spark, "tilde")
+    small = t.part.filter("p_size < 25").select(F.concat_ws("~", "p_partkey", "p_name", "p_brand").alias("key~name~brand"))
+    fake = t.region.select(F.lit("key~name~brand").alias("key~name~brand"))
+    large = t.part.filter("p_size >= 25").select(F.concat_ws("~", "p_type", "p_partkey", "p_name").alias("kind~key~name"))
+    options = {"header": True, "quote": "", "sep": "\t"}
+    small.unionByName(fake).write.options(**options).csv(f"{path}/a")
+    large.write.options(**options).csv(f"{path}/b")
+    return delimited.read_delimited(t.spark, [f"{path}/a", f"{path}/b"], "~")
+
+
+@query(
+    "read_header_table",
+    "SELECT 'S' || s_suppkey AS \"Concept Code\", s_name AS col_2, CASE WHEN s_nationkey < 10 THEN '' ELSE 'x' END AS column_3 FROM supplier",
+)
+def read_header_table(t):
+    """A header line in every file, with an empty cell, narrower than some rows."""
+    code = F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))
+    line = F.concat_ws("\t", code, "s_name", F.when(F.col("s_nationkey") >= 10, F.lit("x")))
+    path = scratch_path(t.spark, "titled")
+    rows = t.supplier.select(line.alias("Concept Code\t"))
+    rows.repartition(3).write.options(header=True, quote="", sep="\u0001", ignoreTrailingWhiteSpace=False).csv(path)
+    return delimited.read_maybe_header(t.spark, path)
+
+
+@query(
+    "section_tables",
+    """
+    SELECT CAST(c_custkey AS VARCHAR) AS "BLA Number", c_name AS "Proprietary Name", CASE WHEN c_nationkey < 12 THEN c_mktsegment END AS "License Type"
+    FROM customer
+    """,
+)
+def section_tables(t):
+    """Files of two tables; the second one's columns come in another order, and one less, in some of them."""
+    path = scratch_path(t.spark, "sections")
+
+    def folder(name, rows, header, line):
+        text = F.concat_ws("\n", F.lit("Applicant,Product"), F.lit("a,b"), F.lit(header), F.array_join(F.sort_array(F.collect_list(line)), "\n"))
+        rows.groupBy("c_nationkey").agg(text.alias("value")).select("value").repartition(4).write.text(f"{path}/{name}")
+
+    early, late = t.customer.filter("c_nationkey < 12"), t.customer.filter("c_nationkey >= 12")
+    folder("a", early, "BLA Number,Proprietary Name,License Type", F.concat_ws(",", "c_custkey", "c_name", "c_mktsegment"))
+    folder("b", late, "Proprietary Name,BLA Number", F.concat(F.lit('"'), "c_name", F.lit('",'), F.col("c_custkey").cast("string")))
+    header = F.col("line").startswith("Applicant,") | F.contains("line", F.lit("BLA Number"))
+    found = delimited.read_sections(t.spark, [f"{path}/a", f"{path}/b"], header)
+    # Several tables stand below each other in a file: all even sections have the same kind of table.
+    return delimited.section_table(found.withColumn("section", (F.col("section") - 1) % 2), 1)
+
+
+@query("sink_json", "SELECT o_orderkey, o_orderpriority, nullif(o_orderstatus, 'P') AS o_orderstatus FROM orders")
+def sink_json(t):
+    """Arrays of records, one in each file, and back."""
+    path = scratch_path(t.spark, "json")
+    rows = t.orders.select("o_orderkey", "o_orderpriority", F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"))
+    sinks.write_dataset(rows, path, "json")
+    return t.spark.read.schema("o_orderkey long, o_orderpriority string, o_orderstatus string").json(path, multiLine=True)
+
+
 @query(
     "sink_jsonl",
     "SELECT o_orderkey, o_orderpriority, nullif(o_orderstatus, 'P') AS o_orderstatus FROM orders",

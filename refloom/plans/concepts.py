@@ -14,7 +14,7 @@ from refloom.operators.joins import pending
 from refloom.operators.nested import explode_self
 from refloom.operators.select import require_key
 from refloom.schemas import CONCEPT_COLUMNS, TERMINOLOGY_COLUMNS
-from refloom.sources.delimited import fields, read_folded, split_line, text_lines
+from refloom.sources.delimited import fields, read_folded, read_lines, split_line, with_headers
 
 CONCEPT = """
     rxcui string, name string, tty string,
@@ -59,12 +59,17 @@ def terminology(lines: DataFrame, standard: str | Column) -> DataFrame:
     return require_key(rows.select(*fields("p", TERMINOLOGY_COLUMNS), "Standard"), "Code").select(*TERMINOLOGY_COLUMNS, "Standard")
 
 
+# Fixed value: how the first line of a code list begins, if it is a header.
+TERMINOLOGY_HEADER = "Code\t"
+
+
 def read_terminologies(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Code lists of several standards in one table."""
     parts = []
     for standard, path in paths.items():
-        lines = text_lines(spark, path).filter(~F.col("value").startswith("Code\t"))
-        parts.append(terminology(lines, standard))
+        rows, _ = with_headers(read_lines(spark, path))
+        lines = rows.filter(~(F.col("is_first") & F.col("line").startswith(TERMINOLOGY_HEADER)))
+        parts.append(terminology(lines.withColumnRenamed("line", "value"), standard))
     return reduce(DataFrame.unionByName, parts)
 
 

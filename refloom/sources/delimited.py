@@ -23,10 +23,11 @@ def read_positional(
     """Header-less quoted CSV with the layout of a file key, from one folder per status.
 
     Files are ``<key>.txt`` or ``<key>_xx.txt``. Short rows are padded with NULL, long rows cut, blank
-    rows skipped. With ``tag`` the status of the folder is added.
+    rows skipped. With ``tag`` the status of the folder is added. A quoted field may hold line breaks, so a file is
+    one split; extracts come in many files.
     """
     reader = spark.read.schema(text_schema(list(schemas[key]))).options(
-        mode="PERMISSIVE", quote='"', escape='"', encoding=encoding
+        mode="PERMISSIVE", quote='"', escape='"', encoding=encoding, multiLine=True
     )
     parts = {status: reader.csv(f"{path}/{key}{{,_*}}.txt") for status, path in folders.items()}
     tagged = union_tagged(parts, tag or "_status")
@@ -64,10 +65,23 @@ def fields(parts: str, names: Sequence[str], pad: str | None = "") -> list[Colum
     return [F.coalesce(F.get(parts, F.lit(i)), missing).alias(n) for i, n in enumerate(names)]
 
 
-def header_line(spark: SparkSession, path: str | list[str]) -> str:
-    """First non-empty line."""
-    row = text_lines(spark, path).filter("trim(value) <> ''").head()
-    return row[0] if row else ""
+def with_headers(lines: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Non-empty lines of ``read_lines`` with their file's first line as ``header`` and whether they are it (``is_first``).
+
+    Also the different headers, in file order: they name the columns, so they are known before any row is read.
+    """
+    lines = lines.filter(F.trim("line") != "").withColumn("at", F.struct("block", "seq"))
+    firsts = lines.groupBy("file").agg(F.min_by("line", "at").alias("header"), F.min("at").alias("first_at"))
+    headers = firsts.groupBy("header").agg(F.min("file").alias("file")).orderBy("file").collect()
+    rows = lines.join(firsts, "file").withColumn("is_first", F.col("at") == F.col("first_at"))
+    return rows.drop("at", "first_at"), [r["header"] for r in headers]
+
+
+def by_header(parts: str, cells: Column, names: Sequence[str], pad: str | None = "") -> list[Column]:
+    """Named columns out of a field array, each at the place that the header cells give it; missing ones padded."""
+    missing = F.lit(pad).cast("string")
+    place = {n: F.array_position(cells, F.lit(n)) for n in names}
+    return [F.when(at > 0, F.coalesce(F.get(parts, (at - 1).cast("int")), missing)).otherwise(missing).alias(n) for n, at in place.items()]
 
 
 def read_delimited(
@@ -75,12 +89,15 @@ def read_delimited(
 ) -> DataFrame:
     """Plainly separated text with a header: fields trimmed, short rows padded, long rows cut, blank rows skipped.
 
-    Works on splits, so the header line is dropped by its text.
+    Every file is read by its own first line, whatever the order of its columns; only that line is dropped. Columns are those of
+    all headers, or ``names``.
     """
-    header = header_line(spark, path)
-    names = list(names or [h.strip() for h in header.split(sep)])
-    lines = text_lines(spark, path).filter((F.trim("value") != "") & (F.col("value") != header))
-    return lines.select(split_line("value", sep).alias("p")).select(*fields("p", names, pad))
+    rows, headers = with_headers(read_lines(spark, path))
+    known = list(dict.fromkeys(h.strip() for line in headers for h in line.split(sep)))
+    rows = rows.filter("not is_first").select(split_line("line", sep).alias("p"), split_line("header", sep).alias("h"))
+    if len(headers) < 2:  # no files, or one order of columns: by place
+        return rows.select(*fields("p", names or known, pad))
+    return rows.select(*by_header("p", F.col("h"), names or known, pad))
 
 
 def fold_fields(parts: str, width: int, sep: str = "|") -> Column:
@@ -130,24 +147,23 @@ HEADER_WORDS = ("code", "name", "id", "concept", "preferred")
 
 
 def read_maybe_header(spark: SparkSession, path: str | list[str], sep: str = "\t") -> DataFrame:
-    """Text table that may lack a header; as wide as its widest row.
+    """Text tables that may lack a header; as wide as the widest row.
 
-    A first cell with a header word makes a header. Else columns are ``column_i``, with
-    ``ncit_code`` and ``preferred_name`` for the first two.
+    A first cell with a header word makes a header, in each file by itself. Else columns are ``column_i``, with
+    ``ncit_code`` and ``preferred_name`` for the first two; files with and without header are read by place.
     """
-    lines = text_lines(spark, path).filter("value <> ''")
-    width = lines.select(F.max(F.size(F.split("value", f"\\Q{sep}\\E")))).head()[0] or 0
-    header = header_line(spark, path)
-    cells = [h.strip() for h in header.split(sep)]
-    if any(w in cells[0].lower() for w in HEADER_WORDS):
-        names = [h or f"col_{i + 1}" for i, h in enumerate(cells)]
-        lines = lines.filter(F.col("value") != header)
-    else:
-        names = [f"column_{i + 1}" for i in range(width)]
-        if width >= 2:
-            names[:2] = ["ncit_code", "preferred_name"]
+    rows, firsts = with_headers(read_lines(spark, path))
+    width = rows.select(F.max(F.size(F.split("line", f"\\Q{sep}\\E")))).head()[0] or 0
+    found = [[h.strip() for h in line.split(sep)] for line in firsts]
+    titled = [cells for cells in found if any(w in cells[0].lower() for w in HEADER_WORDS)]
+    first_cell = F.lower(F.get(F.split("header", f"\\Q{sep}\\E"), F.lit(0)))
+    has_header = F.exists(F.array(*map(F.lit, HEADER_WORDS)), lambda w: F.contains(first_cell, w))
+    names = [h or f"col_{i + 1}" for i, h in enumerate(titled[0])] if titled else [f"column_{i + 1}" for i in range(width)]
+    if not titled and width >= 2:
+        names[:2] = ["ncit_code", "preferred_name"]
     names += [f"column_{i + 1}" for i in range(len(names), width)]
-    return lines.select(split_line("value", sep).alias("p")).select(*fields("p", names))
+    rows = rows.filter(~(F.col("is_first") & has_header)).select(split_line("line", sep).alias("p"))
+    return rows.select(*fields("p", names))
 
 
 def read_sections(spark: SparkSession, path: str | list[str], is_header: Column) -> DataFrame:
@@ -171,14 +187,17 @@ def number_sections(lines: DataFrame, is_header: Column, line_limit: int = LINE_
 
 
 def section_table(sections: DataFrame, number: int) -> DataFrame:
-    """One section as a table. Its header line, read once, names the columns."""
+    """One section of every file as a table. Each file's own header line names its columns; quoted commas are kept."""
     rows = sections.filter(F.col("section") == number)
-    header = rows.filter("is_header").select("line").head()[0]
-    names = [f"c{i}" for i in range(header.count(",") + 1)]
-    labels = rows.sparkSession.range(1).select(
-        F.from_csv(F.lit(header), ", ".join(f"{n} string" for n in names)).alias("r")
-    ).select("r.*").head()
-    labels = [x for x in labels if x is not None]
-    ddl = ", ".join(f"c{i} string" for i in range(len(labels)))
-    parsed = rows.filter("not is_header").select(F.from_csv("line", ddl).alias("r")).select("r.*")
-    return parsed.toDF(*labels)
+    heads = rows.filter("is_header").groupBy("file").agg(F.min_by("line", F.struct("block", "seq")).alias("header"))
+    different = heads.groupBy("header").agg(F.min("file").alias("file")).orderBy("file")
+    width = 1 + max((r["header"].count(",") for r in different.collect()), default=0)
+    ddl = ", ".join(f"c{i} string" for i in range(width))
+
+    def cells(line: str) -> Column:
+        return F.transform(F.array(F.from_csv(line, ddl)), lambda r: F.array(*[r[f"c{i}"] for i in range(width)]))[0]
+
+    titles = different.select(cells("header").alias("h")).collect()
+    names = list(dict.fromkeys(x for r in titles for x in r["h"] if x is not None))
+    body = rows.filter("not is_header").join(heads, "file")
+    return body.select(cells("line").alias("p"), cells("header").alias("h")).select(*by_header("p", F.col("h"), names, None))

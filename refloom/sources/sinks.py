@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+FORMATS = ("csv", "tsv", "jsonl", "json", "parquet")
+
+
 def flat_value(df: DataFrame, name: str, sep: str = ";") -> Column:
     """A column as flat text: lists of scalars joined, other nested values as JSON, NULL as ``''``."""
     kind, value = df.schema[name].dataType, F.col(f"`{name}`")
@@ -41,7 +45,9 @@ def write_dataset(
     df: DataFrame, path: str, fmt: str = "csv", columns: Sequence[str] | None = None,
     seps: dict[str, str] | None = None, mode: str = "errorifexists",
 ) -> None:
-    """Write with a fixed column order as csv, tsv, jsonl or parquet. Files are written in parallel."""
+    """Write with a fixed column order as csv, tsv, jsonl, json (an array in each file) or parquet. Files are written in parallel."""
+    if fmt not in FORMATS:
+        raise ValueError(f"unknown format {fmt!r}: one of {', '.join(FORMATS)}")
     out = declared(df, columns) if columns else df
     if fmt in ("csv", "tsv"):
         writer = to_reference_text(out, seps).write.mode(mode).options(
@@ -51,14 +57,30 @@ def write_dataset(
         writer.option("sep", "\t" if fmt == "tsv" else ",").csv(path)
     elif fmt == "jsonl":
         out.write.mode(mode).option("ignoreNullFields", False).json(path)
+    elif fmt == "json":
+        record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in out.columns]), {"ignoreNullFields": "false"})
+        out.select(record.alias("value")).mapInPandas(_as_array, "value string").write.mode(mode).text(path)
     else:
         out.write.mode(mode).parquet(path)
 
 
+def _as_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines of one JSON array around the records of a file."""
+    lead = "["
+    for rows in batches:
+        if len(rows):
+            yield pd.DataFrame({"value": [(lead if k == 0 else ",") + r for k, r in enumerate(rows["value"])]})
+            lead = ","
+    yield pd.DataFrame({"value": ["[]" if lead == "[" else "]"]})
+
+
 def read_written(spark, path: str, columns: Sequence[str], fmt: str = "csv") -> DataFrame:
-    """Read a flat dataset back as text, empty cells as ``''``."""
+    """Read a flat dataset back as text, empty cells as ``''``; the columns are checked against each file's header.
+
+    Quoted fields may hold line breaks, so each file is one split; datasets are written as many files.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    reader = spark.read.schema(schema).options(header=True, quote='"', escape='"', multiLine=False)
+    reader = spark.read.schema(schema).options(header=True, quote='"', escape='"', multiLine=True, enforceSchema=False)
     return reader.option("sep", "\t" if fmt == "tsv" else ",").csv(path).fillna("")
 
 
