@@ -375,7 +375,23 @@ def number_rows_hot(t):
     return number_rows(rows, ["o_orderstatus"], [F.col("o_orderkey").desc()], limit=1000)
 
 
-@query("dedup_either")
+EITHER_SQL = """
+    WITH RECURSIVE e AS (
+      SELECT event_type, event_id, CAST(nullif(user_id, 0) AS VARCHAR) AS "user", json_extract_string(props, '$.k') AS k,
+        row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS n FROM events),
+    r AS (
+      SELECT DISTINCT event_type, CAST(0 AS BIGINT) AS n, false AS ok, CAST([] AS VARCHAR[]) AS us, CAST([] AS VARCHAR[]) AS ks FROM e
+      UNION ALL
+      SELECT event_type, n, ok, CASE WHEN ok AND "user" IS NOT NULL THEN list_append(us, "user") ELSE us END,
+        CASE WHEN ok AND k IS NOT NULL THEN list_append(ks, k) ELSE ks END
+      FROM (
+        SELECT e.event_type, e.n, us, ks, "user", k, coalesce(NOT list_contains(us, "user"), true) AND coalesce(NOT list_contains(ks, k), true) AS ok
+        FROM r JOIN e ON e.event_type = r.event_type AND e.n = r.n + 1))
+    SELECT e.event_type, event_id, "user", k FROM e JOIN r ON e.event_type = r.event_type AND e.n = r.n WHERE ok
+    """
+
+
+@query("dedup_either", EITHER_SQL)
 def dedup_either(t):
     """Per event type: drop an event whose user or whose property was already accepted."""
     rows = t.events.select(
@@ -385,14 +401,14 @@ def dedup_either(t):
     return dedup.dedup_either(rows, ["event_type"], "user", "k", ["event_id"])
 
 
-@query("dedup_either_rounds")
+@query("dedup_either_rounds", EITHER_SQL)
 def dedup_either_rounds(t):
-    """The same with no row left to the final pass: rounds of joins only."""
+    """The same with more rounds of joins before the components are walked through."""
     rows = t.events.select(
         "event_type", "event_id", F.nullif(F.col("user_id"), F.lit(0)).cast("string").alias("user"),
         F.get_json_object("props", "$.k").alias("k"),
     )
-    return dedup.dedup_either(rows, ["event_type"], "user", "k", ["event_id"], small=0)
+    return dedup.dedup_either(rows, ["event_type"], "user", "k", ["event_id"], rounds=3)
 
 
 @query(

@@ -441,7 +441,25 @@ def dossier_profiles(t):
     )
 
 
-@query("dossier_trials")
+@query(
+    "dossier_trials",
+    """
+    WITH RECURSIVE e AS (
+      SELECT 'M' || o_custkey AS medicine_name, o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE 'made of ' || o_orderkey END AS composition,
+        'NCT' || year(o_orderdate) AS nct_id, 'T' || month(o_orderdate) AS brief_title, o_orderstatus AS phase, o_orderpriority FROM orders WHERE o_orderstatus <> 'P'),
+    p AS (SELECT medicine_name, first(composition ORDER BY o_orderkey) FILTER (WHERE composition <> '') AS composition FROM e GROUP BY 1),
+    t AS (SELECT *, row_number() OVER (PARTITION BY medicine_name ORDER BY o_orderkey) AS n FROM e WHERE o_orderpriority <> '1-URGENT'),
+    r AS (
+      SELECT DISTINCT medicine_name, CAST(0 AS BIGINT) AS n, false AS ok, CAST([] AS VARCHAR[]) AS a, CAST([] AS VARCHAR[]) AS b FROM t
+      UNION ALL
+      SELECT medicine_name, n, ok, CASE WHEN ok THEN list_append(a, nct_id) ELSE a END, CASE WHEN ok THEN list_append(b, brief_title) ELSE b END
+      FROM (
+        SELECT t.medicine_name, t.n, a, b, nct_id, brief_title, NOT list_contains(a, nct_id) AND NOT list_contains(b, brief_title) AS ok
+        FROM r JOIN t ON t.medicine_name = r.medicine_name AND t.n = r.n + 1)),
+    k AS (SELECT t.* FROM t JOIN r ON t.medicine_name = r.medicine_name AND t.n = r.n WHERE ok)
+    SELECT p.medicine_name, p.composition, nct_id, brief_title, phase FROM p LEFT JOIN k ON k.medicine_name = p.medicine_name
+    """,
+)
 def dossier_trials(t):
     """Dossier rows with the trials that remain after number-or-title deduplication in document order."""
     return medicines.dossier(_extractions(t)).select("medicine_name", "composition", "nct_id", "brief_title", "phase")

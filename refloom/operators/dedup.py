@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from refloom.operators.graph import components
 from refloom.operators.skew import GROUP_LIMIT, join_keys, number_rows
 from refloom.session import materialize
 
@@ -70,14 +71,16 @@ def _present(name: str) -> Column:
     return F.col(name).isNotNull() & (F.col(name) != "")
 
 
-def _accept_in_order(group: Sequence[str], k1: str, k2: str):
-    """Accept rows one after the other; a partition holds whole groups in order."""
+def _accept_in_order(group: Sequence[str], k1: str, k2: str, part: str):
+    """Accept rows one after the other; a partition holds whole components in order, and only one component's keys are kept."""
 
     def accept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen1, seen2 = set(), set()
+        seen1, seen2, at = set(), set(), None
         for rows in batches:
             keep = []
-            for a, b, *g in rows[[k1, k2, *group]].itertuples(index=False, name=None):
+            for a, b, p, *g in rows[[k1, k2, part, *group]].itertuples(index=False, name=None):
+                if p != at:
+                    seen1, seen2, at = set(), set(), p
                 a, b = (None if x is None or x != x else (x, *g) for x in (a, b))
                 ok = (a is None or a not in seen1) and (b is None or b not in seen2)
                 if ok:
@@ -90,14 +93,15 @@ def _accept_in_order(group: Sequence[str], k1: str, k2: str):
 
 
 def dedup_either(
-    df: DataFrame, group: Sequence[str], k1: str, k2: str, order: Sequence[str], small: int = GROUP_LIMIT
+    df: DataFrame, group: Sequence[str], k1: str, k2: str, order: Sequence[str], rounds: int = 1
 ) -> DataFrame:
     """Drop a row when an accepted earlier row of its group has the same ``k1`` or the same ``k2``.
 
-    Missing or empty keys never match. Order decides, so the accepted rows are found in rounds:
-    a row that is first for both of its keys is accepted, and every row that shares a key with it
-    falls away. Groups are never gathered while more than ``small`` rows are open; the last few
-    open rows are finished one after the other. ``order`` must be unique within a group.
+    Missing or empty keys never match. Order decides, and it must be unique within a group. A fixed number of rounds of joins comes
+    first: a row that is first for both of its keys is accepted, and every row that shares a key with it falls away. What is
+    open then is split into connected components of shared keys, which cannot influence each other; each one is walked
+    through in order, as a stream that keeps only its accepted keys. One giant component is one task: its rows depend on
+    each other in sequence.
     """
     p1, p2 = _present(k1), _present(k2)
     free = df.filter(~(F.coalesce(p1, F.lit(False)) | F.coalesce(p2, F.lit(False))))
@@ -107,7 +111,7 @@ def dedup_either(
     open_rows = materialize(dedup_first(keyed, [*group, "_a", "_b"], list(order)), "open")
     accepted: list[DataFrame] = []
     at = F.struct(*order)
-    while (left := open_rows.count()) > small:
+    for _ in range(rounds):
         for name in ("_a", "_b"):
             firsts = open_rows.filter(F.col(name).isNotNull()).groupBy(*group, name).agg(F.min(at).alias(f"_min{name}"))
             open_rows = join_keys(open_rows, firsts, [*group, name], "left")
@@ -123,9 +127,13 @@ def dedup_either(
             taken = won.filter(F.col(name).isNotNull()).select(*group, name).distinct()
             open_rows = join_keys(open_rows, taken, [*group, name], "left_anti")
         open_rows = materialize(open_rows, "open")
-    if left:
-        whole = open_rows.repartition(*group) if group else open_rows.coalesce(1)
-        rest = whole.sortWithinPartitions(*order)
-        accepted.append(rest.mapInPandas(_accept_in_order(group, "_a", "_b"), open_rows.schema))
+    # Keys are nodes, rows with two keys are links; a hash that two keys share would only join two components.
+    nodes = {f"_n{n}": F.when(F.col(n).isNotNull(), F.xxhash64(F.lit(n), n, *group)) for n in ("_a", "_b")}
+    noded = open_rows.withColumns(nodes)
+    roots = components(noded.filter("_n_a is not null and _n_b is not null"), "_n_a", "_n_b")
+    noded = noded.withColumn("node", F.coalesce("_n_a", "_n_b")).join(roots, "node", "left")
+    noded = noded.withColumn("_part", F.coalesce("root", "node")).select(*open_rows.columns, "_part")
+    walked = noded.repartition("_part").sortWithinPartitions("_part", *order)
+    accepted.append(walked.mapInPandas(_accept_in_order(group, "_a", "_b", "_part"), walked.schema).drop("_part"))
     parts = [free, *[a.drop("_a", "_b") for a in accepted]]
     return reduce(DataFrame.unionByName, parts)
