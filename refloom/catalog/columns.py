@@ -249,14 +249,14 @@ def url_param(t):
       regexp_replace(url, '[?#].*$', '') AS plain FROM pages)
     SELECT page_id, origin || '/a/b.pdf' AS rooted, regexp_replace(plain, '[^/]*$', '') || 'c.pdf' AS relative,
       'https://x.example/d' AS absolute, regexp_extract(origin, '^(https?:)', 1) || '//y.example/e' AS no_scheme,
-      plain || '?p=2' AS query, bare || '#f' AS fragment
+      plain || '?p=2' AS query, bare || '#f' AS fragment, origin || '/b/' AS up, origin || '/x?q=../y' AS rooted_up
     FROM b
     """,
 )
 def resolve_links(t):
     links = {
         "rooted": "/a/b.pdf", "relative": "c.pdf", "absolute": "https://x.example/d", "no_scheme": "//y.example/e",
-        "query": "?p=2", "fragment": "#f",
+        "query": "?p=2", "fragment": "#f", "up": "../../../a/./../b/.", "rooted_up": "/c/../x?q=../y",
     }
     return t.pages.select("page_id", *[urls.resolve_url("url", F.lit(v)).alias(k) for k, v in links.items()])
 

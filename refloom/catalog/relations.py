@@ -281,6 +281,7 @@ def similarity_threshold(t):
     """One query vector per label (its first), searched in the whole table."""
     from refloom.operators.dedup import dedup_first
 
-    chosen = dedup_first(t.embeddings, ["label"], ["vec_id"]).select("vec_id", "embedding")
-    hits = similar(t.embeddings, chosen.toLocalIterator(), "embedding", 0.05, ["vec_id"])
+    chosen = dedup_first(t.embeddings, ["label"], ["vec_id"])
+    chosen = chosen.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    hits = similar(t.embeddings, chosen, "embedding", 0.05, ["vec_id"])
     return hits.select("vec_id", "query_id", F.round("score", 6).alias("score"))

@@ -190,6 +190,22 @@ def scan_two_headers(t):
     return delimited.read_delimited(t.spark, [f"{path}/a", f"{path}/b"], "~")
 
 
+@query(
+    "read_results_files",
+    """
+    SELECT CAST(o_orderkey AS VARCHAR) AS report, o_orderpriority AS kind, o_custkey % 7 AS n FROM orders
+    """,
+)
+def read_results_files(t):
+    """One payload file per order status and priority, each a single document with all its records."""
+    path = scratch_path(t.spark, "payloads")
+    record = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("report"), F.col("o_orderpriority").alias("kind"), (F.col("o_custkey") % 7).alias("n")))
+    body = F.concat(F.lit('{"meta": {"n": 1},\n "results": [\n'), F.array_join(F.collect_list(record), ",\n"), F.lit("]}"))
+    files = t.orders.groupBy("o_orderstatus", "o_orderpriority").agg(body.alias("value"))
+    files.repartition(15, "o_orderstatus", "o_orderpriority").write.partitionBy("o_orderstatus", "o_orderpriority").text(path)
+    return documents.read_results_json(t.spark, f"{path}/*/*", "report string, kind string, n long")
+
+
 @query(
     "read_header_table",
     "SELECT 'S' || s_suppkey AS \"Concept Code\", s_name AS col_2, CASE WHEN s_nationkey < 10 THEN '' ELSE 'x' END AS column_3 FROM supplier",

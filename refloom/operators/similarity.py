@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-import json
 import math
-from collections.abc import Iterable, Sequence
-from functools import reduce
-from itertools import batched
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-QUERIES_PER_PASS = 1_000
-
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(
@@ -21,32 +16,30 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def similar(
-    df: DataFrame, queries: Iterable[tuple[int, Sequence[float]]], vec: str, cutoff: float, keep: Sequence[str]
+    df: DataFrame, queries: DataFrame, vec: str, cutoff: float, keep: Sequence[str], query_id: str = "query_id", query_vec: str = "query_vec"
 ) -> DataFrame:
     """Rows whose Tanimoto similarity to a query vector is at least ``cutoff``: (keep, query_id, score).
 
-    Score = a.b / (|a|^2 + |b|^2 - a.b). Query vectors are arguments of the search; they travel as
-    one literal, a bounded number per pass over the table. The score bounds the ratio of the two
-    lengths, so pairs outside that band are dropped before any product is formed, and only hits
-    leave the row.
+    Score = a.b / (|a|^2 + |b|^2 - a.b). It bounds the ratio of the two lengths, so vectors are put into bands of length, and a query
+    meets only the rows of its own band and the two beside it: an equi join, in which Spark broadcasts the queries or splits
+    full bands by what it finds at run time. Pairs outside the exact length bounds are dropped before any product is formed.
     """
     low, high = _length_band(cutoff)
-    passes = []
-    for chunk in batched(queries, QUERIES_PER_PASS):
-        packed = [
-            {"id": key, "v": list(map(float, v)), "n2": math.fsum(float(x) * float(x) for x in v)} for key, v in chunk
-        ]
-        literal = F.from_json(F.lit(json.dumps(packed)), "array<struct<id: long, v: array<double>, n2: double>>")
-        sized = df.withColumn("_n2", dot(F.col(vec), F.col(vec)))
+    width = 2 * math.log(high)
 
-        def score(q: Column) -> Column:
-            near = F.col("_n2").between(q["n2"] * (low * low * (1 - 1e-9)), q["n2"] * (high * high * (1 + 1e-9)))
-            shared = dot(F.col(vec), q["v"])
-            return F.when(near, shared / (F.col("_n2") + q["n2"] - shared))
+    def band(squares: str) -> Column:
+        return F.coalesce(F.floor(F.ln(squares) / width), F.lit(0)) if cutoff > 0 else F.lit(0)
 
-        scored = F.transform(literal, lambda q: F.struct(q["id"].alias("query_id"), score(q).alias("score")))
-        passes.append(sized.select(*keep, F.inline(F.filter(scored, lambda s: s["score"] >= cutoff))))
-    return reduce(DataFrame.unionByName, passes)
+    sized = df.withColumn("_n2", dot(F.col(vec), F.col(vec)))
+    sized = sized.select(*keep, F.col(vec).alias("_v"), "_n2", band("_n2").alias("_band"))
+    asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("_q"))
+    asked = asked.withColumn("_q2", dot(F.col("_q"), F.col("_q")))
+    beside = F.array(*[band("_q2") + k for k in (-1, 0, 1)]) if cutoff > 0 else F.array(F.lit(0))
+    asked = asked.withColumn("_band", F.explode(beside))
+    near = F.col("_n2").between(F.col("_q2") * (low * low * (1 - 1e-9)), F.col("_q2") * (high * high * (1 + 1e-9)))
+    pairs = sized.join(asked, "_band").filter(near if cutoff > 0 else F.lit(True)).withColumn("_d", dot(F.col("_v"), F.col("_q")))
+    score = F.col("_d") / F.nullif(F.col("_n2") + F.col("_q2") - F.col("_d"), F.lit(0.0))
+    return pairs.select(*keep, "query_id", score.alias("score")).filter(F.col("score") >= cutoff)
 
 
 def _length_band(cutoff: float) -> tuple[float, float]:
@@ -54,4 +47,5 @@ def _length_band(cutoff: float) -> tuple[float, float]:
     if cutoff <= 0:
         return 0.0, 1e150
     root = math.sqrt(max((1 + cutoff) ** 2 - 4 * cutoff * cutoff, 0.0))
-    return ((1 + cutoff) - root) / (2 * cutoff), ((1 + cutoff) + root) / (2 * cutoff)
+    # A cutoff of 1 leaves one length; a band of some width around it keeps rounding harmless.
+    return ((1 + cutoff) - root) / (2 * cutoff), max(((1 + cutoff) + root) / (2 * cutoff), 1 + 1e-6)

@@ -17,10 +17,11 @@ from refloom.operators.select import require_key
 def read_results_json(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """Records of ``{"results": [...]}`` documents, one document per file.
 
-    A document is one task; records are spread before any further work.
+    A document is parsed by one task; its records are then dealt out evenly, since a file of any size is one split.
     """
     shape = f"results array<struct<{_fields(schema)}>>"
-    return spark.read.schema(shape).option("multiLine", True).json(path).select(F.inline("results"))
+    rows = spark.read.schema(shape).option("multiLine", True).json(path).select(F.inline("results"))
+    return rows.hint("rebalance")
 
 
 def _fields(schema: str) -> str:

@@ -1,5 +1,8 @@
 """Column functions on edge values."""
 
+import random
+from urllib.parse import urljoin
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,8 +85,11 @@ def test_lookup_last_of_first_list(spark):
     ("https://h/a/b?x=1#f", "c", "https://h/a/c"), ("https://h", "c", "https://h/c"), ("https://h/a/", "/z", "https://h/z"),
     ("https://h/a/b", "?q", "https://h/a/b?q"), ("https://h/a/b?x#f", "#g", "https://h/a/b?x#g"), ("https://h/a", "mailto:x", "mailto:x"),
     ("http://h/a", "//k/z", "http://k/z"), ("https://h/a", "https://k", "https://k"),
+    ("https://h/a/b/c", "../d", "https://h/a/d"), ("https://h/a/b/c", "../../../d?x=../y", "https://h/d?x=../y"), ("https://h/a/b/", "./", "https://h/a/b/"),
+    ("https://h/a/b", "..", "https://h/"), ("https://h/a", "/x/./y/../z#..", "https://h/x/z#.."), ("https://h/a/b", "c/..", "https://h/a/"),
 ])
 def test_resolve_url(spark, base, href, want):
+    assert want == urljoin(base, href)
     assert one(spark, urls.resolve_url(F.lit(base), F.lit(href))) == want
 
 
@@ -93,3 +99,22 @@ def test_url_parts(spark):
     assert one(spark, urls.url_language(F.lit("https://h/x_FR.PDF"))) == "fr"
     assert one(spark, urls.url_kind(F.lit(url))) == "overview"
     assert one(spark, urls.url_param(F.lit("https://h/?P3=1+18853&z"), "P3")) == "1 18853"
+
+
+def test_similar_bands(spark):
+    from refloom.operators.similarity import similar
+
+    rnd = random.Random(2)
+    vectors = [(i, [rnd.choice([0.01, 0.5, 1.0, 30.0]) * rnd.random() for _ in range(4)]) for i in range(120)] + [(500, [0.0] * 4)]
+    df = spark.createDataFrame(vectors, "id int, v array<double>")
+    queries = df.filter("id % 10 = 0").selectExpr("id as query_id", "v as query_vec")
+    for cutoff in (1.0, 0.9, 0.5, 0.1, 0.0):
+        want = set()
+        for i, a in vectors:
+            for q, b in vectors:
+                if q % 10 == 0:
+                    d, n = sum(x * y for x, y in zip(a, b)), sum(x * x for x in a) + sum(x * x for x in b)
+                    if n - d > 0 and d / (n - d) >= cutoff:
+                        want.add((i, q))
+        got = {(r.id, r.query_id) for r in similar(df, queries, "v", cutoff - 1e-12 if cutoff == 1 else cutoff, ["id"]).collect()}
+        assert got == want, cutoff
