@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refloom.functions.text import strip_space
@@ -18,6 +18,9 @@ from refloom.operators.scans import LINE_LIMIT, by_size, scan
 from refloom.operators.skew import GROUP_LIMIT, join_keys
 from refloom.session import materialize
 
+# Key of a field of a record.
+FIELD = ["file", "record", "field"]
+
 # The line formats of the source.
 RECORD_START = "Summary"
 RECORD_ID = "EudraCT Number"
@@ -64,23 +67,48 @@ def lines_to_fields(lines: DataFrame, limit: int = GROUP_LIMIT, line_limit: int
     before that run on into the next record, and a last record without a number is dropped. A
     section never reaches past a ``Summary`` line. For a repeated label the last value counts.
     """
-    place = ["block", "seq"]
-    text = lines.select("file", *place, strip_space("line").alias("line"))
+    text = lines.select("file", "block", "seq", strip_space("line").alias("line"))
     text = text.filter((F.col("line") != "") & ~F.col("line").rlike(SKIPPED_LINE))
-    # The fields are read for the labels and for the values: lines are worked through once.
-    text = materialize(by_size(text, ["file"], _number_fields, line_limit), "fields")
 
-    # The field a line belongs to: its own label, or the last label of the same record.
-    at = ["file", "record", "field"]
-    labelled = F.col("label").isNotNull()
-    heads = text.filter(labelled).select(*at, "label")
+    def gathered(text: DataFrame, blocks: bool) -> DataFrame:
+        numbered = _number_fields(text, blocks)
+        return _across_tasks(numbered, limit) if blocks else _within_files(numbered, limit)
+
+    return by_size(text, ["file"], gathered, line_limit)
+
+
+def _value() -> Column:
+    line = F.col("line")
+    return F.when(F.col("label").isNotNull(), F.trim(F.regexp_extract(line, LABELLED, 2))).otherwise(line)
+
+
+def _within_files(text: DataFrame, limit: int) -> DataFrame:
+    """Fields of files of ordinary size. The lines are already together by file, so nothing here moves them again."""
+    lines = Window.partitionBy(*FIELD).orderBy("block", "seq")
+    rows = text.withColumns({
+        "_part": F.floor((F.row_number().over(lines) - 1) / limit).cast("long"), "_head": F.first("label").over(lines)
+    })
+    values = F.sort_array(F.collect_list(F.struct("block", "seq", _value().alias("v"))))
+    rows = rows.groupBy(*FIELD, F.col("_part").alias("part")).agg(
+        F.max("_head").alias("label"), F.array_join(F.transform(values, lambda x: x["v"]), " ").alias("value")
+    )
+    rows = rows.withColumns({
+        "_numbered": F.max(F.col("label") == RECORD_ID).over(Window.partitionBy("file", "record")),
+        "_last": F.max("field").over(Window.partitionBy("file", "record", "label")),
+    })
+    found = rows.filter(F.col("label").isNotNull() & F.col("_numbered") & (F.col("field") == F.col("_last")))
+    return found.select("file", "record", "label", "part", "value")
+
+
+def _across_tasks(text: DataFrame, limit: int) -> DataFrame:
+    """The same for oversized files, whose records and fields may be of any size: by joins, with the lines worked through once."""
+    text = materialize(text, "fields")
+    heads = text.filter(F.col("label").isNotNull()).select(*FIELD, "label")
     numbered = heads.filter(F.col("label") == RECORD_ID).select("file", "record").distinct()
     latest = heads.groupBy("file", "record", "label").agg(F.max("field").alias("field"))
     latest = join_keys(latest, numbered, ["file", "record"], "left_semi")
-    line = F.col("line")
-    value = F.when(labelled, F.trim(F.regexp_extract(line, LABELLED, 2))).otherwise(line)
-    values = ordered_text(text, at, value, " ", place, "value", limit)
-    return join_keys(values, latest, at).select("file", "record", "label", "part", "value")
+    values = ordered_text(text, FIELD, _value(), " ", ["block", "seq"], "value", limit)
+    return join_keys(values, latest, FIELD).select("file", "record", "label", "part", "value")
 
 
 def _number_fields(text: DataFrame, blocks: bool) -> DataFrame:
