@@ -71,27 +71,34 @@ def write_partitions(df: DataFrame, path: str, part: Column, out: str = "partiti
     rows.hint("rebalance", out).write.partitionBy(out).parquet(path)
 
 
+# Column and number of the folders that a stream's target is kept in.
+BUCKET, BUCKETS = "id_bucket", 16
+
+
 def stream_once(
     spark: SparkSession, source: str, schema, keys: Sequence[str], order: Sequence[str | Column], target: str,
-    checkpoint: str, glob: str | None = None, fmt: str = "parquet",
+    checkpoint: str, glob: str | None = None, fmt: str = "parquet", buckets: int = BUCKETS,
 ) -> None:
     """Take in all files that arrived since the last run; each id is kept once, over all runs.
 
     Per batch, ids are reduced to one row each (combined before the shuffle, so a hot id costs one
     row per task) and matched against the ids already in ``target``. The table is the state: it has
-    no time limit, because an id may come again in any later file. A batch overwrites its own
-    folder and looks only at earlier ones, so a batch that runs again gives the same rows.
+    no time limit, because an id may come again in any later file. It is kept by ``buckets`` of the id's hash, and a batch reads
+    only the ids of the buckets it has rows for. A batch overwrites its own folder and looks only at earlier ones, so a batch
+    that runs again gives the same rows.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        fresh = dedup_first(batch, keys, order)
+        fresh = dedup_first(batch, keys, order).withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
         if batch_id > 0:
-            seen = batch.sparkSession.read.parquet(target).filter(F.col("batch") < batch_id)
+            touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]
+            seen = batch.sparkSession.read.parquet(target).filter((F.col("batch") < batch_id) & F.col(BUCKET).isin(touched))
             fresh = join_keys(fresh, seen.select(*keys), keys, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        # One file per bucket and task that has rows of it: rows are dealt out by bucket first.
+        fresh.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{target}/batch={batch_id}")
 
     reader.load(source).writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(
         availableNow=True

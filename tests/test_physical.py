@@ -1,5 +1,9 @@
 """Plans: no cross joins, no row-at-a-time Python, pushed filters, pruned columns, early limits."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
@@ -49,6 +53,24 @@ def test_code_map_join_is_left_to_run_time(spark):
     assert "strategy=broadcast" not in enrich_codes(t.customer, codes, ["c_nationkey"], "d")._jdf.queryExecution().logical().toString()
 
 
+def test_executors_get_the_package(tmp_path):
+    """Page jobs, archives and either-key deduplication from another folder, without PYTHONPATH."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+import __spark_entry__ as entry
+from refloom.session import get_session
+spark = get_session("other", "local[2]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2",
+    "spark.checkpoint.dir": {str(tmp_path / "shared")!r}}})
+print("ROWS", [entry.queries()[n](spark, {SF_DIR!r}).count() for n in ("page_links", "zip_members", "dedup_either")])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
+    assert not any(os.listdir(tmp_path / "shared" / "refloom"))  # what the queries wrote is removed at the end
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     folder = shared_dir(spark)
     assert folder and shared_dir(spark) == folder
