@@ -422,7 +422,7 @@ def synonyms(t):
 @query(
     "filter_structs",
     f"""
-    SELECT l_orderkey, coalesce(string_agg(CAST(l_partkey AS VARCHAR), '|' ORDER BY {LINE_SQL}) FILTER (WHERE l_returnflag = 'A'), '') AS parts,
+    SELECT l_orderkey, CAST(0 AS BIGINT) AS part, coalesce(string_agg(CAST(l_partkey AS VARCHAR), '|' ORDER BY {LINE_SQL}) FILTER (WHERE l_returnflag = 'A'), '') AS parts,
       first(l_suppkey ORDER BY {LINE_SQL}) FILTER (WHERE l_returnflag = 'R') AS first_returned,
       last(l_suppkey ORDER BY {LINE_SQL}) FILTER (WHERE l_returnflag = 'R') AS last_returned
     FROM lineitem GROUP BY l_orderkey
@@ -432,7 +432,7 @@ def filter_structs(t):
     entry = F.struct(F.col("l_returnflag").alias("system"), F.col("l_partkey").cast("string").alias("code"), "l_suppkey")
     rows = ordered_list(t.lineitem, ["l_orderkey"], entry, LINE_ORDER, "codes")
     return rows.select(
-        "l_orderkey", arrays.pack(arrays.where("codes", lambda x: x["system"] == "A", "code"), "|").alias("parts"),
+        "l_orderkey", "part", arrays.pack(arrays.where("codes", lambda x: x["system"] == "A", "code"), "|").alias("parts"),
         arrays.first_where("codes", lambda x: x["system"] == "R", "l_suppkey").alias("first_returned"),
         arrays.last_where("codes", lambda x: x["system"] == "R", "l_suppkey").alias("last_returned"),
     )
@@ -446,7 +446,7 @@ def filter_structs(t):
         row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE_SQL}) AS i FROM lineitem WHERE l_returnflag <> 'N'),
     a AS (SELECT l_orderkey, term, min(i) AS i FROM x GROUP BY 1, 2),
     m AS (SELECT l_orderkey, term, min(i) AS i FROM x WHERE major GROUP BY 1, 2)
-    SELECT o.l_orderkey, coalesce((SELECT string_agg(term, '; ' ORDER BY i) FROM a WHERE a.l_orderkey = o.l_orderkey), '') AS terms,
+    SELECT o.l_orderkey, CAST(0 AS BIGINT) AS part, coalesce((SELECT string_agg(term, '; ' ORDER BY i) FROM a WHERE a.l_orderkey = o.l_orderkey), '') AS terms,
       coalesce((SELECT string_agg(term, '; ' ORDER BY i) FROM m WHERE m.l_orderkey = o.l_orderkey), '') AS major_terms
     FROM (SELECT DISTINCT l_orderkey FROM lineitem) o
     """,
@@ -458,7 +458,7 @@ def heading_terms(t):
     )
     rows = ordered_list(t.lineitem, ["l_orderkey"], entry, LINE_ORDER, "mesh")
     return rows.select(
-        "l_orderkey", arrays.pack(arrays.heading_terms("mesh"), "; ").alias("terms"),
+        "l_orderkey", "part", arrays.pack(arrays.heading_terms("mesh"), "; ").alias("terms"),
         arrays.pack(arrays.heading_terms("mesh", True), "; ").alias("major_terms"),
     )
 

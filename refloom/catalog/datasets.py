@@ -54,10 +54,12 @@ def _drug_tables(t):
                       company_name=F.concat(F.lit("CO "), text("l_suppkey")), company_type=F.lit("DIN OWNER")),
         "route": table("route", lines.select("l_partkey", "l_linestatus").distinct(), drug_code=code, route_of_administration_en=F.col("l_linestatus")),
         "form": table("form", lines.filter("l_returnflag = 'R'").select("l_partkey", "l_linenumber").distinct(), drug_code=code, pharmaceutical_form_en=F.col("l_linenumber")),
-        "schedule": table("schedule", lines.filter(F.lit(False)), drug_code=code),
-        "vet": table("vet", lines.filter("l_quantity = 50").select("l_partkey").distinct(), drug_code=code, veterinary_species_en=F.lit("Cats")),
-        "pharm": table("pharm", lines.filter(F.lit(False)), drug_code=code),
-        "package": table("package", lines.filter("l_returnflag = 'A' and l_linenumber = 1").select("l_partkey", "l_suppkey").distinct(), drug_code=code, upc=F.col("l_suppkey")),
+        "schedule": table("schedule", lines.select("l_partkey", "l_returnflag").distinct(), drug_code=code, schedule_en=flagged),
+        "vet": table("vet", lines.select("l_partkey", "l_tax").distinct(), drug_code=code,
+                     veterinary_species_en=F.concat(F.lit("Species "), F.round(F.col("l_tax") * 100).cast("long").cast("string"))),
+        "pharm": table("pharm", lines.select("l_partkey", "l_discount").distinct(), drug_code=code,
+                       pharmaceutical_std=F.concat(F.lit("std "), F.round(F.col("l_discount") * 100).cast("long").cast("string"))),
+        "package": table("package", lines.select("l_partkey", "l_suppkey").distinct(), drug_code=code, upc=F.col("l_suppkey")),
     }
 
 
@@ -69,12 +71,14 @@ def _drug_tables(t):
     c AS (SELECT l_partkey, string_agg(c, '; ' ORDER BY c) AS x FROM (SELECT DISTINCT l_partkey, 'CO ' || l_suppkey || ' (DIN OWNER)' AS c FROM lineitem) GROUP BY 1),
     r AS (SELECT l_partkey, string_agg(DISTINCT l_linestatus, '; ' ORDER BY l_linestatus) AS x FROM lineitem GROUP BY 1),
     f AS (SELECT l_partkey, string_agg(f, '; ' ORDER BY f) AS x FROM (SELECT DISTINCT l_partkey, CAST(l_linenumber AS VARCHAR) AS f FROM lineitem WHERE l_returnflag = 'R') GROUP BY 1),
-    v AS (SELECT DISTINCT l_partkey, 'Cats' AS x FROM lineitem WHERE l_quantity = 50)
+    s AS (SELECT l_partkey, string_agg(DISTINCT l_returnflag, '; ' ORDER BY l_returnflag) AS x FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1),
+    v AS (SELECT l_partkey, string_agg(x, '; ' ORDER BY x) AS x FROM (SELECT DISTINCT l_partkey, 'Species ' || CAST(round(l_tax * 100) AS BIGINT) AS x FROM lineitem) GROUP BY 1),
+    n AS (SELECT l_partkey, string_agg(x, '; ' ORDER BY x) AS x FROM (SELECT DISTINCT l_partkey, 'std ' || CAST(round(l_discount * 100) AS BIGINT) AS x FROM lineitem) GROUP BY 1)
     SELECT CAST(p_partkey AS VARCHAR) AS drug_code, lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS din, p_name AS brand_name, p_brand AS product_categorization,
       CASE WHEN p_type = 'PROMO' THEN 'cancelled' ELSE 'marketed' END AS status_category, CAST(0 AS BIGINT) AS part, i.x AS active_ingredients, c.x AS companies,
-      r.x AS routes, f.x AS forms, CAST(NULL AS VARCHAR) AS schedules, v.x AS veterinary_species, CAST(NULL AS VARCHAR) AS pharmaceutical_standards
+      r.x AS routes, f.x AS forms, s.x AS schedules, v.x AS veterinary_species, n.x AS pharmaceutical_standards
     FROM part LEFT JOIN i ON i.l_partkey = p_partkey LEFT JOIN c ON c.l_partkey = p_partkey LEFT JOIN r ON r.l_partkey = p_partkey
-      LEFT JOIN f ON f.l_partkey = p_partkey LEFT JOIN v ON v.l_partkey = p_partkey
+      LEFT JOIN f ON f.l_partkey = p_partkey LEFT JOIN v ON v.l_partkey = p_partkey LEFT JOIN s ON s.l_partkey = p_partkey LEFT JOIN n ON n.l_partkey = p_partkey
     """,
 )
 def drug_product_master(t):
@@ -86,7 +90,7 @@ def drug_product_master(t):
     """
     WITH k AS (SELECT l_partkey, count(DISTINCT l_suppkey) AS companies, count(DISTINCT l_linestatus) AS routes, count(*) AS ingredients,
       count(DISTINCT l_linenumber) FILTER (WHERE l_returnflag = 'R') AS forms,
-      count(DISTINCT l_suppkey) FILTER (WHERE l_returnflag = 'A' AND l_linenumber = 1) AS packages FROM lineitem GROUP BY 1)
+      count(DISTINCT l_suppkey) AS packages FROM lineitem GROUP BY 1)
     SELECT CAST(p_partkey AS VARCHAR) AS drug_code, p_name AS brand_name, coalesce(ingredients, 0) AS n_ingredients, coalesce(companies, 0) AS n_companies,
       coalesce(routes, 0) AS n_routes, coalesce(forms, 0) AS n_forms, coalesce(packages, 0) AS n_packages
     FROM part LEFT JOIN k ON l_partkey = p_partkey
@@ -574,6 +578,42 @@ def disease_codes(t):
     return classes.disease_codes(lists.select(info.alias("block_info"), "codes")).select("block_id", "code", "title", "parent_code", "is_leaf", "inclusions")
 
 
+@query(
+    "disease_blocks",
+    """
+    SELECT 'B' || c_custkey AS block_id, c_name AS title, 'A' || c_nationkey || '-A' || (c_nationkey + 1) AS code_range, 'N' || c_nationkey AS chapter_id,
+      CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment || ';more' END AS inclusions, '' AS exclusions, 'n' || c_custkey AS notes FROM customer
+    """,
+)
+def disease_blocks(t):
+    """Customers as blocks of codes, with and without rubrics."""
+    some = F.array("c_mktsegment", F.lit(""), F.lit("more"))
+    info = F.struct(
+        F.concat(F.lit("B"), text("c_custkey")).alias("id"), F.concat(F.lit("  "), "c_name", F.lit("\n")).alias("title"),
+        F.concat(F.lit("A"), text("c_nationkey"), F.lit("-A"), (F.col("c_nationkey") + 1).cast("string")).alias("code_range"),
+        F.concat(F.lit("N"), text("c_nationkey")).alias("chapter_id"), F.when(F.col("c_mktsegment") != "BUILDING", some).alias("inclusions"),
+        F.array().cast("array<string>").alias("exclusions"), F.array(F.concat(F.lit("n"), text("c_custkey"))).alias("notes"),
+    )
+    return classes.disease_blocks(t.customer.select(info.alias("block_info")))
+
+
+@query(
+    "drug_external_ids",
+    """
+    SELECT 'DB' || c_custkey AS drugbank_id, resource, identifier FROM customer, LATERAL (
+      SELECT 'Segment' AS resource, c_mktsegment AS identifier UNION ALL SELECT 'Nation', CAST(c_nationkey AS VARCHAR)) x
+    """,
+)
+def drug_external_ids(t):
+    one = "<external-identifier><resource>%s</resource><identifier>%s</identifier></external-identifier>"
+    record = fill(
+        '<drug type="biotech"><drugbank-id primary="true">DB%s</drugbank-id><name>x</name><external-identifiers>' + one + one + "</external-identifiers></drug>",
+        text("c_custkey"), F.lit("Segment"), F.col("c_mktsegment"), F.lit("Nation"), text("c_nationkey"),
+    )
+    raw = spread(t.customer).select(parse_xml(record, drug_records.DRUG).alias("r")).select("r.*")
+    return drug_records.external_ids(raw)
+
+
 @query(
     "class_tree",
     """

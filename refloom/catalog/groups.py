@@ -420,13 +420,13 @@ def dedup_either_rounds(t):
     """,
 )
 def first_of_first(t):
-    """Orders as works, line numbers as authors, return flags as institutions."""
+    """Orders as works, line numbers as authors, return flags as institutions. The first author and their names begin part 0."""
     inst = agg.ordered_list(
         t.lineitem, ["l_orderkey", "l_linenumber"], F.struct(F.nullif("l_returnflag", F.lit("N")).alias("display_name")),
         LINE_ORDER, "institutions",
-    )
+    ).filter("part = 0")
     works = agg.ordered_list(inst, ["l_orderkey"], F.struct("institutions"), ["l_linenumber", "part"], "authorships")
-    return works.select("l_orderkey", first_institution("authorships").alias("first_flag"))
+    return works.filter("part = 0").select("l_orderkey", first_institution("authorships").alias("first_flag"))
 
 
 @query("rebuild_text", "SELECT doc_id, md5(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS digest FROM documents")

@@ -196,6 +196,24 @@ def definition_lists(t):
     )
 
 
+@query(
+    "chapters",
+    f"""
+    WITH k AS (SELECT l_orderkey, l_returnflag, string_agg('part ' || l_partkey, ';' ORDER BY {LINE_SQL}) AS x FROM lineitem GROUP BY 1, 2)
+    SELECT o_orderkey AS page_id, CAST(0 AS BIGINT) AS part, 'Chapter ' || o_custkey || ' (A00-B99)' AS title, 'A00-B99' AS code_range,
+      coalesce(a.x, '') AS inclusions, coalesce(r.x, '') AS exclusions, coalesce(n.x, '') AS notes
+    FROM orders LEFT JOIN k a ON a.l_orderkey = o_orderkey AND a.l_returnflag = 'A' LEFT JOIN k r ON r.l_orderkey = o_orderkey AND r.l_returnflag = 'R'
+      LEFT JOIN k n ON n.l_orderkey = o_orderkey AND n.l_returnflag = 'N'
+    """,
+)
+def chapters(t):
+    """Chapter pages with a heading and rubrics of three kinds."""
+    kind = F.when(F.col("l_returnflag") == "A", "Rubric-inclusion-l1").when(F.col("l_returnflag") == "R", "Rubric-exclusion").otherwise("Rubric-note")
+    row = fill('<dl class="%s"><dt>x</dt><dd>part\n <a>%s</a></dd></dl>', kind, text("l_partkey"))
+    head = fill('<div id="classicont"><h1>Chapter %s (A00-B99)</h1>', text("o_custkey"))
+    return classes.chapters(order_pages(t, row, head, "</div>"))
+
+
 @query(
     "rubrics",
     f"""
