@@ -18,8 +18,6 @@ an empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -43,6 +41,7 @@ GRAMS = (3, 4, 5)
 LONGEST = 24
 #: Distinct words whose inputs a Python worker remembers, bytes of texts and windows that are scored at once.
 REMEMBERED, STRETCH, BATCH = 150_000, 1 << 21, 2048
+CHUNK = 20_000
 
 _STRIP = b".,;:!?\"'()[]{}<>*#%&$@|-_=+~`/\\^"
 
@@ -233,8 +232,8 @@ class Scorer:
             new = list(set(words))
         while self.size + len(new) > len(self.projected[0]):
             self.projected = [np.concatenate([t, np.zeros_like(t)]) for t in self.projected]
-        for k in range(0, len(new), 20_000):
-            part = new[k : k + 20_000]
+        for k in range(0, len(new), CHUNK):
+            part = new[k : k + CHUNK]
             for table, got in zip(self.projected, self.net.tables(self.net.inputs(part)[0]), strict=True):
                 table[self.size : self.size + len(part)] = got
             self.number.update(zip(part, range(self.size, self.size + len(part)), strict=True))
@@ -265,17 +264,19 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(self.net.slope * self.worst(texts) + self.net.shift, -30, 30)))
 
 
-def excess(split: list[list[bytes]], target: np.ndarray) -> tuple[dict[bytes, float], np.ndarray, np.ndarray]:
-    """Log odds of toxicity that a word, or one of its n-grams, suggests; words and n-grams with enough documents."""
-    words, toxic_words = Counter(), Counter()
+def excess(listed: list[bytes], docs: list[np.ndarray], target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log odds of toxicity that each word, or one of its n-grams, suggests; words and n-grams with enough documents.
+
+    ``docs`` are numbers of words, from 1.
+    """
+    words, toxic_words = np.zeros(len(listed) + 1), np.zeros(len(listed) + 1)
     grams, toxic_grams = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for s, y in zip(split, target.tolist(), strict=True):
-        own = list(set(s))
-        words.update(own)
-        if y:
-            toxic_words.update(own)
-        if own:
-            at = unique(gram_buckets(own)[0])
+    for d, y in zip(docs, target.tolist(), strict=True):
+        own = unique(d)
+        words[own] += 1
+        toxic_words[own] += y
+        if len(own):
+            at = unique(gram_buckets([listed[k - 1] for k in own.tolist()])[0])
             grams[at] += 1
             toxic_grams[at] += y
     ones, zeros = target.sum(), (target == 0).sum()
@@ -284,15 +285,22 @@ def excess(split: list[list[bytes]], target: np.ndarray) -> tuple[dict[bytes, fl
         return np.log((toxic + 1) / (ones + 2)) - np.log((every - toxic + 1) / (zeros + 2))
 
     gram_odds = np.where(grams >= LEAST_GRAM, odds(toxic_grams, grams), -9.0)
-    listed = list(words)
-    best = np.empty(len(listed))
-    for k in range(0, len(listed), 20_000):
-        part = listed[k : k + 20_000]
-        buckets, starts = gram_buckets(part)
-        best[k : k + 20_000] = np.maximum.reduceat(gram_odds[buckets], starts[:-1])
-    own = np.array([odds(toxic_words[w], n) if n >= LEAST_WORD else -9.0 for w, n in words.items()])
-    known = np.array([n >= LEAST_WORD for n in words.values()], bool)
-    return dict(zip(listed, np.maximum(own, best), strict=True)), known, grams >= LEAST_GRAM
+    out = np.where(words >= LEAST_WORD, odds(toxic_words, words), -9.0)
+    for k in range(0, len(listed), CHUNK):
+        buckets, starts = gram_buckets(listed[k : k + CHUNK])
+        part = slice(k + 1, k + len(starts))
+        out[part] = np.maximum(out[part], np.maximum.reduceat(gram_odds[buckets], starts[:-1]))
+    return out, words >= LEAST_WORD, grams >= LEAST_GRAM
+
+
+def logits(net: Network, listed: list[bytes], windows: list[np.ndarray]) -> list[np.ndarray]:
+    """Logits of the learning documents' windows."""
+    tables = [np.zeros((len(listed) + 1, 3 * HIDDEN), np.float32) for _ in range(2)]
+    for k in range(0, len(listed), CHUNK):
+        part = listed[k : k + CHUNK]
+        for table, got in zip(tables, net.tables(net.inputs(part)[0]), strict=True):
+            table[k + 1 : k + 1 + len(part)] = got
+    return [np.concatenate([net.run(tables, w[k : k + BATCH]) for k in range(0, len(w), BATCH)]) for w in windows]
 
 
 def fit(rows: list[tuple[str | None, int]], epochs: int = 5, batch: int = 256, rate: float = 0.02, seed: int = 7) -> Network | None:
@@ -301,19 +309,21 @@ def fit(rows: list[tuple[str | None, int]], epochs: int = 5, batch: int = 256, r
     if len(set(target.tolist())) < 2:
         return None
     rng = np.random.default_rng(seed)
-    split = [words_of(t) for t, _ in rows]
-    odds, known, active = excess(split, target)
-    listed = list(odds)
-    net = Network({w: k + 1 for k, w in enumerate(w for w, ok in zip(listed, known.tolist(), strict=True) if ok)}, active, seed)
-    vocabulary = {w: k + 1 for k, w in enumerate(listed)}
-    windows = [window_rows(np.array([vocabulary[x] for x in s], np.int64)) for s in split]
-    weight = np.r_[-9.0, list(odds.values())]
+    # Texts are kept as numbers of words only.
+    vocabulary: dict[bytes, int] = {}
+    docs = [np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(t)], np.int32) for t, _ in rows]
+    listed = list(vocabulary)
+    del vocabulary
+    weight, known, active = excess(listed, docs, target)
+    net = Network({w: n for n, w in enumerate((w for w, ok in zip(listed, known[1:].tolist(), strict=True) if ok), 1)}, active, seed)
+    windows = [window_rows(d) for d in docs]
+    weight[0] = -9.0
     worst = [weight[w].max(1) for w in windows]
-    moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
+    moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items() if k not in ("word", "gram")}
     step = 0
     for epoch in range(epochs):
         if epoch >= 2:
-            worst = Scorer(net).windows([t for t, _ in rows])
+            worst = logits(net, listed, windows)
         chosen, labels = [], []
         for k, w in enumerate(windows):
             order = np.argsort(-worst[k], kind="stable")
@@ -329,7 +339,7 @@ def fit(rows: list[tuple[str | None, int]], epochs: int = 5, batch: int = 256, r
         # The rarer label's windows are repeated.
         one, zero = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
         few, many = (one, zero) if len(one) < len(zero) else (zero, one)
-        order = rng.permutation(np.r_[many, rng.choice(few, max(len(few), len(many) // 3))])
+        order = rng.permutation(np.r_[many, rng.choice(few, max(len(few), len(many) // 3))] if len(few) else many)
         for k in range(0, len(order), batch):
             pick = order[k : k + batch]
             numbers, local = np.unique(at[pick], return_inverse=True)
@@ -349,7 +359,7 @@ def fit(rows: list[tuple[str | None, int]], epochs: int = 5, batch: int = 256, r
                 v += 0.01 * (grad * grad - v)
                 net.p[key] -= (rate / (1 + epoch) ** 0.5) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
     # The documents' own worst windows, to probabilities: a logistic fit in one variable, a weight of one pseudo-document on each side.
-    logit = Scorer(net).worst([t for t, _ in rows])
+    logit = np.array([float(x.max()) for x in logits(net, listed, windows)])
     soft = np.where(target == 1, 1 - 1 / (target.sum() + 2), 1 / ((target == 0).sum() + 2))
     weights = np.zeros(2)
     x = np.c_[logit, np.ones(len(logit))]
