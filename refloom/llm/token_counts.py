@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 LEAF = 64
 LOOK = 3
 #: Distinct pre-tokens whose counts a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 Edit = tuple[int, int, str]
 EDITS = "array<struct<start:int,delete:int,insert:string>>"
 
@@ -188,11 +188,14 @@ def build_trees(docs: DataFrame, path: str, pattern: str, text_col: str = "text"
     return build(docs[text_col].cast("string"))
 
 
-_EDITED = "text string, tree binary, n_tokens long, n_pieces long, old_tokens long, old_pieces long, encoded long"
+_EDITED = "text string, tree binary, n_chars long, n_tokens long, n_pieces long, old_tokens long, old_pieces long, encoded long"
 
 
-def apply_edits(text: Column, tree: Column, edits: Column, path: str, pattern: str) -> Column:
-    """Column with the text, tree and counts after the edits, the counts before, and how many pre-tokens were encoded."""
+def apply_edits(text: Column, tree: Column, edits: Column, path: str, pattern: str, counts_only: bool = False) -> Column:
+    """Column with the text, tree and counts after the edits, the counts before, and how many pre-tokens were encoded.
+
+    With ``counts_only`` text and tree are NULL, and nothing large goes back.
+    """
 
     @F.pandas_udf(_EDITED)
     def edited(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -206,8 +209,9 @@ def apply_edits(text: Column, tree: Column, edits: Column, path: str, pattern: s
                 for e in todo if todo is not None else ():
                     t, n = tree.edit(t, (e["start"], e["delete"], e["insert"]), c)
                     encoded += n
-                rows.append((t, tree.to_bytes(), tree.n_tokens, tree.n_pieces, *old, encoded))
-            yield pd.DataFrame(rows, columns=["text", "tree", "n_tokens", "n_pieces", "old_tokens", "old_pieces", "encoded"])
+                kept = (None, None) if counts_only else (t, tree.to_bytes())
+                rows.append((*kept, len(t), tree.n_tokens, tree.n_pieces, *old, encoded))
+            yield pd.DataFrame(rows, columns=["text", "tree", "n_chars", "n_tokens", "n_pieces", "old_tokens", "old_pieces", "encoded"])
 
     return edited(text.cast("string"), tree, edits)
 
@@ -218,9 +222,9 @@ def edited_counts(docs: DataFrame, edits: Column, path: str, pattern: str, id_co
         F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), edits.cast(EDITS).alias("edits"),
         build_trees(docs, path, pattern, text_col).alias("tree"),
     )
-    out = rows.select("doc_id", apply_edits(F.col("text"), F.col("tree"), F.col("edits"), path, pattern).alias("e"))
+    out = rows.select("doc_id", apply_edits(F.col("text"), F.col("tree"), F.col("edits"), path, pattern, True).alias("e"))
     return out.select(
         "doc_id", F.col("e.old_tokens").alias("n_tokens"), F.col("e.old_pieces").alias("n_pretokens"),
-        F.length("e.text").cast("long").alias("edited_chars"), F.col("e.n_tokens").alias("edited_tokens"),
+        F.col("e.n_chars").alias("edited_chars"), F.col("e.n_tokens").alias("edited_tokens"),
         F.col("e.n_pieces").alias("edited_pretokens"), F.col("e.encoded").alias("encoded_pretokens"),
     )

@@ -93,6 +93,11 @@ def test_token_counts(edge, nothing):
         want.append((i, c.whole(t), len(e), c.whole(e)))
     assert sorted(((r["doc_id"], r["n_tokens"], r["edited_chars"], r["edited_tokens"]) for r in out), key=key) == sorted(want, key=key)
     assert token_counts.edited_counts(nothing, *args).count() == 0
+    # Text and tree go on to further edits.
+    vocabulary = args[1:]
+    once = edge.select("doc_id", token_counts.apply_edits(F.col("text"), token_counts.build_trees(edge, *vocabulary), edits, *vocabulary).alias("e"))
+    twice = once.select("doc_id", "e.*").select(token_counts.apply_edits(F.col("text"), F.col("tree"), edits, *vocabulary).alias("e")).select("e.*")
+    assert all(r["n_tokens"] == c.whole(r["text"]) and r["n_chars"] == len(r["text"]) for r in twice.collect())
 
 
 def check_packing(out, rows, capacity):
