@@ -30,10 +30,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refloom.llm.common import materialize, mix, shingle_set, unique
+from refloom.operators.graph import components
 
 BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
 ODD_BITS = 512
+#: Parts that the rows of a centre are dealt out to for a join.
+SALTS = 32
 #: Classes, and shingles, in a block on average.
 BLOCK_CLASSES, BLOCK_SHINGLES = 1024, 1 << 20
 _R = mix(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -109,32 +112,10 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text.cast("string"))
 
 
-def components(links: DataFrame, low: str = "a", high: str = "b") -> DataFrame:
-    """``node`` and ``root`` (the smallest node of its component) of every node but the roots, from undirected links.
-
-    Alternates between linking the larger and the smaller neighbours of each node to its smallest one; the number of rounds is
-    logarithmic in the size of a component.
-    """
-
-    def fold(pairs: DataFrame, name: str) -> tuple[DataFrame, tuple]:
-        done = materialize(pairs.distinct(), name)
-        return done, tuple(done.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    edges, state = fold(
-        links.select(F.greatest(low, high).alias("u"), F.least(low, high).alias("v")).filter("u <> v"), "links"
-    )
-    while state[0]:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.filter("u <> v").distinct(), "links")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges, after = fold(small.unionByName(least.select("u", F.col("m").alias("v"))), "links")
-        if after == state:
-            break
-        state = after
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+def by_centre(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """Join a few facts per centre to its rows. A centre may have a large share of all rows, so these are dealt out by node too."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+    return salted.join(facts.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["centre", "salt"]).drop("salt")
 
 
 class Forest:
@@ -243,7 +224,7 @@ def near_duplicates(
             F.ceil(F.count("*") / block_classes), F.ceil(F.sum("n_shingles") / block_shingles)
         ).alias("n_blocks"), F.count("*").alias("n"),
     ).filter("n > 1")
-    members = met.join(sized.drop("n"), "centre").withColumn("block", F.pmod(F.xxhash64("node"), "n_blocks"))
+    members = by_centre(met, sized.drop("n")).withColumn("block", F.pmod(F.xxhash64("node"), "n_blocks"))
     members = materialize(members, "groups")
     needed = members.select("node").distinct().join(info, "node")
     wanted = needed.select("text_key").distinct()
@@ -265,12 +246,12 @@ def near_duplicates(
         placed = split.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
         sizes = placed.groupBy("centre", "comp").agg(F.count("*").alias("n"))
         largest = sizes.groupBy("centre").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("n_comps"))
-        placed = materialize(placed.join(largest.filter("n_comps > 1"), "centre"), "groups")
+        placed = materialize(by_centre(placed, largest.filter("n_comps > 1")), "groups")
         asking = placed.filter("comp <> main")
         ask_blocks = asking.groupBy("centre", "block").agg(F.lit(1)).select("centre", F.col("block").alias("ask_block"))
         every = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
         asks = asking.select("centre", "node", "comp", F.col("block").alias("ask_block"), every.alias("block"), F.lit(True).alias("asks"))
-        others = placed.join(ask_blocks, "centre").select("centre", "node", "comp", "ask_block", "block", F.lit(False).alias("asks"))
+        others = by_centre(placed, ask_blocks).select("centre", "node", "comp", "ask_block", "block", F.lit(False).alias("asks"))
         # A class that asks is among the others too; it stays once, as one that asks.
         rows = asks.unionByName(others).groupBy("centre", "ask_block", "block", "node", "comp").agg(F.max("asks").alias("asks"))
         jobs = rows.join(info, "node").select(
