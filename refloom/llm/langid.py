@@ -5,7 +5,7 @@ of two texts is the number of n-grams both have, over the geometric mean of thei
 landmarks; the Nyström map turns kernel values with them into features, and ridge regression of each language against the
 rest is solved there. Batches of documents are scored by one matrix product of their presence matrix.
 
-The model learns from a bounded sample: ``PER_LANGUAGE`` texts of each language, chosen by hash, shorter ones first where some exceed
+The model learns from a bounded sample: ``PER_LANGUAGE`` texts of each of at most ``LANGUAGES`` languages, chosen by hash, shorter ones first where some exceed
 ``LONG`` characters. Scoring reads whole texts.
 
 Defined results: NULL texts and texts without a letter are ``und`` with score 0; so is everything when there is nothing to learn
@@ -25,6 +25,8 @@ SIZES = (1, 2, 3)
 #: Texts of each language that the model learns from, and how many of them are landmarks.
 PER_LANGUAGE, LANDMARKS = 250, 40
 LONG = 20_000
+#: Languages that are learnt at most, the most frequent ones; it bounds the sample, and the counts that are broadcast.
+LANGUAGES = 1_000
 RIDGE = 1e-2
 #: How sharply regression outputs (about -1 to 1) become shares.
 SHARPNESS = 6.0
@@ -127,7 +129,7 @@ def _batches(items: list, size: int = BATCH) -> list[list]:
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
     """At most ``per_language`` texts of each language from ``docs`` (text, lang), chosen by hash."""
     rows = docs.filter("lang IS NOT NULL AND text RLIKE '\\\\p{L}'").withColumn("pick", F.xxhash64("text", F.lit(1)))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
     # A few times the wanted number pass by hash, so that the ranking sees a bounded number of rows per language.
     share = (F.col("pick").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
     some = rows.join(F.broadcast(counts), "lang").filter(share * F.col("n") <= 6 * per_language)
