@@ -32,16 +32,20 @@ from pyspark.sql import functions as F
 
 from refloom.llm.common import REMEMBERED, blocks, materialize, mix, remainder, tree_reduce
 
-FREQUENT, WIDTH, SHAPES = 1024, 32, 64
+FREQUENT, WIDTH, SHAPES = 1024, 64, 32
 CLASSES = FREQUENT // WIDTH + SHAPES
 PAIRS, INNER = 4096, 4096
 #: Symbols of a context: frequent tokens, classes of rare words, and the place before a text.
 SYMBOLS = FREQUENT + SHAPES + 1
 START = SYMBOLS - 1
 ROWS = 3 * SYMBOLS + 2 * PAIRS
-BATCH, RATE, ROUNDS = 16_384, 0.2, 2
+OUTER_PARTS = [0, SYMBOLS, 2 * SYMBOLS, 3 * SYMBOLS, 3 * SYMBOLS + PAIRS, ROWS]
+INNER_PARTS = [0, INNER, 2 * INNER]
+#: Tokens that are scored at once, and that one step learns from.
+BATCH, STEP = 8_192, 65_536
+RATE, ROUNDS = 0.2, 2
 #: Text of a block, in bytes.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 12 << 20
 END = np.uint64(SHAPES - 1)  # hash 0 in the last class
 _SHAPE = np.uint64(SHAPES - 1)
 
@@ -86,7 +90,7 @@ def _unpack(data: bytes, kind: str) -> np.ndarray:
 def number_block(number: int, ids: list, learn: list[bool], texts: list[np.ndarray]) -> dict:
     """A block of texts as numbers into its distinct keys, the most frequent ones first, with their counts in learning documents."""
     flat = np.concatenate(texts)
-    order = np.argsort(flat, kind="stable")
+    order = np.argsort(flat)
     ranked = flat[order]
     first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
     place = np.empty(len(flat), np.int64)
@@ -150,7 +154,7 @@ class Model:
 
     def symbols(self, keys: np.ndarray) -> np.ndarray:
         """Frequent tokens by rank, then the classes of rare words."""
-        out = FREQUENT + (keys & _SHAPE).astype(np.int64)
+        out = FREQUENT + (keys & _SHAPE).astype(np.int32)
         if len(self.keys):
             at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
             hit = self.keys[at] == keys
@@ -163,7 +167,7 @@ class Model:
         place = np.arange(len(symbols)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         back = []
         for k in (1, 2, 3):
-            q = np.full(len(symbols), START)
+            q = np.full(len(symbols), START, np.int32)
             q[k:] = symbols[:-k]
             q[place < k] = START
             back.append(q)
@@ -171,28 +175,39 @@ class Model:
 
     @staticmethod
     def rows(q1: np.ndarray, q2: np.ndarray, q3: np.ndarray) -> list[np.ndarray]:
+        q1, q2, q3 = (q.astype(np.int64) for q in (q1, q2, q3))
         near = (mix((q1 * 4099 + q2).astype(np.uint64)) % np.uint64(PAIRS)).astype(np.int64)
         skip = (mix((q1 * 4099 + q3 + (1 << 40)).astype(np.uint64)) % np.uint64(PAIRS)).astype(np.int64)
         return [q1, SYMBOLS + q2, 2 * SYMBOLS + q3, 3 * SYMBOLS + near, 3 * SYMBOLS + PAIRS + skip]
 
     @staticmethod
     def inner_rows(group: np.ndarray, q1: np.ndarray, q2: np.ndarray) -> list[np.ndarray]:
+        group = group.astype(np.int64)
         one = (mix((group * 4099 + q1).astype(np.uint64)) % np.uint64(INNER)).astype(np.int64)
         two = (mix((group * 4099 + q2 + (1 << 40)).astype(np.uint64)) % np.uint64(INNER)).astype(np.int64)
         return [one, INNER + two]
 
     @staticmethod
-    def softmax(bias: np.ndarray, table: np.ndarray, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Shares, and logarithms of their sums after the largest is taken off (with that: the logits)."""
-        logits = table[rows[0]]
+    def logits(bias: np.ndarray, table: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+        """Sums of weight rows, the largest of each token taken off."""
+        out = table[rows[0]]
         for r in rows[1:]:
-            logits += table[r]
-        logits += bias
-        logits -= logits.max(1, keepdims=True)
-        shares = np.exp(logits)
-        total = shares.sum(1, keepdims=True)
-        shares /= total
-        return shares, logits - np.log(total)
+            out += table[r]
+        out += bias
+        out -= out.max(1, keepdims=True)
+        return out
+
+    @staticmethod
+    def shares(logits: np.ndarray) -> np.ndarray:
+        np.exp(logits, out=logits)
+        logits /= logits.sum(1, keepdims=True)
+        return logits
+
+    @staticmethod
+    def log_share(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Logarithm of one share of each row."""
+        one = logits[np.arange(len(at)), at]
+        return (one - np.log(np.exp(logits, out=logits).sum(1))).astype(float)
 
     def log_probability(self, symbols: np.ndarray, counts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Natural log probability of each token; ``counts`` are the tokens' counts in learning documents."""
@@ -202,11 +217,11 @@ class Model:
             s = symbols[k : k + BATCH]
             q1, q2, q3 = (q[k : k + BATCH] for q in back)
             group = np.where(s < FREQUENT, s // WIDTH, FREQUENT // WIDTH + s - FREQUENT)
-            logs = self.softmax(self.class_bias, self.outer, self.rows(q1, q2, q3))[1][np.arange(len(s)), group].astype(float)
+            logs = self.log_share(self.logits(self.class_bias, self.outer, self.rows(q1, q2, q3)), group)
             common = s < FREQUENT
             g = group[common]
-            inner = self.softmax(self.inner_bias[g], self.inner, self.inner_rows(g, q1[common], q2[common]))[1]
-            logs[common] += inner[np.arange(len(g)), s[common] % WIDTH]
+            inner = self.logits(self.inner_bias[g], self.inner, self.inner_rows(g, q1[common], q2[common]))
+            logs[common] += self.log_share(inner, s[common] % WIDTH)
             rare = ~common
             logs[rare] += np.log(counts[k : k + BATCH][rare] + 0.5) - self.rare_log[s[rare] - FREQUENT]
             out[k : k + BATCH] = logs
@@ -215,36 +230,34 @@ class Model:
     def learn(self, symbols: np.ndarray, lengths: np.ndarray, seen: tuple[np.ndarray, np.ndarray]) -> None:
         """Mini-batch steps over texts laid end to end; ``seen`` has the sums of squared gradients."""
         back = self.contexts(symbols, lengths)
-        for k in range(0, len(symbols), BATCH):
-            s = symbols[k : k + BATCH]
-            q1, q2, q3 = (q[k : k + BATCH] for q in back)
+        for k in range(0, len(symbols), STEP):
+            s = symbols[k : k + STEP]
+            q1, q2, q3 = (q[k : k + STEP] for q in back)
             group = np.where(s < FREQUENT, s // WIDTH, FREQUENT // WIDTH + s - FREQUENT)
             rows = self.rows(q1, q2, q3)
-            gradient = self.softmax(self.class_bias, self.outer, rows)[0]
+            gradient = self.shares(self.logits(self.class_bias, self.outer, rows))
             gradient[np.arange(len(s)), group] -= 1
             common = s < FREQUENT
             g = group[common]
             inner_rows = self.inner_rows(g, q1[common], q2[common])
-            inner = self.softmax(self.inner_bias[g], self.inner, inner_rows)[0]
+            inner = self.shares(self.logits(self.inner_bias[g], self.inner, inner_rows))
             inner[np.arange(len(g)), s[common] % WIDTH] -= 1
-            for r in rows:
-                _step(self.outer, seen[0], r, gradient)
-            for r in inner_rows:
-                _step(self.inner, seen[1], r, inner)
-
-
-def _step(table: np.ndarray, seen: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
-    """Adaptive step for the rows that a batch touches."""
-    if not len(rows):
-        return
-    order = np.argsort(rows, kind="stable")
-    ranked = rows[order]
-    first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-    total = np.add.reduceat(gradient[order], first, axis=0)
-    at = ranked[first]
-    square = seen[at] + total * total
-    seen[at] = square
-    table[at] -= np.float32(RATE) * total / np.sqrt(square + np.float32(1.0))
+            _step(self.outer, seen[0], OUTER_PARTS, rows, gradient)
+            _step(self.inner, seen[1], INNER_PARTS, inner_rows, inner)
+
+
+def _step(table: np.ndarray, seen: np.ndarray, parts: list[int], rows: list[np.ndarray], gradient: np.ndarray) -> None:
+    """Adaptive step of a table, one kind of feature (a stretch of rows from one bound of ``parts`` to the next) after the other.
+
+    Gradients are summed column by column, so that what they are added to stays in the cache.
+    """
+    columns = np.ascontiguousarray(gradient.T, dtype=float)
+    for low, high, r in zip(parts, parts[1:], rows, strict=False):
+        at = r - low
+        total = np.stack([np.bincount(at, c, high - low) for c in columns], axis=1).astype(np.float32)
+        square = seen[low:high]
+        square += total * total
+        table[low:high] -= np.float32(RATE) * total / np.sqrt(square + np.float32(1.0))
 
 
 def _state(model: Model, outer: np.ndarray, inner: np.ndarray, tokens: int) -> bytes:
