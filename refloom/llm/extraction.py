@@ -2,9 +2,10 @@
 
 The standard library's parser turns a page into lines (one per block of text) with their tag counts and the containers around them.
 Lines inside furniture (menus, headers, footers, sidebars, notices, adverts, forms, comments, by element, role or class name) never
-count. The text-to-tag ratios of the rest are smoothed along the page, and the lines above the threshold form clusters. The
-smallest container that holds most of the clustered text is the content region, and every line in it that is not furniture
-is returned, short ones too.
+count. The text-to-tag ratios of the rest are smoothed along the page, and the lines above the threshold form clusters, with
+the headings before them. Each cluster selects the smallest container that holds most of its text, its lines outside it select theirs, and
+every line of the selected containers that is not furniture is returned, short ones too. Mark-up helps in one way: a container inside an
+article element stands for the whole element. An article element without clustered text is not returned.
 
 Defined results: NULL and empty pages, and pages of furniture only, give the empty text. Broken mark-up never stops the parser: an end tag
 without its start is ignored, an open element ends with its parent. Repeated rows are kept. Extra columns are ignored.
@@ -33,6 +34,10 @@ BLOCKS = frozenset(
     "ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 CONTAINERS = frozenset("article body center div html main section table tbody td tr ul ol dl blockquote header figure details".split())
+#: Containers that are parts of a page, and those that are the page.
+PARTS = frozenset("article main section div center td details".split())
+ROOTS = frozenset(("html", "body"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An open paragraph or item ends where one of these begins.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar status".split())
@@ -50,8 +55,10 @@ NEUTRAL = frozenset("has have with no without is not js".split())
 SIGMA = 1.0
 #: A line counts as content where its smoothed ratio exceeds this share of the ratios' standard deviation.
 THRESHOLD = 0.5
-#: Share of the clustered text that the region holds.
+#: Share of a cluster's text that its container holds.
 SHARE = 0.8
+#: A part at the page's start or end counts from this share of the threshold on, by its own text and tags.
+PART = 0.25
 
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
@@ -88,11 +95,11 @@ def is_hidden(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -
 
 
 class Lines(HTMLParser):
-    """Parser events to lines: ``(text, tags, containers)``, the containers from the outermost to the innermost."""
+    """Parser events to lines: ``(text, tags, containers, heading)``, the containers from the outermost to the innermost."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
         self.names: list[str] = []  # of containers, by number
         self.open: list[tuple[str, int, bool]] = []  # tag, container number or -1, hidden
         self.path: tuple[int, ...] = ()
@@ -104,7 +111,7 @@ class Lines(HTMLParser):
         if self.text:
             line = " ".join("".join(self.text).split())
             if line:
-                self.lines.append((line, self.tags, self.path))
+                self.lines.append((line, self.tags, self.path, bool(self.open) and self.open[-1][0] in HEADINGS))
                 self.tags = 0
             self.text = []
 
@@ -171,7 +178,7 @@ class Lines(HTMLParser):
             self.text.append(data)
 
 
-def page_lines(html: str) -> tuple[list[tuple[str, int, tuple[int, ...]]], list[str]]:
+def page_lines(html: str) -> tuple[list[tuple[str, int, tuple[int, ...], bool]], list[str]]:
     parser = Lines()
     parser.feed(html)
     parser.close()
@@ -187,35 +194,98 @@ def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratios, weights)[radius:-radius] / total
 
 
+def runs(chosen: np.ndarray) -> list[list[int]]:
+    """Clusters: runs of neighbouring lines above the threshold."""
+    at = np.flatnonzero(chosen)
+    return [r.tolist() for r in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1)]
+
+
+def regions(chosen: np.ndarray, paths: list[tuple[int, ...]], names: list[str], size: np.ndarray) -> list[list[int]]:
+    """Lines of each container that the clusters select; every line of a cluster is in one of them.
+
+    The innermost container with ``SHARE`` of a cluster's text is taken whole, and the cluster's other lines select theirs in the same way.
+    A page's body, and what has several article elements, is taken whole only if enough clustered text stands in it directly, and else part by part.
+    """
+    first, last = {-1: 0}, {-1: len(paths)}
+    for k, p in enumerate(paths):
+        for n in p:
+            first.setdefault(n, k)
+            last[n] = k + 1
+
+    def below(k: int, depth: int) -> int:
+        return next((n for n in paths[k][depth:] if names[n] in PARTS or names[n] in ROOTS), -1)
+
+    found, taken, shares, todo = [], set(), {}, runs(chosen)
+    total = size[chosen].sum()
+    while todo:
+        run = todo.pop()
+        mass: dict[int, float] = {}
+        for k in run:
+            for n in paths[k]:
+                mass[n] = mass.get(n, 0.0) + size[k]
+        least = SHARE * size[run].sum()
+        holder = max((n for n in mass if mass[n] >= least), default=-1)
+        path = next((paths[k][: paths[k].index(holder) + 1] for k in run if holder in paths[k]), ())
+        # Lists, tables and quotes are a piece of the part around them, and sections a piece of their article.
+        part = max((i for i, n in enumerate(path) if names[n] in PARTS or names[n] in ROOTS), default=-1)
+        article = max((i for i, n in enumerate(path) if names[n] == "article"), default=-1)
+        if article >= 0:
+            path = path[: article + 1]
+        elif part >= 0 and names[path[part]] in PARTS:
+            path = path[: part + 1]
+        depth = len(path)
+        whole = article >= 0 or depth and names[path[-1]] not in ROOTS and not any(names[n] == "article" for k in run for n in paths[k][depth:])
+        top = path[-1] if path else -1
+        low, high = first[top], last[top]
+        if not whole:
+            if top not in shares:
+                shares[top] = sum(size[k] for k in range(low, high) if chosen[k] and below(k, depth) < 0)
+            whole = shares[top] >= (1 - SHARE) * total
+        within = [k for k in run if low <= k < high]
+        if not whole:
+            groups: dict[int, list[int]] = {}
+            for k in within:
+                groups.setdefault(below(k, depth), []).append(k)
+            if -1 in groups:
+                found.append(groups.pop(-1))
+            todo += groups.values()
+        elif top not in taken:
+            taken.add(top)
+            found.append(list(range(low, high)))
+        if len(within) < len(run):
+            todo.append([k for k in run if not low <= k < high])
+    return found
+
+
 def content(html: str | None) -> str:
-    """Text of the content region, one line per block."""
+    """Text of the content regions, one line per block."""
     if not html:
         return ""
     lines, names = page_lines(html)
     if not lines:
         return ""
-    size = np.array([len(t) for t, _, _ in lines], float)
-    ratios = size / np.maximum(1, np.array([n for _, n, _ in lines]))
+    size = np.array([len(t) for t, _, _, _ in lines], float)
+    tags = np.array([n for _, n, _, _ in lines])
+    ratios = size / np.maximum(1, tags)
     smoothed = smooth(ratios)
     chosen = smoothed >= THRESHOLD * smoothed.std()
     if not chosen.any():
         chosen[:] = True
-    mass: dict[int, float] = {}
-    for (_, _, path), s, c in zip(lines, size.tolist(), chosen.tolist(), strict=True):
-        if c:
-            for n in path:
-                mass[n] = mass.get(n, 0.0) + s
-    total = float(size[chosen].sum())
-    region = None
-    # An article element with clustered text is the region by its mark-up; else the innermost container with the share decides.
-    marked = [n for n in mass if names[n] == "article"] or [n for n in mass if names[n] == "main"]
-    if marked:
-        region = max(marked, key=lambda n: (mass[n], -n))
-    else:
-        holders = [n for n in mass if mass[n] >= SHARE * total]
-        if holders:
-            region = max(holders)
-    return "\n".join(t for t, _, path in lines if region is None or region in path)
+    # A heading goes with the text that follows it.
+    for k in range(len(lines) - 2, -1, -1):
+        if lines[k][3] and chosen[k + 1]:
+            chosen[k] = True
+    paths = [path for _, _, path, _ in lines]
+    parts = regions(chosen, paths, names, size)
+    # Smoothing lifts what stands next to long text: weak parts at the page's ends go, headings stay.
+    level = PART * THRESHOLD * smoothed.std()
+    weak = [size[p].sum() / max(1, tags[p].sum()) < level and not any(lines[k][3] for k in p) for p in parts]
+    order = sorted(range(len(parts)), key=lambda k: parts[k][0])
+    strong = [i for i, k in enumerate(order) if not weak[k]]
+    if strong:
+        order = order[strong[0] : strong[-1] + 1]
+    kept = sorted({line for k in order for line in parts[k]})
+    return "\n".join(lines[k][0] for k in kept)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -373,5 +373,29 @@ def test_page_text():
         extraction.content(soup)
 
 
+LONG = "A paragraph of the story that is long enough to be taken for text by its ratio, and then some more words of it."
+LINKS = "<div>" + "".join(f"<span><b><a href=x>l{k}</a></b></span><br>" for k in range(8)) + "</div>"
+
+
+def test_clusters_select_regions():
+    """The smoothed ratios decide, with article elements and without: all parts with text stay, link lists go."""
+    story = "".join(f"<p>{k} {LONG}</p>" for k in range(5))
+    text = "\n".join(f"{k} {LONG}" for k in range(5))
+    lead = "A lead of one sentence that stands apart from the body of the story, as it often does."
+    # No article element, lead and title in siblings with less than a fifth of the text, the rest split in two.
+    split = f"<body>{LINKS}<div><h1>Title</h1></div><div><p>{lead}</p></div><div>{story}</div><div>{story}</div>{LINKS}</body>"
+    assert extraction.content(split) == "\n".join(["Title", lead, text, text])
+    # Two article elements of different size, with and without one around them.
+    for a, b in (("<main>", "</main>"), ("", "")):
+        two = f"<body>{LINKS}{a}<article><h2>One</h2>{story}</article><article><h2>Two</h2><p>{LONG}</p></article>{b}{LINKS}</body>"
+        assert extraction.content(two) == "\n".join(["One", text, "Two", LONG])
+    # An article element without clustered text is no content; the text stands elsewhere.
+    card = f"<body><article>{LINKS}</article><div>{story}</div></body>"
+    assert extraction.content(card) == text
+    # A body part after the article element, and a short list inside it.
+    after = f"<body><article>{story}<ul>{'<li><b><i>x</i></b>' * 9}</ul></article><div>{story}</div><div>{LINKS}</div></body>"
+    assert extraction.content(after) == "\n".join([text, *"x" * 9, text])
+
+
 def test_smoothing_keeps_level_lines():
     assert np.allclose(extraction.smooth(np.full(7, 3.0)), 3.0) and len(extraction.smooth(np.ones(1))) == 1
