@@ -1,10 +1,13 @@
 """Best-fit packing of documents into sequences: hierarchical residual packing.
 
-Partitions pack their own pieces best-fit, emit the bins that are nearly full, and hand the underfull ones on. A tree then
-merges what neighbouring partitions have left, in rounds: an underfull bin of at most half a sequence travels as one item; a fuller
-one, into which hardly anything would fit as a whole, travels opened, so that its pieces can find better partners.
-Only numbers travel, never tokens. Each node hands on at most ``carry`` items (the fullest bins beyond that are emitted as they
-are), so no task grows with the input, and the root closes everything.
+Pieces are dealt out by size, so that every group has the same mix of long and short ones from all partitions, however the input is sorted.
+Groups pack best-fit, emit the bins that are nearly full, and hand the underfull ones on, dealt by size again, in a tree: an underfull bin
+of at most half a sequence travels as one item; a fuller one, into which hardly anything would fit as a whole, travels opened, so that its
+pieces can find better partners. Only numbers travel, never tokens.
+
+Where more is left than the tree's next groups may hold, no bin is opened in that round. Best fit then leaves one bin of at most half a sequence
+a group at most; fuller ones never fit each other, so of these only as many can meet a partner as there are such small ones, and it may
+as well be the least full. They go on, the rest is emitted, which costs no sequence. No task grows with the input, and the root closes everything.
 
 Defined results: NULL and empty texts are one piece of length 1 (the separator). Repeated rows are packed as often as they
 occur. An empty table gives an empty result. Extra columns are ignored.
@@ -29,8 +32,8 @@ SEQUENCE = 2048
 SEPARATOR = 0
 #: A bin with at most this many free places is emitted at once.
 SLACK = 8
-#: Items that a node of the tree hands on at most.
-CARRY = 100_000
+#: Pieces of a group at first, and later at most (or four sequences of single tokens, if that is more).
+GROUP, CARRY = 4_096, 100_000
 FAN_IN = 8
 
 #: Distinct words whose ids a Python worker remembers.
@@ -155,11 +158,22 @@ def best_fit(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return out
 
 
-_NODE = "node long, item long, doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+_NODE = (
+    "item long, place long, fill long, open boolean, doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+)
+_COLUMNS = [c.split()[0] for c in _NODE.split(", ")]
+
+
+def by_size(items: np.ndarray, length: np.ndarray, node: int) -> np.ndarray:
+    """Place of each piece's item among the node's items, largest first, from a start that differs by node."""
+    known, of = np.unique(items, return_inverse=True)
+    place = np.empty(len(known), np.int64)
+    place[np.argsort(-np.bincount(of, length, len(known)), kind="stable")] = np.arange(len(known))
+    return place[of] + (node * 2_654_435_761 >> 7) % 65_521
 
 
-def pack_node(pieces: pd.DataFrame, node: int, level: int, capacity: int, slack: int, carry: int, last: bool) -> pd.DataFrame:
-    """One round over a node's pieces: pieces of the same ``item`` stay together. ``sequence_id`` is NULL for what is handed on."""
+def pack_node(pieces: pd.DataFrame, node: int, level: int, capacity: int, slack: int, whole: bool, last: bool) -> pd.DataFrame:
+    """One round over a node's pieces: pieces of the same ``item`` stay together. What is ``open`` is handed on; with ``whole``, as it is."""
     pieces = pieces.sort_values(["item", "length", "doc_id", "piece", "ids_crc32"], ascending=[True, False, True, True, True])
     items, of = np.unique(pieces["item"].to_numpy(), return_inverse=True)
     size = np.bincount(of, pieces["length"].to_numpy(), len(items)).astype(np.int64)
@@ -167,32 +181,32 @@ def pack_node(pieces: pd.DataFrame, node: int, level: int, capacity: int, slack:
     bins = np.empty(len(items), np.int64)
     bins[order] = best_fit(size[order], capacity)
     fill = np.bincount(bins, size).astype(np.int64)
-    done = fill >= capacity - slack
-    if last:
-        done[:] = True
-    else:
-        count = np.bincount(bins)
-        open_bins = np.flatnonzero(~done)
-        open_bins = open_bins[np.argsort(fill[open_bins], kind="stable")]
-        done[open_bins[np.cumsum(count[open_bins]) > carry]] = True
     pieces = pieces.assign(bin=bins[of]).sort_values(["bin", "item"], kind="stable").reset_index(drop=True)
     length, number = pieces["length"].to_numpy(), pieces["bin"].to_numpy()
     before = np.cumsum(length) - length
-    first = np.r_[True, number[1:] != number[:-1]] if len(number) else np.empty(0, bool)
-    offset = before - np.maximum.accumulate(np.where(first, before, 0)) if len(number) else before
-    emitted = done[number]
-    base = (level << 57) | (node << 32)
-    pieces["sequence_id"] = pd.array(np.where(emitted, base + number, 0), "Int64")
-    pieces.loc[~emitted, "sequence_id"] = pd.NA
-    pieces["offset"] = pd.array(np.where(emitted, offset, 0), "Int64")
+    first = np.r_[True, number[1:] != number[:-1]]
+    pieces["sequence_id"] = (level << 57 | node << 32) + number
+    pieces["offset"] = before - np.maximum.accumulate(np.where(first, before, 0))
+    pieces["fill"] = fill[number]
+    pieces["open"] = not last and pieces["fill"] < capacity - slack
     # Handed on: small bins whole, fuller ones opened. Items of a node get numbers of their own.
-    whole = fill[number] * 2 <= capacity
     row = np.arange(len(pieces))
     lead = np.zeros(len(fill), np.int64)
     lead[number[first]] = row[first]
-    pieces["item"] = (node << 32) + np.where(whole, lead[number], row)
-    pieces["node"] = node
-    return pieces[[c.split()[0] for c in _NODE.split(", ")]]
+    pieces["item"] = (node << 32) + np.where(whole | (fill[number] * 2 <= capacity), lead[number], row)
+    pieces["place"] = 0
+    handed = pieces["open"].to_numpy()
+    pieces.loc[handed, "place"] = by_size(pieces["item"].to_numpy()[handed], length[handed], node)
+    return pieces[_COLUMNS]
+
+
+def partners(left: DataFrame, capacity: int) -> tuple[DataFrame, DataFrame]:
+    """Pieces of whole bins that may still meet another, and the rest: bins over half of which there are more than small ones."""
+    bins = left.groupBy("item").agg(F.first("fill").alias("fill"))
+    small = F.col("fill") * 2 <= capacity
+    fuller = bins.filter(~small).orderBy("fill", "item").limit(bins.filter(small).count())
+    keep = materialize(bins.filter(small).unionByName(fuller).select("item"), "pack")
+    return left.join(keep, "item", "left_semi"), left.join(keep, "item", "left_anti")
 
 
 def cut(data: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]:
@@ -226,35 +240,43 @@ def pack(
         if not got:
             return
         table = np.concatenate(got)
+        node = TaskContext.get().partitionId()
         pieces = pd.DataFrame(table, columns=["piece", "start", "length", "ids_crc32"])
         pieces["doc_id"] = pd.array([None if pd.isna(i) else int(i) for i in ids], "Int64")
-        pieces["item"] = np.arange(len(pieces))
-        yield pack_node(pieces, TaskContext.get().partitionId(), 0, capacity, slack, carry, False)
-
-    def merging(level: int, last: bool):
-        def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        pieces["sequence_id"] = pieces["item"] = (node << 32) + np.arange(len(pieces))
+        pieces["offset"], pieces["fill"] = 0, pieces["length"]
+        pieces["open"] = pieces["length"] < capacity - slack
+        pieces["place"] = by_size(pieces["item"].to_numpy(), pieces["length"].to_numpy(), node)
+        yield pieces[_COLUMNS]
+
+    def packing(level: int, groups: int, whole: bool):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf["doc_id"] = pdf["doc_id"].astype("Int64")
-            return pack_node(pdf, int(pdf["node"].iloc[0]) // fan_in, level, capacity, slack, carry, last)
+            return pack_node(pdf, int(pdf["place"].iloc[0]) % groups, level, capacity, slack, whole, groups == 1)
 
-        return merge
+        return run
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    nodes = source.rdd.getNumPartitions()
     step = materialize(source.mapInPandas(local, _NODE), "pack")
-    done = [step]
-    level = 1
-    while True:
-        last = nodes <= fan_in
-        merge = merging(level, last)
-        left = step.filter(F.col("sequence_id").isNull())
-        step = materialize(left.groupBy(F.floor(F.col("node") / fan_in)).applyInPandas(merge, _NODE), "pack")
-        done.append(step)
-        if last:
+    done, left = [step.filter(~F.col("open"))], step.filter("open")
+    limit = max(carry, 4 * capacity)
+    n, level, whole = left.count(), 0, False
+    groups = -(-n // min(GROUP, limit))
+    while n:
+        level += 1
+        run = packing(level, groups, whole)
+        step = materialize(left.groupBy(F.col("place") % groups).applyInPandas(run, _NODE), "pack")
+        done.append(step.filter(~F.col("open")))
+        if groups == 1:
             break
-        nodes, level = -(-nodes // fan_in), level + 1
-    out = done[0]
+        left = step.filter("open")
+        if whole:
+            left, rest = partners(left, capacity)
+            done.append(rest)
+        n = left.count()
+        planned, need = -(-groups // fan_in), -(-n // limit)
+        groups, whole = max(planned, need), need > planned
+    out = done[0].select(_COLUMNS)
     for df in done[1:]:
-        out = out.unionByName(df)
-    return out.filter(F.col("sequence_id").isNotNull()).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
-    )
+        out = out.unionByName(df.select(_COLUMNS))
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

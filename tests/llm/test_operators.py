@@ -144,6 +144,19 @@ def test_toxicity(edge, nothing, labels):
     assert {r["score"] for r in toxicity.toxicity(edge, labels.limit(0)).collect()} == {0.0}
 
 
+@pytest.mark.parametrize("carry", [1, packing.CARRY])
+def test_packing_of_sorted_input(spark, carry, monkeypatch):
+    """Long texts in some partitions and short ones in others meet, also where far more bins stay open than a task may hold."""
+    monkeypatch.setattr(packing, "GROUP", 256)
+    for longs, shorts in ((400, 800), (1500, 20)):
+        words = sorted([rng.randint(34, 40) for _ in range(longs)] + [rng.randint(2, 22) for _ in range(shorts)])
+        df = spark.createDataFrame([(k, "one " * n) for k, n in enumerate(words)], "doc_id long, text string").coalesce(8)
+        out = packing.pack(df, queries.VOCABULARY, capacity=64, slack=0, fan_in=2, carry=carry).collect()
+        used = check_packing(out, [(k, "one " * n) for k, n in enumerate(words)], 64)
+        least = max(sum(r["length"] > 32 for r in out), math.ceil(sum(r["length"] for r in out) / 64))
+        assert least >= longs and used <= least * 1.02
+
+
 def plain_lm(rows):
     def tokens(t):
         return (t or "").encode().lower().split() + [None]
