@@ -2,7 +2,8 @@
 
 The standard library's parser turns a page into lines (one per block of text) with their tag counts and the containers around them.
 Lines inside furniture (menus, headers, footers, sidebars, notices, adverts, forms, comments, by element, role or class name) never
-count. The text-to-tag ratios of the rest are smoothed along the page, and the lines above the threshold form clusters, with
+count, nor do those of names that sections of an article may have too (discussion, related, legal), except where such an element stands in the
+content and its ratio and links are those of text. The text-to-tag ratios of the rest are smoothed along the page, and the lines above the threshold form clusters, with
 the headings before them. Each cluster selects the smallest container that holds most of its text, its lines outside it select theirs, and
 every line of the selected containers that is not furniture is returned, short ones too. Mark-up helps in one way: a container inside an
 article element stands for the whole element. An article element without clustered text is not returned.
@@ -49,6 +50,11 @@ FURNITURE = frozenset(
     "follow comment comments commentlist disqus respond reply replies discussion feedback related recommended recommendations "
     "trending popular pagination pager copyright legal search form skip outbrain taboola teaser teasers toc".split()
 )
+#: Words of FURNITURE that also name sections of an article.
+DOUBTFUL = frozenset(
+    "discussion related legal search alert alerts notice notices comment reply replies respond feedback follow form copyright disclaimer "
+    "promotion popular trending notification notifications subscription consent social sharing recommendations toc".split()
+)
 CONTENT = frozenset("article articles body content contents entry main post story text copy page".split())
 NEUTRAL = frozenset("has have with no without is not js".split())
 
@@ -76,6 +82,19 @@ def is_furniture(name: str) -> bool:
     return False
 
 
+def is_doubtful(name: str) -> bool:
+    """Whether a furniture name may be that of an article's section."""
+    return DOUBTFUL.issuperset(t for t in (t.lower() for t in _TOKEN.findall(name)) if t in FURNITURE)
+
+
+def names_of(tag: str, attrs: list[tuple[str, str | None]]) -> list[str]:
+    """Furniture names of an element; the ids of headings and paragraphs are slugs of their text and do not count."""
+    if tag in ("html", "body", "main", "h1"):
+        return []
+    keys = ("class",) if tag in HEADINGS or tag == "p" else ("class", "id")
+    return [name for key, value in attrs if key in keys for name in (value or "").split() if is_furniture(name)]
+
+
 def is_hidden(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
     if tag in UNSEEN or tag == "header" and not in_article:
         return True
@@ -89,19 +108,23 @@ def is_hidden(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -
             return True
         if key == "style" and "display:none" in value.lower().replace(" ", ""):
             return True
-        if key in ("class", "id") and any(map(is_furniture, value.split())):
-            return True
-    return False
+    return not all(map(is_doubtful, names_of(tag, attrs)))
 
 
 class Lines(HTMLParser):
-    """Parser events to lines: ``(text, tags, containers, heading)``, the containers from the outermost to the innermost."""
+    """Parser events to lines: ``(text, tags, containers, heading)``, the containers from the outermost to the innermost.
+
+    ``doubts`` has each line's outermost element with a doubtful name, by number, or -1, and its characters in links.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
         self.names: list[str] = []  # of containers, by number
-        self.open: list[tuple[str, int, bool]] = []  # tag, container number or -1, hidden
+        self.open: list[tuple[str, int, bool, bool]] = []  # tag, container number or -1, hidden, doubtful
+        self.doubts: list[tuple[int, int]] = []
+        self.doubtful = self.doubt_number = self.linked = 0
+        self.link = False
         self.path: tuple[int, ...] = ()
         self.hidden = 0
         self.text: list[str] = []
@@ -112,12 +135,15 @@ class Lines(HTMLParser):
             line = " ".join("".join(self.text).split())
             if line:
                 self.lines.append((line, self.tags, self.path, bool(self.open) and self.open[-1][0] in HEADINGS))
+                self.doubts.append((self.doubt_number if self.doubtful else -1, self.linked))
                 self.tags = 0
             self.text = []
+            self.linked = 0
 
     def pop(self) -> None:
-        _, number, hidden = self.open.pop()
+        _, number, hidden, doubtful = self.open.pop()
         self.hidden -= hidden
+        self.doubtful -= doubtful
         if number >= 0:
             self.path = self.path[:-1]
 
@@ -144,16 +170,21 @@ class Lines(HTMLParser):
             return
         hidden = is_hidden(tag, attrs, any(self.names[n] in ("article", "main") for n in self.path))
         # Inline elements only matter where they hide something.
-        if hidden or tag in BLOCKS:
-            if hidden:
+        doubtful = not hidden and bool(names_of(tag, attrs))
+        if tag == "a":
+            self.link = True
+        if hidden or doubtful or tag in BLOCKS:
+            if hidden or doubtful:
                 self.flush()
+            self.doubt_number += doubtful and not self.doubtful
             number = -1
             if tag in CONTAINERS and not self.hidden and not hidden:
                 number = len(self.names)
                 self.names.append(tag)
                 self.path += (number,)
-            self.open.append((tag, number, hidden))
+            self.open.append((tag, number, hidden, doubtful))
             self.hidden += hidden
+            self.doubtful += doubtful
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID:
@@ -164,6 +195,8 @@ class Lines(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS or tag in UNSEEN:
             self.flush()
+        if tag == "a":
+            self.link = False
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
                 self.flush()
@@ -176,14 +209,15 @@ class Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.hidden:
             self.text.append(data)
+            self.linked += self.link * len(data)
 
 
-def page_lines(html: str) -> tuple[list[tuple[str, int, tuple[int, ...], bool]], list[str]]:
+def page_lines(html: str) -> Lines:
     parser = Lines()
     parser.feed(html)
     parser.close()
     parser.flush()
-    return parser.lines, parser.names
+    return parser
 
 
 def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -261,16 +295,25 @@ def content(html: str | None) -> str:
     """Text of the content regions, one line per block."""
     if not html:
         return ""
-    lines, names = page_lines(html)
-    if not lines:
+    parser = page_lines(html)
+    lines, names = parser.lines, parser.names
+    doubts, linked = np.array(parser.doubts, int).reshape(-1, 2).T
+    sure = doubts < 0
+    if not sure.any():
         return ""
     size = np.array([len(t) for t, _, _, _ in lines], float)
     tags = np.array([n for _, n, _, _ in lines])
     ratios = size / np.maximum(1, tags)
-    smoothed = smooth(ratios)
-    chosen = smoothed >= THRESHOLD * smoothed.std()
-    if not chosen.any():
-        chosen[:] = True
+    smoothed = smooth(ratios[sure])
+    threshold = THRESHOLD * smoothed.std()
+    chosen = sure.copy()
+    if (smoothed >= threshold).any():
+        chosen[sure] = smoothed >= threshold
+    # Elements with a doubtful name select no region; inside one, those with low ratios or mostly links are furniture.
+    left_out = {
+        d for d in set(doubts[~sure].tolist())
+        if size[doubts == d].sum() < threshold * max(1, tags[doubts == d].sum()) or linked[doubts == d].sum() * 2 >= size[doubts == d].sum()
+    }
     # A heading goes with the text that follows it.
     for k in range(len(lines) - 2, -1, -1):
         if lines[k][3] and chosen[k + 1]:
@@ -278,13 +321,13 @@ def content(html: str | None) -> str:
     paths = [path for _, _, path, _ in lines]
     parts = regions(chosen, paths, names, size)
     # Smoothing lifts what stands next to long text: weak parts at the page's ends go, headings stay.
-    level = PART * THRESHOLD * smoothed.std()
+    level = PART * threshold
     weak = [size[p].sum() / max(1, tags[p].sum()) < level and not any(lines[k][3] for k in p) for p in parts]
     order = sorted(range(len(parts)), key=lambda k: parts[k][0])
     strong = [i for i, k in enumerate(order) if not weak[k]]
     if strong:
         order = order[strong[0] : strong[-1] + 1]
-    kept = sorted({line for k in order for line in parts[k]})
+    kept = sorted({line for k in order for line in parts[k] if doubts[line] not in left_out})
     return "\n".join(lines[k][0] for k in kept)
 
 

@@ -397,5 +397,18 @@ def test_clusters_select_regions():
     assert extraction.content(after) == "\n".join([text, *"x" * 9, text])
 
 
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_names_of_sections(tag):
+    """Sections, headings and paragraphs with doubtful names stay inside the content; link lists, notices and adverts by these names go."""
+    story = "".join(f"<p>{k} {LONG}</p>" for k in range(4))
+    links = '<section class="related"><ul>' + "<li><a href=x>Another story</a>" * 5 + "</ul></section>"
+    page = (
+        f'<{tag}>{story}<section id="discussion"><h2 id="legal">Law</h2><p id="search">{LONG}</p></section><section id="related-work"><p>{LONG}</p>'
+        f'</section><div class="cookie-notice">{LONG}</div><div class="ad">{LONG}</div>{links}{story}</{tag}><div class="related"><p>{LONG}</p></div>'
+    )
+    text = "\n".join(f"{k} {LONG}" for k in range(4))
+    assert extraction.content(page) == "\n".join([text, "Law", LONG, LONG, text])
+
+
 def test_smoothing_keeps_level_lines():
     assert np.allclose(extraction.smooth(np.full(7, 3.0)), 3.0) and len(extraction.smooth(np.ones(1))) == 1
