@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refloom.llm import decontaminate, extraction, fingerprints, langid, language_model, neardup, packing, secrets, token_counts, toxicity
+from refloom.llm import (
+    covering, decontaminate, extraction, fingerprints, langid, language_model, merkle, neardup, packing, secrets, token_counts, toxicity, vector_codes,
+)
+from refloom.llm.common import remainder
 from refloom.session import Tables
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +71,21 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(Tables(spark, sf_dir).documents)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every other row (by its id's checksum) is verified without the line breaks of its text."""
+    docs = Tables(spark, sf_dir).documents
+    text = F.when(remainder(F.col("doc_id"), 2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.manifest(docs, now={"text": text})
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.codes(Tables(spark, sf_dir).embeddings)
+
+
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covering.near_duplicates(Tables(spark, sf_dir).documents)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
@@ -79,5 +97,8 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_fingerprints": op10_fingerprints,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_simhash_near_dedup": op13_simhash_near_dedup,
 }
 ORACLE: dict[str, str] = {}
