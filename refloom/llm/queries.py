@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refloom.llm import (
-    covering, decontaminate, extraction, fingerprints, langid, language_model, merkle, neardup, packing, secrets, token_counts, toxicity, vector_codes,
+    covering, decontaminate, extraction, fingerprints, langid, language_model, merkle, neardup, packing, secrets, sql, token_counts, toxicity,
+    vector_codes,
 )
 from refloom.llm.common import remainder
 from refloom.session import Tables
@@ -101,4 +102,4 @@ QUERIES = {
     "op12_vector_codes": op12_vector_codes,
     "op13_simhash_near_dedup": op13_simhash_near_dedup,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_merkle_manifest": sql.MERKLE, "op12_vector_codes": sql.CODES}
