@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from refloom.operators.scans import LINE_LIMIT, by_size, scan
 from refloom.operators.setops import union_tagged
-from refloom.sources.documents import decode_fallback
 from refloom.schemas import text_schema
+from refloom.sources.documents import decode_fallback
+from refloom.sources.quoted import read_quoted
 
 
 def read_positional(
@@ -23,13 +24,11 @@ def read_positional(
     """Header-less quoted CSV with the layout of a file key, from one folder per status.
 
     Files are ``<key>.txt`` or ``<key>_xx.txt``. Short rows are padded with NULL, long rows cut, blank
-    rows skipped. With ``tag`` the status of the folder is added. A quoted field may hold line breaks, so a file is
-    one split; extracts come in many files.
+    rows skipped. With ``tag`` the status of the folder is added. Quoted fields may hold line breaks; files are read by their splits all the
+    same. A file that is not valid UTF-8 is Latin-1.
     """
-    reader = spark.read.schema(text_schema(list(schemas[key]))).options(
-        mode="PERMISSIVE", quote='"', escape='"', encoding=encoding, multiLine=True
-    )
-    parts = {status: reader.csv(f"{path}/{key}{{,_*}}.txt") for status, path in folders.items()}
+    layout = text_schema(list(schemas[key]))
+    parts = {status: read_quoted(spark, f"{path}/{key}{{,_*}}.txt", layout, encoding=encoding) for status, path in folders.items()}
     tagged = union_tagged(parts, tag or "_status")
     return tagged if tag else tagged.drop("_status")
 

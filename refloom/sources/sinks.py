@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from refloom.sources.quoted import read_quoted
+
 
 FORMATS = ("csv", "tsv", "jsonl", "json", "parquet")
 
@@ -74,14 +76,13 @@ def _as_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"value": ["[]" if lead == "[" else "]"]})
 
 
-def read_written(spark, path: str, columns: Sequence[str], fmt: str = "csv") -> DataFrame:
+def read_written(spark, path: str | Sequence[str], columns: Sequence[str], fmt: str = "csv") -> DataFrame:
     """Read a flat dataset back as text, empty cells as ``''``; the columns are checked against each file's header.
 
-    Quoted fields may hold line breaks, so each file is one split; datasets are written as many files.
+    Quoted fields may hold line breaks; files are read by their splits all the same.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    reader = spark.read.schema(schema).options(header=True, quote='"', escape='"', multiLine=True, enforceSchema=False)
-    return reader.option("sep", "\t" if fmt == "tsv" else ",").csv(path).fillna("")
+    return read_quoted(spark, path, schema, "\t" if fmt == "tsv" else ",", header=True).fillna("")
 
 
 def consolidate(spark, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
