@@ -2,19 +2,21 @@
 
 import random
 
+import pandas as pd
+import pytest
 from conftest import rows
 
-from refloom.operators.dedup import dedup_either, dedup_first, dedup_last, suffix_duplicates, upsert
+from refloom.operators.dedup import _Greedy, dedup_either, dedup_first, dedup_last, suffix_duplicates, upsert
 
 
-def greedy(data):
+def greedy(data, original=None):
     """Accept rows in order unless an accepted one shares a present key."""
-    kept, seen = [], set()
+    kept, seen, shown = [], set(), {(str(r[0]), r[1]): r for r in original or ()}
     for g, i, a, b in sorted(data, key=lambda r: (r[0], r[1])):
         keys = {(g, "a", a)} if a else set()
         keys |= {(g, "b", b)} if b else set()
         if not keys & seen:
-            kept.append((g, i, a, b))
+            kept.append(shown.get((g, i), (g, i, a, b)))
             seen |= keys
     return sorted(kept, key=repr)
 
@@ -28,22 +30,54 @@ def test_either_key_chain(table):
 
 def test_either_key_random(table):
     rnd = random.Random(5)
-    for rounds in (0, 1, 3):
+    for rounds, walk in ((0, 10_000), (1, 10_000), (3, 10_000), (0, 5), (1, 1), (0, 60)):
         data = [
-            (rnd.choice("uv"), i, rnd.choice([None, "", *"abcdefghijkl"]), rnd.choice([None, *"ABCDEFGHIJKL"])) for i in range(150)
+            (rnd.choice([None, "u", "v"]), i, rnd.choice([None, "", *"abcdefghijkl"]), rnd.choice([None, *"ABCDEFGHIJKL"])) for i in range(150)
         ]
         df = table(data, "g string, i int, a string, b string").repartition(4)
-        assert rows(dedup_either(df, ["g"], "a", "b", ["i"], rounds=rounds)) == greedy(data)
+        assert rows(dedup_either(df, ["g"], "a", "b", ["i"], rounds=rounds, walk=walk)) == greedy([(str(g), *r) for g, *r in data], data)
+
+
+def ladder(n):
+    """Every row waits for two earlier ones, so that neither first rows nor chains decide much."""
+    return [("g", i, f"a{i // 2 * 7 % n}" if i % 2 else f"a{i // 3}", f"b{i // 3}" if i % 2 else f"b{i // 2 * 5 % n}") for i in range(n)]
+
+
+@pytest.mark.parametrize("walk", [7, 40])
+def test_either_key_ladder(table, walk):
+    data = ladder(200) + [("g", 1000 + i, f"x{i // 2}", f"x{(i + 1) // 2}") for i in range(60)]
+    df = table(data, "g string, i int, a string, b string").repartition(4)
+    assert rows(dedup_either(df, ["g"], "a", "b", ["i"], walk=walk)) == greedy(data)
+
+
+def test_either_key_prefixes_alone(table):
+    data = ladder(120)
+    df = table(data, "g string, i int, a string, b string")
+    slim = df.selectExpr("g", "a as _a", "b as _b", "struct(i) as _at", "cast(i as long) as _id")
+    steps = _Greedy(slim, ["g"])
+    while not steps.open.isEmpty():
+        steps.prefixes(16)
+    assert sorted(r[0] for part in steps.accepted for r in part.collect()) == sorted(i for _, i, _, _ in greedy(data))
 
 
 def test_either_key_long_chain(spark):
-    """Every second row of a chain falls; a chain needs no round per row."""
+    """Every second row of a chain falls; a chain needs no round per row, and no task holds it."""
     n = 100_000
     df = spark.range(n).selectExpr("'g' as g", "id as i", "concat('a', (id + 1) div 2) as a", "concat('b', id div 2) as b").repartition(8)
     got = [r.i for r in dedup_either(df, ["g"], "a", "b", ["i"]).select("i").collect()]
     assert sorted(got) == list(range(0, n, 2))
 
 
+def test_either_key_large_component(spark):
+    """One component of a third of all rows, ten times what a task may walk through."""
+    rnd = random.Random(8)
+    data = [("big", i, f"a{rnd.randrange(40_000)}", f"b{rnd.randrange(40_000)}") for i in range(100_000)]
+    data += [(f"g{i % 5000}", i, f"a{rnd.randrange(9)}", f"b{rnd.randrange(9)}") for i in range(200_000)]
+    df = spark.createDataFrame(pd.DataFrame(data, columns=["g", "i", "a", "b"])).repartition(8)
+    got = dedup_either(df, ["g"], "a", "b", ["i"]).toPandas()
+    assert sorted(zip(got.g, got.i)) == sorted((g, i) for g, i, _, _ in greedy(data))
+
+
 def test_first_last(table):
     df = table([("a", 2, "x"), ("a", 1, "y"), ("b", 1, "z"), (None, 5, "n"), (None, 6, "m")], "k string, at int, v string")
     assert rows(dedup_first(df, ["k"], ["at"])) == rows(table([("a", 1, "y"), ("b", 1, "z"), (None, 5, "n")], df.schema))
