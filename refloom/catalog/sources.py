@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from refloom.catalog import query
@@ -13,7 +10,7 @@ from refloom.functions.text import fill
 from refloom.functions.arrays import lookup
 from refloom.schemas import DRUG_PRODUCT_FILES
 from refloom.session import scratch_path, spread
-from refloom.sources import delimited, documents, sinks
+from refloom.sources import archives, delimited, documents, sinks
 
 
 def _text(df, line, t, name):
@@ -303,18 +300,6 @@ def xml_records(t):
     return read.select("id", "name", "details.segment")
 
 
-def _zip_texts(batches):
-    for batch in batches:
-        out = []
-        for text in batch["text"]:
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("notes/body.txt", text)
-                archive.writestr("readme.md", "not data")
-            out.append(buffer.getvalue())
-        yield pd.DataFrame({"path": batch["doc_id"].astype(str), "content": out})
-
-
 @query(
     "zip_members",
     """
@@ -324,10 +309,17 @@ def _zip_texts(batches):
     """,
 )
 def zip_members(t):
-    """Each document packed into an archive next to a read-me, then read line by line."""
-    files = spread(t.documents.select("doc_id", "text")).mapInPandas(_zip_texts, "path string, content binary")
-    lines = documents.zip_members(files, ".txt")
-    return lines.select(F.col("archive").cast("long").alias("doc_id"), "pos", F.md5("line").alias("digest"))
+    """Documents written into archives, each next to a note, then read back from the files line by line."""
+    path = scratch_path(t.spark, "archives")
+    name = F.concat(F.lit("texts/"), F.col("doc_id").cast("string"))
+    members = t.documents.select(F.explode(F.array(
+        F.struct(F.concat(name, F.lit(".TXT")).alias("name"), F.col("text").alias("content")),
+        F.struct(F.concat(name, F.lit(".md")).alias("name"), F.lit("not data").alias("content")),
+    )).alias("m")).select("m.*")
+    archives.write_archives(spread(members), path, "name", "content")
+    lines = archives.read_zip_members(t.spark, f"{path}/*.zip", ".txt", partition_bytes=1 << 20)
+    doc_id = F.regexp_extract("member", r"(\d+)\.TXT$", 1).cast("long")
+    return lines.select(doc_id.alias("doc_id"), "pos", F.md5("line").alias("digest"))
 
 
 @query(

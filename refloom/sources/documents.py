@@ -59,17 +59,11 @@ def decode_fallback(raw: str | Column) -> Column:
     return F.coalesce(F.try_validate_utf8(data.cast("string")), F.decode(data, "ISO-8859-1"))
 
 
-def read_zip_members(spark: SparkSession, path: str | list[str], suffix: str, raw: bool = False) -> DataFrame:
-    """Members of zip archives by suffix, line by line: (archive, member, pos, line), or (archive, member, content).
+def zip_members(files: DataFrame, suffix: str, raw: bool = False) -> DataFrame:
+    """Members of archives held as rows of ``path`` and ``content``: (archive, member, pos, line), or (archive, member, content).
 
-    Archives are spread over tasks; lines leave in batches, so a member is never held whole. For large
-    archives set ``spark.sql.execution.arrow.maxRecordsPerBatch`` to 1: a batch holds that many archives.
+    For archives in files, ``archives.read_zip_members`` holds none of them.
     """
-    return zip_members(spark.read.format("binaryFile").load(path), suffix, raw)
-
-
-def zip_members(files: DataFrame, suffix: str, raw: bool = False) -> DataFrame:
-    """The same for archives held as rows of ``path`` and ``content``."""
     files = files.select("path", "content")
     if raw:
         return files.mapInPandas(_whole_members(suffix), "archive string, member string, content binary")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from refloom.plans import drug_products, drug_records
 from refloom.schemas import DRUG_PRODUCT_FILES
-from refloom.sources import delimited, documents, sinks
+from refloom.sources import archives, delimited, documents, sinks
 
 
 def put(path, text, encoding="utf-8"):
@@ -115,12 +115,42 @@ def test_results_and_zip(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "z.zip", "w") as z:
         z.writestr("a.TXT", b"one\r\ncaf\xe9\n")
         z.writestr("b.md", "no")
-    got = documents.read_zip_members(spark, str(tmp_path / "z.zip"), ".txt")
+    got = archives.read_zip_members(spark, str(tmp_path / "z.zip"), ".txt")
     assert rows(got, "member", "pos", "line") == [("a.TXT", 0, "one"), ("a.TXT", 1, "café")]
-    whole = documents.read_zip_members(spark, str(tmp_path / "z.zip"), ".txt", raw=True)
+    whole = archives.read_zip_members(spark, str(tmp_path / "z.zip"), ".txt", raw=True)
     assert bytes(whole.head().content) == b"one\r\ncaf\xe9\n"
 
 
+def test_archive_members_are_read_apart(spark, tmp_path):
+    """A member per partition where they are large, several where they are small; as a stream, whatever the batch size is."""
+    for k in range(3):
+        with zipfile.ZipFile(tmp_path / f"{k}.zip", "w", zipfile.ZIP_STORED) as z:
+            z.mkdir("dir.txt")
+            for name, n in (("big.txt", 5_000), ("other.txt", 4_000), ("small.txt", 3), ("tiny.txt", 1), ("none.txt", 0)):
+                z.writestr(f"in/{name}", "".join(f"{k} line {i}\r\n" for i in range(n)))
+    found = archives.read_zip_members(spark, f"{tmp_path}/*.zip", ".TXT", partition_bytes=30_000)
+    assert found.rdd.getNumPartitions() >= 6
+    got = found.groupBy("archive", "member").agg(F.count("*").alias("n"), F.max("pos").alias("last"), F.max_by("line", "pos").alias("end")).collect()
+    assert len(got) == 3 * 4
+    for r in got:
+        k = r.archive.rsplit("/", 1)[-1][0]
+        n = {"in/big.txt": 5_000, "in/other.txt": 4_000, "in/small.txt": 3, "in/tiny.txt": 1}[r.member]
+        assert (r.n, r.last, r.end) == (n, n - 1, f"{k} line {n - 1}")
+    assert archives.read_zip_members(spark, f"{tmp_path}/*.zip", ".nothing").count() == 0
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        assert archives.read_zip_members(spark, f"{tmp_path}/0.zip", "big.txt").count() == 5_000
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+
+
+def test_written_archives(spark, tmp_path):
+    df = spark.createDataFrame([(f"m{k}.txt", f"a{k}\nb") for k in range(20)], "name string, content string").repartition(4)
+    archives.write_archives(df, f"{tmp_path}/z", "name", "content")
+    got = archives.read_zip_members(spark, f"{tmp_path}/z", ".txt")
+    assert rows(got, "member", "line") == sorted([(f"m{k}.txt", x) for k in range(20) for x in (f"a{k}", "b")], key=repr)
+
+
 def test_drug_xml_file(spark, tmp_path):
     text = """<?xml version="1.0"?><drugbank>
     <drug type="biotech"><drugbank-id primary="true">DB1</drugbank-id><drugbank-id>X</drugbank-id><name>One</name>
