@@ -15,13 +15,11 @@ from refloom.operators.select import require_key
 
 
 def read_results_json(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """Records of ``{"results": [...]}`` documents, one document per file.
+    """Records of ``{"results": [...]}`` documents, one document per file; a file is read by as many tasks as it has splits."""
+    from refloom.sources.payloads import payload_records
 
-    A document is parsed by one task; its records are then dealt out evenly, since a file of any size is one split.
-    """
-    shape = f"results array<struct<{_fields(schema)}>>"
-    rows = spark.read.schema(shape).option("multiLine", True).json(path).select(F.inline("results"))
-    return rows.hint("rebalance")
+    records = payload_records(spark, path)
+    return records.select(F.from_json("record", schema).alias("r")).select("r.*")
 
 
 def _fields(schema: str) -> str:
