@@ -118,3 +118,27 @@ def test_similar_bands(spark):
                         want.add((i, q))
         got = {(r.id, r.query_id) for r in similar(df, queries, "v", cutoff - 1e-12 if cutoff == 1 else cutoff, ["id"]).collect()}
         assert got == want, cutoff
+
+
+def test_similar_rings(spark):
+    """Unit vectors around some directions: no single cell, far fewer products than pairs, and the full result."""
+    from refloom.operators.similarity import candidates, similar
+
+    rnd = random.Random(7)
+
+    def unit(v):
+        n = sum(x * x for x in v) ** 0.5
+        return [x / n for x in v]
+
+    centres = [unit([rnd.gauss(0, 1) for _ in range(16)]) for _ in range(12)]
+    vectors = [(i, unit([x + rnd.gauss(0, 0.08) for x in centres[i % 12]])) for i in range(360)]
+    df = spark.createDataFrame(vectors, "id int, v array<double>")
+    queries = df.filter("id % 10 = 0").selectExpr("id as query_id", "v as query_vec")
+    for cutoff in (0.8, 0.5, 0.05):
+        want = {(i, q) for i, a in vectors for q, b in vectors if q % 10 == 0 and (d := sum(x * y for x, y in zip(a, b))) / (2 - d) >= cutoff}
+        assert {(r.id, r.query_id) for r in similar(df, queries, "v", cutoff, ["id"]).collect()} == want
+        share = candidates(df, queries, "v", cutoff, ["id"]).count() / (360 * 36)
+        assert share <= {0.8: 0.2, 0.5: 0.4, 0.05: 1}[cutoff]
+    for pivots in ([], [[1.0] * 16], [[1.0] + [0.0] * 15, [-1.0] + [0.0] * 15]):
+        got = {(r.id, r.query_id) for r in similar(df, queries, "v", 0.5, ["id"], pivots=pivots).collect()}
+        assert len(got) == len({(i, q) for i, a in vectors for q, b in vectors if q % 10 == 0 and (d := sum(x * y for x, y in zip(a, b))) / (2 - d) >= 0.5})
