@@ -32,6 +32,24 @@ def latest_state(t):
     return inc.latest_state(t.events, "user_id", "event_type", ["event_id"], failed="error")
 
 
+@query(
+    "work_states",
+    """
+    SELECT user_id, first(event_type ORDER BY event_id DESC) AS state, count(*) FILTER (WHERE event_type = 'error') AS retries,
+      count(*) FILTER (WHERE event_type = 'click') AS claims, count(*) AS n_entries, max(event_id) AS last_id FROM events GROUP BY user_id
+    """,
+)
+def work_states(t):
+    """Events as a status log that arrives in two parts: states after the second run, which reads new rows only."""
+    source, target, state = (scratch_path(t.spark, n) for n in ("log", "states", "state"))
+    log = t.events.select("user_id", "event_type", "event_id")
+    for early in (True, False):
+        log.filter((F.col("event_id") % 3 == 0) == F.lit(early)).write.mode("append").parquet(source)
+        inc.stream_states(t.spark, source, log.schema, "user_id", "event_type", ["event_id"], target, state, failed="error", claimed="click")
+    states = inc.read_states(t.spark, target, "user_id")
+    return states.select("user_id", "state", "retries", "claims", "n_entries", F.col("last.event_id").alias("last_id"))
+
+
 @query(
     "retry_queue",
     """
