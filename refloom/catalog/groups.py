@@ -12,7 +12,7 @@ from refloom.operators import aggregate as agg
 from refloom.operators import dedup, joins
 from refloom.operators.records import lines_to_fields
 from refloom.operators.skew import number_rows
-from refloom.session import materialize, spread
+from refloom.session import materialize, scratch_path, spread
 
 # All columns of a line item: (l_orderkey, l_linenumber) is not unique.
 LINE_ORDER = [
@@ -208,6 +208,10 @@ def distinct_ids(t):
 )
 def build_tree(t):
     """Three levels; the nations of region 0 name a parent that does not exist and become roots."""
+    return agg.build_tree(_tree_levels(t), limit=1000)
+
+
+def _tree_levels(t):
     def coded(prefix, col):
         return F.concat(F.lit(prefix), F.col(col).cast("string"))
 
@@ -217,7 +221,52 @@ def build_tree(t):
     customers = t.customer.select(
         coded("C", "c_custkey").alias("code"), coded("N", "c_nationkey").alias("parent_code"), F.col("c_name").alias("name")
     )
-    return agg.build_tree([regions, nations, customers], limit=1000)
+    return [regions, nations, customers]
+
+
+@query(
+    "tree_lines",
+    """
+    WITH nodes AS (
+      SELECT ['R' || r_regionkey] AS path, '{"code":"R' || r_regionkey || '","name":"' || r_name || '"' AS own, false AS leaf FROM region
+      UNION ALL SELECT CASE WHEN n_regionkey > 0 THEN ['R' || n_regionkey, 'N' || n_nationkey] ELSE ['N' || n_nationkey] END,
+        '{"code":"N' || n_nationkey || '","name":"' || n_name || '"', false FROM nation
+      UNION ALL SELECT CASE WHEN n_regionkey > 0 THEN ['R' || n_regionkey] ELSE [] END || ['N' || c_nationkey, 'C' || c_custkey],
+        '{"code":"C' || c_custkey || '","name":"' || c_name || '"', true FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    placed AS (
+      SELECT path[1] AS root, row_number() OVER w AS pos, own, leaf, len(path) AS depth, lead(len(path)) OVER w AS after
+      FROM nodes WINDOW w AS (PARTITION BY path[1] ORDER BY path))
+    SELECT root, pos, own || CASE WHEN after > depth THEN ',"children":[' ELSE
+      CASE WHEN leaf THEN '}' ELSE ',"children":[]}' END || repeat(']}', (depth - coalesce(after, 1))::INT) || CASE WHEN after IS NULL THEN '' ELSE ',' END END AS text
+    FROM placed
+    """,
+)
+def tree_lines(t):
+    """The trees of ``build_tree`` as text in pieces, in pre-order."""
+    return agg.tree_lines(_tree_levels(t))
+
+
+@query(
+    "partition_stats",
+    """
+    SELECT count(*) AS n_rows, CAST(sum(user_id) AS BIGINT) AS sum_user_id, true AS users_near, true AS types_near, 2 AS n_parts FROM events
+    """,
+)
+def partition_stats(t):
+    """Two partitions of events, counted at different times; distinct counts are merged from sketches and held against exact ones."""
+    path = scratch_path(t.spark, "stats")
+    rows = t.events.withColumn("half", (F.col("event_id") % 2).cast("string"))
+    for half in ("0", "1"):
+        stats = agg.add_partitions(rows.filter(F.col("half") == half), path, "half", ["user_id", "event_type"], ["user_id"])
+    merged = agg.merge_stats(stats)
+    exact = t.events.agg(F.countDistinct("user_id").alias("users"), F.countDistinct("event_type").alias("types"))
+    parts = stats.agg(F.countDistinct("half").cast("int").alias("n_parts"))
+
+    def near(found, true):
+        return (F.abs(F.col(found) - F.col(true)) <= 0.04 * F.col(true))
+
+    joined = merged.withColumn("_one", F.lit(1)).join(exact.withColumn("_one", F.lit(1)), "_one").join(parts.withColumn("_one", F.lit(1)), "_one")
+    return joined.select("n_rows", "sum_user_id", near("n_user_id", "users").alias("users_near"), near("n_event_type", "types").alias("types_near"), "n_parts")
 
 
 @query(

@@ -8,6 +8,7 @@ from refloom.catalog import query
 from refloom.operators import joins, order, setops
 from refloom.operators.select import contains_any
 from refloom.operators.similarity import similar
+from refloom.session import scratch_path
 
 LINE_ORDER = [
     "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -208,6 +209,19 @@ def page_slice(t):
     return order.page(t.customer.select("c_custkey", "c_name"), 3, 50, ["c_name", "c_custkey"])
 
 
+@query(
+    "page_directory",
+    """
+    SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS placed FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 700 OFFSET 1400
+    """,
+)
+def page_directory(t):
+    """The third page of orders by date, read from a table that was sorted once."""
+    path = scratch_path(t.spark, "pages")
+    order.write_pages(t.orders.select("o_orderkey", "o_orderdate"), path, ["o_orderdate", "o_orderkey"])
+    return order.read_page(t.spark, path, 3, 700).select("o_orderkey", F.year("o_orderdate").alias("placed"))
+
+
 @query(
     "page_slices",
     "SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) // 50 + 1 AS page FROM orders",

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refloom.operators.skew import GROUP_LIMIT, hot_groups, join_keys, slice_hot
+from refloom.operators.skew import GROUP_LIMIT, hot_groups, join_keys, number_ranges, slice_hot
 from refloom.session import materialize
 
 
@@ -149,6 +149,38 @@ def dataset_stats(
     return df.groupBy(*keys).agg(*aggs)
 
 
+def partition_stats(df: DataFrame, part: str, distinct: Sequence[str] = (), sums: Sequence[str] = (), lg_k: int = 14) -> DataFrame:
+    """Statistics per partition that merge: row count, sums, and a distinct-count sketch of each column in ``distinct``.
+
+    Sketches of 2^``lg_k`` registers, with a standard error of about 1.04 / 2^(lg_k / 2). Kept as a table, a partition is counted once and never read again.
+    """
+    # Text of the value: a sketch takes texts and whole numbers, and both sides of a merge must agree.
+    aggs = [F.count(F.lit(1)).alias("n_rows"), *[F.hll_sketch_agg(F.col(c).cast("string"), lg_k).alias(f"sketch_{c}") for c in distinct]]
+    return df.groupBy(part).agg(*aggs, *[F.sum(c).alias(f"sum_{c}") for c in sums])
+
+
+def merge_stats(stats: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The statistics of any union of partitions, from their rows of ``partition_stats``; distinct counts are estimates."""
+    aggs = [F.sum("n_rows").alias("n_rows")]
+    for c in stats.columns:
+        if c.startswith("sketch_"):
+            aggs.append(F.hll_sketch_estimate(F.hll_union_agg(c)).alias(f"n_{c.removeprefix('sketch_')}"))
+        elif c.startswith("sum_"):
+            aggs.append(F.sum(c).alias(c))
+    return stats.groupBy(*keys).agg(*aggs)
+
+
+def add_partitions(df: DataFrame, path: str, part: str, distinct: Sequence[str] = (), sums: Sequence[str] = (), lg_k: int = 14) -> DataFrame:
+    """Statistics of all partitions known so far, after adding those of ``df``; a partition that comes again replaces its row.
+
+    Only ``df`` is read. Each partition's row lies in a folder of its own, which a later load of the same partition overwrites.
+    """
+    stats = partition_stats(df, part, distinct, sums, lg_k)
+    writer = stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(part).parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def status_counts(df: DataFrame, status: str) -> DataFrame:
     return df.groupBy(status).agg(F.count(F.lit(1)).alias("n"))
 
@@ -202,6 +234,41 @@ def build_tree(
     return reduce(DataFrame.unionByName, shaped)
 
 
+def tree_lines(
+    levels: Sequence[DataFrame], code: str = "code", parent: str = "parent_code"
+) -> DataFrame:
+    """The same trees as text in pieces, a row per node: (root, pos, text). In order of ``pos`` the pieces of a root are its JSON text.
+
+    Nodes are numbered in pre-order, along sorted ranges of the codes on their way from the root; what a node opens and closes follows from its own depth and the
+    next node's. No subtree is ever one value, so a root may be of any size. Codes are unique within a level.
+    """
+    placed: list[DataFrame] = []
+    for k, level in enumerate(levels):
+        own = F.to_json(F.struct(*[c for c in level.columns if c != parent]))
+        nodes = level.select(F.col(code).alias("_code"), F.col(parent).alias("_parent"), own.alias("_own"))
+        path = F.array("_code")
+        if placed:
+            above = placed[-1].select(F.col("_code").alias("_parent"), F.col("_path").alias("_above"))
+            nodes = nodes.join(above, "_parent", "left")
+            path = F.concat(F.coalesce("_above", F.array().cast("array<string>")), path)
+        nodes = nodes.select("_code", path.alias("_path"), "_own", F.lit(k == len(levels) - 1).alias("_leaf"))
+        placed.append(materialize(nodes, "level"))
+    nodes = reduce(DataFrame.unionByName, placed).select(F.col("_path")[0].alias("root"), "_path", "_own", "_leaf")
+    nodes = materialize(number_ranges(nodes, ["_path"], ["root"], "pos"), "preorder").withColumn("_depth", F.size("_path"))
+    after = nodes.select("root", (F.col("pos") - 1).alias("pos"), F.col("_depth").alias("_next"))
+    rows = nodes.join(after, ["root", "pos"], "left")
+    depth, following = F.col("_depth"), F.coalesce("_next", F.lit(1))
+    begun = F.concat(F.left("_own", F.length("_own") - 1), F.lit(',"children":['))
+    closing = F.concat(F.repeat(F.lit("]}"), depth - following), F.when(F.col("_next").isNotNull(), ",").otherwise(""))
+    text = F.when(following > depth, begun).otherwise(F.concat(F.when(F.col("_leaf"), F.col("_own")).otherwise(F.concat(begun, F.lit("]}"))), closing))
+    return rows.select("root", "pos", text.alias("text"))
+
+
+def write_tree(lines: DataFrame, path: str) -> None:
+    """The pieces of ``tree_lines`` as text files, one line each: read in the order of their names, the files are the trees one after the other."""
+    lines.repartitionByRange("root", "pos").sortWithinPartitions("root", "pos").select("text").write.text(path)
+
+
 def _node(df: DataFrame, parent: str) -> Column:
     own = F.to_json(F.struct(*[c for c in df.columns if c not in (parent, "part", "children")]))
     nested = F.concat(F.left(own, F.length(own) - 1), F.lit(',"children":'), F.col("children"), F.lit("}"))
