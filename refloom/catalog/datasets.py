@@ -120,44 +120,49 @@ def drug_product_search(t):
 # Approved products and biologics.
 
 
+_PATENT = """'Patent ' || l_orderkey || ' (Exp: ' || strftime(l_shipdate, '%b %d, %Y') || ')'
+          || CASE WHEN l_linestatus = 'O' THEN ' [Use: U-' || l_linenumber || ' - ' || CASE WHEN l_linenumber < 4 THEN 'use ' || l_linenumber ELSE '' END || ']' ELSE '' END"""
+_EXCLUSIVE = """'Exclusivity ' || l_linestatus || ' (Exp: ' || strftime(l_shipdate, '%b %d, %Y') || ')' || CASE l_linestatus WHEN 'O' THEN ' [open]' ELSE '' END"""
+
+
 @query(
     "patent_unify",
-    """
-    WITH p AS (SELECT l_partkey, count(*) AS n, string_agg('Patent ' || l_orderkey || ' (Exp: ' || strftime(l_shipdate, '%b %d, %Y') || ')'
-          || CASE WHEN l_linestatus = 'O' THEN ' [Use: U-' || l_linenumber || ' - ' || CASE WHEN l_linenumber < 4 THEN 'use ' || l_linenumber ELSE '' END || ']' ELSE '' END, ' | '
-        ORDER BY 'Patent ' || l_orderkey || ' (Exp: ' || strftime(l_shipdate, '%b %d, %Y') || ')'
-          || CASE WHEN l_linestatus = 'O' THEN ' [Use: U-' || l_linenumber || ' - ' || CASE WHEN l_linenumber < 4 THEN 'use ' || l_linenumber ELSE '' END || ']' ELSE '' END) AS x
+    f"""
+    WITH p AS (SELECT l_partkey, count(*) AS n, string_agg({_PATENT}, ' | ' ORDER BY l_orderkey DESC, l_linenumber, {_PATENT}) AS x
       FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1),
-    e AS (SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
-    SELECT p_name AS "Trade_Name", 'N' AS "Appl_Type", lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS "Appl_No", '001' AS "Product_No", '' AS "TE_Code",
-      coalesce(p.n, 0) AS "Active_Patents_Count", coalesce(p.x, '') AS "Active_Patents_List", coalesce(e.n, 0) AS "Active_Exclusivities_Count"
+    e AS (SELECT l_partkey, count(*) AS n, string_agg({_EXCLUSIVE}, ' | ' ORDER BY l_orderkey DESC, l_linenumber, {_EXCLUSIVE}) AS x
+      FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
+    SELECT '' AS "Ingredient", p_name AS "Trade_Name", p_type AS "Dosage_Form_Route", '' AS "Strength", '' AS "Applicant", '' AS "Applicant_Full_Name",
+      'N' AS "Appl_Type", lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS "Appl_No", '001' AS "Product_No", '' AS "TE_Code", '' AS "Approval_Date", '' AS "Type",
+      '' AS "RLD", '' AS "RS", CAST(0 AS BIGINT) AS part, coalesce(p.n, 0) AS "Active_Patents_Count", coalesce(p.x, '') AS "Active_Patents_List",
+      coalesce(e.n, 0) AS "Active_Exclusivities_Count", coalesce(e.x, '') AS "Active_Exclusivities_List"
     FROM part LEFT JOIN p ON p.l_partkey = p_partkey LEFT JOIN e ON e.l_partkey = p_partkey
     """,
 )
 def patent_unify(t):
-    """Parts as products, lines as patents and exclusivities, codes with and without a definition."""
+    """Parts as products, lines as patents and exclusivities in the order of their files, codes with and without a definition."""
     number = F.lpad(text("l_partkey"), 6, "0")
     keys = [F.lit("N").alias("Appl_Type"), number.alias("Appl_No"), F.lit("001").alias("Product_No")]
+    place = [(-F.col("l_orderkey")).alias("file_pos"), F.col("l_linenumber").alias("file_line")]
     lines = t.lineitem.withColumn("expires", F.date_format("l_shipdate", "MMM dd, yyyy"))
     use = F.when(F.col("l_linestatus") == "O", F.concat(F.lit("U-"), text("l_linenumber"))).otherwise("")
     listed = lines.filter("l_returnflag = 'A'").select(
-        *keys, text("l_orderkey").alias("Patent_No"), F.col("expires").alias("Patent_Expire_Date_Text"), use.alias("Patent_Use_Code")
+        *keys, *place, text("l_orderkey").alias("Patent_No"), F.col("expires").alias("Patent_Expire_Date_Text"), use.alias("Patent_Use_Code")
+    )
+    exclusive = lines.filter("l_returnflag = 'R'").select(
+        *keys, *place, F.col("l_linestatus").alias("Exclusivity_Code"), F.col("expires").alias("Exclusivity_Date")
     )
-    exclusive = lines.filter("l_returnflag = 'R'").select(*keys, F.col("l_linestatus").alias("Exclusivity_Code"), F.col("expires").alias("Exclusivity_Date"))
     codes = t.lineitem.filter("l_linenumber < 4").select(
         F.concat(F.lit("U-"), text("l_linenumber")).alias("code"), F.concat(F.lit("use "), text("l_linenumber")).alias("definition")
     ).distinct()
-    states = codes.filter(F.lit(False))
+    states = t.lineitem.filter("l_linestatus = 'O'").select(F.col("l_linestatus").alias("code"), F.lit("open").alias("definition")).distinct()
     products = t.part.select(
         F.col("p_name").alias("Trade_Name"), F.lit("N").alias("Appl_Type"), F.lpad(text("p_partkey"), 6, "0").alias("Appl_No"),
         F.lit("001").alias("Product_No"), F.col("p_type").alias("DF;Route"),
     )
-    unified = patents.unify(
+    return patents.unify(
         products, patents.with_definitions(listed, codes, "Patent_Use_Code", "Patent_Use_Definition"),
-        patents.with_definitions(exclusive, states, "Exclusivity_Code", "Exclusivity_Definition"),
-    )
-    return unified.select(
-        "Trade_Name", "Appl_Type", "Appl_No", "Product_No", "TE_Code", "Active_Patents_Count", "Active_Patents_List", "Active_Exclusivities_Count"
+        patents.with_definitions(exclusive, states, "Exclusivity_Code", "Exclusivity_Definition"), ["file_pos", "file_line"],
     )
 
 

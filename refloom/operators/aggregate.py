@@ -15,12 +15,13 @@ from refloom.session import materialize
 
 @dataclass
 class Child:
-    """A child table attached to a parent: rows of ``rows`` per key, shown as ``value`` in ``order``."""
+    """A child table attached to a parent: rows of ``rows`` per key, shown as ``value`` in ``order``; ``count`` names a column for their number."""
 
     name: str
     rows: DataFrame
     value: Column
     order: Sequence[str | Column] = field(default_factory=list)
+    count: str | None = None
 
 
 def ordered_text(
@@ -85,12 +86,16 @@ def _collect(
         found = slice_hot(found.filter("_e0 is not null"), keys, ["_e0"], hot, limit=limit)
     else:
         found = found.withColumn("part", F.lit(0).cast("long"))
-    grouped = found.groupBy(*keys, "part").agg(*[F.sort_array(F.collect_list(n)).alias(n) for n in items])
+    # Parts leave out rows without a value, so only whole groups tell the number of rows.
+    counted = [c.count for c in group if c.count and hot is None]
+    counts = [F.count(F.lit(1)).alias(n) for n in counted]
+    grouped = found.groupBy(*keys, "part").agg(*[F.sort_array(F.collect_list(n)).alias(n) for n in items], *counts)
+
     def finish(name: str, child: Child) -> Column:
         values = F.transform(name, lambda x: x["v"]) if child.order else F.col(name)
         return F.when(F.size(name) > 0, values if sep is None else F.array_join(values, sep)).alias(child.name)
 
-    return grouped.select(*keys, "part", *[finish(n, c) for n, c in zip(items, group)])
+    return grouped.select(*keys, "part", *[finish(n, c) for n, c in zip(items, group)], *counted)
 
 
 def attach_parts(parent: DataFrame, keys: Sequence[str], lists: Sequence[DataFrame]) -> DataFrame:
@@ -106,9 +111,17 @@ def attach_parts(parent: DataFrame, keys: Sequence[str], lists: Sequence[DataFra
 def text_master(
     parent: DataFrame, keys: Sequence[str], children: Sequence[Child], sep: str = "; ", limit: int = GROUP_LIMIT
 ) -> DataFrame:
-    """Parent with one ordered text column per child table; no child gives NULL."""
-    joined = attach_parts(parent, keys, _gather(children, keys, limit, sep))
-    return joined.select(*parent.columns, "part", *[c.name for c in children])
+    """Parent with one ordered text column per child table, NULL without a child, and the counts that children name, 0 without one."""
+    lists = _gather(children, keys, limit, sep)
+    joined = attach_parts(parent, keys, lists)
+    wanted = [c for c in children if c.count]
+    if not {c.count for c in wanted} <= {n for x in lists for n in x.columns}:
+        # Some key is in parts, and every part of a parent tells the number of all its rows.
+        for c in wanted:
+            totals = c.rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(c.count))
+            joined = join_keys(joined.drop(c.count), totals, keys, "left")
+    counts = [F.coalesce(c.count, F.lit(0).cast("long")).alias(c.count) for c in children if c.count]
+    return joined.select(*parent.columns, "part", *[c.name for c in children], *counts)
 
 
 def nested_master(

@@ -43,27 +43,26 @@ def enrich_codes(
 
 def cogroup_details(
     parent: DataFrame, keys: Sequence[str], children: Sequence[tuple[str, DataFrame, Column]],
-    sep: str = " | ", limit: int = GROUP_LIMIT,
+    sep: str = " | ", limit: int = GROUP_LIMIT, order: Sequence[str | Column] = (),
 ) -> DataFrame:
-    """Parent with ``<name>_count`` and ``<name>_list`` per child table; children are grouped first."""
-    joined = text_master(parent, keys, [Child(f"{name}_list", rows, detail) for name, rows, detail in children], sep, limit)
-    for name, rows, _ in children:
-        counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{name}_count"))
-        joined = join_keys(joined, counts, keys, "left")
-    return joined.withColumns(
-        {f"{n}_count": F.coalesce(f"{n}_count", F.lit(0)) for n, _, _ in children}
-        | {f"{n}_list": F.coalesce(f"{n}_list", F.lit("")) for n, _, _ in children}
-    )
+    """Parent with ``<name>_count`` and ``<name>_list`` per child table; children are grouped first, once for both.
+
+    Lists are sorted by their texts, or by ``order``, columns of every child table (such as the place of a row in its file).
+    """
+    kids = [Child(f"{name}_list", rows, detail, order, f"{name}_count") for name, rows, detail in children]
+    joined = text_master(parent, keys, kids, sep, limit)
+    return joined.withColumns({f"{n}_list": F.coalesce(f"{n}_list", F.lit("")) for n, _, _ in children})
 
 
 def resolve_reference(
-    products: DataFrame, patents: DataFrame, order: Sequence[str], limit: int = GROUP_LIMIT
+    products: DataFrame, patents: DataFrame, order: Sequence[str], limit: int = GROUP_LIMIT,
+    listed: Sequence[str] = ("patent_number", "expires"),
 ) -> DataFrame:
     """Link products to the patents of their reference product.
 
     ``products``: number, name, licence, reference_name; ``patents``: number, patent_number, expires.
     A product under an original licence is its own reference; any other one refers by brand name to
-    the last original product of that name. Adds resolved number, patent count and packed lists.
+    the last original product of that name. Adds resolved number, patent count and packed lists, in the order of the columns ``listed``.
     """
     original = F.contains(safe_text("licence"), F.lit("351(a)"))
     plain = F.lower(F.trim("name"))
@@ -74,22 +73,18 @@ def resolve_reference(
     wanted = F.lower(F.trim(F.coalesce("reference_name", F.lit(""))))
     rows = products.withColumn("_ref", F.when(~wanted.isin(*INVALID_NAMES), wanted)).join(brands, "_ref", "left")
     rows = rows.withColumn("_lookup", F.when(original, strip_zeros("number")).otherwise(F.col("_ref_number")))
-    grouped = patents.select(
-        strip_zeros("number").alias("_lookup"), "patent_number", "expires"
-    ).filter("_lookup <> ''")
-    at = ["patent_number", "expires"]
+    known = ["patent_number", "expires", *[c for c in listed if c not in ("patent_number", "expires")]]
+    grouped = patents.select(strip_zeros("number").alias("_lookup"), *known).filter("_lookup <> ''")
     details = [
-        Child("patent_numbers", grouped, safe_text("patent_number"), at),
-        Child("patent_expirations", grouped, safe_text("expires"), at),
+        Child("patent_numbers", grouped, safe_text("patent_number"), listed, "associated_patents_count"),
+        Child("patent_expirations", grouped, safe_text("expires"), listed),
     ]
-    counts = grouped.groupBy("_lookup").agg(F.count(F.lit(1)).alias("associated_patents_count"))
     joined = text_master(rows, ["_lookup"], details, "; ", limit)
-    joined = join_keys(joined, counts, ["_lookup"], "left")
     return joined.select(
         *products.columns,
         "part",
         F.coalesce("_ref_number", F.lit("N/A")).alias("resolved_reference_number"),
-        F.coalesce("associated_patents_count", F.lit(0)).alias("associated_patents_count"),
+        "associated_patents_count",
         F.coalesce("patent_numbers", F.lit("")).alias("patent_numbers"),
         F.coalesce("patent_expirations", F.lit("")).alias("patent_expirations"),
     )

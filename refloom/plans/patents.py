@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +25,11 @@ def with_definitions(rows: DataFrame, codes: DataFrame, code: str, text: str) ->
     return enrich_codes(rows, codes.select(F.col("code").alias(code), F.col("definition").alias(text)), [code], text)
 
 
-def unify(products: DataFrame, patents: DataFrame, exclusivities: DataFrame) -> DataFrame:
-    """One row per product with counts and packed details of its patents and exclusivities."""
+def unify(products: DataFrame, patents: DataFrame, exclusivities: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """One row per product with counts and packed details of its patents and exclusivities.
+
+    ``order`` names columns of both lists that give the place of a row in its file; without it details are sorted.
+    """
     base = products.select(*[
         (F.coalesce(F.col(f"`{src}`"), F.lit("")) if src in products.columns else F.lit("")).alias(out)
         for out, src in PRODUCT_COLUMNS.items()
@@ -33,7 +38,8 @@ def unify(products: DataFrame, patents: DataFrame, exclusivities: DataFrame) ->
         F.col("Patent_No"), F.col("Patent_Expire_Date_Text"), F.col("Patent_Use_Code"), F.col("Patent_Use_Definition")
     )
     exclusive = exclusivity_detail(F.col("Exclusivity_Code"), F.col("Exclusivity_Date"), F.col("Exclusivity_Definition"))
-    unified = cogroup_details(base, KEYS, [("Active_Patents", patents, patent), ("Active_Exclusivities", exclusivities, exclusive)])
+    lists = [("Active_Patents", patents, patent), ("Active_Exclusivities", exclusivities, exclusive)]
+    unified = cogroup_details(base, KEYS, lists, order=order)
     names = [f"{n}_{part}" for n in ("Active_Patents", "Active_Exclusivities") for part in ("Count", "List")]
     return unified.select(*PRODUCT_COLUMNS, "part", *[F.col(n.lower()).alias(n) for n in names])
 
@@ -69,25 +75,28 @@ BIOLOGIC_COLUMNS = {
     "reference_proprietary_name": (["Ref. Product Proprietary Name", "Reference Product Proprietary Name"], "N/A"),
     "reference_proper_name": (["Ref. Product Proper Name", "Reference Product Proper Name"], "N/A"),
 }
+# Fixed value: address of a product label.
 LABEL_URL = "https://www.accessdata.fda.gov/scripts/cder/daf/index.cfm?event=overview.process&ApplNo="
 
 
-def biologics(products: DataFrame, patents: DataFrame, order: str) -> DataFrame:
+def biologics(products: DataFrame, patents: DataFrame, order: str, listed_order: Sequence[str] = ("patent_number", "expires")) -> DataFrame:
     """Biologic products under any header spelling, with resolved reference number and its patents.
 
-    ``order`` is the place of a row in the product list: for a repeated brand the last one counts.
+    ``order`` is the place of a row in the product list: for a repeated brand the last one counts. ``listed_order`` names columns of the patent list
+    that give the order of a product's patents, such as the place in the file.
     """
     flat = products.select(order, *[pick(products, heads, default).alias(c) for c, (heads, default) in BIOLOGIC_COLUMNS.items()])
     listed = patents.select(
         pick(patents, ["Reference Product BLA Number", "BLA Number"]).alias("number"),
         pick(patents, ["Patent Number"]).alias("patent_number"),
         pick(patents, ["Patent Expiration Date"]).alias("expires"),
+        *[c for c in listed_order if c in patents.columns],
     )
     roles = flat.withColumns({
         "number": F.col("bla_number"), "name": F.col("proprietary_name"), "licence": F.col("license_type"),
         "reference_name": F.col("reference_proprietary_name"),
     })
-    linked = resolve_reference(roles, listed, [order]).withColumnRenamed("resolved_reference_number", "resolved_reference_bla")
+    linked = resolve_reference(roles, listed, [order], listed=listed_order).withColumnRenamed("resolved_reference_number", "resolved_reference_bla")
     linked = linked.withColumns({
         "proprietary_name": F.coalesce(F.nullif("proprietary_name", F.lit("")), F.lit("N/A")),
         "product_label_url": F.concat(F.lit(LABEL_URL), "bla_number"),

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from refloom.operators import aggregate as agg
+from refloom.operators import joins
 from refloom.operators.order import limit_per_partition, page, page_slices
 from refloom.operators.scans import scan
 from refloom.operators.skew import number_ranges, number_rows, split_groups
@@ -136,3 +137,16 @@ def test_consumers_of_parts_keep_everything(spark, monkeypatch):
     assert sorted(r.nct_id for r in got if r.nct_id) == sorted(f"T{i}" for i in range(30))
     numbers = {r.part: r.nct_numbers for r in got}
     assert ",".join(numbers[p] for p in sorted(numbers)).split(",") == [f"N{i:02d}" for i in range(30)]
+
+
+def test_counts_come_with_the_lists(spark):
+    """Counts of all rows, also of those without a value, with and without keys in parts; lists in the order of the file."""
+    parent = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+    one = spark.createDataFrame([("a", 3, "x"), ("a", 1, "z"), ("a", 2, None), ("b", 1, None)], "k string, at int, v string")
+    two = spark.createDataFrame([("a", i, f"t{9 - i}") for i in range(6)], "k string, at int, v string")
+    children = [("one", one, F.col("v")), ("two", two, F.col("v"))]
+    whole = joins.cogroup_details(parent, ["k"], children, ",", order=["at"])
+    assert rows(whole) == [("a", 0, "z,x", "t9,t8,t7,t6,t5,t4", 3, 6), ("b", 0, "", "", 1, 0), ("c", 0, "", "", 0, 0)]
+    parts = joins.cogroup_details(parent, ["k"], children, ",", limit=4, order=["at"])
+    want = [("a", 0, "z,x", "t9,t8,t7,t6", 3, 6), ("a", 1, "", "t5,t4", 3, 6), ("b", 0, "", "", 1, 0), ("c", 0, "", "", 0, 0)]
+    assert rows(parts.select(whole.columns)) == want
