@@ -22,6 +22,7 @@ from refloom.sources.delimited import fields, split_line
 def class_links(class_pages: DataFrame) -> DataFrame:
     """Child class codes linked from pages: (page_id, code, level, name); links without a valid code are dropped."""
     links = pages.page_links(class_pages)
+    # Fixed value: the parameter of a class page's address that holds its code.
     code = F.upper(F.trim(F.regexp_extract("href", r"code=([^&]*)", 1)))
     rows = links.select("page_id", "pos", code.alias("code"), F.col("text").alias("name"))
     return rows.withColumn("level", code_level("code")).filter("level is not null")

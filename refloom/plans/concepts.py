@@ -14,7 +14,7 @@ from refloom.operators.joins import pending
 from refloom.operators.nested import explode_self
 from refloom.operators.select import require_key
 from refloom.schemas import CONCEPT_COLUMNS, TERMINOLOGY_COLUMNS
-from refloom.sources.delimited import fields, read_folded, read_lines, split_line, with_headers
+from refloom.sources.delimited import body_lines, fields, file_heads, read_folded, split_line
 
 CONCEPT = """
     rxcui string, name string, tty string,
@@ -67,14 +67,17 @@ def read_terminologies(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Code lists of several standards in one table."""
     parts = []
     for standard, path in paths.items():
-        rows, _ = with_headers(read_lines(spark, path))
-        lines = rows.filter(~(F.col("is_first") & F.col("line").startswith(TERMINOLOGY_HEADER)))
-        parts.append(terminology(lines.withColumnRenamed("line", "value"), standard))
+        heads = file_heads(spark, path)
+        for titled in (True, False):
+            files = [file for file, head in heads if head.startswith(TERMINOLOGY_HEADER) == titled]
+            if files:
+                parts.append(terminology(body_lines(spark, files, titled).withColumnRenamed("line", "value"), standard))
     return reduce(DataFrame.unionByName, parts)
 
 
 def index_substances(links: DataFrame) -> DataFrame:
     """Substance index out of page links (page_id, pos, text, href): name, code and link, first seen name wins."""
+    # Fixed value: the parameter of a report address that holds the substance.
     code = F.trim(F.regexp_replace(F.regexp_extract("href", r"P3=([^&]+)", 1), r"\+|%20", " "))
     is_report = F.contains("href", F.lit("dap.ema.europa.eu")) | F.contains("href", F.lit("saw.dll"))
     rows = links.filter(is_report & (F.col("text") != "")).select(

@@ -30,7 +30,8 @@ BATCH_LINES, BATCH_BYTES = 20_000, 4 << 20
 PLANNERS = 32
 
 
-def _located(path: str) -> tuple[fs.FileSystem, str]:
+def located(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path in it, of any file system that Arrow knows."""
     if path.startswith("file:"):
         path = "/" + path[len("file:"):].lstrip("/")
     return fs.FileSystem.from_uri(path)
@@ -38,7 +39,7 @@ def _located(path: str) -> tuple[fs.FileSystem, str]:
 
 def open_file(path: str) -> pa.NativeFile:
     """A file of any file system that Arrow knows, for reading at any place in it."""
-    system, at = _located(path)
+    system, at = located(path)
     return system.open_input_file(at)
 
 
@@ -46,7 +47,7 @@ def write_archives(df: DataFrame, path: str, name: str, content: str) -> None:
     """One archive per task below a shared folder, with a member per row: its name and its content. A task that runs again replaces its archive."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, folder = _located(path)
+        system, folder = located(path)
         system.create_dir(folder, recursive=True)
         at = f"{folder}/part-{TaskContext.get().partitionId():06d}.zip"
         with system.open_output_stream(at) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
@@ -147,7 +148,7 @@ def read_zip_members(
     names = sorted(r["path"] for r in files.select("path").toLocalIterator())
     try:
         for name in names[:1]:
-            _located(name)
+            located(name)
     except pa.ArrowInvalid:
         return zip_members(files, suffix, raw)
     spark.dataSource.register(ZipSource)

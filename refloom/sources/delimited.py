@@ -5,14 +5,19 @@ All readers work on file splits. ``gz`` files are one split each: read many file
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
+import pyarrow as pa
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refloom.operators.scans import LINE_LIMIT, by_size, scan
 from refloom.operators.setops import union_tagged
 from refloom.schemas import text_schema
+from refloom.sources.archives import located
 from refloom.sources.documents import decode_fallback
 from refloom.sources.quoted import read_quoted
 
@@ -64,16 +69,57 @@ def fields(parts: str, names: Sequence[str], pad: str | None = "") -> list[Colum
     return [F.coalesce(F.get(parts, F.lit(i)), missing).alias(n) for i, n in enumerate(names)]
 
 
-def with_headers(lines: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Non-empty lines of ``read_lines`` with their file's first line as ``header`` and whether they are it (``is_first``).
+#: Bytes of a file that are looked at first for its first line.
+HEAD_BYTES = 1 << 16
 
-    Also the different headers, in file order: they name the columns, so they are known before any row is read.
+
+def file_heads(spark: SparkSession, path: str | list[str]) -> list[tuple[str, str]]:
+    """(file, first line that is not blank) of every file, in file order; only the beginning of each file is read. Blank files are left out.
+
+    They name the columns, so they are known before any row is read.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path")
+
+    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_first_line(name) for name in batch.column("path").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(found, pa.binary())], names=["path", "head"])
+
+    try:
+        heads = files.mapInArrow(first_lines, "path string, head binary").select("path", decode_fallback("head").alias("head"))
+        rows = heads.filter("head is not null").collect()
+    except PySparkException as error:
+        if "Unrecognized filesystem" not in str(error):
+            raise
+        # A store that only Spark opens: the first line in the order of its splits.
+        lines = read_lines(spark, path).filter(F.trim("line") != "")
+        rows = lines.groupBy(F.col("file").alias("path")).agg(F.min_by("line", F.struct("block", "seq")).alias("head")).collect()
+    return sorted((r["path"], r["head"]) for r in rows)
+
+
+def _first_line(path: str) -> bytes | None:
+    system, at = located(path)
+    with system.open_input_stream(at) as stream:
+        held, size = b"", HEAD_BYTES
+        while True:
+            more = stream.read(size)
+            held, size = held + more, 2 * size
+            lines = held.splitlines()
+            # The last piece may go on, unless nothing follows.
+            for line in lines[: len(lines) if not more else -1]:
+                if line.strip():
+                    return line
+            if not more:
+                return None
+
+
+def body_lines(spark: SparkSession, files: list[str], header: bool) -> DataFrame:
+    """Lines that are not blank as ``line``, each file without its first one where that is a header: Spark drops it as it reads the first split.
+
+    Lines are taken whole: separator and quotes are characters that no byte stands for.
     """
-    lines = lines.filter(F.trim("line") != "").withColumn("at", F.struct("block", "seq"))
-    firsts = lines.groupBy("file").agg(F.min_by("line", "at").alias("header"), F.min("at").alias("first_at"))
-    headers = firsts.groupBy("header").agg(F.min("file").alias("file")).orderBy("file").collect()
-    rows = lines.join(firsts, "file").withColumn("is_first", F.col("at") == F.col("first_at"))
-    return rows.drop("at", "first_at"), [r["header"] for r in headers]
+    reader = spark.read.schema("value string").options(header=header, sep="\u0100", quote="\u0101", escape="\u0102", encoding="ISO-8859-1", mode="PERMISSIVE")
+    return reader.csv(files).select(decode_fallback(F.encode("value", "ISO-8859-1")).alias("line"))
 
 
 def by_header(parts: str, cells: Column, names: Sequence[str], pad: str | None = "") -> list[Column]:
@@ -83,20 +129,32 @@ def by_header(parts: str, cells: Column, names: Sequence[str], pad: str | None =
     return [F.when(at > 0, F.coalesce(F.get(parts, (at - 1).cast("int")), missing)).otherwise(missing).alias(n) for n, at in place.items()]
 
 
+def _by_layout(heads: list[tuple[str, str]]) -> dict[str, list[str]]:
+    """Files by their first line, in file order."""
+    groups: dict[str, list[str]] = {}
+    for file, head in heads:
+        groups.setdefault(head, []).append(file)
+    return groups
+
+
 def read_delimited(
     spark: SparkSession, path: str | list[str], sep: str, pad: str | None = "", names: Sequence[str] | None = None
 ) -> DataFrame:
     """Plainly separated text with a header: fields trimmed, short rows padded, long rows cut, blank rows skipped.
 
     Every file is read by its own first line, whatever the order of its columns; only that line is dropped. Columns are those of
-    all headers, or ``names``.
+    all headers, or ``names``. Files of one header are read together, once, by the places it gives its columns.
     """
-    rows, headers = with_headers(read_lines(spark, path))
-    known = list(dict.fromkeys(h.strip() for line in headers for h in line.split(sep)))
-    rows = rows.filter("not is_first").select(split_line("line", sep).alias("p"), split_line("header", sep).alias("h"))
-    if len(headers) < 2:  # no files, or one order of columns: by place
-        return rows.select(*fields("p", names or known, pad))
-    return rows.select(*by_header("p", F.col("h"), names or known, pad))
+    groups = _by_layout(file_heads(spark, path))
+    cells = {head: [h.strip() for h in head.split(sep)] for head in groups}
+    known = list(names or dict.fromkeys(h for head in cells.values() for h in head))
+    missing = F.lit(pad).cast("string")
+    tables = []
+    for head, files in groups.items():
+        at = {name: cells[head].index(name) for name in known if name in cells[head]}
+        rows = body_lines(spark, files, header=True).select(split_line("line", sep).alias("p"))
+        tables.append(rows.select(*[(F.coalesce(F.get("p", F.lit(at[n])), missing) if n in at else missing).alias(n) for n in known]))
+    return reduce(DataFrame.unionByName, tables) if tables else spark.createDataFrame([], text_schema(known))
 
 
 def fold_fields(parts: str, width: int, sep: str = "|") -> Column:
@@ -149,20 +207,26 @@ def read_maybe_header(spark: SparkSession, path: str | list[str], sep: str = "\t
     """Text tables that may lack a header; as wide as the widest row.
 
     A first cell with a header word makes a header, in each file by itself. Else columns are ``column_i``, with
-    ``ncit_code`` and ``preferred_name`` for the first two; files with and without header are read by place.
+    ``ncit_code`` and ``preferred_name`` for the first two; files with and without header are read by place. The width takes one pass over the
+    text, as any inferred layout does.
     """
-    rows, firsts = with_headers(read_lines(spark, path))
-    width = rows.select(F.max(F.size(F.split("line", f"\\Q{sep}\\E")))).head()[0] or 0
-    found = [[h.strip() for h in line.split(sep)] for line in firsts]
-    titled = [cells for cells in found if any(w in cells[0].lower() for w in HEADER_WORDS)]
-    first_cell = F.lower(F.get(F.split("header", f"\\Q{sep}\\E"), F.lit(0)))
-    has_header = F.exists(F.array(*map(F.lit, HEADER_WORDS)), lambda w: F.contains(first_cell, w))
-    names = [h or f"col_{i + 1}" for i, h in enumerate(titled[0])] if titled else [f"column_{i + 1}" for i in range(width)]
-    if not titled and width >= 2:
+    groups: dict[bool, list[str]] = {}
+    titles: list[list[str]] = []
+    for file, head in file_heads(spark, path):
+        cells = [h.strip() for h in head.split(sep)]
+        titled = any(w in cells[0].lower() for w in HEADER_WORDS)
+        titles += [cells] if titled else []
+        groups.setdefault(titled, []).append(file)
+    rows = [body_lines(spark, files, header=titled).select(F.split("line", f"\\Q{sep}\\E").alias("p")) for titled, files in groups.items()]
+    if not rows:
+        return spark.createDataFrame([], text_schema(["column_1"]))
+    rows = reduce(DataFrame.unionByName, rows)
+    width = max(rows.select(F.max(F.size("p"))).head()[0] or 0, *map(len, titles), 1)
+    names = [h or f"col_{i + 1}" for i, h in enumerate(titles[0])] if titles else [f"column_{i + 1}" for i in range(width)]
+    if not titles and width >= 2:
         names[:2] = ["ncit_code", "preferred_name"]
     names += [f"column_{i + 1}" for i in range(len(names), width)]
-    rows = rows.filter(~(F.col("is_first") & has_header)).select(split_line("line", sep).alias("p"))
-    return rows.select(*fields("p", names))
+    return rows.select(F.transform("p", lambda x: F.trim(x)).alias("p")).select(*fields("p", names))
 
 
 def read_sections(spark: SparkSession, path: str | list[str], is_header: Column) -> DataFrame:
@@ -186,17 +250,23 @@ def number_sections(lines: DataFrame, is_header: Column, line_limit: int = LINE_
 
 
 def section_table(sections: DataFrame, number: int) -> DataFrame:
-    """One section of every file as a table. Each file's own header line names its columns; quoted commas are kept."""
+    """One section of every file as a table. Each file's own header line names its columns; quoted commas are kept.
+
+    Where all files have one header, nothing is looked up by file.
+    """
     rows = sections.filter(F.col("section") == number)
     heads = rows.filter("is_header").groupBy("file").agg(F.min_by("line", F.struct("block", "seq")).alias("header"))
-    different = heads.groupBy("header").agg(F.min("file").alias("file")).orderBy("file")
-    width = 1 + max((r["header"].count(",") for r in different.collect()), default=0)
+    different = [r["header"] for r in heads.groupBy("header").agg(F.min("file").alias("file")).orderBy("file").collect()]
+    titles = [next(csv.reader([h])) for h in different]
+    width = 1 + max((h.count(",") for h in different), default=0)
     ddl = ", ".join(f"c{i} string" for i in range(width))
+    names = list(dict.fromkeys(x for t in titles for x in t if x))
 
     def cells(line: str) -> Column:
         return F.transform(F.array(F.from_csv(line, ddl)), lambda r: F.array(*[r[f"c{i}"] for i in range(width)]))[0]
 
-    titles = different.select(cells("header").alias("h")).collect()
-    names = list(dict.fromkeys(x for r in titles for x in r["h"] if x is not None))
-    body = rows.filter("not is_header").join(heads, "file")
+    body = rows.filter("not is_header")
+    if len(titles) == 1:
+        return body.select(cells("line").alias("p")).select(*[F.get("p", F.lit(titles[0].index(n))).alias(n) for n in names])
+    body = body.join(heads, "file")
     return body.select(cells("line").alias("p"), cells("header").alias("h")).select(*by_header("p", F.col("h"), names, None))
