@@ -387,6 +387,38 @@ def activity_rows(t):
     return substances.activities(raw).select("activity_id", "type", "units")
 
 
+@query(
+    "activity_pages",
+    """
+    SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS activity_id, 'M' || l_partkey AS molecule_chembl_id, 'T' || l_suppkey AS target_chembl_id,
+      CAST(NULL AS VARCHAR) AS assay_chembl_id, l_returnflag AS type, CASE WHEN l_linenumber < 4 THEN '=' ELSE '>' END AS relation,
+      CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS value, 'nM' AS units, CASE l_linestatus WHEN 'O' THEN 'open' END AS canonical_data_validity_comment,
+      'D' || l_orderkey AS document_chembl_id, 'U' AS uo_units, lower(l_returnflag) AS standard_type, '=' AS standard_relation,
+      CAST(l_linenumber AS VARCHAR) AS standard_value, CAST(NULL AS VARCHAR) AS standard_units
+    FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber < 4
+    """,
+)
+def activity_pages(t):
+    """A reply page of activities per order: all columns, of one type in any case and one relation."""
+    def number(c):
+        return F.col(c).cast("string")
+
+    def named(prefix, c):
+        return F.concat(F.lit(prefix), number(c))
+
+    activity = F.struct(
+        F.concat_ws("-", *map(number, ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))).alias("activity_id"),
+        named("M", "l_partkey").alias("molecule_chembl_id"), named("T", "l_suppkey").alias("target_chembl_id"),
+        F.col("l_returnflag").alias("type"), F.when(F.col("l_linenumber") < 4, "=").otherwise(">").alias("relation"),
+        number("l_quantity").cast("double").cast("long").alias("value"), F.lit("nM").alias("units"),
+        F.when(F.col("l_linestatus") == "O", "open").alias("canonical_data_validity_comment"), named("D", "l_orderkey").alias("document_chembl_id"),
+        F.lit("U").alias("uo_units"), F.lower("l_returnflag").alias("standard_type"), F.lit("=").alias("standard_relation"),
+        F.col("l_linenumber").alias("standard_value"), F.lit("not declared").alias("other"),
+    )
+    replies = t.lineitem.groupBy("l_orderkey").agg(F.to_json(F.struct(F.collect_list(activity).alias("activities"), F.lit(1).alias("page_meta"))).alias("payload"))
+    return substances.activity_pages(replies, kind="r", relation="=")
+
+
 # JSON lists in text, and components.
 
 

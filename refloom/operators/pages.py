@@ -22,6 +22,8 @@ from refloom.operators.skew import GROUP_LIMIT
 from refloom.session import materialize
 
 ELEMENTS = "page_id long, seq int, parent int, tag string, attrs map<string,string>, text string, spaced string"
+#: Rows that leave a task at once, so that a batch of pages is never held as elements.
+EMITTED = 2_000
 
 # Elements without an end tag, and start tags that end an open element.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -36,12 +38,12 @@ SILENT = frozenset({"script", "style"})
 class _Elements(HTMLParser):
     """Elements of the wanted tags in document order, with their text."""
 
-    def __init__(self, wanted: frozenset[str], skip: frozenset[str]):
+    def __init__(self, wanted: frozenset[str], skip: frozenset[str], apart: frozenset[str] = frozenset()):
         super().__init__(convert_charrefs=True)
-        self.wanted, self.skip = wanted, skip
+        self.wanted, self.skip, self.apart = wanted, skip, apart
         self.open: list[tuple[str, int | None]] = []
         self.found: list[list] = []
-        self.quiet = 0
+        self.quiet = self.aside = 0
 
     def handle_starttag(self, tag, attrs):
         for at in range(len(self.open) - 1, -1, -1):
@@ -56,9 +58,10 @@ class _Elements(HTMLParser):
         if tag in self.wanted:
             parent = next((r for _, r in reversed(self.open) if r is not None), None)
             row = len(self.found)
-            self.found.append([parent, tag, {k: v or "" for k, v in attrs}, []])
+            self.found.append([parent, tag, {k: v or "" for k, v in attrs}, [], []])
         self.open.append((tag, row))
         self.quiet += tag in self.skip
+        self.aside += tag in self.apart
 
     def handle_endtag(self, tag):
         for at in range(len(self.open) - 1, -1, -1):
@@ -69,6 +72,7 @@ class _Elements(HTMLParser):
     def _close(self, at: int):
         for tag, _ in self.open[at:]:
             self.quiet -= tag in self.skip
+            self.aside -= tag in self.apart
         del self.open[at:]
 
     def handle_data(self, data):
@@ -76,35 +80,53 @@ class _Elements(HTMLParser):
             for _, row in self.open:
                 if row is not None:
                     self.found[row][3].append(data)
+                    if not self.aside:
+                        self.found[row][4].append(data)
 
 
-def elements(pages: DataFrame, tags: Sequence[str], skip: Sequence[str] = (), html: str = "html") -> DataFrame:
+def _spaced(bits: Sequence[str]) -> str:
+    return " ".join(b for b in (x.strip() for x in bits) if b)
+
+
+def elements(
+    pages: DataFrame, tags: Sequence[str], skip: Sequence[str] = (), html: str = "html", apart: Sequence[str] = (), grid: bool = False
+) -> DataFrame:
     """Elements of some tags per page, with the nearest wanted element around each.
 
     ``text`` is the raw text, ``spaced`` its pieces trimmed and joined by one space. Text in scripts,
-    styles and ``skip`` elements is left out.
+    styles and ``skip`` elements is left out. With ``apart``, ``bare`` is the spaced text without what stands in such elements. With ``grid``,
+    cells have ``table_no`` and ``spots``, the places (row_no, col_no) that they fill in it, spans included (see ``grid_cells``).
     """
-    wanted, quiet = frozenset(tags), frozenset(skip) | SILENT
+    wanted, quiet, aside = frozenset(tags), frozenset(skip) | SILENT, frozenset(apart)
+    extra = (", bare string" if apart else "") + (", table_no int, spots array<struct<row_no: int, col_no: int>>" if grid else "")
+    names = ["page_id", "seq", "parent", "tag", "attrs", "text", "spaced"] + ["bare"] * bool(apart) + ["table_no", "spots"] * grid
+    kinds = {"parent": "Int32"} | ({"table_no": "Int32"} if grid else {})
+
+    def page_rows(page: int, markup: str | None) -> Iterator[tuple]:
+        parser = _Elements(wanted, quiet, aside)
+        parser.feed(markup or "")
+        parser.close()
+        places = _places(parser.found) if grid else {}
+        for seq, (parent, tag, attrs, bits, bare) in enumerate(parser.found):
+            row = (page, seq, parent, tag, attrs, "".join(bits), _spaced(bits))
+            yield row + ((_spaced(bare),) if apart else ()) + (places.get(seq, (None, None)) if grid else ())
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for page, markup in zip(batch["page_id"], batch["html"]):
-                parser = _Elements(wanted, quiet)
-                parser.feed(markup or "")
-                parser.close()
-                for seq, (parent, tag, attrs, bits) in enumerate(parser.found):
-                    spaced = " ".join(b for b in (x.strip() for x in bits) if b)
-                    rows.append((page, seq, parent, tag, attrs, "".join(bits), spaced))
-            frame = pd.DataFrame(rows, columns=["page_id", "seq", "parent", "tag", "attrs", "text", "spaced"])
-            yield frame.astype({"parent": "Int32"})
+                rows += page_rows(page, markup)
+                if len(rows) >= EMITTED:
+                    yield pd.DataFrame(rows, columns=names).astype(kinds)
+                    rows = []
+            yield pd.DataFrame(rows, columns=names).astype(kinds)
 
-    return pages.select("page_id", F.col(html).alias("html")).mapInPandas(parse, ELEMENTS)
+    return pages.select("page_id", F.col(html).alias("html")).mapInPandas(parse, ELEMENTS + extra)
 
 
-def parsed(pages: DataFrame, tags: Sequence[str], skip: Sequence[str] = ()) -> DataFrame:
+def parsed(pages: DataFrame, tags: Sequence[str], skip: Sequence[str] = (), apart: Sequence[str] = (), grid: bool = False) -> DataFrame:
     """Elements written once, for jobs that look at them several times: parsing is the costly step."""
-    return materialize(elements(pages, tags, skip), "elements")
+    return materialize(elements(pages, tags, skip, apart=apart, grid=grid), "elements")
 
 
 def page_links(pages: DataFrame) -> DataFrame:
@@ -122,21 +144,21 @@ def document_links(pages: DataFrame, languages: str = "all") -> DataFrame:
     return dedup_first(filter_in(links, "lang", languages), ["absolute_url"], ["page_id", "pos"])
 
 
-def _spread(cells: Sequence[tuple[int, int, int, int, str, bool]]) -> Iterator[tuple[int, int, str, bool]]:
-    """Grid of one table: each cell fills the columns and rows it spans."""
-    taken: dict[tuple[int, int], tuple[str, bool]] = {}
+def _spread(cells: Sequence[tuple[int, int, int, int]]) -> Iterator[tuple[int, int, int]]:
+    """Grid of one table: each cell (row, rows and columns it spans, its number) fills places, later ones win."""
+    taken: dict[tuple[int, int], int] = {}
     rows = max((c[0] for c in cells), default=-1) + 1
     free = [0] * rows
-    for row, _, down, across, text, head in cells:
+    for row, down, across, cell in cells:
         at = free[row]
         while (row, at) in taken:
             at += 1
         for r in range(row, min(row + down, rows)):
             for c in range(at, at + across):
-                taken[r, c] = (text, head)
+                taken[r, c] = cell
         free[row] = at + across
-    for (r, c), (text, head) in sorted(taken.items()):
-        yield r, c, text, head
+    for (r, c), cell in sorted(taken.items()):
+        yield r, c, cell
 
 
 def _span(attrs: dict, name: str) -> int:
@@ -144,7 +166,31 @@ def _span(attrs: dict, name: str) -> int:
     return max(int(value), 1) if value.isdigit() else 1
 
 
-GRID = "page_id long, table_no int, row_no int, col_no int, text string, is_header boolean"
+def _places(found: Sequence[list]) -> dict[int, tuple[int, list[tuple[int, int]]]]:
+    """Table number and filled places of every cell; cells belong to the innermost table around them."""
+    tables, rows, cells, heights = {}, {}, {}, {}
+    for seq, (parent, tag, attrs, *_) in enumerate(found):
+        if tag == "table":
+            tables[seq] = len(tables)
+            cells[seq], heights[seq] = [], 0
+        elif tag == "tr" and parent in tables:
+            rows[seq] = (parent, heights[parent])
+            heights[parent] += 1
+        elif tag in ("td", "th") and parent in rows:
+            table, row = rows[parent]
+            cells[table].append((row, _span(attrs, "rowspan"), _span(attrs, "colspan"), seq))
+    out = {seq: (number, []) for seq, number in tables.items()}
+    for table, of_table in cells.items():
+        out |= {seq: (tables[table], []) for *_, seq in of_table}
+        for row, col, seq in _spread(of_table):
+            out[seq][1].append((row, col))
+    return out
+
+
+def grid_cells(found: DataFrame) -> DataFrame:
+    """Cell grid out of elements parsed with ``grid`` and at least table, tr, td and th."""
+    cells = found.filter("tag in ('td', 'th')").select("page_id", "table_no", F.inline("spots"), F.col("spaced").alias("text"), (F.col("tag") == "th").alias("is_header"))
+    return cells.select("page_id", "table_no", "row_no", "col_no", "text", "is_header")
 
 
 def table_cells(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -152,34 +198,7 @@ def table_cells(pages: DataFrame, html: str = "html") -> DataFrame:
 
     Cells belong to the innermost table around them.
     """
-    wanted = frozenset({"table", "tr", "td", "th"})
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for page, markup in zip(batch["page_id"], batch["html"]):
-                parser = _Elements(wanted, SILENT)
-                parser.feed(markup or "")
-                parser.close()
-                tables, rows, cells, heights = {}, {}, {}, {}
-                for seq, (parent, tag, attrs, bits) in enumerate(parser.found):
-                    if tag == "table":
-                        tables[seq] = len(tables)
-                        cells[seq], heights[seq] = [], 0
-                    elif tag == "tr" and parent in tables:
-                        rows[seq] = (parent, heights[parent])
-                        heights[parent] += 1
-                    elif tag in ("td", "th") and parent in rows:
-                        table, row = rows[parent]
-                        text = " ".join(b for b in (x.strip() for x in bits) if b)
-                        cells[table].append(
-                            (row, len(cells[table]), _span(attrs, "rowspan"), _span(attrs, "colspan"), text, tag == "th")
-                        )
-                for table, found in cells.items():
-                    out += [(page, tables[table], *cell) for cell in _spread(found)]
-            yield pd.DataFrame(out, columns=["page_id", "table_no", "row_no", "col_no", "text", "is_header"])
-
-    return pages.select("page_id", F.col(html).alias("html")).mapInPandas(parse, GRID)
+    return grid_cells(elements(pages, ["table", "tr", "td", "th"], html=html, grid=True))
 
 
 ROW = ["page_id", "table_no", "row_no"]

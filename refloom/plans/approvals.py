@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,12 +38,17 @@ def approvals(list_pages: DataFrame) -> DataFrame:
     A table without a brand header but four columns has them in the usual order; other tables are
     left out. Superscript remarks tell partial changes from first approvals and are cut from the name.
     """
-    # The text of a cell without its superscripts, the superscripts, and the links in it.
-    parts = pages.parsed(list_pages, ["table", "tr", "th", "td"], ["sup"])
-    whole = pages.parsed(list_pages, ["table", "tr", "th", "td", "sup", "a"])
-    cells = materialize(_numbered(parts), "cells")
-    sups = _numbered(whole, "sup").groupBy("page_id", "table_no", "row_no", "col_no").agg(F.min_by("inner_text", "inner_seq").alias("sup"))
-    links = _numbered(whole, "a").filter(F.lower("href").endswith(".pdf"))
+    # One parse: the text of a cell without its superscripts, the superscripts, and the links in it.
+    found = pages.parsed(list_pages, ["table", "tr", "th", "td", "sup", "a"], apart=["sup"])
+    placed = _placed(found)
+    cells = materialize(placed.join(found.select("page_id", F.col("seq").alias("c"), F.col("bare").alias("text")), ["page_id", "c"]).drop("c"), "cells")
+    inner = found.filter("tag in ('sup', 'a')").select(
+        "page_id", F.col("parent").alias("c"), "tag", F.col("seq").alias("inner_seq"), F.col("spaced").alias("inner_text"),
+        F.coalesce(F.col("attrs")["href"], F.lit("")).alias("href"),
+    )
+    inner = placed.join(inner, ["page_id", "c"]).drop("c")
+    sups = inner.filter("tag = 'sup'").groupBy("page_id", "table_no", "row_no", "col_no").agg(F.min_by("inner_text", "inner_seq").alias("sup"))
+    links = inner.filter((F.col("tag") == "a") & F.lower("href").endswith(".pdf"))
     links = links.join(list_pages.select("page_id", "url"), "page_id").withColumn("link", resolve_url("url", "href"))
     at = ["page_id", "table_no", "row_no", "col_no"]
     links = links.groupBy(*at).agg(F.sort_array(F.collect_list(F.struct("inner_seq", "link"))).alias("l"))
@@ -77,26 +84,16 @@ def approvals(list_pages: DataFrame) -> DataFrame:
     )
 
 
-def _numbered(found: DataFrame, inner: str | None = None) -> DataFrame:
-    """Cells by their place (page_id, table_no, row_no, col_no, text), or the inner elements of cells."""
-    def ranked(tag: str, out: str) -> DataFrame:
-        rows = found.filter(F.col("tag").isin(*tag.split(",")))
-        place = F.sort_array(F.collect_list("seq"))
-        grouped = rows.groupBy("page_id", F.coalesce("parent", F.lit(-1)).alias("parent")).agg(place.alias("s"))
+def _placed(found: DataFrame) -> DataFrame:
+    """Cells by their place: (page_id, table_no, row_no, col_no) and the number ``c`` of their element."""
+    def ranked(tags: Sequence[str], out: str) -> DataFrame:
+        rows = found.filter(F.col("tag").isin(*tags))
+        grouped = rows.groupBy("page_id", F.coalesce("parent", F.lit(-1)).alias("parent")).agg(F.sort_array(F.collect_list("seq")).alias("s"))
         return grouped.select("page_id", "parent", F.posexplode("s").alias(out, "seq"))
 
     tables = found.filter("tag = 'table'").groupBy("page_id").agg(F.sort_array(F.collect_list("seq")).alias("s"))
     tables = tables.select("page_id", F.posexplode("s").alias("table_no", "t"))
-    rows = ranked("tr", "row_no").select("page_id", F.col("parent").alias("t"), "row_no", F.col("seq").alias("r"))
-    cells = ranked("td,th", "col_no").select("page_id", F.col("parent").alias("r"), "col_no", F.col("seq").alias("c"))
+    rows = ranked(["tr"], "row_no").select("page_id", F.col("parent").alias("t"), "row_no", F.col("seq").alias("r"))
+    cells = ranked(["td", "th"], "col_no").select("page_id", F.col("parent").alias("r"), "col_no", F.col("seq").alias("c"))
     placed = cells.join(rows, ["page_id", "r"]).join(tables, ["page_id", "t"])
-    if inner is None:
-        text = found.select("page_id", F.col("seq").alias("c"), F.col("spaced").alias("text"))
-        return placed.join(text, ["page_id", "c"]).select("page_id", "table_no", "row_no", "col_no", "text")
-    kids = found.filter(F.col("tag") == inner).select(
-        "page_id", F.col("parent").alias("c"), F.col("seq").alias("inner_seq"), F.col("spaced").alias("inner_text"),
-        F.coalesce(F.col("attrs")["href"], F.lit("")).alias("href"),
-    )
-    return placed.join(kids, ["page_id", "c"]).select(
-        "page_id", "table_no", "row_no", "col_no", "inner_seq", "inner_text", "href"
-    )
+    return placed.select("page_id", "table_no", "row_no", "col_no", "c")

@@ -47,3 +47,14 @@ def targets(raw: DataFrame) -> DataFrame:
 def activities(raw: DataFrame) -> DataFrame:
     """The declared activity columns; those a record lacks are NULL."""
     return raw.select(*[(F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c)) for c in ACTIVITY_COLUMNS])
+
+
+def activity_pages(payloads: DataFrame, payload: str = "payload", molecule: str | None = None, target: str | None = None, kind: str | None = None, relation: str | None = None) -> DataFrame:
+    """Activities out of the ``activities`` lists of reply pages, optionally of one molecule, target, type (in any case) or relation."""
+    fields = ", ".join(f"{c}: string" for c in ACTIVITY_COLUMNS)
+    parsed = F.from_json(payload, f"activities array<struct<{fields}>>")
+    rows = payloads.select(F.inline(parsed["activities"]))
+    wanted = {"molecule_chembl_id": molecule, "target_chembl_id": target, "relation": relation}
+    for column, value in wanted.items():
+        rows = rows.filter(F.col(column) == value) if value is not None else rows
+    return rows.filter(F.lower("type") == kind.lower()) if kind is not None else rows

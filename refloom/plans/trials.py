@@ -121,13 +121,14 @@ def plain_label(label: Column) -> Column:
     )
 
 
-def page_rows(trial_pages: DataFrame) -> DataFrame:
-    """Label rows of the main table of trial pages: (page_id, row_no, label, text, table_no of a nested table).
-
-    Pages whose content is ``INVALID`` give none.
-    """
+def page_tables(trial_pages: DataFrame) -> DataFrame:
+    """Tables, rows and cells of trial pages with their grid, parsed once. Pages whose content is ``INVALID`` give none."""
     valid = trial_pages.filter(F.trim(F.coalesce("html", F.lit(""))).isin("", "INVALID") == F.lit(False))
-    found = pages.parsed(valid, ["table", "tr", "td"])
+    return pages.parsed(valid, ["table", "tr", "td", "th"], grid=True)
+
+
+def page_rows(found: DataFrame) -> DataFrame:
+    """Label rows of the main table out of ``page_tables``: (page_id, row_no, label, text, table_no of a nested table)."""
     tables = found.filter("tag = 'table'").select(
         "page_id", "seq", "parent", (F.row_number().over(Window.partitionBy("page_id").orderBy("seq")) - 1).alias("table_no")
     )
@@ -153,8 +154,9 @@ def page_records(trial_pages: DataFrame) -> DataFrame:
 
     Contact-like tables give an object, tables with a header a list of objects, lists a list of texts.
     """
-    rows = materialize(page_rows(trial_pages), "rows")
-    cells = materialize(pages.table_cells(trial_pages), "cells")
+    found = page_tables(trial_pages)
+    rows = materialize(page_rows(found), "rows")
+    cells = pages.grid_cells(found)
     at = ["page_id", "table_no"]
     nested = rows.filter("table_no is not null").select(*at, "label")
     listed = F.col("label").isin(*LIST_LABELS)
