@@ -9,7 +9,7 @@ from refloom.functions.text import fill
 from refloom.operators import aggregate as agg
 from refloom.operators.nested import dimension, explode_children, explode_json, explode_self
 from refloom.plans import adverse_events, applications, articles, medicines, substances, works
-from refloom.schemas import APPLICATION, ARTICLE, MOLECULE, SAFETY_REPORT, SUBSTANCE, TARGET, WORK
+from refloom.schemas import APPLICATION, APPLICATION_LISTS, ARTICLE, MOLECULE, REPORT_COLUMNS, SAFETY_REPORT, SUBSTANCE, TARGET, WORK
 from refloom.session import materialize, spread
 
 LINE_ORDER = [
@@ -40,6 +40,10 @@ def parse(df, doc, schema, *keep):
 # Safety reports.
 
 
+#: Report columns that stand on top of a record and hold a text of the customer here.
+PLAIN_REPORT = [c for c in REPORT_COLUMNS if c not in ("safetyreportid", "serious", "receivedate", "companynumb") and c not in adverse_events.NESTED_REPORT]
+
+
 def _reports(t):
     brand = F.when(F.col("l_returnflag") == "A", fill('["B%s"," ","C%s"]', text("l_partkey"), text("l_suppkey"))).otherwise(
         fill('"B%s"', text("l_partkey"))
@@ -51,13 +55,15 @@ def _reports(t):
     reaction = fill('{"reactionmeddrapt":"%s"}', F.when(F.col("l_linestatus") == "F", F.lit(" ")).otherwise(F.concat(F.lit("pain "), text("l_linenumber"))))
     rows = json_lists(t, drugs=drug, reactions=reaction)
     patient = F.when(F.col("drugs") == "[]", F.lit("null")).otherwise(fill(
-        '{"patientsex":"%s","patientdeath":%s,"drug":%s,"reaction":%s}', F.col("o_orderpriority"),
+        '{"patientonsetage":"%s","patientonsetageunit":"801","patientsex":"%s","patientdeath":%s,"drug":%s,"reaction":%s}', (F.col("o_orderkey") % 90).cast("string"), F.col("o_orderpriority"),
         F.when(F.col("o_orderstatus") == "F", F.lit('{"patientdeathdate":"20200101"}')).otherwise("null"), F.col("drugs"), F.col("reactions"),
     ))
+    plain = "".join(f',"{c}":"{c}-%s"' for c in PLAIN_REPORT)
+    source = F.when(F.col("o_orderstatus") == "O", F.lit("null")).otherwise(fill('{"reportercountry":"C%s"}', (F.col("o_custkey") % 5).cast("string")))
     doc = fill(
-        '{"safetyreportid":"%s","serious":%s,"receivedate":"%s","companynumb":"CO-%s","patient":%s}',
+        '{"safetyreportid":"%s","serious":%s,"receivedate":"%s","companynumb":"CO-%s","primarysource":%s,"sender":{"senderorganization":"Org %s"},"patient":%s' + plain + "}",
         text("o_orderkey"), F.when(F.col("o_orderstatus") == "P", F.lit("null")).otherwise(F.lit('"1"')),
-        F.date_format("o_orderdate", "yyyyMMdd"), text("o_custkey"), patient,
+        F.date_format("o_orderdate", "yyyyMMdd"), text("o_custkey"), source, text("o_custkey"), patient, *[text("o_custkey")] * len(PLAIN_REPORT),
     )
     # Nested records are written once; each table then reads only the fields it needs.
     return spread(materialize(parse(rows, doc, SAFETY_REPORT), "reports"))
@@ -65,17 +71,19 @@ def _reports(t):
 
 @query(
     "normalize_reports",
-    """
+    f"""
     SELECT CAST(o_orderkey AS VARCHAR) AS safetyreportid, CASE WHEN o_orderstatus = 'P' THEN '' ELSE '1' END AS serious,
-      strftime(o_orderdate, '%Y%m%d') AS receivedate, 'CO-' || o_custkey AS companynumb, '' AS reportercountry,
+      {", ".join(f"'{c}-' || o_custkey AS {c}" for c in PLAIN_REPORT)},
+      strftime(o_orderdate, '%Y%m%d') AS receivedate, 'CO-' || o_custkey AS companynumb, 'Org ' || o_custkey AS senderorganization,
+      CASE WHEN o_orderstatus = 'O' THEN '' ELSE 'C' || o_custkey % 5 END AS reportercountry,
+      CASE WHEN l IS NULL THEN '' ELSE CAST(o_orderkey % 90 AS VARCHAR) END AS patient_age, CASE WHEN l IS NULL THEN '' ELSE '801' END AS patient_age_unit,
       CASE WHEN l IS NULL THEN '' ELSE o_orderpriority END AS patient_sex,
       CASE WHEN l IS NOT NULL AND o_orderstatus = 'F' THEN '20200101' ELSE '' END AS patient_death_date
     FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey AS l FROM lineitem) ON o_orderkey = l
     """,
 )
 def normalize_reports(t):
-    reports = adverse_events.tables(_reports(t))["reports"]
-    return reports.select("safetyreportid", "serious", "receivedate", "companynumb", "reportercountry", "patient_sex", "patient_death_date")
+    return adverse_events.tables(_reports(t))["reports"].select(*REPORT_COLUMNS)
 
 
 @query(
@@ -136,10 +144,14 @@ def report_versions(t):
 # Applications.
 
 
+#: Identifier lists of an application that hold two texts here; one comes as a plain text, and one is missing.
+LISTED = {out: src for out, src in APPLICATION_LISTS.items() if src not in ("generic_name", "rxcui", "pharm_class_pe")}
+
+
 def _applications(t):
     product = fill(
-        '{"product_number":"%s","brand_name":"Brand %s","active_ingredients":[{"name":"part %s"%s},{"name":"water"}]}',
-        text("l_linenumber"), text("l_suppkey"), text("l_partkey"),
+        '{"product_number":"%s","brand_name":"Brand %s","reference_drug":"Yes","dosage_form":" F%s ","route":"ORAL","marketing_status":"%s","active_ingredients":[{"name":"part %s"%s},{"name":"water"}]}',
+        text("l_linenumber"), text("l_suppkey"), text("l_linenumber"), F.col("l_linestatus"), text("l_partkey"),
         F.when(F.col("l_returnflag") == "N", F.lit("")).otherwise(fill(',"strength":"%s mg"', F.col("l_quantity").cast("long").cast("string"))),
     )
     submission = fill(
@@ -148,9 +160,11 @@ def _applications(t):
         F.when(F.col("l_returnflag") == "R", F.concat(F.lit("http://h/"), text("l_suppkey"))).otherwise(""),
     )
     rows = json_lists(t, products=product, submissions=submission)
+    lists = "".join(f',"{src}":["{src}-%s","z"]' for src in LISTED.values())
     doc = fill(
-        '{"application_number":"NDA%s","sponsor_name":"%s","openfda":{"generic_name":["%s"," x "]},"products":%s,"submissions":%s}',
-        text("o_orderkey"), F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("products"), F.col("submissions"),
+        '{"application_number":"NDA%s","sponsor_name":"%s","openfda":{"generic_name":["%s"," x "],"rxcui":"R%s"' + lists + '},"products":%s,"submissions":%s}',
+        text("o_orderkey"), F.col("o_orderpriority"), F.col("o_orderstatus"), text("o_custkey"), *[text("o_custkey")] * len(LISTED),
+        F.col("products"), F.col("submissions"),
     )
     return spread(materialize(parse(rows, doc, APPLICATION), "applications"))
 
@@ -164,17 +178,17 @@ def _applications(t):
         string_agg('Label (2020): http://h/' || l_suppkey, ' | ' ORDER BY {LINE_SQL}) FILTER (WHERE l_returnflag = 'R') AS docs
       FROM lineitem GROUP BY l_orderkey)
     SELECT 'NDA' || o_orderkey AS application_number, o_orderpriority AS sponsor_name, o_orderstatus || ' | x' AS openfda_generic_names,
-      '' AS openfda_rxcuis, coalesce(CAST(l_linenumber AS VARCHAR), '') AS product_number, coalesce('Brand ' || l_suppkey, '') AS brand_name,
+      'R' || o_custkey AS openfda_rxcuis, '' AS openfda_pharm_class_pe, {", ".join(f"'{src}-' || o_custkey || ' | z' AS {out}" for out, src in LISTED.items())},
+      coalesce(CAST(l_linenumber AS VARCHAR), '') AS product_number, coalesce('Brand ' || l_suppkey, '') AS brand_name,
+      CASE WHEN l.l_orderkey IS NULL THEN '' ELSE 'Yes' END AS reference_drug, '' AS reference_standard, coalesce('F' || l_linenumber, '') AS dosage_form,
+      CASE WHEN l.l_orderkey IS NULL THEN '' ELSE 'ORAL' END AS route, coalesce(l_linestatus, '') AS marketing_status,
       coalesce('part ' || l_partkey || CASE WHEN l_returnflag = 'N' THEN '' ELSE ' (' || CAST(l_quantity AS BIGINT) || ' mg)' END || ' | water', '') AS active_ingredients,
       coalesce(submissions, '') AS submissions, coalesce(docs, '') AS application_docs
     FROM orders LEFT JOIN lineitem l ON o_orderkey = l.l_orderkey LEFT JOIN s ON o_orderkey = s.l_orderkey
     """,
 )
 def explode_outer_flatten(t):
-    return applications.flatten(_applications(t)).select(
-        "application_number", "sponsor_name", "openfda_generic_names", "openfda_rxcuis", "product_number", "brand_name",
-        "active_ingredients", "submissions", "application_docs",
-    )
+    return applications.flatten(_applications(t))
 
 
 @query(
@@ -209,9 +223,10 @@ def _works(t):
     )
     rows = json_lists(t, authorships=author)
     doc = fill(
-        '{"id":"%s","title":"Order %s","publication_year":%s,"primary_location":{"source":{"id":"S%s","display_name":"J %s","issn":["1-%s"]}},"open_access":{"is_oa":%s},"authorships":%s,"funders":[{"display_name":"%s"},{"display_name":"%s"}],"abstract_inverted_index":{"status":[0,3],"is":[1],"%s":[2]}}',
-        F.lpad(text("o_orderkey"), 9, "0"), text("o_orderkey"), F.date_format("o_orderdate", "yyyy"), F.date_format("o_orderdate", "yyyyMM"),
-        F.date_format("o_orderdate", "yyyyMM"), F.date_format("o_orderdate", "MM"), (F.col("o_orderstatus") == "F").cast("string"), F.col("authorships"),
+        '{"id":"%s","title":"Order %s","publication_year":%s,"doi":"10/%s","publication_date":"%s","type":"article","language":"en","cited_by_count":%s,"updated_date":"2024","primary_topic":{"display_name":"T%s","field":{"display_name":"F"},"domain":null},"mesh":[{"descriptor_name":"D%s","qualifier_name":null,"is_major_topic":true},{"descriptor_name":"E","qualifier_name":"q","is_major_topic":false}],"primary_location":{"source":{"id":"S%s","display_name":"J %s","host_organization_name":"P","issn":["1-%s"]}},"open_access":{"is_oa":%s,"oa_status":"gold","oa_url":"http://o/%s"},"authorships":%s,"funders":[{"display_name":"%s"},{"display_name":"%s"}],"abstract_inverted_index":{"status":[0,3],"is":[1],"%s":[2]}}',
+        F.lpad(text("o_orderkey"), 9, "0"), text("o_orderkey"), F.date_format("o_orderdate", "yyyy"), text("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd"),
+        text("o_custkey"), F.col("o_orderstatus"), F.col("o_orderstatus"), F.date_format("o_orderdate", "yyyyMM"), F.date_format("o_orderdate", "yyyyMM"),
+        F.date_format("o_orderdate", "MM"), (F.col("o_orderstatus") == "F").cast("string"), text("o_orderkey"), F.col("authorships"),
         F.col("o_orderpriority"), F.col("o_orderpriority"), F.col("o_orderstatus"),
     )
     return spread(materialize(parse(rows, doc, WORK), "works"))
@@ -226,15 +241,15 @@ def _works(t):
     c AS (SELECT l_orderkey, string_agg(l_linestatus, '; ' ORDER BY i) AS countries FROM (SELECT l_orderkey, l_linestatus, min(i) AS i FROM x GROUP BY 1, 2) GROUP BY 1)
     SELECT lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS work_id, 'Order ' || o_orderkey AS title, CAST(year(o_orderdate) AS INTEGER) AS publication_year,
       '1-' || strftime(o_orderdate, '%m') AS issn, o_orderstatus = 'F' AS is_oa, coalesce(authors, '') AS authors, coalesce(first_inst, '') AS first_author_institution,
-      coalesce(institutions, '') AS institutions, coalesce(countries, '') AS countries, o_orderpriority AS funders, 'status is ' || o_orderstatus || ' status' AS abstract
+      coalesce(institutions, '') AS institutions, coalesce(countries, '') AS countries, o_orderpriority AS funders, 'status is ' || o_orderstatus || ' status' AS abstract,
+      '10/' || o_orderkey AS doi, strftime(o_orderdate, '%Y-%m-%d') AS publication_date, 'article' AS type, 'en' AS language, 'J ' || strftime(o_orderdate, '%Y%m') AS journal_name,
+      'P' AS publisher, 'gold' AS oa_status, 'http://o/' || o_orderkey AS oa_url, CAST(o_custkey AS BIGINT) AS cited_by_count, 'T' || o_orderstatus AS primary_topic,
+      'F' AS primary_topic_field, '' AS primary_topic_domain, 'D' || o_orderstatus || '; E/q' AS mesh_terms, 'D' || o_orderstatus AS major_mesh_terms, '2024' AS updated_date
     FROM orders LEFT JOIN a ON a.l_orderkey = o_orderkey LEFT JOIN s ON s.l_orderkey = o_orderkey LEFT JOIN c ON c.l_orderkey = o_orderkey
     """,
 )
 def flat_works(t):
-    return works.flat(_works(t)).select(
-        "work_id", "title", "publication_year", "issn", "is_oa", "authors", "first_author_institution", "institutions", "countries",
-        "funders", "abstract",
-    )
+    return works.flat(_works(t))
 
 
 @query(
