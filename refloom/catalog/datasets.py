@@ -8,7 +8,7 @@ from refloom.catalog import query
 from refloom.functions.text import fill
 from refloom.operators import aggregate as agg
 from refloom.plans import classes, concepts, descriptors, drug_products, drug_records, labels, patents, trials
-from refloom.schemas import CONCEPT_COLUMNS, DRUG_PRODUCT_FILES
+from refloom.schemas import CONCEPT_COLUMNS, DRUG_PRODUCT_FILES, REGISTRY_TRIAL_COLUMNS
 from refloom.session import materialize, scratch_path, spread
 from refloom.sources.documents import parse_xml, read_xml_records
 
@@ -426,20 +426,26 @@ def national_trials(t):
     )
 
 
+#: Every second declared column holds a text of the customer in the export; the others have no tag.
+_EXPORTED = [c for c in REGISTRY_TRIAL_COLUMNS if c != "TrialID"][::2]
+
+
 @query(
     "registry_trials",
-    """
-    SELECT 'NCT' || c_custkey AS "TrialID", c_name AS "Public_title", '' AS "Acronym", c_mktsegment AS "Phase" FROM customer
+    f"""
+    SELECT 'NCT' || c_custkey AS "TrialID", {", ".join(f"""{f"'{c} ' || c_custkey" if c in _EXPORTED else "''"} AS "{c}" """ for c in REGISTRY_TRIAL_COLUMNS if c != "TrialID")}
+    FROM customer
     """,
 )
 def registry_trials(t):
     """Registry export files with an undeclared tag and missing tags."""
     path = scratch_path(t.spark, "registry")
     rows = t.customer.select(
-        F.concat(F.lit(" NCT"), text("c_custkey")).alias("TrialID"), F.col("c_name").alias("Public_title"), F.col("c_mktsegment").alias("Phase"), F.lit("x").alias("Undeclared")
+        F.concat(F.lit(" NCT"), text("c_custkey")).alias("TrialID"), *[F.concat(F.lit(f" {c} "), text("c_custkey")).alias(c) for c in _EXPORTED],
+        F.lit("x").alias("Undeclared"),
     )
     rows.write.format("xml").options(rootTag="Trials_downloaded_from_registry", rowTag="Trial").save(path)
-    return trials.registry(read_xml_records(t.spark, path, "Trial", trials.REGISTRY_TRIAL)).select("TrialID", "Public_title", "Acronym", "Phase")
+    return trials.registry(read_xml_records(t.spark, path, "Trial", trials.REGISTRY_TRIAL))
 
 
 @query(

@@ -318,38 +318,57 @@ def approval_tables(t):
     return found.select("page_id", "brand_name", "approval_type", "generic_name", "approval_date", F.array_join("en_urls", ";").alias("urls"))
 
 
+#: Fields of a trial page: plain rows, and tables of pairs under a label, by the columns that they become.
+_PLAIN_FIELDS = trials.RECORD_FIELDS[5:]
+_PAIRS = {
+    "Details of Principal Investigator or overall Trial Coordinator (multi-center study)": {f"pi_{f}": f for f in trials.PERSON},
+    "Details of Contact Person (Scientific Query)": {f"contact_scientific_{f}": f for f in trials.PERSON[:4]},
+    "Details of Contact Person (Public Query)": {f"contact_public_{f}": f for f in trials.PERSON[1:]},
+} | {
+    label: {out: f for out, (of, f) in trials.RECORD_OBJECT_FIELDS.items() if of == name}
+    for label, name in (("Primary Sponsor", "primary_sponsor"), ("Inclusion Criteria", "inclusion_criteria"), ("ExclusionCriteria", "exclusion_criteria"))
+}
+_MISSING = ["contact_scientific_phone", "contact_scientific_email", "contact_public_name", "db_id"]
+_EMPTY_LISTS = [c for c in trials.RECORD_LISTS if c not in ("source_of_monetary_support", "sites_of_study")]
+
+
 @query(
     "trial_pages",
     f"""
     WITH {GRID_SQL},
     s AS (SELECT l_orderkey, string_agg('{{"name_of_site":"S' || l_suppkey || '","city":"' || l_linestatus || '"}}', ',' ORDER BY i) AS sites FROM x GROUP BY 1)
-    SELECT o_orderkey AS page_id, 'CTRI/2020/01/' || o_orderkey AS ctri_id, strftime(o_orderdate, '%d/%m/%Y') AS registration_date,
-      CASE WHEN o_orderstatus = 'F' THEN 'Prospective' ELSE 'Retrospective' END AS registration_type, o_orderpriority AS pi_name, '' AS pi_email,
+    SELECT o_orderkey AS page_id, CAST(0 AS BIGINT) AS part, 'CTRI/2020/01/' || o_orderkey AS ctri_id, strftime(o_orderdate, '%d/%m/%Y') AS registration_date,
+      CASE WHEN o_orderstatus = 'F' THEN 'Prospective' ELSE 'Retrospective' END AS registration_type,
+      'CTRI/2020/01/' || o_orderkey || ' [Registered on: ' || strftime(o_orderdate, '%d/%m/%Y') || '] Trial Registered ' ||
+        CASE WHEN o_orderstatus = 'F' THEN 'Prospectively' ELSE 'Retrospectively' END AS ctri_number,
+      {", ".join(f"'{c} ' || o_custkey AS {c}" for c in _PLAIN_FIELDS)},
+      {", ".join(f"'{out} ' || o_orderpriority AS {out}" for pairs in _PAIRS.values() for out in pairs)},
+      {", ".join(f"'' AS {c}" for c in _MISSING)}, {", ".join(f"'[]' AS {c}" for c in _EMPTY_LISTS)},
       '["Funder ' || o_custkey || '"]' AS source_of_monetary_support, '[' || coalesce(sites, '') || ']' AS sites_of_study
     FROM orders LEFT JOIN s ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P'
     """,
 )
 def trial_pages(t):
-    """Trial pages with plain rows, an object, a list and a table of sites; pages of status P are invalid."""
+    """Trial pages with plain rows, objects, a list and a table of sites: all columns; pages of status P are invalid."""
     site = fill("<tr><td>S%s</td><td>%s</td></tr>", text("l_suppkey"), F.col("l_linestatus"))
     kind = F.when(F.col("o_orderstatus") == "F", "Trial Registered Prospectively").otherwise("Trial Registered Retrospectively")
+
+    def pairs(label: str, fields: dict[str, str]):
+        rows = [F.concat(F.lit(f"<tr><td>{f.replace('_', ' ').title()} :</td><td>{out} "), F.col("o_orderpriority"), F.lit("</td></tr>")) for out, f in fields.items()]
+        return F.concat(F.lit(f"<tr><td>{label}</td><td><table>"), *rows, F.lit("<tr><td>one cell</td></tr></table></td></tr>"))
+
+    plain = [F.concat(F.lit(f"<tr><td>{c.replace('_', ' ').title()}</td><td> {c} "), text("o_custkey"), F.lit("</td></tr>")) for c in _PLAIN_FIELDS]
     head = F.concat(
         F.lit("<table border='1'><tr><td>CTRI Number</td><td>CTRI/2020/01/"), text("o_orderkey"), F.lit(" [Registered on: "),
-        F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit("] "), kind, F.lit("</td></tr>"),
-        F.lit("<tr><td>Details of Principal Investigator or overall Trial Coordinator (multi-center study)</td><td><table><tr><td>Name :</td><td>"),
-        F.col("o_orderpriority"), F.lit("</td></tr><tr><td>one cell</td></tr></table></td></tr>"),
+        F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit("] "), kind, F.lit("</td></tr>"), *plain, *[pairs(*p) for p in _PAIRS.items()],
         F.lit("<tr><td>Source of Monetary or Material Support</td><td><table><tr><td>Funder "), text("o_custkey"), F.lit("</td></tr><tr><td>NIL</td></tr></table></td></tr>"),
         F.lit("<tr><td>Sites of Study</td><td><table><tr><td>No of Sites = 2</td></tr><tr><th>Name of Site</th><th>City</th></tr>"),
     )
     found = order_pages(t, site, head, "</table></td></tr></table>")
     status = t.orders.select(F.col("o_orderkey").alias("page_id"), "o_orderstatus")
     found = found.join(status, "page_id").withColumn("html", F.when(F.col("o_orderstatus") == "P", " INVALID ").otherwise(F.col("html")))
-    rows = trials.flat_pages(found)
-    order = F.expr("from_json(sites_of_study, 'array<struct<name_of_site:string,city:string>>')")
-    return rows.select(
-        "page_id", "ctri_id", "registration_date", "registration_type", "pi_name", "pi_email", "source_of_monetary_support",
-        F.to_json(order).alias("sites_of_study"),
-    )
+    sites = F.expr("from_json(sites_of_study, 'array<struct<name_of_site:string,city:string>>')")
+    return trials.flat_pages(found).withColumn("sites_of_study", F.to_json(sites))
 
 
 @query(
