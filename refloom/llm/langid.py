@@ -5,8 +5,8 @@ of two texts is the number of n-grams both have, over the geometric mean of thei
 landmarks; the Nyström map turns kernel values with them into features, and ridge regression of each language against the
 rest is solved there. Batches of documents are scored by one matrix product of their presence matrix.
 
-The model learns from a bounded sample: ``PER_LANGUAGE`` texts of each of at most ``LANGUAGES`` languages, chosen by hash, shorter ones first where some exceed
-``LONG`` characters. Scoring reads whole texts.
+The model learns from a bounded sample: ``PER_LANGUAGE`` different texts of each language, chosen by hash, shorter ones first where some exceed
+``LONG`` characters; with more than ``LANGUAGES`` languages, fewer texts of each. Only the n-gram sets of these reach the driver. Scoring reads whole texts.
 
 Defined results: NULL texts and texts without a letter are ``und`` with score 0; so is everything when there is nothing to learn
 from. Rows with a NULL id are held out. Repeated rows are kept. An empty table gives an empty result. Extra columns are ignored.
@@ -19,13 +19,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from refloom.llm.common import remainder, unique
+from refloom.llm.common import materialize, remainder, unique
 
 SIZES = (1, 2, 3)
 #: Texts of each language that the model learns from, and how many of them are landmarks.
 PER_LANGUAGE, LANDMARKS = 250, 40
 LONG = 20_000
-#: Languages that are learnt at most, the most frequent ones; it bounds the sample, and the counts that are broadcast.
+#: Languages up to which each one gives that many texts; it bounds the sample.
 LANGUAGES = 1_000
 RIDGE = 1e-2
 #: How sharply regression outputs (about -1 to 1) become shares.
@@ -74,9 +74,9 @@ class Model:
         self.langs, self.known, self.weights, self.constant = langs, known, weights, constant
 
     @staticmethod
-    def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
-        """Learn from (language, text) pairs."""
-        sets = [(lang, g) for lang, g in ((lang, grams(text)) for lang, text in rows) if len(g)]
+    def fit(rows: list[tuple[str, str | np.ndarray]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
+        """Learn from pairs of a language and a text, or its n-gram set."""
+        sets = [(lang, g) for lang, g in ((lang, grams(x) if isinstance(x, str) else x) for lang, x in rows) if len(g)]
         if not sets:
             return None
         langs = sorted({lang for lang, _ in sets})
@@ -126,17 +126,28 @@ def _batches(items: list, size: int = BATCH) -> list[list]:
     return [items[k : k + size] for k in range(0, len(items), size)]
 
 
-def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
-    """At most ``per_language`` texts of each language from ``docs`` (text, lang), chosen by hash."""
+def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, np.ndarray]]:
+    """N-gram sets of at most ``per_language`` different texts of each language from ``docs`` (text, lang), chosen by hash.
+
+    Where there are more than ``LANGUAGES`` languages, each gives so many fewer texts, so that none is left out.
+    """
     rows = docs.filter("lang IS NOT NULL AND text RLIKE '\\\\p{L}'").withColumn("pick", F.xxhash64("text", F.lit(1)))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    # Copies pass or fail together, so texts are counted once.
+    counts = rows.groupBy("lang", "pick").agg(F.lit(1)).groupBy("lang").agg(F.count("*").alias("n"))
+    counts = materialize(counts, "languages")
+    per_language = max(1, min(per_language, LANGUAGES * PER_LANGUAGE // max(1, counts.count())))
     # A few times the wanted number pass by hash, so that the ranking sees a bounded number of rows per language.
     share = (F.col("pick").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
-    some = rows.join(F.broadcast(counts), "lang").filter(share * F.col("n") <= 6 * per_language)
+    some = rows.join(counts, "lang").filter(share * F.col("n") <= 6 * per_language).dropDuplicates(["lang", "pick"])
     order = Window.partitionBy("lang").orderBy((F.length("text") > LONG), "pick", "text")
     chosen = some.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= per_language)
-    got = [(r["lang"], r["nth"], r["text"]) for r in chosen.select("lang", "nth", "text").collect()]
-    return [(lang, text) for lang, _, text in sorted(got, key=lambda r: r[:2])]
+
+    @F.pandas_udf("binary")
+    def sets(texts: pd.Series) -> pd.Series:
+        return pd.Series([grams(t).tobytes() for t in texts.tolist()])
+
+    got = [(r["lang"], r["nth"], np.frombuffer(r["grams"], np.uint64)) for r in chosen.select("lang", "nth", sets("text").alias("grams")).collect()]
+    return [(lang, g) for lang, _, g in sorted(got, key=lambda r: r[:2])]
 
 
 def identify(
