@@ -1,20 +1,23 @@
 """Secret scans by corpus-wide ownership frequency.
 
 Every text is scanned for credentials of known form (the base kinds) and for other long, mixed, random-looking strings. The
-hashes of all of them are counted over the whole corpus, by distinct repositories and distinct owners. A value that several
-owners have is a copied example; one that a single owner has looks live, and where no base kind covers it, it is added as a span
-of kind ``live``. Base spans always stay.
+hashes of all of them are counted over the whole corpus, by distinct repositories and distinct owners; exact copies of a text are one repository of
+one owner. A value is a copied example where different texts of several owners have it, or where very many repositories do, be it of one owner; else it
+belongs to one owner and looks live, and where no base kind covers it, it is added as a span of kind ``live``. Base spans always stay.
 
 Defined results: NULL and empty texts have no spans ('' and the hash of ''). A NULL owner or repository counts as one value.
-Repeated rows are scanned each and counted once per repository. An empty table gives an empty result. Extra columns are ignored.
+Repeated rows are scanned each and counted once per repository. An empty table gives an empty result. Extra columns, whatever their names, are ignored by ``secrets``
+and kept by ``redacted``.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 import xxhash
@@ -36,8 +39,8 @@ _WORDS = ("passw", "secret", "token", "api")
 _OTHER = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 LEAST_BITS = 3.5
 MASK = "[SECRET]"
-#: A value that so many owners have is a copied example.
-EXAMPLE_OWNERS = 2
+#: A value that so many owners, or so many repositories, have is a copied example.
+EXAMPLE_OWNERS, EXAMPLE_REPOS = 2, 10
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -62,10 +65,13 @@ def entropy(value: str) -> float:
 def other_spans(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
     """Random-looking strings that no base span touches."""
     out = []
+    starts = [b[0] for b in base]
+    ends = list(accumulate((b[2] for b in base), max))
     for m in _OTHER.finditer(text):
         v = m[0]
         if any(c.isdigit() for c in v) and not v.islower() and not v.isupper() and any(c.islower() for c in v):
-            if entropy(v) >= LEAST_BITS and not any(m.start() < b[2] and b[0] < m.end() for b in base):
+            before = bisect_left(starts, m.end())
+            if entropy(v) >= LEAST_BITS and not (before and ends[before - 1] > m.start()):
                 out.append((m.start(), 3, m.end(), v))
     return out
 
@@ -100,14 +106,20 @@ def scan(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Per value: in how many repositories and with how many owners it occurs."""
-    seen = found.select("owner", "repo", F.explode("found.value").alias("value"))
+    """Per value: in how many repositories and with how many owners it occurs. A text and its exact copies are in one repository, the least one."""
     blank = F.lit("")
-    seen = seen.select("value", F.coalesce("owner", blank).alias("owner"), F.coalesce("repo", blank).alias("repo")).distinct()
-    per_owner = seen.groupBy("value", "owner").agg(F.count("*").alias("n"))
+    place = F.struct(F.coalesce("owner", blank).alias("owner"), F.coalesce("repo", blank).alias("repo"))
+    seen = found.select("text_key", place.alias("place"), F.explode("found.value").alias("value"))
+    texts = seen.groupBy("value", "text_key").agg(F.min("place").alias("place"))
+    per_owner = texts.select("value", "place.*").distinct().groupBy("value", "owner").agg(F.count("*").alias("n"))
     return per_owner.groupBy("value").agg(F.count("*").alias("owners"), F.sum("n").alias("repos"))
 
 
+def is_live(example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> Column:
+    """Whether a value with these ``owners`` and ``repos`` belongs to one owner."""
+    return (F.col("owners") < example_owners) & (F.col("repos") < example_repos)
+
+
 def _joined(spans: Column) -> Column:
     kinds = F.array(*[F.lit(k) for k in KINDS])
     text = F.transform(
@@ -118,13 +130,13 @@ def _joined(spans: Column) -> Column:
 
 def secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id",
-    example_owners: int = EXAMPLE_OWNERS,
+    example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS,
 ) -> DataFrame:
     """One row per document: counts and spans, the number of its values that one owner has, and of those that are examples."""
     found = scan(docs, id_col, text_col, owner_col, repo_col)
     spans = found.select("row", F.explode("found").alias("s")).select("row", "s.*")
     judged = spans.join(ownership(found), "value").select(
-        "row", "start", "kind", "end", (F.col("owners") < example_owners).alias("live")
+        "row", "start", "kind", "end", is_live(example_owners, example_repos).alias("live")
     )
     added = F.collect_list(F.when(F.col("live") & (F.col("kind") == 3), F.struct("start", "kind", "end")))
     per_row = judged.groupBy("row").agg(
@@ -159,7 +171,7 @@ def mask(text: str, spans: list[tuple[int, int]], sign: str = MASK) -> str:
 
 def redacted(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id",
-    example_owners: int = EXAMPLE_OWNERS, length_col: str = "n_chars",
+    example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS, length_col: str = "n_chars",
 ) -> DataFrame:
     """The documents, all columns, with base spans and live values masked in the text; other texts stay as they are.
 
@@ -167,7 +179,7 @@ def redacted(
     """
     found = scan(docs, id_col, text_col, owner_col, repo_col)
     others = found.select("doc_id", "text_key", F.explode("found").alias("s")).select("doc_id", "text_key", "s.*").filter("kind = 3")
-    live = others.join(ownership(found).filter(F.col("owners") < example_owners), "value", "left_semi")
+    live = others.join(ownership(found).filter(is_live(example_owners, example_repos)), "value", "left_semi")
     by_text = live.groupBy(F.col("text_key").alias("__text_key")).agg(
         F.collect_set(F.struct("start", "end")).alias("__live")
     )

@@ -81,6 +81,17 @@ def test_language_accuracy(spark):
         assert row["right"] > 0.97
 
 
+def test_languages_that_are_mostly_copies(spark):
+    """A language of one repeated text is learnt like any other, and no language is left out where there are very many."""
+    rows = [(k, "umuntu ngumuntu ngabantu bonke emhlabeni", "zu") for k in range(800)]
+    rows += [(k, " ".join(rng.choice(["the", "house", "of", "green", "tree", "with"]) for _ in range(12)), "en") for k in range(1000, 1400)]
+    out = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3), per_language=20)
+    assert Counter(r["lang_pred"] for r in out.collect()) == {"zu": 800, "en": 400}
+    many = [(k, f"q{chr(97 + k % 26) * 9} " * 3 + f"{chr(97 + k // 26 % 26) * 9}", f"l{k % 40}") for k in range(400)]
+    got = langid.sample(spark.createDataFrame(many, "doc_id long, text string, lang string").select("text", "lang"), per_language=2)
+    assert Counter(lang for lang, _ in got) == {f"l{k}": 2 for k in range(40)}
+
+
 def test_token_counts(edge, nothing):
     c = token_counts.counter(queries.RANKS, public_tokenizers.PATTERN)
     edits = F.when(F.col("doc_id") != 6, F.array(F.struct(F.lit(3).alias("start"), F.lit(4).alias("delete"), F.lit("new, text").alias("insert"))))
@@ -208,6 +219,18 @@ def test_secret_spans(spark, edge, nothing):
     assert secrets.redacted(edge).columns == edge.columns and secrets.redacted(nothing).count() == 0
 
 
+def test_secrets_by_repositories_and_owners(spark):
+    """One owner's value in very many texts is an example; a text with a live value that another owner copied whole has it still."""
+    wide, lone, two = "qW3eR5tY7uI9oP1aS3dF", "hJ4kL6zX8cV0bN2mQ4wE", "rT5yU7iO9pA1sD3fG5hJ"
+    rows = [(k, f"text {k} {wide}", "s1") for k in range(12)] + [(50, f"kept {lone} here", "s1"), (51, f"kept {lone} here", "s2"), (52, f"kept {lone} here", None)]
+    rows += [(60, f"one {two}", "s1"), (61, f"other {two}", "s2")] + [(70 + k, f"few {k} {two.lower()[:-1]}Z", "s3") for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    out = {r["doc_id"]: (r["n_live"], r["n_example"]) for r in secrets.secrets(df).collect()}
+    assert all(out[k] == (0, 1) for k in range(12)) and all(out[k] == (1, 0) for k in (50, 51, 52, 70, 71, 72)) and out[60] == out[61] == (0, 1)
+    texts = {r["doc_id"]: r["text"] for r in secrets.redacted(df).collect()}
+    assert texts[51] == "kept [SECRET] here" and texts[3] == f"text 3 {wide}"
+
+
 def test_benchmark(spark, edge, nothing):
     items = [(1, BASE), (2, None), (3, ""), (4, "one"), (5, BASE), (None, BASE), (6, " ".join(BASE.split()[5:])), (7, "日本語 テスト ΣΑΣ")]
     bench = spark.createDataFrame(items, "item_id long, text string")
