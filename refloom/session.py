@@ -110,12 +110,12 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a table just read over all cores when it arrives in fewer partitions (a small or unsplittable file).
+    """Spread a table just read over all cores when it arrives in a few partitions only (a small or unsplittable file).
 
-    A large table has more input partitions than cores and is left as it is.
+    A large table has about as many input partitions as cores, or more, and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 4 * df.rdd.getNumPartitions() <= cores else df
 
 
 class Tables:
