@@ -15,7 +15,8 @@ A pair at the threshold of 0.8 shares no band with probability 5e-8, and passes
 
 Defined results: NULL and empty texts, and texts without a word, have the empty set: linked with nothing, their component is their own id.
 Repeated rows are copies like others. A NULL id never is the smallest; where a component has no other, its id is NULL and its rows are kept.
-An empty table gives an empty result. Extra columns are ignored.
+An empty table gives an empty result. Extra columns, whatever their names, are ignored by ``near_duplicates`` and kept by
+``deduplicated``.
 """
 
 from __future__ import annotations
@@ -227,8 +228,12 @@ def near_duplicates(
     members = by_centre(met, sized.drop("n")).withColumn("block", F.pmod(F.xxhash64("node"), "n_blocks"))
     members = materialize(members, "groups")
     needed = members.select("node").distinct().join(info, "node")
-    wanted = needed.select("text_key").distinct()
-    chosen = materialize(texts.join(wanted, "text_key", "left_semi").dropDuplicates(["text_key"]), "texts")
+    # A text may have very many copies: these are dealt out, and one of each part is left before they meet.
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    wanted = needed.select("text_key").distinct().withColumn("salt", salts)
+    dealt = texts.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    chosen = dealt.join(wanted, ["text_key", "salt"], "left_semi").dropDuplicates(["text_key", "salt"])
+    chosen = materialize(chosen.drop("salt").dropDuplicates(["text_key"]), "texts")
 
     # The centre is in every block of its group.
     centre_rows = members.groupBy("centre", "n_blocks").agg(F.lit(1)).select(
@@ -264,7 +269,12 @@ def near_duplicates(
     rooted = classes.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_set = rooted.join(ids, "root").select(F.col("node").alias("set_id"), "component_id", F.col("root"))
-    out = signed.select("doc_id", "text_key", "n_shingles", "set_id").join(of_set, "set_id", "left")
+    out = signed.select("doc_id", "text_key", "n_shingles", "set_id")
+    # A set may have a large share of all documents, so these are dealt out by document too; texts without words look nothing up.
+    salted = out.filter("n_shingles > 0").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    found = salted.join(of_set.withColumn("salt", salts), ["set_id", "salt"]).drop("salt")
+    nothing = out.filter("n_shingles = 0").withColumns({"component_id": F.lit(None).cast("long"), "root": F.lit(None).cast("binary")})
+    out = found.unionByName(nothing)
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select(
         "doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "root"
