@@ -1,4 +1,10 @@
-"""The corpus pipeline: toxic documents go, one of each group of near copies stays, benchmark items and secrets go, the rest is packed."""
+"""The corpus pipeline: toxic documents go, one of each group of near copies stays, benchmark items and secrets go, the rest is packed.
+
+Every stage but the last gives back the columns it was given, extra ones and whatever their names included. NULL and empty texts, and NULLs in any other column, go through all
+of them: such a text is not toxic, no copy of anything, matches no benchmark item and holds no secret; it is packed as one end token. Repeated rows are
+copies of one another: one of them stays, unless they have no words. Of copies, the one with the least id stays (a NULL id last); ids that tie are told apart by the hash of
+their text. An empty table gives an empty table at every stage.
+"""
 
 from __future__ import annotations
 
@@ -10,31 +16,31 @@ from refloom.session import Tables, materialize, ship_package
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the network, trained on the labelled ones, does not hold for toxic."""
+    """Documents that the network, trained on the labelled ones, does not hold for toxic. Without labels of both kinds none is; repeated rows share their fate."""
     ship_package(spark)
     return toxicity.clean(docs, Tables(spark, sf_dir).labels)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a similarity of 0.8 or more on five-word shingles."""
+    """One document of each group linked by a similarity of 0.8 or more on five-word shingles, the one with the least id; texts without words all stay."""
     ship_package(spark)
     return neardup.deduplicated(docs, words=5, percent=80)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark; NULL, empty and wordless texts have none."""
     ship_package(spark)
     return decontaminate.clean(docs, Tables(spark, sf_dir).benchmark)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, credentials masked in their texts; ``n_chars`` follows the text."""
+    """All documents, credentials masked in their texts; ``n_chars`` follows a text that changes, and NULL texts stay NULL."""
     ship_package(spark)
     return secrets.redacted(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece of the documents, with its sequence and place."""
+    """A row per piece of the documents, with its sequence and place; NULL and empty texts are a piece of one token, repeated rows are packed each."""
     ship_package(spark)
     return packing.pack(docs, VOCABULARY)
 
