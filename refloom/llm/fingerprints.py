@@ -6,7 +6,7 @@ estimate resemblance, containment and the number of distinct shingles. As text,
 
 Defined results: NULL and empty texts, and texts without a word, have the empty sketch (''); two empty sketches are alike (1.0), an empty and a
 non-empty one are not (0.0). Fewer words than a shingle holds make one shingle. Repeated rows are kept; rows with the same id are
-ordered by their text, a NULL id comes first. An empty table gives an empty result.
+ordered by their text, a NULL id comes first. An empty table gives an empty result. Extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

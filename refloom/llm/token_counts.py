@@ -9,6 +9,7 @@ Trees are binary values that are kept with the documents and loaded again for la
 
 Defined results: a NULL text is an empty one, with no tokens; NULL or no edits leave a document as it is. An edit's place is clipped to the text, in
 the characters of the text as the edits before it left it. Repeated rows are kept. An empty table gives an empty result.
+Extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

@@ -393,6 +393,20 @@ def test_pipeline(spark, tmp_path):
     assert {x["doc_id"] for x in out} == set(got)
 
 
+def test_stages_over_the_edge_table(spark, edge):
+    """NULLs anywhere, repeated rows and columns with the names that the operators use inside: every stage keeps the columns."""
+    docs = edge
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, "/root/testdata/sf0.001").cache()
+        assert after.columns == edge.columns, name
+        assert after.count() <= docs.count()
+        docs = after
+    left = Counter(r["doc_id"] for r in docs.collect())
+    assert left[2] == left[3] == left[4] == 1 and left[1] == 1 and left[10] == 0 and None in left
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001").collect()
+    assert {r["doc_id"] for r in packed} == set(left)
+
+
 @pytest.mark.parametrize("table", ["empty"])
 def test_pipeline_of_nothing(spark, tmp_path, table):
     for name, ddl in (
