@@ -55,7 +55,14 @@ DOUBTFUL = frozenset(
     "discussion related legal search alert alerts notice notices comment reply replies respond feedback follow form copyright disclaimer "
     "promotion popular trending notification notifications subscription consent social sharing recommendations toc".split()
 )
+#: Words of FURNITURE that name a place or a form of page parts, not what these say; inside an article they are no more than a doubt.
+LAYOUT = frozenset(
+    "banner nav navbar navigation menu menus submenu breadcrumb breadcrumbs crumbs header masthead topbar toolbar footer sidebar sidebars aside "
+    "rail widget widgets overlay skip pager".split()
+)
 CONTENT = frozenset("article articles body content contents entry main post story text copy page".split())
+#: Words that add nothing to a furniture name.
+GENERIC = frozenset("box block area bar button buttons container wrapper wrap inner outer slot unit item items list link links section site top bottom left right main js css".split())
 NEUTRAL = frozenset("has have with no without is not js".split())
 
 SIGMA = 1.0
@@ -82,9 +89,13 @@ def is_furniture(name: str) -> bool:
     return False
 
 
-def is_doubtful(name: str) -> bool:
-    """Whether a furniture name may be that of an article's section."""
-    return DOUBTFUL.issuperset(t for t in (t.lower() for t in _TOKEN.findall(name)) if t in FURNITURE)
+def is_doubtful(name: str, in_article: bool) -> bool:
+    """Whether a furniture name may be that of an article's section: by its words, or inside an article because it names a place, or something else too."""
+    tokens = [t.lower() for t in _TOKEN.findall(name)]
+    known = [t for t in tokens if t in FURNITURE]
+    if DOUBTFUL.issuperset(known):
+        return True
+    return in_article and (LAYOUT.union(DOUBTFUL).issuperset(known) or not FURNITURE.union(CONTENT, GENERIC).issuperset(tokens))
 
 
 def names_of(tag: str, attrs: list[tuple[str, str | None]]) -> list[str]:
@@ -108,7 +119,7 @@ def is_hidden(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -
             return True
         if key == "style" and "display:none" in value.lower().replace(" ", ""):
             return True
-    return not all(map(is_doubtful, names_of(tag, attrs)))
+    return not all(is_doubtful(name, in_article) for name in names_of(tag, attrs))
 
 
 class Lines(HTMLParser):
@@ -309,10 +320,12 @@ def content(html: str | None) -> str:
     chosen = sure.copy()
     if (smoothed >= threshold).any():
         chosen[sure] = smoothed >= threshold
-    # Elements with a doubtful name select no region; inside one, those with low ratios or mostly links are furniture.
+    # Elements with a doubtful name select no region; inside one, those with low ratios or mostly links are furniture. Headings have low ratios anyway.
+    heading = np.array([h for _, _, _, h in lines])
     left_out = {
         d for d in set(doubts[~sure].tolist())
-        if size[doubts == d].sum() < threshold * max(1, tags[doubts == d].sum()) or linked[doubts == d].sum() * 2 >= size[doubts == d].sum()
+        if not heading[doubts == d].all() and size[doubts == d].sum() < threshold * max(1, tags[doubts == d].sum())
+        or linked[doubts == d].sum() * 2 >= size[doubts == d].sum()
     }
     # A heading goes with the text that follows it.
     for k in range(len(lines) - 2, -1, -1):

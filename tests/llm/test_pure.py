@@ -412,3 +412,23 @@ def test_names_of_sections(tag):
 
 def test_smoothing_keeps_level_lines():
     assert np.allclose(extraction.smooth(np.full(7, 3.0)), 3.0) and len(extraction.smooth(np.ones(1))) == 1
+
+
+@pytest.mark.parametrize("part", [
+    '<section class="cookie-recipes"><h2>Ginger</h2><p>{}</p></section>', '<div class="section-header"><h2>Ginger</h2></div><p>{}</p>',
+    '<h2>Ginger</h2><div id="rail"><p>{}</p></div>', '<h2>Ginger</h2><div class="banner">{}</div>', '<h2>Ginger</h2><p class="menu">{}</p>',
+])
+def test_names_alone_drop_nothing_of_an_article(part):
+    text = " ".join(["Some plain words that go on for a while, as an article does."] * 4)
+    page = f"<body><nav><a>Home</a></nav><article><h1>Title</h1><p>{text}</p>{part.format(text)}<p>{text}</p></article><footer>Legal</footer></body>"
+    assert extraction.content(page) == "\n".join(["Title", text, "Ginger", text, text])
+
+
+@pytest.mark.parametrize("part", [
+    '<div class="ad">{}</div>', '<aside class="sidebar">{}</aside>', '<div class="comments"><p>{}</p></div>', '<div class="newsletter-box">{}</div>',
+    '<div class="menu"><ul><li><a>One</a><li><a>Two</a></ul></div>', '<div class="site-header"><a>Home page of this site</a></div>',
+])
+def test_furniture_in_an_article(part):
+    text = " ".join(["Some plain words that go on for a while, as an article does."] * 4)
+    page = f"<body><article><h1>Title</h1><p>{text}</p>{part.format(text)}<p>{text}</p></article></body>"
+    assert extraction.content(page) == "\n".join(["Title", text, text])
