@@ -10,16 +10,18 @@ document and item is reported.
 Windows that cannot reach the similarity are never fingerprinted: those with too few shingles of any item, and those that
 start with a shingle of no item, since moving on by one word then loses nothing.
 
-Items come in parts of ``PART`` items, one pass over the documents each, so what is broadcast has a bound and any number of items works.
+Items come in parts of ``PART`` items, one pass over the documents each, so what a task holds has a bound and any number of items works.
 
 Defined results: NULL and empty texts, and texts without letters or digits, match nothing, and so do such items. An item of fewer than five words is
 one shingle and matches only a document that is the same sequence as a whole. A document shorter than an item is one window. Repeated
-rows are reported each; repeated items too. Empty tables give an empty result.
+rows are reported each; repeated items too, and ids that are NULL like any other. Of equally similar windows the first is reported. Empty
+tables give an empty result. Extra columns, whatever their names, are ignored by ``leaks`` and kept by ``clean``.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -29,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refloom.llm.common import BLOCK, contained, mix, shingle_hashes, unique
+from refloom.llm.common import BLOCK, contained, materialize, mix, shingle_hashes, unique
 
 WORDS = 5
 PERCENT = 80
@@ -38,7 +40,7 @@ RADIUS = BLOCKS - 1
 #: Items that one pass over the documents looks for.
 PART = 50_000
 #: Words whose hashes a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Shingles of a document that are fingerprinted at once.
 STRETCH = 1 << 15
 
@@ -227,34 +229,29 @@ class Index:
         return {"item_id": item, "similarity": sim, "start": start, "end": end, "n_words": count}
 
 
-def _parts(benchmark: DataFrame, id_col: str, text_col: str, part: int) -> list[list[tuple[int, str | None]]]:
-    """Items in parts of bounded size. The driver passes them on in order, one part at a time."""
+def _finders(
+    benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, part: int = PART
+) -> Iterator[Callable[[Column], Column]]:
+    """A column function per part of the items, in order. The driver sends one part on before it reads the next."""
+    sc = benchmark.sparkSession.sparkContext
     rows = benchmark.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).orderBy(id_col, text_col)
-    parts: list[list] = [[]]
+    held: list[tuple[int, str | None]] = []
+    sent = 0
     for row in rows.toLocalIterator():
-        if len(parts[-1]) >= part:
-            parts.append([])
-        parts[-1].append(tuple(row))
-    return parts
-
-
-def matches(
-    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
-    words: int = WORDS, percent: int = PERCENT, part: int = PART,
-) -> Column:
-    """Column with the benchmark items that a document's text has: an array of item, similarity, place and number of words."""
-    sc = docs.sparkSession.sparkContext
-    found = []
-    for items in _parts(benchmark, item_id_col, item_text_col, part):
-        shared = sc.broadcast(items)
-        found.append(_finder(shared, words, percent)(F.col(text_col).cast("string")))
-    return reduce(lambda a, b: F.concat(a, b), found)
+        if len(held) >= part:
+            yield _finder(sc.broadcast(held), words, percent)
+            held, sent = [], sent + 1
+        held.append(tuple(row))
+    if held or not sent:
+        yield _finder(sc.broadcast(held), words, percent)
 
 
 _INDEXES: dict = {}
 
 
-def _finder(shared, words: int, percent: int):
+def _finder(shared, words: int, percent: int) -> Callable[[Column], Column]:
+    """Column function: the items of a part that a text has, an array of item, similarity, place and number of words."""
+
     @F.pandas_udf(MATCHES)
     def find(texts: pd.Series) -> pd.Series:
         key = id(shared), words, percent
@@ -267,14 +264,22 @@ def _finder(shared, words: int, percent: int):
     return find
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """One row per document and item that it contains."""
-    found = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), matches(docs, benchmark, **options).alias("found")
-    )
-    return found.select("doc_id", F.explode("found").alias("m")).select("doc_id", "m.*")
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The documents without a benchmark item, with all their columns."""
-    return docs.filter(F.size(matches(docs, benchmark, text_col, **options)) == 0)
+def leaks(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
+    **options,
+) -> DataFrame:
+    """One row per document and item that it contains, with similarity and place; one pass over the documents per part of the items."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    finders = _finders(benchmark, item_id_col, item_text_col, **options)
+    found = [rows.select("doc_id", F.explode(find(F.col("text"))).alias("m")).select("doc_id", "m.*") for find in finders]
+    return reduce(DataFrame.unionByName, found)
+
+
+def clean(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", **options
+) -> DataFrame:
+    """The documents without a benchmark item, with all their columns. Each further part of the items looks at what the last one left, as a table."""
+    for k, find in enumerate(_finders(benchmark, item_id_col, item_text_col, **options)):
+        docs = (materialize(docs, "clean") if k else docs)
+        docs = docs.filter(F.size(find(F.col(text_col).cast("string"))) == 0)
+    return docs
