@@ -7,6 +7,7 @@ whole, and archives may be of any size.
 
 from __future__ import annotations
 
+import io
 import json
 import zipfile
 from collections.abc import Iterator
@@ -26,6 +27,8 @@ from refloom.sources.documents import decode_fallback, zip_members
 PARTITION_BYTES = 64 << 20
 #: Lines, or bytes, that leave a task at once.
 BATCH_LINES, BATCH_BYTES = 20_000, 4 << 20
+#: Bytes of an archive that is opened in memory.
+SMALL = 1 << 10
 #: Archives whose directories are read at a time while planning.
 PLANNERS = 32
 
@@ -43,6 +46,13 @@ def open_file(path: str) -> pa.NativeFile:
     return system.open_input_file(at)
 
 
+def open_archive(path: str) -> zipfile.ZipFile:
+    """An archive for reading. Its directory is looked for from the end of the file backwards, and Arrow's files fail where that leads before the
+    first byte, as in an archive without members; so the smallest ones are opened in memory."""
+    file = open_file(path)
+    return zipfile.ZipFile(io.BytesIO(file.read()) if file.size() < SMALL else file)
+
+
 def write_archives(df: DataFrame, path: str, name: str, content: str) -> None:
     """One archive per task below a shared folder, with a member per row: its name and its content. A task that runs again replaces its archive."""
 
@@ -71,7 +81,7 @@ class ZipReader(DataSourceReader):
         self.paths, self.suffix, self.whole, self.size = paths, suffix, whole, size
 
     def _listed(self, path: str) -> list[tuple[str, str, int]]:
-        with open_file(path) as file, zipfile.ZipFile(file) as archive:
+        with open_archive(path) as archive:
             found = [i for i in archive.infolist() if not i.is_dir() and i.filename.lower().endswith(self.suffix)]
             return [(path, i.filename, i.compress_size) for i in found]
 
@@ -91,7 +101,7 @@ class ZipReader(DataSourceReader):
         path, archive = None, None
         for at, name in partition.members:
             if at != path:
-                path, archive = at, zipfile.ZipFile(open_file(at))
+                path, archive = at, open_archive(at)
             with archive.open(name) as member:
                 if self.whole:
                     yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([name]), pa.array([member.read()], pa.binary())], names=["archive", "member", "content"])

@@ -172,3 +172,25 @@ def test_sinks(spark, tmp_path):
         assert rows(sinks.read_written(spark, str(tmp_path / fmt), columns, fmt)) == [("1", "", "a | b", 'q"u,o\\te', "")]
     flat = sinks.json_to_flat(df.withColumn("s", F.struct("id")))
     assert flat.columns == ["id", "l", "n", "s", "t"] and rows(flat, "l", "s") == [("a;b", '{"id":1}')]
+
+
+def test_zip_archive_without_members(spark, tmp_path):
+    # A task without rows writes such an archive.
+    for name, members in (("a", {}), ("b", {"x.txt": "one\ntwo"})):
+        with zipfile.ZipFile(tmp_path / f"{name}.zip", "w") as z:
+            for member, data in members.items():
+                z.writestr(member, data)
+    assert rows(archives.read_zip_members(spark, f"{tmp_path}/*.zip", ".txt"), "member", "pos", "line") == [("x.txt", 0, "one"), ("x.txt", 1, "two")]
+
+
+def test_flat_xml_by_splits(spark, tmp_path):
+    text = "<?xml version='1.0'?><all>\n" + "".join(f"<Row>\n <a> x{i} &amp; </a><Rower>y</Rower><n>{'z' * (i % 7)}</n>\n</Row>\n" for i in range(3_000)) + "<Row/><Row k='1'><a>last</a></Row></all>"
+    path, schema = put(tmp_path / "r.xml", text), "a string, Rower string, n string, _k string"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = documents.read_xml_records(spark, path, "Row", schema, flat=True)
+        assert rows(got) == rows(documents.read_xml_records(spark, path, "Row", schema)) and got.count() == 3_002
+        plan = spark.read.option("lineSep", "</Row>").text(path)
+        assert plan.rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
