@@ -38,14 +38,23 @@ def parse_results(df: DataFrame, col: str, schema: str) -> DataFrame:
 
 
 def read_xml_records(
-    spark: SparkSession, path: str | list[str], row_tag: str, schema: str | T.StructType, keys: tuple[str, ...] = ()
+    spark: SparkSession, path: str | list[str], row_tag: str, schema: str | T.StructType, keys: tuple[str, ...] = (), flat: bool = False
 ) -> DataFrame:
-    """Records of XML files by row tag; rows without a key are dropped. Files are split on the tag."""
-    rows = spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
+    """Records of XML files by row tag; rows without a key are dropped.
+
+    Spark reads a file of such records in one task. With ``flat``, for records that hold no element (nor comment) with the row tag, files are
+    read by splits instead, cut behind the end tags.
+    """
+    if flat:
+        ended = spark.read.option("lineSep", f"</{row_tag}>").text(path).select(F.concat("value", F.lit(f"</{row_tag}>")).alias("value"))
+        whole = F.regexp_extract_all("value", F.lit(rf"(?s)<{row_tag}(?=[\s/>])(?:[^>]*/>|[^>]*>.*?</{row_tag}>)"), F.lit(0))
+        rows = ended.select(F.explode(whole).alias("value")).select(parse_xml("value", schema).alias("r")).select("r.*")
+    else:
+        rows = spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
     return require_key(rows, *keys) if keys else rows
 
 
-def parse_xml(col: str | Column, schema: str) -> Column:
+def parse_xml(col: str | Column, schema: str | T.StructType) -> Column:
     """One record per XML text. A byte order mark in front is dropped."""
     text = F.col(col) if isinstance(col, str) else col
     return F.from_xml(F.regexp_replace(text, r"^\ufeff", ""), schema)
