@@ -6,11 +6,16 @@ is DataFrame work. A page is one row, so no task holds more than its batch of pa
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
+from html import unescape
 from html.parser import HTMLParser
+from itertools import accumulate
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refloom.functions.text import clean_text
@@ -21,7 +26,6 @@ from refloom.operators.select import filter_in
 from refloom.operators.skew import GROUP_LIMIT
 from refloom.session import materialize
 
-ELEMENTS = "page_id long, seq int, parent int, tag string, attrs map<string,string>, text string, spaced string"
 #: Rows that leave a task at once, so that a batch of pages is never held as elements.
 EMITTED = 2_000
 
@@ -35,33 +39,104 @@ SCOPES = frozenset({"table", "ul", "ol", "dl", "body", "article", "section", "di
 SILENT = frozenset({"script", "style"})
 
 
+#: What most mark-up is made of, in forms that need no tolerance: end tags, start tags, and comments, declarations and scripts without a ``<`` inside.
+TOKEN = re.compile(
+    r"""</([a-zA-Z][a-zA-Z0-9]*)[ \t\n\r\f]*>
+    |<(?!(?:script|style)[ \t\n\r\f/>])([a-zA-Z][a-zA-Z0-9]*)
+      ((?:[ \t\n\r\f]+[a-zA-Z_:][-a-zA-Z0-9_:.]*(?:="[^"<>]*"|='[^'<>]*'|=[-a-zA-Z0-9_\#.%]+)?)*[ \t\n\r\f]*/?)>
+    |<!--[^<>]*-->|<!doctype[^<>]*>|<(?P<cdata>script|style)(?:[ \t\n\r\f]+[a-z][-a-z]*="[^"<>]*")*>[^<]*</(?P=cdata)>""",
+    re.VERBOSE | re.IGNORECASE | re.ASCII,
+)
+
+
+class _StartTag(HTMLParser):
+    """Name, attributes and self-closing slash of one start tag."""
+
+    got: tuple[str, dict, bool] | None = None
+
+    def handle_starttag(self, tag, attrs):
+        self.got = tag, {k: v or "" for k, v in attrs}, False
+
+    def handle_startendtag(self, tag, attrs):
+        self.got = tag, {k: v or "" for k, v in attrs}, True
+
+
+@lru_cache(4_096)
+def _start_tag(markup: str) -> tuple[str, dict, bool] | None:
+    parser = _StartTag()
+    parser.feed(markup)
+    return parser.got
+
+
 class _Elements(HTMLParser):
-    """Elements of the wanted tags in document order, with their text."""
+    """Elements of the wanted tags in document order, with their text. Those of other tags than ``only`` have none."""
 
-    def __init__(self, wanted: frozenset[str], skip: frozenset[str], apart: frozenset[str] = frozenset()):
+    def __init__(
+        self, wanted: frozenset[str], skip: frozenset[str], apart: frozenset[str] = frozenset(), only: frozenset[str] | None = None
+    ):
         super().__init__(convert_charrefs=True)
-        self.wanted, self.skip, self.apart = wanted, skip, apart
-        self.open: list[tuple[str, int | None]] = []
+        self.wanted, self.skip, self.apart, self.noted = wanted, skip, apart, skip | apart
+        self.only = wanted if only is None else only
+        self.open: list[tuple[str, int | None, list[str] | None]] = []
         self.found: list[list] = []
         self.quiet = self.aside = 0
 
-    def handle_starttag(self, tag, attrs):
-        for at in range(len(self.open) - 1, -1, -1):
-            name = self.open[at][0]
-            if name in ENDS.get(tag, ()):
-                self._close(at)
-            elif name in SCOPES:
+    def read(self, markup: str) -> None:
+        """All of a page. Plain mark-up is cut by one expression; a page with anything else in it is left to the tolerant parser."""
+        bits = TOKEN.split(markup)
+        # Every token has one "<", scripts have two.
+        if markup.count("<") != len(bits) // 5 + sum(x is not None for x in bits[4::5]) or self.wanted & SILENT:
+            self.feed(markup)
+            self.close()
+            return
+        last = len(bits) - 1
+        stack, noted = self.open, self.noted
+        for at in range(0, last + 1, 5):
+            if (data := bits[at]) and stack:
+                self.handle_data(unescape(data) if "&" in data else data)
+            if at == last:
                 break
+            if tag := bits[at + 1]:
+                tag = tag.lower()
+                # Mostly it is the innermost element that ends.
+                if stack and stack[-1][0] == tag and tag not in noted:
+                    stack.pop()
+                else:
+                    self.handle_endtag(tag)
+            elif tag := bits[at + 2]:
+                if more := bits[at + 3]:
+                    tag, attrs, closed = _start_tag(f"<{tag}{more}>")
+                    self._start(tag, attrs)
+                    if closed:
+                        self.handle_endtag(tag)
+                else:
+                    self._start(tag.lower(), {})
+
+    def handle_starttag(self, tag, attrs):
+        self._start(tag, {k: v or "" for k, v in attrs})
+
+    def _start(self, tag: str, attrs: dict[str, str]):
+        if ends := ENDS.get(tag):
+            for at in range(len(self.open) - 1, -1, -1):
+                name = self.open[at][0]
+                if name in ends:
+                    self._close(at)
+                elif name in SCOPES:
+                    break
         if tag in VOID:
             return
-        row = None
+        row = bits = None
         if tag in self.wanted:
-            parent = next((r for _, r in reversed(self.open) if r is not None), None)
-            row = len(self.found)
-            self.found.append([parent, tag, {k: v or "" for k, v in attrs}, [], []])
-        self.open.append((tag, row))
-        self.quiet += tag in self.skip
-        self.aside += tag in self.apart
+            parent = None
+            for at in range(len(self.open) - 1, -1, -1):
+                if (parent := self.open[at][1]) is not None:
+                    break
+            row, bits = len(self.found), [] if tag in self.only else None
+            self.found.append([parent, tag, attrs, bits, []])
+        self.open.append((tag, row, bits))
+        if tag in self.noted:
+            self.quiet += tag in self.skip
+            self.aside += tag in self.apart
 
     def handle_endtag(self, tag):
         for at in range(len(self.open) - 1, -1, -1):
@@ -70,82 +145,137 @@ class _Elements(HTMLParser):
                 return
 
     def _close(self, at: int):
-        for tag, _ in self.open[at:]:
-            self.quiet -= tag in self.skip
-            self.aside -= tag in self.apart
+        for tag, *_ in self.open[at:]:
+            if tag in self.noted:
+                self.quiet -= tag in self.skip
+                self.aside -= tag in self.apart
         del self.open[at:]
 
     def handle_data(self, data):
         if not self.quiet:
-            for _, row in self.open:
-                if row is not None:
-                    self.found[row][3].append(data)
-                    if not self.aside:
+            for _, _, bits in self.open:
+                if bits is not None:
+                    bits.append(data)
+            if self.apart and not self.aside:
+                for _, row, bits in self.open:
+                    if bits is not None:
                         self.found[row][4].append(data)
 
 
 def _spaced(bits: Sequence[str]) -> str:
-    return " ".join(b for b in (x.strip() for x in bits) if b)
+    if len(bits) == 1:
+        return bits[0].strip()
+    return " ".join([b for x in bits if (b := x.strip())])
+
+
+def _maps(values: Sequence[dict]) -> pa.Array:
+    offsets = [0, *accumulate(map(len, values))]
+    return pa.MapArray.from_arrays(offsets, pa.array([k for v in values for k in v], pa.string()), pa.array([x for v in values for x in v.values()], pa.string()))
+
+
+def _spots(values: Sequence[list[tuple[int, int]] | None]) -> pa.Array:
+    offsets = [0, *accumulate(len(v or ()) for v in values)]
+    # A place that begins with NULL in the offsets is a NULL list.
+    starts = [None if v is None else at for v, at in zip(values, offsets)] + offsets[-1:]
+    flat = [x for v in values if v for x in v]
+    places = pa.StructArray.from_arrays([pa.array([x[i] for x in flat], pa.int32()) for i in (0, 1)], ["row_no", "col_no"])
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), places)
+
+
+#: Columns of an element: the type, and how it is built.
+COLUMNS = {
+    "page_id": ("long", pa.int64()), "seq": ("int", pa.int32()), "parent": ("int", pa.int32()), "tag": ("string", pa.string()),
+    "attrs": ("map<string,string>", _maps), "text": ("string", pa.string()), "spaced": ("string", pa.string()), "bare": ("string", pa.string()),
+    "table_no": ("int", pa.int32()), "spots": ("array<struct<row_no: int, col_no: int>>", _spots),
+}
 
 
 def elements(
-    pages: DataFrame, tags: Sequence[str], skip: Sequence[str] = (), html: str = "html", apart: Sequence[str] = (), grid: bool = False
+    pages: DataFrame, tags: Sequence[str], skip: Sequence[str] = (), html: str = "html", apart: Sequence[str] = (), grid: bool = False,
+    columns: Sequence[str] = (), only: Sequence[str] = (), carry: Sequence[str] = (),
 ) -> DataFrame:
     """Elements of some tags per page, with the nearest wanted element around each.
 
     ``text`` is the raw text, ``spaced`` its pieces trimmed and joined by one space. Text in scripts,
     styles and ``skip`` elements is left out. With ``apart``, ``bare`` is the spaced text without what stands in such elements. With ``grid``,
     cells have ``table_no`` and ``spots``, the places (row_no, col_no) that they fill in it, spans included (see ``grid_cells``).
+    Of all these, ``columns`` names those that are needed besides the page, and ``only`` the tags whose elements are; ``carry`` names text columns of the page.
     """
     wanted, quiet, aside = frozenset(tags), frozenset(skip) | SILENT, frozenset(apart)
-    extra = (", bare string" if apart else "") + (", table_no int, spots array<struct<row_no: int, col_no: int>>" if grid else "")
-    names = ["page_id", "seq", "parent", "tag", "attrs", "text", "spaced"] + ["bare"] * bool(apart) + ["table_no", "spots"] * grid
-    kinds = {"parent": "Int32"} | ({"table_no": "Int32"} if grid else {})
-
-    def page_rows(page: int, markup: str | None) -> Iterator[tuple]:
-        parser = _Elements(wanted, quiet, aside)
-        parser.feed(markup or "")
-        parser.close()
-        places = _places(parser.found) if grid else {}
-        for seq, (parent, tag, attrs, bits, bare) in enumerate(parser.found):
-            row = (page, seq, parent, tag, attrs, "".join(bits), _spaced(bits))
-            yield row + ((_spaced(bare),) if apart else ()) + (places.get(seq, (None, None)) if grid else ())
+    shown = frozenset(only) or wanted
+    names = ["page_id", *(columns or ["seq", "parent", "tag", "attrs", "text", "spaced", *["bare"] * bool(apart), *["table_no", "spots"] * grid])]
+    ddl = ", ".join([f"{n} {COLUMNS[n][0]}" for n in names] + [f"{c} string" for c in carry])
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for page, markup in zip(batch["page_id"], batch["html"]):
-                rows += page_rows(page, markup)
-                if len(rows) >= EMITTED:
-                    yield pd.DataFrame(rows, columns=names).astype(kinds)
-                    rows = []
-            yield pd.DataFrame(rows, columns=names).astype(kinds)
-
-    return pages.select("page_id", F.col(html).alias("html")).mapInPandas(parse, ELEMENTS + extra)
+    def page_rows(out: dict[str, list], page: int, markup: str | None, carried: tuple) -> None:
+        parser = _Elements(wanted, quiet, aside, shown)
+        parser.read(markup or "")
+        places = _places(parser.found) if grid else {}
+        kept = [(seq, e) for seq, e in enumerate(parser.found) if e[1] in shown] if only else list(enumerate(parser.found))
+        made = {
+            "page_id": lambda: [page] * len(kept), "seq": lambda: [seq for seq, _ in kept], "parent": lambda: [e[0] for _, e in kept],
+            "tag": lambda: [e[1] for _, e in kept], "attrs": lambda: [e[2] for _, e in kept], "text": lambda: ["".join(e[3]) for _, e in kept],
+            "spaced": lambda: [_spaced(e[3]) for _, e in kept], "bare": lambda: [_spaced(e[4]) for _, e in kept],
+            "table_no": lambda: [places.get(seq, (None, None))[0] for seq, _ in kept], "spots": lambda: [places.get(seq, (None, None))[1] for seq, _ in kept],
+        }
+        for n in names:
+            out[n] += made[n]()
+        for c, value in zip(carry, carried):
+            out[c] += [value] * len(kept)
+
+    def batch(out: dict[str, list]) -> pa.RecordBatch:
+        arrays = [pa.array(out[n], how) if isinstance(how := COLUMNS[n][1], pa.DataType) else how(out[n]) for n in names]
+        return pa.RecordBatch.from_arrays(arrays + [pa.array(out[c], pa.string()) for c in carry], names=[*names, *carry])
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in batches:
+            out = {n: [] for n in [*names, *carry]}
+            for page, markup, *carried in zip(*found.columns):
+                page_rows(out, page.as_py(), markup.as_py(), tuple(c.as_py() for c in carried))
+                if len(out["page_id"]) >= EMITTED:
+                    yield batch(out)
+                    out = {n: [] for n in out}
+            yield batch(out)
+
+    return pages.select(F.col("page_id").cast("long"), F.col(html).alias("html"), *carry).mapInArrow(parse, ddl)
+
+
+def parsed(
+    pages: DataFrame, tags: Sequence[str], skip: Sequence[str] = (), apart: Sequence[str] = (), grid: bool = False, columns: Sequence[str] = (),
+    only: Sequence[str] = (), carry: Sequence[str] = (),
+) -> DataFrame:
+    """Elements written once, for jobs that look at them several times: parsing is the costly step."""
+    return materialize(elements(pages, tags, skip, apart=apart, grid=grid, columns=columns, only=only, carry=carry), "elements")
 
 
-def parsed(pages: DataFrame, tags: Sequence[str], skip: Sequence[str] = (), apart: Sequence[str] = (), grid: bool = False) -> DataFrame:
-    """Elements written once, for jobs that look at them several times: parsing is the costly step."""
-    return materialize(elements(pages, tags, skip, apart=apart, grid=grid), "elements")
+def link_rows(pages: DataFrame, *carry: str) -> DataFrame:
+    """(page_id, pos, href, text) of all links with a target, and columns of their page."""
+    links = elements(pages, ["a"], columns=["seq", "attrs", "text"], carry=carry).filter("page_id is not null")
+    links = links.filter(F.coalesce(F.col("attrs")["href"], F.lit("")) != "")
+    return links.select("page_id", F.col("seq").alias("pos"), F.col("attrs")["href"].alias("href"), clean_text("text").alias("text"), *carry)
 
 
 def page_links(pages: DataFrame) -> DataFrame:
     """(page_id, pos, url, href, text, absolute_url) of all links with a target."""
-    links = elements(pages, ["a"]).filter(F.coalesce(F.col("attrs")["href"], F.lit("")) != "")
-    links = links.select("page_id", F.col("seq").alias("pos"), F.col("attrs")["href"].alias("href"), clean_text("text").alias("text"))
-    return links.join(pages.select("page_id", "url"), "page_id").withColumn("absolute_url", resolve_url("url", "href"))
+    return link_rows(pages).join(pages.select("page_id", "url"), "page_id").withColumn("absolute_url", resolve_url("url", "href"))
 
 
 def document_links(pages: DataFrame, languages: str = "all") -> DataFrame:
     """Links to documents with language and kind, one row per absolute URL, first seen wins."""
     target = F.lower("href")
-    links = page_links(pages).filter(F.contains(target, F.lit("pdf")) | F.contains(target, F.lit("/document/")))
+    links = link_rows(pages, "url").filter(F.contains(target, F.lit("pdf")) | F.contains(target, F.lit("/document/")))
+    links = links.withColumn("absolute_url", resolve_url("url", "href"))
     links = links.withColumns({"lang": url_language("absolute_url"), "kind": url_kind("absolute_url")})
     return dedup_first(filter_in(links, "lang", languages), ["absolute_url"], ["page_id", "pos"])
 
 
 def _spread(cells: Sequence[tuple[int, int, int, int]]) -> Iterator[tuple[int, int, int]]:
     """Grid of one table: each cell (row, rows and columns it spans, its number) fills places, later ones win."""
+    if all(down == across == 1 for _, down, across, _ in cells):
+        at: Counter[int] = Counter()
+        for row, _, _, cell in cells:
+            yield row, at[row], cell
+            at[row] += 1
+        return
     taken: dict[tuple[int, int], int] = {}
     rows = max((c[0] for c in cells), default=-1) + 1
     free = [0] * rows
@@ -162,31 +292,75 @@ def _spread(cells: Sequence[tuple[int, int, int, int]]) -> Iterator[tuple[int, i
 
 
 def _span(attrs: dict, name: str) -> int:
+    if not attrs:
+        return 1
     value = attrs.get(name, "1").strip()
     return max(int(value), 1) if value.isdigit() else 1
 
 
-def _places(found: Sequence[list]) -> dict[int, tuple[int, list[tuple[int, int]]]]:
-    """Table number and filled places of every cell; cells belong to the innermost table around them."""
-    tables, rows, cells, heights = {}, {}, {}, {}
+def _grids(found: Sequence[list]) -> dict[int, tuple[int, list[tuple[int, int, int, int]]]]:
+    """Number and cells (row, rows and columns spanned, element) of every table; cells belong to the innermost table around them."""
+    tables, rows, heights = {}, {}, {}
     for seq, (parent, tag, attrs, *_) in enumerate(found):
         if tag == "table":
-            tables[seq] = len(tables)
-            cells[seq], heights[seq] = [], 0
+            tables[seq], heights[seq] = (len(tables), []), 0
         elif tag == "tr" and parent in tables:
             rows[seq] = (parent, heights[parent])
             heights[parent] += 1
         elif tag in ("td", "th") and parent in rows:
             table, row = rows[parent]
-            cells[table].append((row, _span(attrs, "rowspan"), _span(attrs, "colspan"), seq))
-    out = {seq: (number, []) for seq, number in tables.items()}
-    for table, of_table in cells.items():
-        out |= {seq: (tables[table], []) for *_, seq in of_table}
+            tables[table][1].append((row, _span(attrs, "rowspan"), _span(attrs, "colspan"), seq))
+    return tables
+
+
+def _places(found: Sequence[list]) -> dict[int, tuple[int, list[tuple[int, int]]]]:
+    """Table number and filled places of every cell."""
+    tables = _grids(found)
+    out = {seq: (number, []) for seq, (number, _) in tables.items()}
+    for number, of_table in tables.values():
+        out |= {seq: (number, []) for *_, seq in of_table}
         for row, col, seq in _spread(of_table):
             out[seq][1].append((row, col))
     return out
 
 
+def table_rows(pages: DataFrame, html: str = "html") -> DataFrame:
+    """The cell grid of all tables by rows: (page_id, table_no, row_no, items of col_no, text and is_header)."""
+    wanted, shown = frozenset(["table", "tr", "td", "th"]), frozenset(["td", "th"])
+
+    def batch(rows: list[tuple[int, int, int]], sizes: list[int], items: list[tuple[int, str, bool]]) -> pa.RecordBatch:
+        kinds = {"col_no": pa.int32(), "text": pa.string(), "is_header": pa.bool_()}
+        cells = pa.StructArray.from_arrays([pa.array([x[i] for x in items], kind) for i, kind in enumerate(kinds.values())], list(kinds))
+        lists = pa.ListArray.from_arrays(pa.array([0, *accumulate(sizes)], pa.int32()), cells)
+        places = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.int32()))]
+        return pa.RecordBatch.from_arrays([*places, lists], names=[*ROW, "items"])
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for given in batches:
+            rows, sizes, items = [], [], []
+            for page, markup in zip(*given.columns):
+                parser = _Elements(wanted, SILENT, only=shown)
+                parser.read(markup.as_py() or "")
+                page, found = page.as_py(), parser.found
+                for number, of_table in _grids(found).values():
+                    texts = {seq: _spaced(found[seq][3]) for *_, seq in of_table}
+                    last = None
+                    for row, col, seq in _spread(of_table):
+                        if row != last:
+                            rows.append((page, number, row))
+                            sizes.append(0)
+                            last = row
+                        sizes[-1] += 1
+                        items.append((col, texts[seq], found[seq][1] == "th"))
+                if len(items) >= EMITTED:
+                    yield batch(rows, sizes, items)
+                    rows, sizes, items = [], [], []
+            yield batch(rows, sizes, items)
+
+    ddl = "page_id long, table_no int, row_no int, items array<struct<col_no: int, text: string, is_header: boolean>>"
+    return pages.select(F.col("page_id").cast("long"), F.col(html).alias("html")).mapInArrow(parse, ddl)
+
+
 def grid_cells(found: DataFrame) -> DataFrame:
     """Cell grid out of elements parsed with ``grid`` and at least table, tr, td and th."""
     cells = found.filter("tag in ('td', 'th')").select("page_id", "table_no", F.inline("spots"), F.col("spaced").alias("text"), (F.col("tag") == "th").alias("is_header"))
@@ -198,16 +372,28 @@ def table_cells(pages: DataFrame, html: str = "html") -> DataFrame:
 
     Cells belong to the innermost table around them.
     """
-    return grid_cells(elements(pages, ["table", "tr", "td", "th"], html=html, grid=True))
+    return table_rows(pages, html).select(*ROW, F.inline("items"))
 
 
 ROW = ["page_id", "table_no", "row_no"]
 
 
 def grid_rows(cells: DataFrame) -> DataFrame:
-    """Grid rows with the cells as an array. A row is as wide as its page made it, so lists stay small."""
-    items = F.sort_array(F.collect_list(F.struct("col_no", "text")))
-    return cells.groupBy(*ROW).agg(F.transform(items, lambda x: x["text"]).alias("cells"))
+    """Grid rows with the cells as an array, out of cells or of ``table_rows``. A row is as wide as its page made it, so lists stay small.
+
+    They are dealt out by table, so that what looks at whole tables next finds them in place.
+    """
+    if "items" in cells.columns:
+        found = F.flatten(F.collect_list(F.transform("items", lambda x: F.struct(x["col_no"].alias("col_no"), x["text"].alias("text")))))
+    else:
+        found = F.collect_list(F.struct("col_no", "text"))
+    rows = cells.repartition("page_id", "table_no").groupBy(*ROW)
+    return rows.agg(F.transform(F.sort_array(found), lambda x: x["text"]).alias("cells"))
+
+
+def _of_table(value: Column) -> Column:
+    """A value of the whole table that a row is in; NULL for a page without an id, which no table belongs to."""
+    return F.when(F.col("page_id").isNotNull(), value.over(Window.partitionBy("page_id", "table_no")))
 
 
 # The label that opens a section, the section name, and the labels it prefixes.
@@ -223,8 +409,8 @@ def grid_fields(cells: DataFrame) -> DataFrame:
     """
     rows = grid_rows(cells)
     c = [F.trim(F.get("cells", F.lit(i))) for i in range(4)]
-    revision = rows.filter((F.col("row_no") == 0) & (c[0] == "No") & (c[1] == "Publication date"))
-    rows = rows.join(revision.select("page_id", "table_no"), ["page_id", "table_no"], "left_anti")
+    revision = (F.col("row_no") == 0) & (c[0] == "No") & (c[1] == "Publication date")
+    rows = rows.withColumn("_revised", _of_table(F.max(revision))).filter("not coalesce(_revised, false)")
     width = F.size("cells")
     opener = (width == 2) & (c[0] == SECTION_OPENER)
     rows = _carry(rows.withColumn("_opens", opener))
@@ -246,9 +432,8 @@ def grid_fields(cells: DataFrame) -> DataFrame:
 
 def _carry(rows: DataFrame) -> DataFrame:
     """Section open at each row of a table: some earlier row of the table opened it."""
-    first = rows.filter("_opens").groupBy("page_id", "table_no").agg(F.min("row_no").alias("_from"))
-    joined = rows.join(first, ["page_id", "table_no"], "left")
-    return joined.withColumn("_section", F.when(F.col("row_no") >= F.col("_from"), F.lit(SECTION_NAME)))
+    first = _of_table(F.min(F.when(F.col("_opens"), F.col("row_no"))))
+    return rows.withColumn("_section", F.when(F.col("row_no") >= first, F.lit(SECTION_NAME)))
 
 
 def header_name(c: Column) -> Column:
@@ -265,18 +450,12 @@ def table_records(cells: DataFrame) -> DataFrame:
     """
     rows = grid_rows(cells)
     width = F.size("cells")
-    tops = rows.filter("row_no <= 1").groupBy("page_id", "table_no").agg(
-        F.max(F.when(F.col("row_no") == 0, width)).alias("_w0"),
-        F.max(F.when(F.col("row_no") == 1, width)).alias("_w1"),
-    )
-    tops = tops.select(
-        "page_id", "table_no", F.when((F.col("_w0") == 1) & (F.col("_w1") > 1), 1).otherwise(0).alias("_head")
-    )
-    placed = rows.join(tops, ["page_id", "table_no"])
-    heads = placed.filter(F.col("row_no") == F.col("_head")).select(
-        "page_id", "table_no", F.transform("cells", header_name).alias("names")
-    )
-    data = placed.filter(F.col("row_no") > F.col("_head")).join(heads, ["page_id", "table_no"])
+    w0, w1 = (F.max(F.when(F.col("row_no") == n, width)) for n in (0, 1))
+    rows = rows.filter("page_id is not null").withColumns({"_w0": _of_table(w0), "_w1": _of_table(w1)})
+    rows = rows.withColumn("_head", F.when((F.col("_w0") == 1) & (F.col("_w1") > 1), 1).otherwise(0))
+    rows = rows.filter("_w0 is not null or _w1 is not null")
+    rows = rows.withColumn("names", _of_table(F.max(F.when(F.col("row_no") == F.col("_head"), F.transform("cells", header_name)))))
+    data = rows.filter((F.col("row_no") > F.col("_head")) & F.col("names").isNotNull())
     fits = F.size("cells") == F.size("names")
     data = data.filter(~((F.size("cells") == 1) & (F.size("names") > 1)))
     clean = F.transform("cells", clean_text)
@@ -357,7 +536,7 @@ RUBRIC_KINDS = {
 
 def rubrics(pages: DataFrame) -> DataFrame:
     """Inclusion, exclusion and note texts per page: (page_id, kind, pos, text)."""
-    found = parsed(pages, ["dl", "dd"])
+    found = parsed(pages, ["dl", "dd"], columns=["seq", "parent", "tag", "attrs", "spaced"])
     kind = None
     for word, name in RUBRIC_KINDS.items():
         hit = F.contains(F.coalesce(F.col("attrs")["class"], F.lit("")), F.lit(word))
@@ -379,10 +558,10 @@ def article_text(pages: DataFrame, skip: Sequence[str] = ("xref",), limit: int =
     line. A document without a body gives its non-blank lines, without reference lists.
     """
     has_body = F.col("html").rlike(r"(?i)<body[\s>]")
-    parts = elements(pages.filter(has_body), ["p"], skip)
+    parts = elements(pages.filter(has_body), ["p"], skip, columns=["seq", "text"])
     parts = parts.select("page_id", "seq", clean_text("text").alias("text"))
     whole = pages.filter(~has_body).select("page_id", F.concat(F.lit("<doc>"), "html", F.lit("</doc>")).alias("html"))
-    lines = elements(whole, ["doc"], ["ref-list", "back"])
+    lines = elements(whole, ["doc"], ["ref-list", "back"], columns=["text"])
     lines = lines.select("page_id", F.posexplode(F.split("text", r"\n")).alias("seq", "text"))
     lines = lines.select("page_id", "seq", F.trim("text").alias("text"))
     texts = materialize(parts.unionByName(lines).filter("text <> ''"), "paragraphs")

@@ -39,7 +39,7 @@ def approvals(list_pages: DataFrame) -> DataFrame:
     left out. Superscript remarks tell partial changes from first approvals and are cut from the name.
     """
     # One parse: the text of a cell without its superscripts, the superscripts, and the links in it.
-    found = pages.parsed(list_pages, ["table", "tr", "th", "td", "sup", "a"], apart=["sup"])
+    found = pages.parsed(list_pages, ["table", "tr", "th", "td", "sup", "a"], apart=["sup"], columns=["seq", "parent", "tag", "attrs", "spaced", "bare"])
     placed = _placed(found)
     cells = materialize(placed.join(found.select("page_id", F.col("seq").alias("c"), F.col("bare").alias("text")), ["page_id", "c"]).drop("c"), "cells")
     inner = found.filter("tag in ('sup', 'a')").select(

@@ -21,7 +21,7 @@ from refloom.sources.delimited import fields, split_line
 
 def class_links(class_pages: DataFrame) -> DataFrame:
     """Child class codes linked from pages: (page_id, code, level, name); links without a valid code are dropped."""
-    links = pages.page_links(class_pages)
+    links = pages.link_rows(class_pages)
     # Fixed value: the parameter of a class page's address that holds its code.
     code = F.upper(F.trim(F.regexp_extract("href", r"code=([^&]*)", 1)))
     rows = links.select("page_id", "pos", code.alias("code"), F.col("text").alias("name"))
@@ -50,7 +50,7 @@ SUBSTANCE_COLUMNS = ["code", "name", "ddd", "unit", "adm_route", "note"]
 
 def substances(class_pages: DataFrame) -> DataFrame:
     """Rows of substance tables: a full code in the first cell, at least two cells; later pages replace earlier ones."""
-    rows = pages.grid_rows(pages.table_cells(class_pages)).filter(F.size("cells") >= 2)
+    rows = pages.grid_rows(pages.table_rows(class_pages)).filter(F.size("cells") >= 2)
     cells = F.transform("cells", lambda x: F.trim(F.replace(x, F.lit("\u00a0"), F.lit(""))))
     flat = rows.select(*pages.ROW, cells.alias("p")).select(*pages.ROW, *fields("p", SUBSTANCE_COLUMNS))
     flat = flat.filter(code_level("code") == 5).withColumn("parent_code", class_parent("code"))
@@ -90,7 +90,7 @@ def disease_blocks(blocks: DataFrame) -> DataFrame:
 
 def chapters(chapter_pages: DataFrame) -> DataFrame:
     """Chapter pages: title, code range and packed rubrics; a page with an oversized rubric goes on in further parts."""
-    heads = pages.elements(chapter_pages, ["h1"])
+    heads = pages.elements(chapter_pages, ["h1"], columns=["seq", "spaced"])
     heads = heads.groupBy("page_id").agg(F.min_by("spaced", "seq").alias("title"))
     kinds = pages.rubric_lists(chapter_pages).groupBy("page_id", "part").agg(
         *[F.max(F.when(F.col("kind") == k, F.col("texts"))).alias(k) for k in ("inclusions", "exclusions", "notes")]
@@ -135,7 +135,7 @@ IDS = {"loinc-id": "loinc_num", "lcn": "long_common_name", "loinc-status": "stat
 
 def observations(code_pages: DataFrame) -> DataFrame:
     """Observation code pages: names, axes, attributes, related names and units, by part."""
-    found = pages.parsed(code_pages, ["section", "span", "dl", "dt", "dd", "li", "tr", "td", "p"])
+    found = pages.parsed(code_pages, ["section", "span", "dl", "dt", "dd", "li", "tr", "td", "p"], columns=["seq", "parent", "tag", "attrs", "text"])
     spans = found.filter("tag = 'span'").withColumn("id", F.col("attrs")["id"])
     head = spans.groupBy("page_id").agg(*[
         F.min_by(F.trim("text"), F.when(F.col("id") == i, F.col("seq"))).alias(name) for i, name in IDS.items()

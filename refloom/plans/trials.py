@@ -84,8 +84,7 @@ def grid_records(trial_pages: DataFrame) -> DataFrame:
 
     Plain labels that come again with another value get a number; of section labels the last counts.
     """
-    cells = materialize(pages.table_cells(trial_pages), "cells")
-    fields = materialize(pages.grid_fields(cells), "fields")
+    fields = materialize(pages.grid_fields(pages.table_rows(trial_pages)), "fields")
     place = ["table_no", "row_no"]
     plain = suffix_duplicates(fields.filter("plain"), ["page_id"], "label", "value", place)
     fixed = dedup_last(fields.filter("not plain"), ["page_id", "label"], place)

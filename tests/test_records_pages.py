@@ -1,5 +1,7 @@
 """Line records and page jobs on hand-written inputs."""
 
+import random
+
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -178,3 +180,39 @@ def test_simple_list(spark):
     got = pages.simple_list(pages.table_cells(page(spark, html)), ("NIL",))
     assert rows(got, "text") == [("One",)]
     assert got.select(F.max("row_no")).head()[0] == 0
+
+
+def test_plain_markup_is_read_as_by_the_parser():
+    wanted, quiet, apart = frozenset(["table", "tr", "td", "a", "p"]), frozenset(["b"]) | pages.SILENT, frozenset(["sup"])
+    bits = [
+        "<table>", "</TABLE >", "<tr>", "<td rowspan=2>", '<td x="a&amp;b" y>', "</td>", "x &lt;", " ", "<A href=x/>", "<p/>", "<br/>", "<b>", "</b>", "<sup>", "</sup>", "<!-- c -->",
+        "<!-- <td> -->", "<!DOCTYPE html>", "<script>a<b</script>", "<style>y</style>", "</p>", "<", "&#6", "<td a = 1>",
+    ]
+    draw, plain = random.Random(3), 0
+    for _ in range(3_000):
+        html = "".join(draw.choices(bits, k=draw.randint(0, 8)))
+        fed, got = (pages._Elements(wanted, quiet, apart) for _ in range(2))
+        fed.feed(html)
+        fed.close()
+        got.read(html)
+        def shown(p):
+            return [(*e[:3], "".join(e[3]), "".join(e[4])) for e in p.found]
+        assert shown(fed) == shown(got), html
+        plain += not got.rawdata and got.getpos() == (1, 0)
+    assert plain > 1_000
+
+
+def test_rows_of_the_parse_are_rows_of_cells(spark):
+    """A grid row leaves the parse as one row; pages that share an id are still taken together."""
+    html = "<table><tr><td rowspan=2>a</td><th>b</th></tr><tr><td>c</td></tr></table>"
+    twice = spark.createDataFrame([(1, html), (1, html), (None, html)], "page_id long, html string")
+    found = pages.table_rows(twice)
+    assert found.count() == 6
+    assert rows(pages.grid_rows(found)) == rows(pages.grid_rows(pages.table_cells(twice)))
+    assert rows(pages.grid_rows(found).filter("page_id = 1 and row_no = 1"), "cells") == [(["a", "a", "c", "c"],)]
+
+
+def test_class_links_need_no_join(spark):
+    html = '<a href="./?code=A01&x">n</a>'
+    plan = classes.class_links(page(spark, html))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
