@@ -250,7 +250,7 @@ def _class_pages(t):
         code, F.lpad((F.col("p_partkey") % 100).cast("string"), 2, "0"), F.col("p_name"),
     )
     html = F.concat(F.lit("<div id=content>"), *links, F.lit('<a href="./?code=no">x</a>'), table)
-    return t.part.select(F.col("p_partkey").alias("page_id"), F.lit("https://h.example/list/").alias("url"), html.alias("html"))
+    return spread(t.part).select(F.col("p_partkey").alias("page_id"), F.lit("https://h.example/list/").alias("url"), html.alias("html"))
 
 
 @query(
