@@ -33,7 +33,7 @@ def ordered_text(
     Sorted by the text itself unless ``order`` is given. A key with more than ``limit`` values gets
     several rows, numbered by ``part``, whose texts follow each other.
     """
-    (found,) = _gather([Child(out, df, value, order)], keys, limit, sep)
+    ((found, _),) = _gather([Child(out, df, value, order)], keys, limit, sep)
     return found.filter(F.col(out).isNotNull())
 
 
@@ -42,14 +42,14 @@ def ordered_list(
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Ordered array of values per key: (keys, part, items), at most ``limit`` values in an array."""
-    (found,) = _gather([Child(out, df, value, order)], keys, limit)
+    ((found, _),) = _gather([Child(out, df, value, order)], keys, limit)
     return found.filter(F.col(out).isNotNull())
 
 
 def _gather(
     children: Sequence[Child], keys: Sequence[str], limit: int, sep: str | None = None
-) -> list[DataFrame]:
-    """Arrays of child values per key and part, in order, NULL where a key has none; texts if ``sep`` is given.
+) -> list[tuple[DataFrame, bool]]:
+    """Arrays of child values per key and part, in order, NULL where a key has none; texts if ``sep`` is given. With each, whether all of it is part 0.
 
     Children that share one table are gathered in one grouping; where that table has keys of more than ``limit`` rows, each child
     is sliced on its own, by its own order. Values with the same position in every key's order make the same part either way.
@@ -58,9 +58,9 @@ def _gather(
     for rows, group in _by_table(children):
         hot = hot_groups(rows, keys, limit)
         if hot is None:
-            out.append(_collect(rows, group, keys, None, limit, sep))
+            out.append((_collect(rows, group, keys, None, limit, sep), True))
         else:
-            out += [_collect(rows, [c], keys, hot, limit, sep) for c in group]
+            out += [(_collect(rows, [c], keys, hot, limit, sep), False) for c in group]
     return out
 
 
@@ -80,16 +80,18 @@ def _collect(
         by = [F.col(o) if isinstance(o, str) else o for o in c.order]
         entry = F.struct(*[o.alias(f"o{n}") for n, o in enumerate(by)], c.value.alias("v"))
         items[f"_e{i}"] = F.when(c.value.isNotNull(), entry) if by else c.value
-    found = rows.select(*keys, *[e.alias(n) for n, e in items.items()])
+    # Parts leave out rows without a value, so only whole groups tell the number of rows.
+    counted = [c.count for c in group if c.count and hot is None]
+    counts = [F.count(F.lit(1)).alias(n) for n in counted]
     if hot is not None:
         # One child at a time here, in its own order.
+        found = rows.select(*keys, *[e.alias(n) for n, e in items.items()])
         found = slice_hot(found.filter("_e0 is not null"), keys, ["_e0"], hot, limit=limit)
+        grouped = found.groupBy(*keys, "part").agg(*[F.sort_array(F.collect_list(n)).alias(n) for n in items])
     else:
-        found = found.withColumn("part", F.lit(0).cast("long"))
-    # Parts leave out rows without a value, so only whole groups tell the number of rows.
-    counted = [c.count for c in group if c.count and hot is None]
-    counts = [F.count(F.lit(1)).alias(n) for n in counted]
-    grouped = found.groupBy(*keys, "part").agg(*[F.sort_array(F.collect_list(n)).alias(n) for n in items], *counts)
+        # The rows move as they are, once; values are made where their group is, and what joins the groups by key finds them in place.
+        found = (rows.repartition(*keys) if keys else rows).groupBy(*keys)
+        grouped = found.agg(*[F.sort_array(F.collect_list(e)).alias(n) for n, e in items.items()], *counts).withColumn("part", F.lit(0).cast("long"))
 
     def finish(name: str, child: Child) -> Column:
         values = F.transform(name, lambda x: x["v"]) if child.order else F.col(name)
@@ -108,14 +110,26 @@ def attach_parts(parent: DataFrame, keys: Sequence[str], lists: Sequence[DataFra
     return reduce(lambda acc, x: join_keys(acc, x, [*keys, "part"], "left"), lists, base)
 
 
+def _attach(parent: DataFrame, keys: Sequence[str], lists: Sequence[tuple[DataFrame, bool]]) -> DataFrame:
+    """``attach_parts`` of gathered children. Where none has parts, keys that are not NULL are joined where the groups are."""
+    if not all(whole for _, whole in lists):
+        return attach_parts(parent, keys, [x for x, _ in lists])
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    base = parent.withColumn("part", F.lit(0).cast("long"))
+    children = [x.drop("part") for x, _ in lists]
+    full = reduce(lambda acc, x: acc.join(x.filter(known), list(keys), "left"), children, base.filter(known))
+    rest = reduce(lambda acc, x: join_keys(acc, x.filter(~known), keys, "left"), children, base.filter(~known))
+    return full.unionByName(rest)
+
+
 def text_master(
     parent: DataFrame, keys: Sequence[str], children: Sequence[Child], sep: str = "; ", limit: int = GROUP_LIMIT
 ) -> DataFrame:
     """Parent with one ordered text column per child table, NULL without a child, and the counts that children name, 0 without one."""
     lists = _gather(children, keys, limit, sep)
-    joined = attach_parts(parent, keys, lists)
+    joined = _attach(parent, keys, lists)
     wanted = [c for c in children if c.count]
-    if not {c.count for c in wanted} <= {n for x in lists for n in x.columns}:
+    if not {c.count for c in wanted} <= {n for x, _ in lists for n in x.columns}:
         # Some key is in parts, and every part of a parent tells the number of all its rows.
         for c in wanted:
             totals = c.rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(c.count))
@@ -128,7 +142,7 @@ def nested_master(
     parent: DataFrame, keys: Sequence[str], children: Sequence[Child], limit: int = GROUP_LIMIT
 ) -> DataFrame:
     """Parent with one array of child structs per child table; no child gives an empty array."""
-    joined = attach_parts(parent, keys, _gather(children, keys, limit))
+    joined = _attach(parent, keys, _gather(children, keys, limit))
     return joined.select(
         *parent.columns, "part", *[F.coalesce(F.col(c.name), F.array()).alias(c.name) for c in children]
     )

@@ -60,6 +60,11 @@ def parse_xml(col: str | Column, schema: str | T.StructType) -> Column:
     return F.from_xml(F.regexp_replace(text, r"^\ufeff", ""), schema)
 
 
+def xml_rows(df: DataFrame, col: str | Column, schema: str | T.StructType) -> DataFrame:
+    """The record of each row's XML text, as columns. It is a generated row, so that filters on its fields come after the one parse and do not repeat it."""
+    return df.select(F.explode(F.array(parse_xml(col, schema))).alias("r")).select("r.*")
+
+
 def decode_fallback(raw: str | Column) -> Column:
     """Bytes as UTF-8 text when valid, else as Latin-1."""
     data = F.col(raw) if isinstance(raw, str) else raw
