@@ -481,7 +481,8 @@ def first_of_first(t):
 @query("rebuild_text", "SELECT doc_id, md5(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS digest FROM documents")
 def rebuild(t):
     """Texts inverted to word positions, then put together again."""
-    words = spread(t.documents).select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
+    # Texts move once, by document; both groupings find their words in place.
+    words = t.documents.select("doc_id", "text").repartition("doc_id").select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
     entries = words.groupBy("doc_id", "word").agg(F.collect_list("pos").alias("positions"))
     index = entries.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "positions"))).alias("index"))
     return spread(materialize(index, "index")).select("doc_id", F.md5(rebuild_text("index")).alias("digest"))
