@@ -227,7 +227,8 @@ def rubrics(t):
         .when(F.col("l_linestatus") == "F", "Rubric-note").otherwise("x Rubric-coding-hint")
     )
     row = fill('<dl class="%s"><dt>x</dt><dd>part\n <a>%s</a></dd></dl>', kind, text("l_partkey"))
-    return pages.rubric_lists(order_pages(t, row, '<div id="classicont"><dl><dd>other</dd></dl>', "</div>"))
+    found = pages.rubric_elements(order_pages(t, row, '<div id="classicont"><dl><dd>other</dd></dl>', "</div>"))
+    return pages.rubric_lists(found)
 
 
 CODE_SQL = """

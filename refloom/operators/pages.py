@@ -72,11 +72,13 @@ class _Elements(HTMLParser):
     """Elements of the wanted tags in document order, with their text. Those of other tags than ``only`` have none."""
 
     def __init__(
-        self, wanted: frozenset[str], skip: frozenset[str], apart: frozenset[str] = frozenset(), only: frozenset[str] | None = None
+        self, wanted: frozenset[str], skip: frozenset[str], apart: frozenset[str] = frozenset(), only: frozenset[str] | None = None,
+        around: frozenset[str] | None = None,
     ):
         super().__init__(convert_charrefs=True)
         self.wanted, self.skip, self.apart, self.noted = wanted, skip, apart, skip | apart
         self.only = wanted if only is None else only
+        self.around = wanted if around is None else around
         self.open: list[tuple[str, int | None, list[str] | None]] = []
         self.found: list[list] = []
         self.quiet = self.aside = 0
@@ -129,7 +131,8 @@ class _Elements(HTMLParser):
         if tag in self.wanted:
             parent = None
             for at in range(len(self.open) - 1, -1, -1):
-                if (parent := self.open[at][1]) is not None:
+                if self.open[at][0] in self.around:
+                    parent = self.open[at][1]
                     break
             row, bits = len(self.found), [] if tag in self.only else None
             self.found.append([parent, tag, attrs, bits, []])
@@ -192,9 +195,9 @@ COLUMNS = {
 
 def elements(
     pages: DataFrame, tags: Sequence[str], skip: Sequence[str] = (), html: str = "html", apart: Sequence[str] = (), grid: bool = False,
-    columns: Sequence[str] = (), only: Sequence[str] = (), carry: Sequence[str] = (),
+    columns: Sequence[str] = (), only: Sequence[str] = (), carry: Sequence[str] = (), around: Sequence[str] = (),
 ) -> DataFrame:
-    """Elements of some tags per page, with the nearest wanted element around each.
+    """Elements of some tags per page, with the nearest wanted element around each, of the tags ``around`` if given.
 
     ``text`` is the raw text, ``spaced`` its pieces trimmed and joined by one space. Text in scripts,
     styles and ``skip`` elements is left out. With ``apart``, ``bare`` is the spaced text without what stands in such elements. With ``grid``,
@@ -203,11 +206,12 @@ def elements(
     """
     wanted, quiet, aside = frozenset(tags), frozenset(skip) | SILENT, frozenset(apart)
     shown = frozenset(only) or wanted
+    parents = frozenset(around) or wanted
     names = ["page_id", *(columns or ["seq", "parent", "tag", "attrs", "text", "spaced", *["bare"] * bool(apart), *["table_no", "spots"] * grid])]
     ddl = ", ".join([f"{n} {COLUMNS[n][0]}" for n in names] + [f"{c} string" for c in carry])
 
     def page_rows(out: dict[str, list], page: int, markup: str | None, carried: tuple) -> None:
-        parser = _Elements(wanted, quiet, aside, shown)
+        parser = _Elements(wanted, quiet, aside, shown, parents)
         parser.read(markup or "")
         places = _places(parser.found) if grid else {}
         kept = [(seq, e) for seq, e in enumerate(parser.found) if e[1] in shown] if only else list(enumerate(parser.found))
@@ -241,10 +245,10 @@ def elements(
 
 def parsed(
     pages: DataFrame, tags: Sequence[str], skip: Sequence[str] = (), apart: Sequence[str] = (), grid: bool = False, columns: Sequence[str] = (),
-    only: Sequence[str] = (), carry: Sequence[str] = (),
+    only: Sequence[str] = (), carry: Sequence[str] = (), around: Sequence[str] = (),
 ) -> DataFrame:
     """Elements written once, for jobs that look at them several times: parsing is the costly step."""
-    return materialize(elements(pages, tags, skip, apart=apart, grid=grid, columns=columns, only=only, carry=carry), "elements")
+    return materialize(elements(pages, tags, skip, apart=apart, grid=grid, columns=columns, only=only, carry=carry, around=around), "elements")
 
 
 def link_rows(pages: DataFrame, *carry: str) -> DataFrame:
@@ -534,9 +538,13 @@ RUBRIC_KINDS = {
 }
 
 
-def rubrics(pages: DataFrame) -> DataFrame:
-    """Inclusion, exclusion and note texts per page: (page_id, kind, pos, text)."""
-    found = parsed(pages, ["dl", "dd"], columns=["seq", "parent", "tag", "attrs", "spaced"])
+def rubric_elements(pages: DataFrame, *more: str) -> DataFrame:
+    """Elements that ``rubrics`` looks at, and those of ``more`` tags out of the same parse; lists alone count as what is around an item."""
+    return parsed(pages, ["dl", "dd", *more], columns=["seq", "parent", "tag", "attrs", "spaced"], around=["dl", "dd"])
+
+
+def rubrics(found: DataFrame) -> DataFrame:
+    """Inclusion, exclusion and note texts per page, out of ``rubric_elements``: (page_id, kind, pos, text)."""
     kind = None
     for word, name in RUBRIC_KINDS.items():
         hit = F.contains(F.coalesce(F.col("attrs")["class"], F.lit("")), F.lit(word))
@@ -546,9 +554,9 @@ def rubrics(pages: DataFrame) -> DataFrame:
     return items.select("page_id", "kind", F.col("seq").alias("pos"), clean_text("spaced").alias("text"))
 
 
-def rubric_lists(pages: DataFrame) -> DataFrame:
-    """One row per page and kind with its texts joined by ``;``."""
-    return ordered_text(materialize(rubrics(pages), "rubrics"), ["page_id", "kind"], F.col("text"), ";", [F.col("pos")], "texts")
+def rubric_lists(found: DataFrame) -> DataFrame:
+    """One row per page and kind with its texts joined by ``;``, out of ``rubric_elements``."""
+    return ordered_text(materialize(rubrics(found), "rubrics"), ["page_id", "kind"], F.col("text"), ";", [F.col("pos")], "texts")
 
 
 def article_text(pages: DataFrame, skip: Sequence[str] = ("xref",), limit: int = GROUP_LIMIT) -> DataFrame:

@@ -90,9 +90,9 @@ def disease_blocks(blocks: DataFrame) -> DataFrame:
 
 def chapters(chapter_pages: DataFrame) -> DataFrame:
     """Chapter pages: title, code range and packed rubrics; a page with an oversized rubric goes on in further parts."""
-    heads = pages.elements(chapter_pages, ["h1"], columns=["seq", "spaced"])
-    heads = heads.groupBy("page_id").agg(F.min_by("spaced", "seq").alias("title"))
-    kinds = pages.rubric_lists(chapter_pages).groupBy("page_id", "part").agg(
+    found = pages.rubric_elements(chapter_pages, "h1")
+    heads = found.filter("tag = 'h1'").groupBy("page_id").agg(F.min_by("spaced", "seq").alias("title"))
+    kinds = pages.rubric_lists(found).groupBy("page_id", "part").agg(
         *[F.max(F.when(F.col("kind") == k, F.col("texts"))).alias(k) for k in ("inclusions", "exclusions", "notes")]
     )
     return attach_parts(heads, ["page_id"], [kinds]).select(
