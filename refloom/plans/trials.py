@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from refloom.functions.arrays import last_where, pack
 from refloom.functions.codes import registration_type
-from refloom.functions.text import clean_text, safe_text
+from refloom.functions.text import clean_text, let, safe_text
 from refloom.operators import pages
 from refloom.operators.aggregate import ordered_list, union_columns
 from refloom.operators.dedup import dedup_last, suffix_duplicates
@@ -109,15 +109,15 @@ REGISTERED_ON = r"\[Registered on:\s*([^\]]+)\]"
 
 def plain_label(label: Column) -> Column:
     """Label of a page row as a name; spellings of one label are brought together."""
-    name = pages.header_name(label)
-    return (
+    # The name takes several expressions to make; it is made once and then looked at.
+    return let(pages.header_name(label), lambda name: (
         F.when(F.contains(name, F.lit("contact_person")) & F.contains(name, F.lit("scientific")), KEY_VALUE_LABELS[1])
         .when(F.contains(name, F.lit("contact_person")) & F.contains(name, F.lit("public")), KEY_VALUE_LABELS[2])
         .when(name == "exclusioncriteria", F.lit("exclusion_criteria"))
         .when(F.contains(name, F.lit("health_condition")), F.lit("health_condition_problems_studied"))
         .when(name == "intervention__comparator_agent", F.lit("intervention_comparator_agent"))
         .otherwise(name)
-    )
+    ))
 
 
 def page_tables(trial_pages: DataFrame) -> DataFrame:
@@ -140,10 +140,11 @@ def page_rows(found: DataFrame) -> DataFrame:
     rows = rows.join(mains, ["page_id", "main"])
     cells = found.filter("tag = 'td'").select("page_id", F.col("parent").alias("tr"), "seq", "text").join(rows, ["page_id", "tr"])
     pairs = cells.groupBy("page_id", "tr").agg(F.sort_array(F.collect_list(F.struct("seq", "text"))).alias("c")).filter(F.size("c") == 2)
-    pairs = pairs.select(
-        "page_id", F.col("tr").alias("row_no"), plain_label(F.col("c")[0]["text"]).alias("label"),
-        clean_text(F.col("c")[1]["text"]).alias("text"), F.col("c")[1]["seq"].alias("parent"),
-    ).filter("label <> ''")
+    # A generated row: the filter on the label comes after it is made and does not make it again.
+    pairs = pairs.select("page_id", F.col("tr").alias("row_no"), F.explode(F.array(F.struct(
+        plain_label(F.col("c")[0]["text"]).alias("label"), clean_text(F.col("c")[1]["text"]).alias("text"), F.col("c")[1]["seq"].alias("parent"),
+    ))).alias("r"))
+    pairs = pairs.select("page_id", "row_no", "r.*").filter("label <> ''")
     inner = tables.groupBy("page_id", "parent").agg(F.min("table_no").alias("table_no"))
     return pairs.join(inner, ["page_id", "parent"], "left").drop("parent")
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from refloom.operators import aggregate as agg
-from refloom.plans import descriptors
+from refloom.operators import pages
+from refloom.plans import classes, descriptors, trials
 from refloom.sources.documents import xml_rows
 
 
@@ -38,3 +39,25 @@ def test_children_move_once(spark):
     at = lines[next(i for i, x in enumerate(lines) if x.strip().endswith("Union")) + 1].index(":")
     first = [x for x in lines if x[at : at + 1] == ":"]
     assert any("collect_list(" in x for x in first) and sum("Exchange hashpartitioning(" in x for x in first) == 2
+
+
+def test_labels_of_trial_pages_are_made_once(spark):
+    label = trials.plain_label(F.col("x"))
+    names = ["Contact Person (Scientific Query)", "Public Contact Person", "ExclusionCriteria", "Health Condition / x", "Intervention / Comparator Agent", "Plain Text", None]
+    got = spark.createDataFrame([(x,) for x in names], "x string").select(label.alias("n"))
+    # A function that makes the name once has its three replacements once.
+    assert got._jdf.queryExecution().analyzed().toString().count("[^a-zA-Z0-9_") == 1
+    assert [r.n for r in got.collect()] == [
+        "details_of_contact_person_scientific_query", "details_of_contact_person_public_query", "exclusion_criteria",
+        "health_condition_problems_studied", "intervention_comparator_agent", "plain_text", None,
+    ]
+
+
+def test_chapters_parse_their_pages_once(spark, monkeypatch):
+    parsed = []
+    real = pages.elements
+    monkeypatch.setattr(pages, "elements", lambda *a, **k: parsed.append(a) or real(*a, **k))
+    html = '<h1>One (A00-B99)</h1><dl class="Rubric-note"><dt>x</dt><h1><dd>a<dd>b</dl>'
+    got = classes.chapters(spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")).collect()
+    # A heading inside a list is not what is around its items.
+    assert len(parsed) == 1 and [(r.title, r.code_range, r.notes) for r in got] == [("One (A00-B99)", "A00-B99", "a;b")]
