@@ -83,15 +83,15 @@ def _collect(
     # Parts leave out rows without a value, so only whole groups tell the number of rows.
     counted = [c.count for c in group if c.count and hot is None]
     counts = [F.count(F.lit(1)).alias(n) for n in counted]
+    # Rows that are gathered whole move as they are, once; values are made where their group is, and what joins the groups by key finds them in place.
+    found = (rows.repartition(*keys) if keys and hot is None else rows).select(*keys, *[e.alias(n) for n, e in items.items()])
+    lists = [F.sort_array(F.collect_list(n)).alias(n) for n in items]
     if hot is not None:
         # One child at a time here, in its own order.
-        found = rows.select(*keys, *[e.alias(n) for n, e in items.items()])
         found = slice_hot(found.filter("_e0 is not null"), keys, ["_e0"], hot, limit=limit)
-        grouped = found.groupBy(*keys, "part").agg(*[F.sort_array(F.collect_list(n)).alias(n) for n in items])
+        grouped = found.groupBy(*keys, "part").agg(*lists)
     else:
-        # The rows move as they are, once; values are made where their group is, and what joins the groups by key finds them in place.
-        found = (rows.repartition(*keys) if keys else rows).groupBy(*keys)
-        grouped = found.agg(*[F.sort_array(F.collect_list(e)).alias(n) for n, e in items.items()], *counts).withColumn("part", F.lit(0).cast("long"))
+        grouped = found.groupBy(*keys).agg(*lists, *counts).withColumn("part", F.lit(0).cast("long"))
 
     def finish(name: str, child: Child) -> Column:
         values = F.transform(name, lambda x: x["v"]) if child.order else F.col(name)
