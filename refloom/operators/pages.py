@@ -39,14 +39,18 @@ SCOPES = frozenset({"table", "ul", "ol", "dl", "body", "article", "section", "di
 SILENT = frozenset({"script", "style"})
 
 
-#: What most mark-up is made of, in forms that need no tolerance: end tags, start tags, and comments, declarations and scripts without a ``<`` inside.
+#: What most mark-up is made of, in forms that need no tolerance: end tags, start tags (with the text and the end tag of an element that holds text alone), and
+#: comments, declarations and scripts without a ``<`` inside.
 TOKEN = re.compile(
     r"""</([a-zA-Z][a-zA-Z0-9]*)[ \t\n\r\f]*>
     |<(?!(?:script|style)[ \t\n\r\f/>])([a-zA-Z][a-zA-Z0-9]*)
       ((?:[ \t\n\r\f]+[a-zA-Z_:][-a-zA-Z0-9_:.]*(?:="[^"<>]*"|='[^'<>]*'|=[-a-zA-Z0-9_\#.%]+)?)*[ \t\n\r\f]*/?)>
+      (?:([^<]*+)</\2[ \t\n\r\f]*>)?
     |<!--[^<>]*-->|<!doctype[^<>]*>|<(?P<cdata>script|style)(?:[ \t\n\r\f]+[a-z][-a-z]*="[^"<>]*")*>[^<]*</(?P=cdata)>""",
     re.VERBOSE | re.IGNORECASE | re.ASCII,
 )
+#: The attributes of a start tag that ``TOKEN`` took.
+ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-a-zA-Z0-9_:.]*)(?:="([^"]*)"|='([^']*)'|=([-a-zA-Z0-9_\#.%]+))?""", re.ASCII)
 
 
 class _StartTag(HTMLParser):
@@ -62,12 +66,19 @@ class _StartTag(HTMLParser):
 
 
 @lru_cache(4_096)
-def _start_tag(markup: str) -> tuple[str, dict, bool] | None:
+def _parsed_tag(markup: str) -> tuple[str, dict, bool] | None:
     parser = _StartTag()
     parser.feed(markup)
     return parser.got
 
 
+def _start_tag(tag: str, more: str) -> tuple[str, dict, bool]:
+    """The start tag of a token. Character references and closing slashes are left to the tolerant parser."""
+    if "&" in more or more[-1] == "/":
+        return _parsed_tag(f"<{tag}{more}>")
+    return tag.lower(), {name.lower(): a or b or c for name, a, b, c in ATTRIBUTE.findall(more)}, False
+
+
 class _Elements(HTMLParser):
     """Elements of the wanted tags in document order, with their text. Those of other tags than ``only`` have none."""
 
@@ -86,56 +97,80 @@ class _Elements(HTMLParser):
     def read(self, markup: str) -> None:
         """All of a page. Plain mark-up is cut by one expression; a page with anything else in it is left to the tolerant parser."""
         bits = TOKEN.split(markup)
-        # Every token has one "<", scripts have two.
-        if markup.count("<") != len(bits) // 5 + sum(x is not None for x in bits[4::5]) or self.wanted & SILENT:
+        texts, leaves, scripts = bits[::6], bits[4::6], bits[5::6]
+        # Every token has one "<", scripts and elements that hold text alone have two.
+        if markup.count("<") != 3 * len(leaves) - leaves.count(None) - scripts.count(None) or self.wanted & SILENT:
             self.feed(markup)
             self.close()
             return
-        last = len(bits) - 1
-        stack, noted = self.open, self.noted
-        for at in range(0, last + 1, 5):
-            if (data := bits[at]) and stack:
+        stack, noted, found, wanted = self.open, self.noted, self.found, self.wanted
+        for data, end, tag, more, leaf in zip(texts, bits[1::6], bits[2::6], bits[3::6], leaves):
+            if data and stack:
                 self.handle_data(unescape(data) if "&" in data else data)
-            if at == last:
-                break
-            if tag := bits[at + 1]:
-                tag = tag.lower()
+            if end:
+                tag = end.lower()
                 # Mostly it is the innermost element that ends.
                 if stack and stack[-1][0] == tag and tag not in noted:
                     stack.pop()
                 else:
                     self.handle_endtag(tag)
-            elif tag := bits[at + 2]:
-                if more := bits[at + 3]:
-                    tag, attrs, closed = _start_tag(f"<{tag}{more}>")
+            elif tag:
+                attrs, closed = {}, False
+                if more:
+                    tag, attrs, closed = _start_tag(tag, more)
+                else:
+                    tag = tag.lower()
+                if leaf is None or closed or tag in noted or tag in VOID:
                     self._start(tag, attrs)
                     if closed:
                         self.handle_endtag(tag)
-                else:
-                    self._start(tag.lower(), {})
+                    if leaf is not None:
+                        if leaf and stack:
+                            self.handle_data(unescape(leaf) if "&" in leaf else leaf)
+                        self.handle_endtag(tag)
+                    continue
+                # An element that holds text alone is never open for anything else.
+                if tag in ENDS:
+                    self._end(tag)
+                if "&" in leaf:
+                    leaf = unescape(leaf)
+                if tag in wanted:
+                    heard = [leaf] if leaf and not self.quiet else []
+                    bits = heard if tag in self.only else None
+                    found.append([self._parent(), tag, attrs, bits, heard[:] if bits and self.apart and not self.aside else []])
+                if leaf and stack:
+                    self.handle_data(leaf)
+        if texts[-1] and stack:
+            self.handle_data(unescape(texts[-1]) if "&" in texts[-1] else texts[-1])
+
+    def _parent(self) -> int | None:
+        for name, row, _ in reversed(self.open):
+            if name in self.around:
+                return row
+        return None
+
+    def _end(self, tag: str) -> None:
+        """Close what a start tag ends."""
+        ends = ENDS[tag]
+        for at in range(len(self.open) - 1, -1, -1):
+            name = self.open[at][0]
+            if name in ends:
+                self._close(at)
+            elif name in SCOPES:
+                break
 
     def handle_starttag(self, tag, attrs):
         self._start(tag, {k: v or "" for k, v in attrs})
 
     def _start(self, tag: str, attrs: dict[str, str]):
-        if ends := ENDS.get(tag):
-            for at in range(len(self.open) - 1, -1, -1):
-                name = self.open[at][0]
-                if name in ends:
-                    self._close(at)
-                elif name in SCOPES:
-                    break
+        if tag in ENDS:
+            self._end(tag)
         if tag in VOID:
             return
         row = bits = None
         if tag in self.wanted:
-            parent = None
-            for at in range(len(self.open) - 1, -1, -1):
-                if self.open[at][0] in self.around:
-                    parent = self.open[at][1]
-                    break
             row, bits = len(self.found), [] if tag in self.only else None
-            self.found.append([parent, tag, attrs, bits, []])
+            self.found.append([self._parent(), tag, attrs, bits, []])
         self.open.append((tag, row, bits))
         if tag in self.noted:
             self.quiet += tag in self.skip
