@@ -159,7 +159,7 @@ def table_records(t):
         .otherwise(fill("<tr><td> part\n%s</td><td>%s</td></tr>", text("l_partkey"), text("l_suppkey")))
     )
     head = "<table><tr><td>No of Sites = 9</td></tr><tr><th>Site (Name)</th><th>No. of Sites</th></tr>"
-    found = pages.table_records(pages.table_rows(order_pages(t, row, head, "</table>")))
+    found = pages.page_records(order_pages(t, row, head, "</table>"))
     return found.select("page_id", "row_no", *[F.try_element_at("fields", F.lit(c)).alias(c) for c in ("raw_row", "site_name", "no_of_sites")])
 
 

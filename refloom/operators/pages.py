@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from html import unescape
 from html.parser import HTMLParser
@@ -23,7 +23,7 @@ from refloom.functions.urls import resolve_url, url_kind, url_language
 from refloom.operators.aggregate import ordered_text
 from refloom.operators.dedup import dedup_first
 from refloom.operators.select import filter_in
-from refloom.operators.skew import GROUP_LIMIT
+from refloom.operators.skew import GROUP_LIMIT, hot_groups, split_hot
 from refloom.session import materialize
 
 #: Rows that leave a task at once, so that a batch of pages is never held as elements.
@@ -200,7 +200,7 @@ class _Elements(HTMLParser):
                         self.found[row][4].append(data)
 
 
-def _spaced(bits: Sequence[str]) -> str:
+def spaced(bits: Sequence[str]) -> str:
     if len(bits) == 1:
         return bits[0].strip()
     return " ".join([b for x in bits if (b := x.strip())])
@@ -253,7 +253,7 @@ def elements(
         made = {
             "page_id": lambda: [page] * len(kept), "seq": lambda: [seq for seq, _ in kept], "parent": lambda: [e[0] for _, e in kept],
             "tag": lambda: [e[1] for _, e in kept], "attrs": lambda: [e[2] for _, e in kept], "text": lambda: ["".join(e[3]) for _, e in kept],
-            "spaced": lambda: [_spaced(e[3]) for _, e in kept], "bare": lambda: [_spaced(e[4]) for _, e in kept],
+            "spaced": lambda: [spaced(e[3]) for _, e in kept], "bare": lambda: [spaced(e[4]) for _, e in kept],
             "table_no": lambda: [places.get(seq, (None, None))[0] for seq, _ in kept], "spots": lambda: [places.get(seq, (None, None))[1] for seq, _ in kept],
         }
         for n in names:
@@ -348,7 +348,7 @@ def _grids(found: Sequence[list]) -> dict[int, tuple[int, list[tuple[int, int, i
             heights[parent] += 1
         elif tag in ("td", "th") and parent in rows:
             table, row = rows[parent]
-            tables[table][1].append((row, _span(attrs, "rowspan"), _span(attrs, "colspan"), seq))
+            tables[table][1].append((row, _span(attrs, "rowspan"), _span(attrs, "colspan"), seq) if attrs else (row, 1, 1, seq))
     return tables
 
 
@@ -382,7 +382,7 @@ def table_rows(pages: DataFrame, html: str = "html") -> DataFrame:
                 parser.read(markup.as_py() or "")
                 page, found = page.as_py(), parser.found
                 for number, of_table in _grids(found).values():
-                    texts = {seq: _spaced(found[seq][3]) for *_, seq in of_table}
+                    texts = {seq: spaced(found[seq][3]) for *_, seq in of_table}
                     last = None
                     for row, col, seq in _spread(of_table):
                         if row != last:
@@ -400,6 +400,66 @@ def table_rows(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.select(F.col("page_id").cast("long"), F.col(html).alias("html")).mapInArrow(parse, ddl)
 
 
+def by_page(pages: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Pages whose id no other page has, and those that share theirs (None if there are none).
+
+    What is known of the first kind is whole where a page is parsed; only pages that share an id are brought together by their elements.
+    """
+    pages = pages.withColumn("page_id", F.col("page_id").cast("long"))
+    shared = hot_groups(pages, ["page_id"], 1)
+    return (pages, None) if shared is None else split_hot(pages, ["page_id"], shared)
+
+
+def per_page(
+    pages: DataFrame, tags: Sequence[str], ddl: str, kinds: Sequence[pa.DataType], made: Callable[[int | None, _Elements], Iterator[tuple]],
+    only: Sequence[str] = (), apart: Sequence[str] = (),
+) -> DataFrame:
+    """Rows that ``made`` gives for a page's elements, in one parse; a column ``url`` of ``ddl`` is the page's own and comes last."""
+    wanted, shown, aside = frozenset(tags), frozenset(only or tags), frozenset(apart)
+    carry = ["url"] * ("url string" in ddl)
+    names = [x.split()[0] for x in ddl.split(";")]
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) or [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for given in batches:
+            rows = []
+            for page, markup, *carried in zip(*given.columns):
+                parser = _Elements(wanted, SILENT, aside, shown)
+                parser.read(markup.as_py() or "")
+                more = tuple(c.as_py() for c in carried)
+                rows += [(*row, *more) for row in made(page.as_py(), parser)]
+                if len(rows) >= EMITTED:
+                    yield batch(rows)
+                    rows = []
+            yield batch(rows)
+
+    return pages.select("page_id", "html", *carry).mapInArrow(parse, ddl.replace(";", ","))
+
+
+def whole_tables(pages: DataFrame) -> DataFrame:
+    """All tables, one row each: (page_id, table_no, rows of row_no and the texts of the cells, spans filled)."""
+    row = pa.struct([("row_no", pa.int32()), ("cells", pa.list_(pa.string()))])
+
+    def tables(page: int | None, parser: _Elements) -> Iterator[tuple]:
+        found = parser.found
+        for number, of_table in _grids(found).values():
+            rows: dict[int, list[str]] = {}
+            for at, _, seq in _spread(of_table):
+                text = spaced(found[seq][3])
+                if at in rows:
+                    rows[at].append(text)
+                else:
+                    rows[at] = [text]
+            if rows:
+                yield page, number, [{"row_no": at, "cells": cells} for at, cells in sorted(rows.items())]
+
+    ddl = "page_id long; table_no int; rows array<struct<row_no: int, cells: array<string>>>"
+    return per_page(pages, ["table", "tr", "td", "th"], ddl, [pa.int64(), pa.int32(), pa.list_(row)], tables, ["td", "th"])
+
+
 def grid_cells(found: DataFrame) -> DataFrame:
     """Cell grid out of elements parsed with ``grid`` and at least table, tr, td and th."""
     cells = found.filter("tag in ('td', 'th')").select("page_id", "table_no", F.inline("spots"), F.col("spaced").alias("text"), (F.col("tag") == "th").alias("is_header"))
@@ -494,18 +554,42 @@ def table_records(cells: DataFrame) -> DataFrame:
     rows = rows.withColumn("_head", F.when((F.col("_w0") == 1) & (F.col("_w1") > 1), 1).otherwise(0))
     rows = rows.filter("_w0 is not null or _w1 is not null")
     rows = rows.withColumn("names", _of_table(F.max(F.when(F.col("row_no") == F.col("_head"), F.transform("cells", header_name)))))
+    return _fielded(_keyed(rows))
+
+
+def page_records(pages: DataFrame) -> DataFrame:
+    """``table_records`` of all tables of pages, each looked at where its page is parsed."""
+    once, shared = by_page(pages)
+
+    def row(n: int | Column) -> Column:
+        return F.get(F.filter(F.slice("rows", 1, 2), lambda x: x["row_no"] == n), F.lit(0))["cells"]
+
+    tables = whole_tables(once.filter("page_id is not null"))
+    tables = tables.withColumn("_head", F.when((F.size(row(0)) == 1) & (F.size(row(1)) > 1), 1).otherwise(0))
+    tables = tables.withColumn("names", F.transform(row(F.col("_head")), header_name)).filter("names is not null")
+    found = _fielded(_keyed(tables).select("page_id", "table_no", "_head", "names", "_keys", "_at", F.inline("rows")))
+    return found if shared is None else found.unionByName(table_records(table_rows(shared)))
+
+
+def _fielded(rows: DataFrame) -> DataFrame:
+    """Fields of the rows below the header, ``_head``, whose cells are ``names``; see ``_keyed``."""
     data = rows.filter((F.col("row_no") > F.col("_head")) & F.col("names").isNotNull())
     fits = F.size("cells") == F.size("names")
     data = data.filter(~((F.size("cells") == 1) & (F.size("names") > 1)))
     clean = F.transform("cells", clean_text)
     raw = F.create_map(F.lit("raw_row"), F.array_join(clean, " | "))
-    last = F.arrays_zip(F.col("names").alias("k"), clean.alias("v"), F.sequence(F.lit(1), F.size("names")).alias("i"))
-    unique = F.filter(last, lambda x: F.array_position(F.col("names"), x["k"]) == x["i"])
     return data.select(
-        *ROW, F.when(fits, F.map_from_entries(F.transform(unique, lambda x: F.struct(x["k"], x["v"])))).otherwise(raw).alias("fields")
+        *ROW, F.when(fits, F.map_from_arrays("_keys", F.transform("_at", lambda i: clean_text(F.get("cells", i))))).otherwise(raw).alias("fields")
     )
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    """Names that a record has as keys, and their places in a row: of equal names the first counts."""
+    at = F.filter(F.transform("names", lambda x, i: i), lambda i: F.array_position(F.col("names"), F.get("names", i)) == i + 1)
+    rows = rows.withColumn("_at", at)
+    return rows.withColumn("_keys", F.transform("_at", lambda i: F.get("names", i)))
+
+
 def simple_list(cells: DataFrame, sentinels: Sequence[str]) -> DataFrame:
     """Non-empty cells of a table that mean something: (page_id, table_no, row_no, col_no, text)."""
     text = clean_text("text")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from conftest import rows
+
 from refloom.operators import pages
 
 
@@ -27,3 +29,25 @@ def test_plain_start_tags_need_no_tolerant_parser(monkeypatch):
     assert not built
     parser.read("<a href='?a&amp;b'>x</a><a href=x/>")
     assert built and parser.found[-2][2] == {"href": "?a&b"}
+
+
+TABLES = [
+    (1, "<table><tr><td>Title</td></tr><tr><th>A</th><th>B (x)</th><th>A</th></tr><tr><td> 1\n2</td><td rowspan=2>b</td><td>c</td></tr><tr><td>d</td><td>e</td></tr>"
+        "<tr><td>cut</td></tr><tr><td>x</td><td>y</td><td>z</td><td>w</td></tr></table><table><tr></tr><tr><td>q</td></tr><tr><td>r</td></tr></table>"),
+    (2, "<table><tr><td>A<table><tr><td>in</td></tr><tr><td>v</td></tr></table></td></tr><tr><td>1</td></tr></table>"), (3, None), (4, ""), (None, "<table><tr><td>A</td></tr><tr><td>1</td></tr></table>"),
+]
+
+
+def test_records_of_tables_are_made_where_pages_are_parsed(spark):
+    def page_table(data):
+        return spark.createDataFrame(data, "page_id long, html string")
+
+    def got(found):
+        return rows(found.selectExpr("page_id", "table_no", "row_no", "sort_array(transform(map_entries(fields), x -> concat(x.key, '=', x.value))) as f"))
+
+    once = pages.page_records(page_table(TABLES))
+    assert "Exchange" not in plan(once)
+    assert got(once) == got(pages.table_records(pages.table_rows(page_table(TABLES)))) and once.count() == 5
+    # Pages that share an id, and pages without one, stay what they were.
+    twice = page_table(TABLES + TABLES)
+    assert got(pages.page_records(twice)) == got(pages.table_records(pages.table_rows(twice)))
