@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,62 @@ def approvals(list_pages: DataFrame) -> DataFrame:
     A table without a brand header but four columns has them in the usual order; other tables are
     left out. Superscript remarks tell partial changes from first approvals and are cut from the name.
     """
+    once, shared = pages.by_page(list_pages)
+    found = _of_pages(once)
+    return _shaped(found if shared is None else found.unionByName(_across_pages(shared)))
+
+
+def _marked(page: int | None, parser) -> Iterator[tuple]:
+    """Tables of a page, rows by rows: cells without their superscripts, the first superscript, and the links to reports."""
+    tables, rows, cells = {}, {}, {}
+    for seq, (parent, tag, attrs, text, bare) in enumerate(parser.found):
+        if tag == "table":
+            tables[seq] = []
+        elif tag == "tr" and parent in tables:
+            rows[seq] = []
+            tables[parent].append(rows[seq])
+        elif tag in ("td", "th") and parent in rows:
+            cells[seq] = {"text": pages.spaced(bare), "sup": None, "links": None}
+            rows[parent].append(cells[seq])
+        elif parent in cells and tag == "sup" and cells[parent]["sup"] is None:
+            cells[parent]["sup"] = pages.spaced(text)
+        elif parent in cells and tag == "a" and (href := attrs.get("href", "")).lower().endswith(".pdf"):
+            cells[parent]["links"] = [*(cells[parent]["links"] or ()), href]
+    for number, of_table in enumerate(tables.values()):
+        if kept := [{"row_no": at, "cells": row} for at, row in enumerate(of_table) if row]:
+            yield page, number, kept
+
+
+def _of_pages(list_pages: DataFrame) -> DataFrame:
+    """Rows of tables, out of pages whose ids differ: a table is whole where its page is parsed."""
+    cell = pa.struct([("text", pa.string()), ("sup", pa.string()), ("links", pa.list_(pa.string()))])
+    row = pa.struct([("row_no", pa.int32()), ("cells", pa.list_(cell))])
+    ddl = "page_id long; table_no int; rows array<struct<row_no: int, cells: array<struct<text: string, sup: string, links: array<string>>>>>; url string"
+    tables = pages.per_page(
+        list_pages.filter("page_id is not null"), ["table", "tr", "th", "td", "sup", "a"], ddl, [pa.int64(), pa.int32(), pa.list_(row), pa.string()], _marked,
+        apart=["sup"],
+    )
+    # A row has cells, so a header is the first row or none.
+    heads = tables.filter(F.col("rows")[0]["row_no"] == 0).withColumn("_head", F.col("rows")[0]["cells"])
+    heads = heads.withColumn("_which", F.transform("_head", lambda x: _which(x["text"])))
+
+    def last(name: str) -> Column:
+        return F.array_max(F.transform("_which", lambda x, i: F.when(x == name, i)))
+
+    at = {n: last(n) for n in HEADER_WORDS}
+    usual = at["brand"].isNull() & (F.size("_head") >= 4)
+    heads = heads.select("page_id", "table_no", "rows", "url", *[F.when(usual, F.lit(i)).otherwise(at[n]).alias(n) for i, n in enumerate(HEADER_WORDS)])
+    body = heads.filter("brand is not null").select("page_id", "table_no", "url", *HEADER_WORDS, F.inline(F.slice("rows", 2, F.size("rows"))))
+    return body.select(
+        "page_id", "table_no", "row_no", F.get("cells", "brand")["text"].alias("brand_name"), F.get("cells", "brand")["sup"].alias("sup"),
+        F.get("cells", "generic")["text"].alias("generic_name"), F.get("cells", "approved")["text"].alias("approval_date_raw"),
+        F.transform(F.get("cells", "report")["links"], lambda x: resolve_url(F.col("url"), x)).alias("en_urls"),
+        (F.size("cells") - 1).alias("last"), F.greatest("brand", "generic", "approved").alias("needed"),
+    )
+
+
+def _across_pages(list_pages: DataFrame) -> DataFrame:
+    """The same out of pages that share ids: elements are brought together by page."""
     # One parse: the text of a cell without its superscripts, the superscripts, and the links in it.
     found = pages.parsed(list_pages, ["table", "tr", "th", "td", "sup", "a"], apart=["sup"], columns=["seq", "parent", "tag", "attrs", "spaced", "bare"])
     placed = _placed(found)
@@ -68,11 +125,15 @@ def approvals(list_pages: DataFrame) -> DataFrame:
     def pick(name: str, value: str) -> Column:
         return F.max(F.when(F.col("col_no") == F.col(name), F.col(value)))
 
-    rows = body.groupBy("page_id", "table_no", "row_no").agg(
+    return body.groupBy("page_id", "table_no", "row_no").agg(
         pick("brand", "text").alias("brand_name"), pick("brand", "sup").alias("sup"), pick("generic", "text").alias("generic_name"),
         pick("approved", "text").alias("approval_date_raw"), pick("report", "links").alias("en_urls"),
         F.max("col_no").alias("last"), F.max(F.greatest("brand", "generic", "approved")).alias("needed"),
     )
+
+
+def _shaped(rows: DataFrame) -> DataFrame:
+    """Products out of rows of tables."""
     rows = rows.filter((F.col("last") >= F.col("needed")) & (F.coalesce("brand_name", F.lit("")) != "") & (F.lower("brand_name") != "brand name"))
     partial = F.contains(F.lower("sup"), F.lit("change")) | F.contains(F.lower("sup"), F.lit("partial"))
     raw = F.coalesce("approval_date_raw", F.lit("unknown"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from conftest import rows
 
 from refloom.operators import pages
+from refloom.plans import approvals
 
 
 def plan(df):
@@ -51,3 +52,26 @@ def test_records_of_tables_are_made_where_pages_are_parsed(spark):
     # Pages that share an id, and pages without one, stay what they were.
     twice = page_table(TABLES + TABLES)
     assert got(pages.page_records(twice)) == got(pages.table_records(pages.table_rows(twice)))
+
+
+APPROVALS = (
+    "<table><tr><th>Brand Name</th><th>Non-proprietary Name</th><th>Approved in</th><th>English</th></tr>"
+    "<tr><td>A<sup>partial change</sup><sup>2</sup></td><td>g &amp; h</td><td>May 2020</td><td><a href='/1.PDF'>x</a><a href='/2.html'>y</a><a href='b/3.pdf'>z</a></td></tr>"
+    "<tr><td>note</td></tr><tr></tr><tr><td>Brand name</td><td>x</td><td>y</td><td>z</td></tr><tr><td>B</td><td>n</td><td>2019</td></tr></table>"
+    "<table><tr><td>k</td><td>l</td><td>m</td><td>n</td></tr><tr><td>C</td><td><table><tr><td>brand</td></tr><tr><td>D</td></tr></table></td><td>June 2018</td><td></td></tr></table>"
+    "<table><tr></tr><tr><td>brand</td></tr><tr><td>E</td></tr></table>"
+)
+
+
+def test_approvals_are_read_where_pages_are_parsed(spark):
+    data = [(1, "https://h.example/l/", APPROVALS), (2, None, APPROVALS), (3, "https://h.example/x", None), (None, "https://h.example/x", APPROVALS)]
+    listed = spark.createDataFrame(data, "page_id long, url string, html string")
+    found = approvals.approvals(listed)
+    assert "Exchange" not in plan(found)
+    assert rows(found) == rows(approvals._shaped(approvals._across_pages(listed)))
+    assert {r.brand_name for r in found.collect()} >= {"A", "B", "C"}
+    first = found.filter("page_id = 1 and brand_name = 'A'").first()
+    assert (first.approval_type, first.generic_name, first.approval_date) == ("Partial Change Approval", "g & h", "2020-05")
+    assert first.en_urls == ["https://h.example/1.PDF", "https://h.example/l/b/3.pdf"]
+    twice = listed.unionByName(listed)
+    assert rows(approvals.approvals(twice)) == rows(approvals._shaped(approvals._across_pages(twice)))
