@@ -631,18 +631,23 @@ def definition_lists(found: DataFrame) -> DataFrame:
     return pairs.join(lists, ["page_id", "_list"]).drop("_list")
 
 
-def labelled_columns(pairs: DataFrame, keys: Sequence[str], rules: dict[str, Sequence[str]], term: str, value: str, order: str) -> DataFrame:
-    """One row per key with a column per rule: the last value whose term holds the words of the rule.
-
-    Rules are tried in order and a term goes to the first rule that fits.
-    """
+def first_rule(term: Column, rules: dict[str, Sequence[str]]) -> Column:
+    """Name of the first rule with words in a term."""
     lower = F.lower(term)
     which = None
     for name, words in rules.items():
         for word in words:
             hit = F.contains(lower, F.lit(word))
             which = F.when(hit, name) if which is None else which.when(hit, name)
-    rows = pairs.withColumn("_rule", which).filter("_rule is not null")
+    return which
+
+
+def labelled_columns(pairs: DataFrame, keys: Sequence[str], rules: dict[str, Sequence[str]], term: str, value: str, order: str) -> DataFrame:
+    """One row per key with a column per rule: the last value whose term holds the words of the rule.
+
+    Rules are tried in order and a term goes to the first rule that fits.
+    """
+    rows = pairs.withColumn("_rule", first_rule(F.col(term), rules)).filter("_rule is not null")
     return rows.groupBy(*keys).agg(
         *[F.max_by(value, F.when(F.col("_rule") == name, F.col(order))).alias(name) for name in rules]
     )

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refloom.functions.arrays import pack
@@ -13,6 +16,7 @@ from refloom.operators.aggregate import attach_parts, build_tree, longest_wins,
 from refloom.operators.dedup import dedup_last
 from refloom.operators.joins import leaf_flag
 from refloom.operators.setops import union_levels
+from refloom.operators.skew import GROUP_LIMIT
 from refloom.session import materialize
 from refloom.sources.delimited import fields, split_line
 
@@ -133,9 +137,100 @@ BASIC_RULES = {
 IDS = {"loinc-id": "loinc_num", "lcn": "long_common_name", "loinc-status": "status"}
 
 
-def observations(code_pages: DataFrame) -> DataFrame:
+def observations(code_pages: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
     """Observation code pages: names, axes, attributes, related names and units, by part."""
-    found = pages.parsed(code_pages, ["section", "span", "dl", "dt", "dd", "li", "tr", "td", "p"], columns=["seq", "parent", "tag", "attrs", "text"])
+    once, shared = pages.by_page(code_pages)
+    found = _observed(once, limit)
+    joined = found if shared is None else found.unionByName(_observed_together(shared, limit).select(*found.columns))
+    full = F.trim(F.regexp_replace(F.coalesce("fully_specified_name", F.lit("")), r"\u200b", ""))
+    rest = ["short_name", "display_name", *BASIC_RULES, "related_names", "example_units"]
+    return joined.select(
+        "page_id", "part", *[safe_text(c).alias(c) for c in [*IDS.values(), "description"]], full.alias("fully_specified_name"),
+        *split_axes(full), *[F.coalesce(c, F.lit("")).alias(c) for c in rest],
+    )
+
+
+CODE_TAGS = ["section", "span", "dl", "dt", "dd", "li", "tr", "td", "p"]
+_TEXTS = pa.list_(pa.string())
+_PAIR = pa.struct([("section", pa.string()), ("pos", pa.int32()), ("term", pa.string()), ("definition", pa.string())])
+
+
+def _code_page(page: int | None, parser) -> Iterator[tuple]:
+    """What a code page shows, in its order. A page without an id has its spans alone."""
+    found = parser.found
+    heads: dict[str, str] = {}
+    sections: dict[int, str | None] = {}
+    lists: dict[int, tuple[str | None, list[str], list[str]]] = {}
+    related, about, units = [], [], {}
+    for seq, (parent, tag, attrs, bits, _) in enumerate(found):
+        if tag == "section":
+            sections[seq] = attrs.get("id")
+        elif tag == "dl":
+            lists[seq] = sections.get(parent), [], []
+        elif tag in ("dt", "dd") and parent in lists:
+            lists[parent][1 if tag == "dt" else 2].append("".join(bits))
+        elif tag == "span":
+            heads.setdefault(attrs.get("id"), "".join(bits))
+        elif tag == "tr" and sections.get(parent) == "example-units":
+            units[seq] = None
+        elif tag == "td" and parent in units:
+            if units[parent] is None:
+                units[parent] = "".join(bits)
+        elif tag == "li" and sections.get(parent) == "related-names":
+            related.append("".join(bits))
+        elif tag == "p" and sections.get(parent) == "term-description" and attrs.get("itemprop") == "description":
+            about.append("".join(bits))
+    if not heads:
+        return
+    pairs = [
+        {"section": section, "pos": pos, "term": term, "definition": definition}
+        for section, terms, definitions in lists.values() for pos, (term, definition) in enumerate(zip(terms, definitions))
+    ]
+    rest = [related, about[0] if about else None, [u for u in units.values() if u is not None], pairs] if page is not None else [[], None, [], []]
+    yield page, *[heads.get(i) for i in IDS], *rest
+
+
+def _observed(code_pages: DataFrame, limit: int) -> DataFrame:
+    """Observations of pages whose ids differ: all of a page is known where it is parsed."""
+    heads = "".join(f"{name} string; " for name in IDS.values())
+    ddl = f"page_id long; {heads}related array<string>; description string; units array<string>; pairs array<struct<section: string, pos: int, term: string, definition: string>>"
+    kinds = [pa.int64(), *[pa.string()] * len(IDS), _TEXTS, pa.string(), _TEXTS, pa.list_(_PAIR)]
+    found = pages.per_page(code_pages, CODE_TAGS, ddl, kinds, _code_page)
+
+    def trimmed(name: str) -> Column:
+        return F.filter(F.transform(name, lambda x: F.trim(x)), lambda x: x != "")
+
+    def of_section(section: str, rules: dict[str, Sequence[str]]) -> Column:
+        rows = F.filter("pairs", lambda x: x["section"] == section)
+        return F.transform(rows, lambda x: F.struct(
+            pages.first_rule(x["term"], rules).alias("rule"), x["pos"].alias("pos"), F.trim(x["definition"]).alias("value")
+        ))
+
+    found = found.withColumns({
+        "related": trimmed("related"), "units": F.array_distinct(trimmed("units")),
+        "_names": of_section("additional-names", NAME_RULES), "_basic": of_section("basic", BASIC_RULES),
+    })
+    parts = F.greatest(F.ceil(F.size("related") / limit), F.ceil(F.size("units") / limit), F.lit(1))
+    found = found.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts.cast("long") - 1)))
+
+    def last(rows: str, name: str) -> Column:
+        fits = F.filter(rows, lambda x: x["rule"] == name)
+        return F.array_max(F.transform(fits, lambda x: F.struct(x["pos"], x["value"])))["value"].alias(name)
+
+    def joined(name: str, out: str) -> Column:
+        some = F.slice(name, (F.col("part") * limit + 1).cast("int"), F.lit(limit))
+        return F.when(F.size(some) > 0, F.array_join(some, "; ")).alias(out)
+
+    return found.select(
+        "page_id", "part", *[F.trim(c).alias(c) for c in IDS.values()], F.trim("description").alias("description"),
+        *[last("_names", n) for n in NAME_RULES], *[last("_basic", n) for n in BASIC_RULES],
+        joined("related", "related_names"), joined("units", "example_units"),
+    )
+
+
+def _observed_together(code_pages: DataFrame, limit: int) -> DataFrame:
+    """The same out of pages that share ids: elements are brought together by page."""
+    found = pages.parsed(code_pages, CODE_TAGS, columns=["seq", "parent", "tag", "attrs", "text"])
     spans = found.filter("tag = 'span'").withColumn("id", F.col("attrs")["id"])
     head = spans.groupBy("page_id").agg(*[
         F.min_by(F.trim("text"), F.when(F.col("id") == i, F.col("seq"))).alias(name) for i, name in IDS.items()
@@ -146,21 +241,15 @@ def observations(code_pages: DataFrame) -> DataFrame:
     sections = found.filter("tag = 'section'").select("page_id", F.col("seq").alias("parent"), F.col("attrs")["id"].alias("section"))
     inside = found.join(sections, ["page_id", "parent"])
     related = inside.filter("tag = 'li' and section = 'related-names' and trim(text) <> ''")
-    related = ordered_text(related, ["page_id"], F.trim("text"), "; ", [F.col("seq")], "related_names")
+    related = ordered_text(related, ["page_id"], F.trim("text"), "; ", [F.col("seq")], "related_names", limit)
     about = inside.filter((F.col("tag") == "p") & (F.col("attrs")["itemprop"] == "description") & (F.col("section") == "term-description"))
     about = about.groupBy("page_id").agg(F.min_by(F.trim("text"), "seq").alias("description"))
     unit_rows = inside.filter("tag = 'tr' and section = 'example-units'").select("page_id", F.col("seq").alias("parent"))
     units = found.filter("tag = 'td'").join(unit_rows, ["page_id", "parent"])
     units = units.groupBy("page_id", "parent").agg(F.min_by(F.trim("text"), "seq").alias("unit")).filter("unit <> ''")
     units = units.groupBy("page_id", "unit").agg(F.min("parent").alias("at"))
-    units = ordered_text(units, ["page_id"], F.col("unit"), "; ", [F.col("at")], "example_units")
+    units = ordered_text(units, ["page_id"], F.col("unit"), "; ", [F.col("at")], "example_units", limit)
     joined = head
     for table in (names, basic, about):
         joined = joined.join(table, "page_id", "left")
-    joined = attach_parts(joined, ["page_id"], [related, units])
-    full = F.trim(F.regexp_replace(F.coalesce("fully_specified_name", F.lit("")), r"\u200b", ""))
-    rest = ["short_name", "display_name", *BASIC_RULES, "related_names", "example_units"]
-    return joined.select(
-        "page_id", "part", *[safe_text(c).alias(c) for c in [*IDS.values(), "description"]], full.alias("fully_specified_name"),
-        *split_axes(full), *[F.coalesce(c, F.lit("")).alias(c) for c in rest],
-    )
+    return attach_parts(joined, ["page_id"], [related, units])

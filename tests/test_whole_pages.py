@@ -5,7 +5,7 @@ from __future__ import annotations
 from conftest import rows
 
 from refloom.operators import pages
-from refloom.plans import approvals
+from refloom.plans import approvals, classes
 
 
 def plan(df):
@@ -75,3 +75,28 @@ def test_approvals_are_read_where_pages_are_parsed(spark):
     assert first.en_urls == ["https://h.example/1.PDF", "https://h.example/l/b/3.pdf"]
     twice = listed.unionByName(listed)
     assert rows(approvals.approvals(twice)) == rows(approvals._shaped(approvals._across_pages(twice)))
+
+
+CODES = (
+    "<h2><span id=loinc-id> 1-2 </span><span id='lcn'>One</span><span id='lcn'>Two</span></h2><section id='term-description'><p itemprop='description'> d </p><p itemprop='description'>e</p></section>"
+    "<section id='additional-names'><dl><dt>Fully-Specified Name</dt><dd>a:b​:c</dd><dt>Short Name</dt><dd>s</dd><dt>Short name</dt><dd> t </dd><dt>Display Name</dt></dl></section>"
+    "<section id=basic><dl><dt>Class / Type</dt><dd>k</dd><dt>Type</dt><dd>y</dd></dl><dl><dt>Order vs. Obs</dt><dd>Both</dd></dl></section>"
+    "<section id='related-names'><ul><li>r</li><li> </li><li>q &lt; p</li><li>r</li></ul></section>"
+    "<section id='example-units'><table><tr><td>mg</td><td>x</td></tr><tr><td>g</td></tr><tr><td>mg</td></tr><tr><td></td></tr></table></section>"
+)
+
+
+def test_code_pages_are_known_where_they_are_parsed(spark):
+    data = [(1, CODES), (2, "<span>x</span><dl><dt>Class</dt><dd>no</dd></dl>"), (3, None), (4, "<p>no span</p>"), (None, CODES)]
+    listed = spark.createDataFrame(data, "page_id long, html string")
+    for limit in (100, 2):
+        found = classes._observed(listed, limit)
+        assert "Exchange" not in plan(found)
+        together = classes._observed_together(listed, limit)
+        assert rows(found) == rows(together.select(*found.columns))
+    first = classes.observations(listed).filter("page_id = 1").first()
+    assert (first.loinc_num, first.long_common_name, first.description, first.short_name, first["class"], first.type, first.order_obs) == ("1-2", "One", "d", "t", "k", "y", "Both")
+    assert (first.component, first.property, first.related_names, first.example_units) == ("a", "b", "r; q < p; r", "mg; g")
+    assert sorted(r.part for r in classes.observations(listed, 2).collect()) == [0, 0, 0, 1]
+    twice = listed.unionByName(listed)
+    assert rows(classes.observations(twice)) and classes.observations(twice).count() == classes._observed_together(twice, 100).count()
