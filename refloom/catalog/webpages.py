@@ -90,12 +90,11 @@ def document_links(t):
 def table_cells(t):
     """A table per order: the first cell spans all rows, the second spans two columns."""
     counts = t.lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
-    first = t.lineitem.groupBy("l_orderkey").agg(F.min(F.struct(*LINE_ORDER)).alias("first"))
     rows = agg.ordered_list(
         t.lineitem, ["l_orderkey"],
         fill('<td colspan="2"> part %s </td><td><b>%s</b> &amp; %s</td>', text("l_partkey"), F.col("l_returnflag"), F.col("l_linestatus")),
         LINE_ORDER, "rows",
-    ).join(counts, "l_orderkey").join(first, "l_orderkey")
+    ).join(counts, "l_orderkey")
     top = fill('<td rowspan="%s">all of %s</td>', text("n"), text("n"))
     html = F.concat(F.lit("<table><tr>"), top, F.array_join("rows", "</tr>\n<tr>"), F.lit("</tr></table>"))
     found = pages.table_cells(spread(materialize(rows.select(F.col("l_orderkey").alias("page_id"), html.alias("html")))))
