@@ -1,8 +1,9 @@
 """Line-oriented trial pages to records.
 
 A record starts at a ``Summary`` line. Labelled lines give fields, other lines continue the field
-before them, and section lines prefix the labels that follow. Files may be of any size: state runs
-along the lines in two levels (see ``scans``), never through one window per file.
+before them, and section lines prefix the labels that follow. Files may be of any size: along the
+lines of an ordinary one state runs in one window, in larger ones in a window per block, from block
+to block by one row each.
 """
 
 from __future__ import annotations
@@ -62,6 +63,12 @@ def _section_event(line: Column) -> Column:
     return event
 
 
+def _stripped(line: Column) -> Column:
+    # Lines that begin and end with a visible ASCII character, which are most of them, have nothing to strip.
+    ends = F.ascii(line).between(33, 126) & F.ascii(F.substring(line, -1, 1)).between(33, 126)
+    return F.when(ends, line).otherwise(strip_space(line))
+
+
 def _is_sponsor(line: Column) -> Column:
     return F.substring(line, 1, 1).isin("S", "s") & line.rlike(SPONSOR)
 
@@ -97,7 +104,7 @@ def lines_to_fields(lines: DataFrame, limit: int = GROUP_LIMIT, line_limit: int
     section never reaches past a ``Summary`` line. For a repeated label the last value counts.
     """
     def text(rows: DataFrame) -> DataFrame:
-        rows = rows.select("file", "block", "seq", strip_space("line").alias("line"))
+        rows = rows.select("file", "block", "seq", _stripped(F.col("line")).alias("line"))
         heading = (F.col("line").startswith("=") | F.col("line").startswith("PAGE ")) & F.col("line").rlike(SKIPPED_LINE)
         return rows.filter((F.col("line") != "") & ~heading)
 
