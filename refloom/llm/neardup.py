@@ -113,10 +113,24 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text.cast("string"))
 
 
+def salted(facts: DataFrame) -> DataFrame:
+    """Facts once for each salt, to be met by rows that are dealt out. They are never broadcast: the planner takes them for as small as they were before
+    they were repeated, so some MB of facts would be a gigabyte on the driver."""
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    return facts.withColumn("salt", F.explode(salts)).hint("merge")
+
+
 def by_centre(rows: DataFrame, facts: DataFrame) -> DataFrame:
     """Join a few facts per centre to its rows. A centre may have a large share of all rows, so these are dealt out by node too."""
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
-    return salted.join(facts.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["centre", "salt"]).drop("salt")
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+    return dealt.join(salted(facts), ["centre", "salt"]).drop("salt")
+
+
+def one_text_each(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One text of each key in ``wanted``. A text may have very many copies: these are dealt out, and one of each part is left before they meet."""
+    dealt = texts.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    chosen = dealt.join(salted(wanted.select("text_key").distinct()), ["text_key", "salt"], "left_semi").dropDuplicates(["text_key", "salt"])
+    return chosen.drop("salt").dropDuplicates(["text_key"])
 
 
 class Forest:
@@ -228,12 +242,7 @@ def near_duplicates(
     members = by_centre(met, sized.drop("n")).withColumn("block", F.pmod(F.xxhash64("node"), "n_blocks"))
     members = materialize(members, "groups")
     needed = members.select("node").distinct().join(info, "node")
-    # A text may have very many copies: these are dealt out, and one of each part is left before they meet.
-    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-    wanted = needed.select("text_key").distinct().withColumn("salt", salts)
-    dealt = texts.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
-    chosen = dealt.join(wanted, ["text_key", "salt"], "left_semi").dropDuplicates(["text_key", "salt"])
-    chosen = materialize(chosen.drop("salt").dropDuplicates(["text_key"]), "texts")
+    chosen = materialize(one_text_each(texts, needed), "texts")
 
     # The centre is in every block of its group.
     centre_rows = members.groupBy("centre", "n_blocks").agg(F.lit(1)).select(
@@ -271,8 +280,8 @@ def near_duplicates(
     of_set = rooted.join(ids, "root").select(F.col("node").alias("set_id"), "component_id", F.col("root"))
     out = signed.select("doc_id", "text_key", "n_shingles", "set_id")
     # A set may have a large share of all documents, so these are dealt out by document too; texts without words look nothing up.
-    salted = out.filter("n_shingles > 0").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-    found = salted.join(of_set.withColumn("salt", salts), ["set_id", "salt"]).drop("salt")
+    dealt = out.filter("n_shingles > 0").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    found = dealt.join(salted(of_set), ["set_id", "salt"]).drop("salt")
     nothing = out.filter("n_shingles = 0").withColumns({"component_id": F.lit(None).cast("long"), "root": F.lit(None).cast("binary")})
     out = found.unionByName(nothing)
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -291,6 +292,29 @@ def test_near_duplicates(spark, edge, nothing):
         assert Counter(tuple(r) for r in out.select("doc_id", "n_shingles", "component_id", "kept").collect()) == plain_classes(rows, 3, 85)
 
 
+def broadcasts(df) -> list[str]:
+    """Subtrees below the broadcasts of the plan that ran."""
+    df.collect()
+    lines = df._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0].splitlines()
+    depths = [len(re.match(r"[\s:+-]*", x)[0]) for x in lines]
+    ends = [next((j for j in range(i + 1, len(lines)) if depths[j] <= depths[i]), len(lines)) for i in range(len(lines))]
+    return ["\n".join(lines[i + 1 : ends[i]]) for i, x in enumerate(lines) if "BroadcastExchange" in x]
+
+
+def test_rows_repeated_for_each_salt_are_not_broadcast(spark, monkeypatch):
+    """The planner doesn't count the repeats: what it took for 7 MB was over a gigabyte on the driver."""
+    rows, found = copies(25), []
+    write = neardup.materialize
+    monkeypatch.setattr(neardup, "materialize", lambda df, name="step": (found.extend(broadcasts(df)), write(df, name))[1])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = neardup.near_duplicates(df, 3, 85, block_classes=4)
+    found += broadcasts(out)
+    assert found and not [x for x in found if "salt" in x]
+    texts = spark.createDataFrame([(k % 50, f"t{k % 50}") for k in range(200)] + [(None, None)], "text_key long, text string")
+    wanted = spark.createDataFrame([(k, "x") for k in range(0, 100, 2)] * 2 + [(None, "x")], "text_key long, more string")
+    assert sorted(tuple(r) for r in neardup.one_text_each(texts, wanted).collect()) == [(k, f"t{k}") for k in range(0, 50, 2)]
+
+
 def test_one_of_each_group_stays(edge, nothing):
     kept = neardup.deduplicated(edge, 5, 80)
     assert kept.columns == edge.columns and neardup.deduplicated(nothing).count() == 0
