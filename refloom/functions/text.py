@@ -44,6 +44,11 @@ def clean_text(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(col(c), f"[{SPACE}&&[^ ]][{SPACE}]*| [{SPACE}]+", " "))
 
 
+def clean(text: str) -> str:
+    """``clean_text`` of one text. What ``split`` takes for white space is what ``SPACE`` holds."""
+    return " ".join(text.split())
+
+
 def strip_space(c: Column | str) -> Column:
     """Trim all Unicode white space at both ends."""
     return F.trim(col(c), F.lit(SPACE_CHARS))

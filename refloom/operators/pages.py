@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refloom.functions.text import clean_text
+from refloom.functions.text import clean, clean_text
 from refloom.functions.urls import resolve_url, url_kind, url_language
 from refloom.operators.aggregate import ordered_text
 from refloom.operators.dedup import dedup_first
@@ -439,22 +439,26 @@ def per_page(
     return pages.select("page_id", "html", *carry).mapInArrow(parse, ddl.replace(";", ","))
 
 
+def filled_rows(found: Sequence[list], of_table: Sequence[tuple[int, int, int, int]]) -> list[tuple[int, list[str]]]:
+    """Rows of one table out of ``_grids``: number and the texts of the cells, spans filled."""
+    rows: dict[int, list[str]] = {}
+    for at, _, seq in _spread(of_table):
+        text = spaced(found[seq][3])
+        if at in rows:
+            rows[at].append(text)
+        else:
+            rows[at] = [text]
+    return sorted(rows.items())
+
+
 def whole_tables(pages: DataFrame) -> DataFrame:
     """All tables, one row each: (page_id, table_no, rows of row_no and the texts of the cells, spans filled)."""
     row = pa.struct([("row_no", pa.int32()), ("cells", pa.list_(pa.string()))])
 
     def tables(page: int | None, parser: _Elements) -> Iterator[tuple]:
-        found = parser.found
-        for number, of_table in _grids(found).values():
-            rows: dict[int, list[str]] = {}
-            for at, _, seq in _spread(of_table):
-                text = spaced(found[seq][3])
-                if at in rows:
-                    rows[at].append(text)
-                else:
-                    rows[at] = [text]
-            if rows:
-                yield page, number, [{"row_no": at, "cells": cells} for at, cells in sorted(rows.items())]
+        for number, of_table in _grids(parser.found).values():
+            if rows := filled_rows(parser.found, of_table):
+                yield page, number, [{"row_no": at, "cells": cells} for at, cells in rows]
 
     ddl = "page_id long; table_no int; rows array<struct<row_no: int, cells: array<string>>>"
     return per_page(pages, ["table", "tr", "td", "th"], ddl, [pa.int64(), pa.int32(), pa.list_(row)], tables, ["td", "th"])
@@ -529,18 +533,72 @@ def grid_fields(cells: DataFrame) -> DataFrame:
     return out.filter(F.col("label").isNotNull() & (F.col("label") != ""))
 
 
+def _fields(page: int | None, rows: Sequence[tuple[int, list[str]]]) -> Iterator[tuple[str, str, bool]]:
+    """``grid_fields`` of one table, its rows in order: label, value and whether it is plain."""
+    section = False
+    for at, cells in rows:
+        c, width = [x.strip(" ") for x in cells], len(cells)
+        # A page without an id has no tables as a whole, see ``_of_table``.
+        if at == 0 and page is not None and c[:2] == ["No", "Publication date"]:
+            return
+        opener = width == 2 and c[0] == SECTION_OPENER
+        section = section or (opener and page is not None)
+        prefixed = section and c[0] in SECTION_LABELS
+        if width == 2:
+            label = f"{SECTION_NAME} - Name" if opener else f"{SECTION_NAME} - {c[0]}" if prefixed else c[0]
+            value = c[1]
+        elif width == 3:
+            label, value = c[0] if c[0] == c[1] else f"{c[0]} - {c[1]}", c[2]
+        elif width > 3:
+            label, value = " - ".join(c[:3]), " ".join(cells[3:]).strip(" ")
+        else:
+            continue
+        if label:
+            yield label, value, width == 2 and not opener and not prefixed
+
+
+def page_fields(pages: DataFrame) -> DataFrame:
+    """(page_id, label, value) of pages whose ids differ, ``grid_fields`` with one row per label: looked at where a page is parsed.
+
+    A plain label that comes again with another value than the first gets a number; of any other label the last counts.
+    """
+    def fields(page: int | None, parser: _Elements) -> Iterator[tuple]:
+        firsts, counts, lasts = {}, Counter(), {}
+        for _, of_table in _grids(parser.found).values():
+            for label, value, plain in _fields(page, filled_rows(parser.found, of_table)):
+                if not plain:
+                    lasts[label] = value
+                elif label not in firsts or value != firsts[label]:
+                    firsts.setdefault(label, value)
+                    counts[label] += 1
+                    yield page, label if counts[label] == 1 else f"{label} ({counts[label]})", value
+        for label, value in lasts.items():
+            yield page, label, value
+
+    ddl = "page_id long; label string; value string"
+    return per_page(pages, ["table", "tr", "td", "th"], ddl, [pa.int64(), pa.string(), pa.string()], fields, ["td", "th"])
+
+
 def _carry(rows: DataFrame) -> DataFrame:
     """Section open at each row of a table: some earlier row of the table opened it."""
     first = _of_table(F.min(F.when(F.col("_opens"), F.col("row_no"))))
     return rows.withColumn("_section", F.when(F.col("row_no") >= first, F.lit(SECTION_NAME)))
 
 
+_NO_NAME = re.compile(r"[^a-zA-Z0-9_ ]")
+
+
 def header_name(c: Column) -> Column:
     """Header cell as a lower snake case name."""
     bare = F.trim(F.regexp_replace(clean_text(c), r"[^a-zA-Z0-9_\s]", ""))
     return F.replace(F.lower(bare), F.lit(" "), F.lit("_"))
 
 
+def field_name(text: str) -> str:
+    """``header_name`` of one text."""
+    return _NO_NAME.sub("", clean(text)).strip(" ").lower().replace(" ", "_")
+
+
 def table_records(cells: DataFrame) -> DataFrame:
     """Records of tables with a header row: (page_id, table_no, row_no, fields).
 
@@ -583,6 +641,25 @@ def _fielded(rows: DataFrame) -> DataFrame:
     )
 
 
+def fielded_rows(rows: Sequence[tuple[int, list[str]]]) -> list[dict[str, str]]:
+    """``table_records`` of one table, its rows in order."""
+    by_number = dict(rows)
+    first, second = by_number.get(0), by_number.get(1)
+    head = int(first is not None and len(first) == 1 and second is not None and len(second) > 1)
+    if head not in by_number:
+        return []
+    names, out = [field_name(x) for x in by_number[head]], []
+    for at, cells in rows:
+        if at <= head or (len(cells) == 1 and len(names) > 1):
+            continue
+        cells = [clean(x) for x in cells]
+        fields: dict[str, str] = {}
+        for name, cell in zip(names, cells):
+            fields.setdefault(name, cell)
+        out.append(fields if len(cells) == len(names) else {"raw_row": " | ".join(cells)})
+    return out
+
+
 def _keyed(rows: DataFrame) -> DataFrame:
     """Names that a record has as keys, and their places in a row: of equal names the first counts."""
     at = F.filter(F.transform("names", lambda x, i: i), lambda i: F.array_position(F.col("names"), F.get("names", i)) == i + 1)
@@ -596,6 +673,17 @@ def simple_list(cells: DataFrame, sentinels: Sequence[str]) -> DataFrame:
     return cells.filter((text != "") & ~text.isin(*sentinels)).select(*ROW, "col_no", text.alias("text"))
 
 
+def key_values(rows: Sequence[tuple[int, list[str]]]) -> dict[str, str]:
+    """``key_value_rows`` of one table, its rows in order: of equal labels the last row stays, at its own place."""
+    out: dict[str, str] = {}
+    for _, cells in rows:
+        if len(cells) == 2:
+            label = clean(cells[0]).rstrip(": ").lower().replace(" ", "_")
+            out.pop(label, None)
+            out[label] = clean(cells[1])
+    return out
+
+
 def key_value_rows(cells: DataFrame) -> DataFrame:
     """Two-cell rows as (page_id, table_no, row_no, label, value); the label loses its colon and becomes a name."""
     rows = grid_rows(cells).filter(F.size("cells") == 2)

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterable, Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refloom.functions.arrays import last_where, pack
 from refloom.functions.codes import registration_type
-from refloom.functions.text import clean_text, let, safe_text
+from refloom.functions.text import clean, clean_text, let, safe_text
 from refloom.operators import pages
 from refloom.operators.aggregate import ordered_list, union_columns
 from refloom.operators.dedup import dedup_last, suffix_duplicates
 from refloom.operators.records import FIRST_COLUMNS, fields_to_records, lines_to_fields
 from refloom.operators.select import LIST_SENTINELS
+from refloom.operators.skew import GROUP_LIMIT
 from refloom.schemas import (
     REGISTRY_TRIAL_COLUMNS, TRIAL_CONTACT_FIELDS, TRIAL_CRITERIA_FIELDS, TRIAL_ETHICS_FIELDS, TRIAL_MAIN_FIELDS,
 )
@@ -84,6 +89,13 @@ def grid_records(trial_pages: DataFrame) -> DataFrame:
 
     Plain labels that come again with another value get a number; of section labels the last counts.
     """
+    once, shared = pages.by_page(trial_pages)
+    found = pages.page_fields(once)
+    return found if shared is None else found.unionByName(_grid_across_pages(shared))
+
+
+def _grid_across_pages(trial_pages: DataFrame) -> DataFrame:
+    """The same out of pages that share ids: rows are brought together by page."""
     fields = materialize(pages.grid_fields(pages.table_rows(trial_pages)), "fields")
     place = ["table_no", "row_no"]
     plain = suffix_duplicates(fields.filter("plain"), ["page_id"], "label", "value", place)
@@ -120,10 +132,28 @@ def plain_label(label: Column) -> Column:
     ))
 
 
+def label_name(text: str) -> str:
+    """``plain_label`` of one text."""
+    name = pages.field_name(text)
+    if "contact_person" in name and "scientific" in name:
+        return KEY_VALUE_LABELS[1]
+    if "contact_person" in name and "public" in name:
+        return KEY_VALUE_LABELS[2]
+    if name == "exclusioncriteria":
+        return "exclusion_criteria"
+    if "health_condition" in name:
+        return "health_condition_problems_studied"
+    return "intervention_comparator_agent" if name == "intervention__comparator_agent" else name
+
+
+def _valid(trial_pages: DataFrame) -> DataFrame:
+    """Pages with content that is not ``INVALID``."""
+    return trial_pages.filter(F.trim(F.coalesce("html", F.lit(""))).isin("", "INVALID") == F.lit(False))
+
+
 def page_tables(trial_pages: DataFrame) -> DataFrame:
     """Tables, rows and cells of trial pages with their grid, parsed once. Pages whose content is ``INVALID`` give none."""
-    valid = trial_pages.filter(F.trim(F.coalesce("html", F.lit(""))).isin("", "INVALID") == F.lit(False))
-    return pages.parsed(valid, ["table", "tr", "td", "th"], grid=True)
+    return pages.parsed(_valid(trial_pages), ["table", "tr", "td", "th"], grid=True)
 
 
 def page_rows(found: DataFrame) -> DataFrame:
@@ -176,14 +206,90 @@ def page_records(trial_pages: DataFrame) -> DataFrame:
     plain = rows.filter("table_no is null").select("page_id", "label", F.lit(0).cast("long").alias("part"), F.col("text").alias("value"))
     numbers = plain.filter("label = 'ctri_number'")
     text = F.col("value")
-    derived = numbers.select("page_id", "part", F.inline(F.array(
-        F.struct(F.lit("registration_date").alias("label"), F.trim(F.regexp_extract(text, REGISTERED_ON, 1)).alias("value")),
-        F.struct(F.lit("registration_type").alias("label"), registration_type(text).alias("value")),
-        F.struct(F.lit("ctri_id").alias("label"), F.regexp_extract(text, TRIAL_NUMBER, 0).alias("value")),
-    ))).filter("value <> ''")
+    derived = numbers.select("page_id", "part", F.inline(_derived(text))).withColumnRenamed("key", "label").filter("value <> ''")
     return inner.unionByName(plain).unionByName(derived)
 
 
+def _derived(number: Column) -> Column:
+    """What the text of a trial number tells besides: key and value, empty if it doesn't."""
+    return F.array(
+        F.struct(F.lit("registration_date").alias("key"), F.trim(F.regexp_extract(number, REGISTERED_ON, 1)).alias("value")),
+        F.struct(F.lit("registration_type").alias("key"), registration_type(number).alias("value")),
+        F.struct(F.lit("ctri_id").alias("key"), F.regexp_extract(number, TRIAL_NUMBER, 0).alias("value")),
+    )
+
+
+#: Characters that Spark's JSON writer escapes.
+_ESCAPES = {c: f"\\u{c:04X}" for c in range(32)} | {ord(c): "\\" + e for c, e in zip('"\\\b\t\n\f\r', '"\\btnfr')}
+
+
+def _json(text: str) -> str:
+    return '"' + text.translate(_ESCAPES) + '"'
+
+
+def _json_object(fields: Iterable[tuple[str, str]]) -> str:
+    return "{" + ",".join([f"{_json(k)}:{_json(v)}" for k, v in fields]) + "}"
+
+
+def _nested(label: str, rows: Sequence[tuple[int, list[str]]], limit: int) -> Iterator[str]:
+    """JSON of a table under a label, in parts of at most ``limit`` items."""
+    if label in LIST_LABELS:
+        items = [_json(x) for _, cells in rows for cell in cells if (x := clean(cell)) and x not in LIST_SENTINELS]
+    elif label in HEADER_LABELS:
+        items = [_json_object(fields.items()) for fields in pages.fielded_rows(rows)]
+    else:
+        pairs = list(pages.key_values(rows).items())
+        yield from (_json_object(pairs[at : at + limit]) for at in range(0, len(pairs), limit))
+        return
+    yield from ("[" + ",".join(items[at : at + limit]) + "]" for at in range(0, len(items), limit))
+
+
+def _whole_records(trial_pages: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
+    """(page_id, part, kv) of pages whose ids differ: the last value of each label, in order, all made where a page is parsed."""
+    def records(page: int | None, parser) -> Iterator[tuple]:
+        found = parser.found
+        parts, numbers = defaultdict(list), []
+        mains, inner, heads, cells = [], {}, set(), {}
+        grids = pages._grids(found)
+        for seq, (parent, tag, attrs, _, _) in enumerate(found):
+            if tag == "table":
+                inner.setdefault(parent, seq)
+                grey = attrs.get("bordercolor", "") == "lightgrey"
+                if grey or attrs.get("border", "") == "1":
+                    mains.append((not grey, seq))
+        if not mains:
+            return
+        main = min(mains)[1]
+        for seq, (parent, tag, *_) in enumerate(found):
+            if tag == "tr" and parent == main:
+                heads.add(seq)
+            elif tag == "td" and parent in heads:
+                cells.setdefault(parent, []).append(seq)
+        for pair in cells.values():
+            if len(pair) != 2 or not (label := label_name("".join(found[pair[0]][3]))):
+                continue
+            if pair[1] in inner:
+                rows = pages.filled_rows(found, grids[inner[pair[1]]][1])
+                for part, value in enumerate(_nested(label, rows, limit)):
+                    parts[part].append({"key": label, "value": value})
+            else:
+                text = clean("".join(found[pair[1]][3]))
+                parts[0].append({"key": label, "value": text})
+                if label == "ctri_number":
+                    numbers.append(text)
+        for part, entries in parts.items():
+            yield page, part, entries, [] if part else numbers
+
+    entry = pa.struct([("key", pa.string()), ("value", pa.string())])
+    ddl = "page_id long; part long; entries array<struct<key: string, value: string>>; numbers array<string>"
+    kinds = [pa.int64(), pa.int64(), pa.list_(entry), pa.list_(pa.string())]
+    found = pages.per_page(_valid(trial_pages).filter("page_id is not null"), ["table", "tr", "td", "th"], ddl, kinds, records, ["td", "th"])
+    derived = F.filter(F.flatten(F.transform("numbers", _derived)), lambda x: x["value"] != "")
+    found = found.select("page_id", "part", F.sort_array(F.concat("entries", derived)).alias("e"))
+    # Of equal labels the last value in order stays.
+    return found.select("page_id", "part", F.filter("e", lambda x, i: ~F.coalesce(F.get("e", i + 1)["key"] == x["key"], F.lit(False))).alias("kv"))
+
+
 # Flat columns of a trial record. Plain fields, fields of nested objects, lists kept as JSON.
 RECORD_FIELDS = [
     "db_id", "ctri_id", "ctri_number", "registration_date", "registration_type", "last_modified_on",
@@ -239,7 +345,15 @@ def flatten_record(record: Column) -> list[Column]:
 
 def flat_pages(trial_pages: DataFrame) -> DataFrame:
     """Trial pages to flat rows, by part: part 0 has everything, further parts go on with oversized lists."""
+    once, shared = pages.by_page(trial_pages)
+    maps = _whole_records(once)
+    if shared is not None:
+        maps = maps.unionByName(_records_across_pages(shared))
+    return maps.select("page_id", "part", *flatten_record(F.map_from_entries("kv")))
+
+
+def _records_across_pages(trial_pages: DataFrame) -> DataFrame:
+    """The same as ``_whole_records`` out of pages that share ids: labels are brought together by page."""
     found = dedup_last(materialize(page_records(trial_pages), "records"), ["page_id", "label", "part"], ["value"])
     entries = F.sort_array(F.collect_list(F.struct(F.col("label").alias("key"), "value")))
-    maps = found.groupBy("page_id", "part").agg(entries.alias("kv"))
-    return maps.select("page_id", "part", *flatten_record(F.map_from_entries("kv")))
+    return found.groupBy("page_id", "part").agg(entries.alias("kv"))

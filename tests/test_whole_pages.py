@@ -5,7 +5,7 @@ from __future__ import annotations
 from conftest import rows
 
 from refloom.operators import pages
-from refloom.plans import approvals, classes
+from refloom.plans import approvals, classes, trials
 
 
 def plan(df):
@@ -100,3 +100,52 @@ def test_code_pages_are_known_where_they_are_parsed(spark):
     assert sorted(r.part for r in classes.observations(listed, 2).collect()) == [0, 0, 0, 1]
     twice = listed.unionByName(listed)
     assert rows(classes.observations(twice)) and classes.observations(twice).count() == classes._observed_together(twice, 100).count()
+
+
+GRIDS = (
+    "<table><tr><td>No</td><td>Publication date</td></tr><tr><td>k</td><td>x</td></tr></table><table><tr><td>No</td></tr><tr><td> Key </td><td>1</td></tr><tr><td>Address</td><td>home</td></tr>"
+    "<tr><td>Name of Certified Review Board</td><td>B</td></tr><tr><td>Address</td><td>o &amp; p</td></tr><tr><td>Address</td><td>q</td></tr><tr><td>Key</td><td>2</td></tr><tr><td>Key</td><td>1</td></tr>"
+    "<tr><td>Key</td><td>2</td></tr><tr><td></td><td>no</td></tr><tr></tr><tr><td>S</td><td>S</td><td>v</td></tr><tr><td>S</td><td></td><td>w</td></tr><tr><td>A</td><td>B</td><td>C</td><td> x</td><td>y </td></tr></table>"
+    "<table><tr><td rowspan=2>Key</td><td>3</td></tr><tr><td>\xa0 4</td></tr><tr><td colspan=3>in<table><tr><td>S</td><td>S</td><td>z</td></tr><tr><td>Address</td><td>n</td></tr></table></td></tr></table>"
+)
+
+
+def test_grid_fields_are_read_where_pages_are_parsed(spark):
+    data = [(1, GRIDS), (2, "<p>no table</p>"), (3, None), (4, GRIDS[::2]), (None, GRIDS)]
+    listed = spark.createDataFrame(data, "page_id long, html string")
+    found = trials.grid_records(listed)
+    assert "Exchange" not in plan(found)
+    assert rows(found) == rows(trials._grid_across_pages(listed))
+    got = {(r.label, r.value) for r in found.filter("page_id = 1").collect()}
+    assert got >= {("Key", "1"), ("Key (2)", "2"), ("Key (3)", "2"), ("Key (4)", "3"), ("Address", "home"), ("Address (2)", "n"), ("Certified Review Board - Address", "q"), ("S", "z")}
+    # Pages that share an id, and pages without one, stay what they were.
+    twice = listed.unionByName(listed.filter("page_id = 1 or page_id is null"))
+    assert rows(trials.grid_records(twice)) == rows(trials._grid_across_pages(twice))
+
+
+TRIAL = (
+    "<table><tr><td>Phase</td><td>not here</td></tr></table><table border='1'><tr><td>CTRI Number</td><td>CTRI/2021/05/033 [Registered on: 03/05/2021 ]\xa0 Registered Retrospectively</td></tr>"
+    "<tr><td>CTRI\nNumber</td><td>CTRI/2020/01/7</td></tr><tr><th>Phase</th><td>2</td></tr><tr><td>Phase </td><td>3</td></tr><tr><td>Phase</td><td>1 &lt; 2</td></tr><tr><td>(&eacute;)</td><td>no label</td></tr>"
+    "<tr><td>Details of Contact Person (Scientific Query)</td><td><table><tr><td>Name :</td><td>Ann \"A\" \\ \x01\x1b B/C</td></tr><tr><td>one</td></tr><tr><td>E Mail: </td><td>a@b</td></tr><tr><td>NAME</td><td>Éva</td></tr><tr><td>:</td><td>e</td></tr></table></td></tr>"
+    "<tr><td>Contact Person (Public Query)</td><td><table></table><table><tr><td>Name</td><td>second table</td></tr></table></td></tr>"
+    "<tr><td>Health Condition / Problems Studied</td><td><table><tr><td>Title</td></tr><tr><td>Type</td><td>Condition (x)</td><td>Type</td></tr><tr><td rowspan=2>P</td><td>Flu \n &amp;</td><td>c</td></tr><tr><td>d</td></tr><tr><td>div</td></tr><tr><td>l</td><td>m</td><td>n</td><td>o</td></tr></table></td></tr>"
+    "<tr><td>Health Conditions</td><td><table><tr><td>Type</td></tr><tr><td>A</td></tr></table></td></tr><tr><td>Secondary IDs if Any</td><td><table><tr></tr><tr><td>a</td><td>b</td></tr></table></td></tr>"
+    "<tr><td>Source of Monetary or Material Support</td><td>x<table><tr><td>Fund</td><td> N/A </td></tr><tr><td></td><td colspan=2>F \xa0 2</td></tr></table></td></tr><tr><td>three</td><td>cells</td><td>here</td></tr>"
+    "<tr><td>Intervention / Comparator Agent</td><td></td></tr></table><table bordercolor=lightgrey><tr><td>Phase</td><td>grey</td></tr></table>"
+)
+
+
+def test_trial_pages_are_read_where_they_are_parsed(spark, monkeypatch):
+    data = [(1, TRIAL), (2, "INVALID"), (3, None), (4, TRIAL.replace("lightgrey", "grey")), (5, TRIAL[::3]), (6, "<p>no table</p>"), (7, "<table border=1></table>"), (None, TRIAL)]
+    listed = spark.createDataFrame(data, "page_id long, html string")
+    flat = trials.flat_pages(listed)
+    assert "Exchange" not in plan(flat) and rows(flat.select("page_id", "part")) == [(1, 0), (4, 0)]
+    assert rows(trials._whole_records(listed)) == rows(trials._records_across_pages(listed))
+    got = flat.filter("page_id = 4").first()
+    assert (got.ctri_id, got.registration_date, got.registration_type) == ("CTRI/2021/05/033", "03/05/2021", "Unknown")
+    assert got.contact_scientific_name == "Éva" and got.health_conditions.startswith('[{"type":"P","condition_x":"Flu &"}')
+    # Pages that share an id stay what they were, and long lists are cut alike.
+    monkeypatch.setattr(trials.ordered_list, "__defaults__", tuple(2 if d == trials.GROUP_LIMIT else d for d in trials.ordered_list.__defaults__))
+    assert rows(trials._whole_records(listed, 2)) == rows(trials._records_across_pages(listed))
+    twice = listed.unionByName(listed.filter("page_id = 1 or page_id is null"))
+    assert rows(trials.flat_pages(twice).filter("page_id = 1")) == rows(trials.flat_pages(listed.unionByName(listed)).filter("page_id = 1"))
