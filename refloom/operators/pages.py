@@ -594,9 +594,18 @@ def header_name(c: Column) -> Column:
     return F.replace(F.lower(bare), F.lit(" "), F.lit("_"))
 
 
+#: Characters of a text whose name is remembered.
+SHORT = 200
+
+
+@lru_cache(4_096)
+def _short_name(text: str) -> str:
+    return _NO_NAME.sub("", clean(text)).strip(" ").lower().replace(" ", "_")
+
+
 def field_name(text: str) -> str:
     """``header_name`` of one text."""
-    return _NO_NAME.sub("", clean(text)).strip(" ").lower().replace(" ", "_")
+    return _short_name(text) if len(text) <= SHORT else _short_name.__wrapped__(text)
 
 
 def table_records(cells: DataFrame) -> DataFrame:
@@ -679,7 +688,8 @@ def key_values(rows: Sequence[tuple[int, list[str]]]) -> dict[str, str]:
     for _, cells in rows:
         if len(cells) == 2:
             label = clean(cells[0]).rstrip(": ").lower().replace(" ", "_")
-            out.pop(label, None)
+            if label in out:
+                del out[label]
             out[label] = clean(cells[1])
     return out
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -223,8 +224,11 @@ def _derived(number: Column) -> Column:
 _ESCAPES = {c: f"\\u{c:04X}" for c in range(32)} | {ord(c): "\\" + e for c, e in zip('"\\\b\t\n\f\r', '"\\btnfr')}
 
 
+_ESCAPED = re.compile(r'["\\\x00-\x1f]')
+
+
 def _json(text: str) -> str:
-    return '"' + text.translate(_ESCAPES) + '"'
+    return '"' + (text.translate(_ESCAPES) if _ESCAPED.search(text) else text) + '"'
 
 
 def _json_object(fields: Iterable[tuple[str, str]]) -> str:
